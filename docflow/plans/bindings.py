@@ -3,7 +3,7 @@
 The pipeline's real inputs (yearly index files, id lists, document files, a status ledger,
 fetch attempts) are not among the test tables, so each is *derived by Spark* from a table
 so that its size grows with the data. Every binding here is a plain DataFrame expression;
-the SQL twins used by the correctness check live in ``plans/oracle.py``.
+the SQL twins used by the correctness check live in ``plans/registry.py``.
 """
 
 from __future__ import annotations
@@ -109,17 +109,10 @@ def page_texts_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Status transitions: (ack_id, year, status, ts, seq, message, overwrite_)."""
     e = table(spark, sf_dir, "events")
-    status = (
-        F.when(F.col("event_type") == "signup", "to_download")
-        .when(F.col("event_type") == "view", "claimed")
-        .when(F.col("event_type") == "click", "to_process")
-        .when(F.col("event_type") == "purchase", "processed")
-        .otherwise("plan_not_found")
-    )
     return e.select(
         F.col("user_id").cast("string").alias("ack_id"),
         (F.lit(1999) + (F.col("user_id") % 20).cast("int")).cast("int").alias("year"),
-        status.alias("status"),
+        ledger_status().alias("status"),
         "ts",
         F.col("event_id").alias("seq"),
         F.col("props").alias("message"),
@@ -136,3 +129,36 @@ def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(503)
     )
     return e.select(F.col("user_id").alias("doc"), "event_id", code.cast("int").alias("status_code"))
+
+
+def _status_folder():
+    s = ledger_status()
+    group = F.when(s.isin("to_download", "to_process"), "queue/").when(
+        s.isin("plan_not_found"), "error/").otherwise("")
+    return F.concat(group, s)
+
+
+def ledger_status():
+    return (
+        F.when(F.col("event_type") == "signup", "to_download")
+        .when(F.col("event_type") == "view", "claimed")
+        .when(F.col("event_type") == "click", "to_process")
+        .when(F.col("event_type") == "purchase", "processed")
+        .otherwise("plan_not_found")
+    )
+
+
+def token_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token paths as a tracker tree would hold them, one per event: status folders (nested
+    under queue/ and error/), a year folder (an invalid one for some), the id as file name
+    (some still carrying a '.claiming.' marker), and Windows separators for some."""
+    e = table(spark, sf_dir, "events")
+    year_dir = F.when(F.col("event_id") % 17 == 0, F.lit("abcd")).otherwise(
+        (F.lit(1999) + F.col("user_id") % 20).cast("string"))
+    fname = F.when(
+        F.col("event_id") % 11 == 0,
+        F.concat(F.col("user_id").cast("string"), F.lit(".txt.claiming."), F.col("event_id").cast("string")),
+    ).otherwise(F.concat(F.col("user_id").cast("string"), F.lit(".txt")))
+    p = F.concat_ws("/", F.lit("/srv/tracker"), _status_folder(), year_dir, fname)
+    p = F.when(F.col("event_id") % 13 == 0, F.replace(p, F.lit("/"), F.lit("\\"))).otherwise(p)
+    return e.select("event_id", p.alias("path"))

@@ -92,3 +92,18 @@ from events
 
 def waterfall_select(statuses: list[str]) -> str:
     return ", ".join(f"count(*) filter (where status = '{s}') as {s}" for s in statuses)
+
+TOKEN_PATHS_SQL = """
+select event_id,
+  case when event_id % 13 = 0 then replace(p, '/', chr(92)) else p end as path
+from (select event_id, concat_ws('/', '/srv/tracker',
+         concat(case when event_type in ('signup', 'click') then 'queue/'
+                     when event_type not in ('view', 'purchase') then 'error/' else '' end,
+                case event_type when 'signup' then 'to_download' when 'view' then 'claimed'
+                     when 'click' then 'to_process' when 'purchase' then 'processed'
+                     else 'plan_not_found' end),
+         case when event_id % 17 = 0 then 'abcd' else cast(1999 + user_id % 20 as varchar) end,
+         case when event_id % 11 = 0 then concat(user_id, '.txt.claiming.', event_id)
+              else concat(user_id, '.txt') end) as p
+      from events)
+"""
