@@ -61,6 +61,7 @@ def parse_status_path(df: DataFrame, path: str = "path") -> DataFrame:
         F.expr(f"try_cast(try_element_at(split(replace(`{path}`, '\\\\', '/'), '/'), -2) as int)").alias("year"),
         F.try_element_at(parts, F.lit(-3)).alias("status"),
         F.col(path).alias("path"),
+        *[F.col(c) for c in df.columns if c not in ("path", "ack_id", "year", "status")],
     )
     return out.where(F.col("year").isNotNull() & (F.size(parts) >= 4))
 
