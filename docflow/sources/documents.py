@@ -65,11 +65,12 @@ def form_feed_pages(content: bytes) -> list[str]:
 
 
 def extract_pages_native(docs: DataFrame, extractor_id: int = 1, content: str = "content") -> DataFrame:
-    """S7, built-in format, JVM only: invalid UTF-8 makes the document unreadable."""
+    """S7, built-in format, JVM only: invalid UTF-8 makes the document unreadable. Columns other
+    than ``content`` pass through."""
     raw = F.col(content).cast("string")
     ok = F.is_valid_utf8(raw)
     return docs.select(
-        "ack_id",
+        *[c for c in docs.columns if c != content],
         F.lit(extractor_id).alias("extractor"),
         F.when(ok, pages_from_form_feeds(raw)).alias("pages"),
         F.when(~ok, F.lit("invalid UTF-8")).alias("error"),
