@@ -167,7 +167,7 @@ _NORM = "replace(path, chr(92), '/')"
         from ({TOKEN_PATHS_SQL}) where try_cast(string_split({_NORM}, '/')[-2] as integer) is not null""",
 )
 def parse_status_path(spark, d):
-    return ph.parse_status_path(B.token_paths(spark, d))
+    return ph.parse_status_path(B.token_paths(spark, d)).select("ack_id", "year", "status", "path")
 
 
 _NAME = f"string_split({_NORM}, '/')[-1]"
