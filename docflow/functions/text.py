@@ -41,13 +41,28 @@ def alnum_fold_py(s: str) -> str:
 
 # ---- F3-F8 ----------------------------------------------------------------------------------
 @F.pandas_udf(T.StringType())
-def _nfkc_udf(s: pd.Series) -> pd.Series:
+def _nfkc(s: pd.Series) -> pd.Series:
     return s.str.normalize("NFKC")
 
 
+# NFKC is deterministic; the flag only stops the optimizer from invoking the UDF more often than
+# written (filters on derived columns would otherwise be evaluated with their own copy of it).
+_nfkc_udf = _nfkc.asNondeterministic()
+
+
+# Characters NFKC can change: anything outside U+0000-U+009F and U+00C0-U+00FF. Those two
+# ranges (ASCII, C1 controls, precomposed Latin-1 letters) are NFKC-stable and cannot combine
+# with each other, so a string made only of them is its own NFKC form.
+NFKC_UNSTABLE = r"[^\x{00}-\x{9F}\x{C0}-\x{FF}]"
+
+
 def nfkc(col: Column | str) -> Column:
-    """Unicode NFKC. The single pandas UDF of the library (Arrow batches, no per-row serde)."""
-    return _nfkc_udf(_c(col))
+    """Unicode NFKC. The single pandas UDF of the library (Arrow batches, no per-row serde).
+    Strings that cannot change are answered in the JVM; only the others cross to Python (the
+    rest are sent as nulls, which cost next to nothing in an Arrow batch)."""
+    c = _c(col)
+    needs = c.rlike(NFKC_UNSTABLE)
+    return F.when(needs, _nfkc_udf(F.when(needs, c))).otherwise(c)
 
 
 def drop_bad_utf8(col: Column | str) -> Column:
@@ -129,6 +144,15 @@ def fold_terms(terms: Iterable[str]) -> tuple[list[str], list[str]]:
     return minimal(lowered), minimal([alnum_fold_py(t) for t in lowered])
 
 
+def folded_pattern(folded: Iterable[str]) -> str:
+    """Regex for the second check without building the folded text: ``fold(page)`` contains
+    ``f`` exactly when ``page`` contains f's characters in order with only deletable characters
+    (``[^a-z0-9() ]``) between them. Deleting characters keeps the rest of a match contiguous,
+    so the two are equivalent; the regex needs no per-page string copy."""
+    gap = "[^a-z0-9() ]*"
+    return "|".join(gap.join(re.escape(ch) if ch in "()" else ch for ch in f) for f in folded)
+
+
 def find_terms_lowered(lowered: Column, terms: Iterable[str]) -> Column:
     """P15 on text that is already lower-cased."""
     direct, folded = fold_terms(terms)
@@ -139,9 +163,15 @@ def find_terms_lowered(lowered: Column, terms: Iterable[str]) -> Column:
         first = first | lowered.contains(t)
     if any(f == "" for f in folded):
         return first | F.lit(True)
-    pattern = "|".join(r"\Q" + f + r"\E" for f in folded)
-    # Or short-circuits in generated code: the fold runs only for pages the first check missed
-    return first | alnum_fold(lowered).rlike(pattern)
+    # Or short-circuits in generated code: the regex runs only for pages the first check missed
+    return first | lowered.rlike(folded_pattern(folded))
+
+
+def find_terms_in(lowered_pages: Column, terms: Iterable[str]) -> Column:
+    """P15 per element of an array of lower-cased pages (lambda variables bind the lowered page
+    once; there is no common-subexpression elimination inside lambdas)."""
+    terms = list(terms)
+    return F.transform(lowered_pages, lambda lp: F.coalesce(find_terms_lowered(lp, terms), F.lit(False)))
 
 
 def find_terms(col: Column | str, terms: Iterable[str]) -> Column:

@@ -81,9 +81,10 @@ def preview_first(df: DataFrame, n: int = C.PREVIEW_TOKENS, col: str = "path") -
 
 
 def build_corpora(texts: DataFrame, train_ids: DataFrame, exclude_train: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Training corpus (rows in the training list) and full corpus (shuffled). As in the
-    original the full corpus keeps the training rows; ``exclude_train`` removes them (D1)."""
+    """Training corpus (rows in the training list) and full corpus. As in the original the full
+    corpus keeps the training rows; ``exclude_train`` removes them (D1). The full corpus is
+    put in its seeded order (L1) by ``write_corpora``, after its emptiness check."""
     corpus = project_corpus(texts)
     train = semi_train(corpus, train_ids)
     full = anti_oos(corpus, train_ids) if exclude_train else corpus
-    return train, stable_shuffle(full)
+    return train, full

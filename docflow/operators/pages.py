@@ -28,6 +28,13 @@ def _c(col):
     return F.col(col) if isinstance(col, str) else col
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and bind it to ``body``'s lambda variable. Spark SQL has no LET;
+    a one-element ``transform`` is the idiom. Without it, a value used several times is copied
+    into every use when a later filter is pushed through the projection that defines it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 # ---- building page arrays -------------------------------------------------------------------
 def pages_from_lines(text: Column | str, lines_per_page: int = 3) -> Column:
     """Cut a text into pages of ``lines_per_page`` lines (the page model of the test tables).
@@ -68,8 +75,8 @@ def collect_pages(rows: DataFrame, keys: Sequence[str] = ("doc_id",)) -> DataFra
 # ---- P15 / A6 / A8 / J5 / A9 on arrays ------------------------------------------------------
 def page_hits(pages: Column | str, terms: Iterable[str]) -> Column:
     """P15 per page; a null page never hits."""
-    terms = list(terms)
-    return F.transform(_c(pages), lambda p: F.coalesce(tx.find_terms_lowered(F.lower(p), terms), F.lit(False)))
+    lowered = F.transform(_c(pages), lambda p: F.lower(p))
+    return tx.find_terms_in(lowered, terms)
 
 
 def first_hit_page(pages: Column | str, terms: Iterable[str]) -> Column:
@@ -135,25 +142,37 @@ def route_documents(
     nfkc: bool = True,
 ) -> DataFrame:
     """Single-extractor processing of every document: validate, find the first hit page, keep the
-    window, extract and normalise its text, and route the document. Narrow: one projection.
+    window, extract and normalise its text, and route the document. Narrow: two projections.
 
     Adds ``n_pages``, ``page_no`` (first hit, -1 none), ``status`` and ``text`` (null unless a
     window was selected)."""
     terms = list(terms)
-    err = F.col(error) if error else None
-    corrupted = is_corrupted(pages, err)
-    too_long = is_too_long(pages, limit_pages)
-    checked = pagesets.withColumn("n_pages", page_count(pages)).withColumn("page_no", first_hit_page(pages, terms))
-    bad = first_null_page(pages)
-    # the reader raises on an unreadable page it meets before the first hit
-    reader_failed = F.coalesce((bad >= 0) & ((F.col("page_no") < 0) | (bad < F.col("page_no"))), F.lit(False))
-    selected = (~corrupted) & (~too_long) & (~reader_failed) & (F.col("page_no") >= 0)
-    raw = join_pages(page_window(pages, "page_no", n), sep)
-    norm = tx.normalize_text(raw) if nfkc else tx.normalize_text_native(raw)
-    checked = checked.withColumn("text", F.when(selected, norm))
-    return checked.withColumn(
-        "status", classify_outcome(corrupted, too_long, reader_failed, F.col("page_no"), F.col("text"))
+    err = F.col(error) if error else F.lit(None).cast("string")
+
+    def per_doc(p):
+        def with_hit(h):
+            def with_bad(b):
+                # the reader raises on an unreadable page it meets before the first hit
+                failed = F.coalesce((b >= 0) & ((h < 0) | (b < h)), F.lit(False))
+                corrupted = is_corrupted(p, err)
+                too_long = is_too_long(p, limit_pages)
+                selected = (~corrupted) & (~too_long) & (~failed) & (h >= 0)
+                return F.struct(
+                    page_count(p).alias("n_pages"), h.alias("page_no"), corrupted.alias("corrupted"),
+                    too_long.alias("too_long"), failed.alias("failed"),
+                    F.when(selected, join_pages(page_window(p, h, n), sep)).alias("raw"),
+                )
+            return let(first_null_page(p), with_bad)
+        return let(first_hit_page(p, terms), with_hit)
+
+    staged = pagesets.withColumn("_r", let(F.col(pages), per_doc))
+    r = lambda f: F.col(f"_r.{f}")
+    norm = tx.normalize_text(r("raw")) if nfkc else tx.normalize_text_native(r("raw"))
+    out = staged.select("*", r("n_pages").alias("n_pages"), r("page_no").alias("page_no"), norm.alias("text"))
+    out = out.withColumn(
+        "status", classify_outcome(r("corrupted"), r("too_long"), r("failed"), F.col("page_no"), F.col("text"))
     )
+    return out.drop("_r")
 
 
 # ---- A7 / A10: extractor cascade on the wide layout -----------------------------------------
@@ -164,27 +183,47 @@ def cascade_columns(
 
     Extractor k raises (-> pdf_reader_failed) when it meets an unreadable page before its first
     hit, unless it is *tolerant* (skips such pages as no-match). The first extractor that raises
-    or hits decides. Returns (extractor 1-based or null, page or -1, reader_failed)."""
+    or hits decides. Returns (extractor 1-based or null, page or -1, reader_failed).
+    Prefer ``with_cascade``, which evaluates each extractor's scan once."""
     terms = list(terms)
-    tolerant = set(tolerant)
+    hits = [first_hit_page(c, terms) for c in page_cols]
+    bads = [None if c in set(tolerant) else first_null_page(c) for c in page_cols]
+    return _cascade(hits, bads)
+
+
+def _cascade(hits, bads):
     winner = F.lit(None).cast("int")
     page = F.lit(-1)
     failed = F.lit(False)
     # build the CASE from the last extractor backwards so the first decisive one is outermost
-    for k in range(len(page_cols), 0, -1):
-        col = page_cols[k - 1]
-        hit = first_hit_page(col, terms)
-        if col in tolerant:
-            raises = F.lit(False)
-        else:
-            bad = first_null_page(col)
-            raises = (bad >= 0) & ((hit < 0) | (bad < hit))
+    for k in range(len(hits), 0, -1):
+        hit, bad = hits[k - 1], bads[k - 1]
+        raises = F.lit(False) if bad is None else (bad >= 0) & ((hit < 0) | (bad < hit))
         winner = F.when(raises, F.lit(None).cast("int")).when(hit >= 0, F.lit(k)).otherwise(winner)
         page = F.when(raises, F.lit(-1)).when(hit >= 0, hit).otherwise(page)
         failed = F.when(raises, F.lit(True)).when(hit >= 0, F.lit(False)).otherwise(failed)
     return winner, page, failed
 
 
+def with_cascade(df: DataFrame, page_cols: Sequence[str], terms: Iterable[str], tolerant: Iterable[str] = ()) -> DataFrame:
+    """Adds ``extractor``, ``page_no`` and ``_failed``. Each extractor's first hit and first
+    unreadable page are computed once (bound with ``let``) and the CASE chain reads them."""
+    terms = list(terms)
+    tolerant = set(tolerant)
+    fields = [first_hit_page(c, terms).alias(f"h{i}") for i, c in enumerate(page_cols)]
+    fields += [first_null_page(c).alias(f"b{i}") for i, c in enumerate(page_cols) if c not in tolerant]
+
+    def decide(s):
+        hits = [s[f"h{i}"] for i in range(len(page_cols))]
+        bads = [None if c in tolerant else s[f"b{i}"] for i, c in enumerate(page_cols)]
+        winner, page, failed = _cascade(hits, bads)
+        return F.struct(winner.alias("extractor"), page.alias("page_no"), failed.alias("failed"))
+
+    staged = df.withColumn("_c", let(F.struct(*fields), decide))
+    return staged.select("*", F.col("_c.extractor").alias("extractor"), F.col("_c.page_no").alias("page_no"),
+                         F.col("_c.failed").alias("_failed")).drop("_c")
+
+
 def text_or_ocr(text_pages: Column | str, ocr_pages: Column | str, start: Column | str,
                 n: int = C.NUMBER_PAGES_TO_SAVE, text_sep: str = "\f", ocr_sep: str = "\n") -> Column:
     """A10: the text-layer text of the window if it contains "the", else the OCR text of the same
@@ -212,17 +251,11 @@ def route_cascade(
 
     Validation (corrupted / too long) uses the first extractor's pages. Adds ``extractor``,
     ``page_no``, ``n_pages``, ``text`` and ``status``."""
-    winner, page, failed = cascade_columns(list(page_cols), terms, tolerant)
     first = page_cols[0]
     err = F.col(error) if error else None
     corrupted = is_corrupted(first, err)
     too_long = is_too_long(first, limit_pages)
-    out = (
-        wide.withColumn("n_pages", page_count(first))
-        .withColumn("extractor", winner)
-        .withColumn("page_no", page)
-        .withColumn("_failed", failed)
-    )
+    out = with_cascade(wide, list(page_cols), terms, tolerant).withColumn("n_pages", page_count(first))
     selected = (~corrupted) & (~too_long) & (~F.col("_failed")) & (F.col("page_no") >= 0)
     raw = text_or_ocr(text_col, ocr_col, "page_no", n, text_sep, ocr_sep)
     norm = tx.normalize_text(raw) if nfkc else tx.normalize_text_native(raw)
@@ -280,9 +313,18 @@ def terms_table(spark, terms: Iterable[str]) -> DataFrame:
     return spark.createDataFrame(rows, "term string, term_lower string, term_folded string")
 
 
-def terms_table_join(rows: DataFrame, terms: DataFrame, text: str = "text") -> DataFrame:
-    """Pages that contain any term when the terms are a table. The terms side is a fixed
-    configuration list, so it is broadcast (BroadcastNestedLoopJoin, left semi)."""
+def terms_table_join(rows: DataFrame, terms: DataFrame, text: str = "text", max_inline: int = 10_000) -> DataFrame:
+    """Pages that contain any term when the terms are a table.
+
+    The size of the terms table is checked first. Up to ``max_inline`` terms it is read once on
+    the driver and compiled into the predicate (folded and de-duplicated): a plain filter, no
+    join. A larger table is broadcast for a left-semi BroadcastNestedLoopJoin, with the page's
+    lowered and folded text projected once per page rather than once per (page, term) pair."""
+    n = terms.count()
+    if n <= max_inline:
+        lits = [r[0] for r in terms.select("term").collect()]
+        return rows.where(F.coalesce(tx.find_terms(F.col(text), lits), F.lit(False)))
     low = F.lower(F.col(text))
-    cond = low.contains(F.col("term_lower")) | tx.alnum_fold(low).contains(F.col("term_folded"))
-    return rows.join(F.broadcast(terms), cond, "left_semi")
+    keyed = rows.withColumn("_low", low).withColumn("_fold", tx.alnum_fold(F.col("_low")))
+    cond = F.col("_low").contains(F.col("term_lower")) | F.col("_fold").contains(F.col("term_folded"))
+    return keyed.join(F.broadcast(terms), cond, "left_semi").drop("_low", "_fold")

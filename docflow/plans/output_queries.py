@@ -127,8 +127,9 @@ def scan_year_results(spark, d):
 )
 def write_corpora(spark, d):
     """K5: train and full corpora written, read back."""
-    train, full = out.build_corpora(_texts(spark, d), B.train_ids(spark, d))
-    paths = tb.write_corpora(train, full.drop("shuffle_key"), scratch_path(spark, "train"), scratch_path(spark, "full"))
+    texts = spark.read.parquet(tb.write_year_text(_texts(spark, d), scratch_path(spark, "year_text")))
+    train, full = out.build_corpora(texts, B.train_ids(spark, d))
+    paths = tb.write_corpora(train, full, scratch_path(spark, "train"), scratch_path(spark, "full"))
     parts = [spark.read.parquet(p).select(F.lit(name).alias("corpus"), "ack_id", "year", "ocr_text")
              for name, p in paths.items() if p]
     res = parts[0]

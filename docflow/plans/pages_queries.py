@@ -117,9 +117,8 @@ cas as (select doc_id, min(extractor) filter (where hp is not null) as extractor
 
 @register("extractor_cascade", f"with {_PT_SQL} select doc_id, extractor, page_no from cas")
 def extractor_cascade(spark, d):
-    w = B.page_texts_wide(spark, d)
-    winner, page, _ = pg.cascade_columns(["pages_1", "pages_2", "pages_3"], T, tolerant=["pages_2"])
-    return w.select("doc_id", winner.alias("extractor"), page.alias("page_no"))
+    w = pg.with_cascade(B.page_texts_wide(spark, d), ["pages_1", "pages_2", "pages_3"], T, tolerant=["pages_2"])
+    return w.select("doc_id", "extractor", "page_no")
 
 
 @register(
@@ -135,9 +134,8 @@ def extractor_cascade(spark, d):
     from t1 join t3 on t1.doc_id = t3.doc_id""",
 )
 def text_or_ocr(spark, d):
-    w = B.page_texts_wide(spark, d)
-    _, page, _ = pg.cascade_columns(["pages_1", "pages_2", "pages_3"], T, tolerant=["pages_2"])
-    w = w.withColumn("page_no", page).where(F.col("page_no") >= 0)
+    w = pg.with_cascade(B.page_texts_wide(spark, d), ["pages_1", "pages_2", "pages_3"], T, tolerant=["pages_2"])
+    w = w.where(F.col("page_no") >= 0)
     return w.select("doc_id", pg.text_or_ocr("pages_1", "pages_3", "page_no").alias("text"))
 
 

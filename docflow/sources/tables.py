@@ -100,13 +100,20 @@ def scan_year_results(spark: SparkSession, path: str, fmt: str = "parquet",
 
 
 def write_corpora(train: DataFrame, full: DataFrame, train_path: str, full_path: str,
-                  fmt: str = "parquet") -> dict[str, str | None]:
-    """K5: write the training and the full corpus; an empty corpus is reported, not written."""
+                  fmt: str = "parquet", shuffle_full: bool = True) -> dict[str, str | None]:
+    """K5: write the training and the full corpus; an empty corpus is reported, not written.
+    The full corpus is written in its seeded shuffle order (a range-partitioned sort), so every
+    output file is a representative chunk. Build both from a written text table (K4) so the
+    emptiness checks and writes do not recompute the extraction."""
+    from docflow.operators.outputs import stable_shuffle
+
     out: dict[str, str | None] = {}
     for name, df, path in (("full", full, full_path), ("train", train, train_path)):
         if df.isEmpty():
             print(f"No rows for the {name} corpus: nothing written.")
             out[name] = None
-        else:
-            out[name] = _write(df, path, fmt)
+            continue
+        if name == "full" and shuffle_full:
+            df = stable_shuffle(df).drop("shuffle_key")
+        out[name] = _write(df, path, fmt)
     return out
