@@ -206,20 +206,35 @@ def _cascade(hits, bads):
 
 
 def with_cascade(df: DataFrame, page_cols: Sequence[str], terms: Iterable[str], tolerant: Iterable[str] = ()) -> DataFrame:
-    """Adds ``extractor``, ``page_no`` and ``_failed``. Each extractor's first hit and first
-    unreadable page are computed once (bound with ``let``) and the CASE chain reads them."""
+    """Adds ``extractor``, ``page_no`` and ``_failed``.
+
+    Lazy like the original cascade: extractor k+1's pages are scanned only when extractor k
+    decided nothing (CASE evaluates only the branch taken; each extractor's first hit and first
+    unreadable page are bound once with ``let``)."""
     terms = list(terms)
     tolerant = set(tolerant)
-    fields = [first_hit_page(c, terms).alias(f"h{i}") for i, c in enumerate(page_cols)]
-    fields += [first_null_page(c).alias(f"b{i}") for i, c in enumerate(page_cols) if c not in tolerant]
-
-    def decide(s):
-        hits = [s[f"h{i}"] for i in range(len(page_cols))]
-        bads = [None if c in tolerant else s[f"b{i}"] for i, c in enumerate(page_cols)]
-        winner, page, failed = _cascade(hits, bads)
-        return F.struct(winner.alias("extractor"), page.alias("page_no"), failed.alias("failed"))
-
-    staged = df.withColumn("_c", let(F.struct(*fields), decide))
+    none = F.struct(F.lit(None).cast("int").alias("extractor"), F.lit(-1).alias("page_no"), F.lit(False).alias("failed"))
+
+    def stage(k: int) -> Column:
+        if k == len(page_cols):
+            return none
+        col = page_cols[k]
+        probe = F.struct(first_hit_page(col, terms).alias("h"),
+                         (F.lit(-1) if col in tolerant else first_null_page(col)).alias("b"))
+
+        def decide(s):
+            h, b = s["h"], s["b"]
+            raises = (b >= 0) & ((h < 0) | (b < h))
+            return (
+                F.when(raises, F.struct(F.lit(None).cast("int").alias("extractor"), F.lit(-1).alias("page_no"),
+                                        F.lit(True).alias("failed")))
+                .when(h >= 0, F.struct(F.lit(k + 1).alias("extractor"), h.alias("page_no"), F.lit(False).alias("failed")))
+                .otherwise(stage(k + 1))
+            )
+
+        return let(probe, decide)
+
+    staged = df.withColumn("_c", stage(0))
     return staged.select("*", F.col("_c.extractor").alias("extractor"), F.col("_c.page_no").alias("page_no"),
                          F.col("_c.failed").alias("_failed")).drop("_c")
 
