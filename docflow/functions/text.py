@@ -85,8 +85,9 @@ def strip_text(col: Column | str) -> Column:
 
 
 def normalize_text(col: Column | str) -> Column:
-    """NFKC, drop bad UTF-8, unify newlines, strip - in that order."""
-    return strip_text(unify_newlines(drop_bad_utf8(nfkc(col))))
+    """NFKC, drop bad UTF-8, unify newlines, strip. NFKC neither creates nor removes invalid
+    sequences, so F3 and F4 commute; dropping bad bytes first lets the UDF's input be used once."""
+    return strip_text(unify_newlines(nfkc(drop_bad_utf8(col))))
 
 
 def normalize_text_native(col: Column | str) -> Column:

@@ -41,13 +41,9 @@ def latest_status(ledger: DataFrame, keys: Sequence[str] = KEY) -> DataFrame:
 def status_waterfall(current: DataFrame, year: str = "year", status: str = "status",
                      statuses: Sequence[str] = C.STATUSES) -> DataFrame:
     """A5: documents per year and status, one column per status (0 when none).
-    The status list is fixed, so the pivot needs no extra job to find its values."""
-    return (
-        current.groupBy(year)
-        .pivot(status, list(statuses))
-        .agg(F.count(F.lit(1)))
-        .na.fill(0, list(statuses))
-    )
+    The status list is fixed, so this is one aggregation with a conditional count per status
+    (a pivot would plan a second aggregation and shuffle)."""
+    return current.groupBy(year).agg(*[F.count_if(F.col(status) == s).alias(s) for s in statuses])
 
 
 # ---- W1 -------------------------------------------------------------------------------------
@@ -141,12 +137,12 @@ def lookup_attributes(docs: DataFrame, universe: DataFrame, year: str = "filing_
     An id on several differing universe rows is ambiguous: values null, ``ambiguous`` true,
     no row fan-out (D2). The universe is de-duplicated per key by one partial aggregation;
     the join strategy is left to AQE (it broadcasts only when the measured side is small)."""
-    u = universe.select("ack_id", F.col(year).cast("int").alias("year"), *attrs).distinct()
-    one = F.count(F.lit(1)) == 1
-    per_key = u.groupBy(*KEY).agg(
-        *[F.when(one, F.first(a)).alias(a) for a in attrs],
-        (~one).alias("ambiguous"),
-    )
+    u = universe.select("ack_id", F.col(year).cast("int").alias("year"), F.struct(*attrs).alias("_v"))
+    # all rows of a key are equal exactly when their smallest and largest value agree: one
+    # aggregation (partial, map-side) instead of distinct + group by
+    per_key = u.groupBy(*KEY).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    one = F.col("_lo") == F.col("_hi")
+    per_key = per_key.select(*KEY, *[F.when(one, F.col(f"_lo.{a}")).alias(a) for a in attrs], (~one).alias("ambiguous"))
     return docs.join(per_key, KEY, "left")
 
 
