@@ -11,6 +11,7 @@ def _load():
     import importlib
 
     for name in ("ledger_queries", "universe_queries", "text_queries", "output_queries", "source_queries",
+                 "cascade_queries",
                  "streaming_queries"):
         try:
             importlib.import_module(f"docflow.plans.{name}")
