@@ -96,9 +96,10 @@ def union_years(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def union_ids(lists: Iterable[DataFrame], col: str = "ack_id") -> DataFrame:
-    """Set union of several id lists."""
-    parts = [distinct_ids(df, col) for df in lists]
-    return reduce(lambda a, b: a.union(b), parts).distinct()
+    """Set union of several id lists: one distinct over the concatenation (partial
+    aggregation removes duplicates map-side), not one per list."""
+    parts = [df.select(strip_text(F.col(col).cast("string")).alias("ack_id")) for df in lists]
+    return reduce(lambda a, b: a.union(b), parts).where(F.col("ack_id").isNotNull()).distinct()
 
 
 def semi_universe(index: DataFrame, ids: DataFrame, col: str = "ack_id") -> DataFrame:
