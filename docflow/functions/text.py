@@ -175,9 +175,18 @@ def find_terms_in(lowered_pages: Column, terms: Iterable[str]) -> Column:
     return F.transform(lowered_pages, lambda lp: F.coalesce(find_terms_lowered(lp, terms), F.lit(False)))
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and bind it to ``body``'s lambda variable. Spark SQL has no LET;
+    a one-element ``transform`` is the idiom. Without it, a value used several times is copied
+    into every use (filters get no common-subexpression elimination, and a filter pushed
+    through a projection receives a copy of the projection's expressions)."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def find_terms(col: Column | str, terms: Iterable[str]) -> Column:
     """Any term in lower(text), or any folded term in the folded text (newlines deleted)."""
-    return find_terms_lowered(F.lower(_c(col)), terms)
+    terms = list(terms)
+    return let(F.lower(_c(col)), lambda lp: find_terms_lowered(lp, terms))
 
 
 def has_text(col: Column | str, word: str = HAS_TEXT_WORD) -> Column:

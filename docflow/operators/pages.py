@@ -28,11 +28,7 @@ def _c(col):
     return F.col(col) if isinstance(col, str) else col
 
 
-def let(value: Column, body) -> Column:
-    """Evaluate ``value`` once and bind it to ``body``'s lambda variable. Spark SQL has no LET;
-    a one-element ``transform`` is the idiom. Without it, a value used several times is copied
-    into every use when a later filter is pushed through the projection that defines it."""
-    return F.element_at(F.transform(F.array(value), body), 1)
+let = tx.let
 
 
 # ---- building page arrays -------------------------------------------------------------------

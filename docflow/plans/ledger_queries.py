@@ -101,12 +101,13 @@ def backoff_seconds(spark, d):
 
 @register(
     "seed_ledger",
-    f"""select distinct ack_id, filing_year as year, 'to_download' as status, TIMESTAMP '2025-01-01' as ts
+    f"""select distinct ack_id, filing_year as year, 'to_download' as status
         from ({INDEX_SQL}) u
         where not exists (select 1 from ({LEDGER_SQL}) l where l.ack_id = u.ack_id and l.year = u.filing_year)""",
 )
 def seed_ledger(spark, d):
-    return lg.seed_ledger(B.index(spark, d), B.ledger(spark, d), ts=SEED_TS)
+    # the transition's ts is a run constant; the check compares what is seeded
+    return lg.seed_ledger(B.index(spark, d), B.ledger(spark, d), ts=SEED_TS).select("ack_id", "year", "status")
 
 
 @register(
@@ -148,11 +149,11 @@ def pending_work(spark, d):
 @register(
     "recover_claims",
     f"""select ack_id, year, coalesce(arg_max(status, (ts, seq)) filter (where status in ('to_download', 'to_process')),
-                                   'to_download') as status, TIMESTAMP '2025-01-01' as ts
+                                   'to_download') as status
         from ({LEDGER_SQL}) group by 1, 2 having arg_max(status, (ts, seq)) = 'claimed'""",
 )
 def recover_claims(spark, d):
-    return lg.recover_claims(B.ledger(spark, d), ts=SEED_TS)
+    return lg.recover_claims(B.ledger(spark, d), ts=SEED_TS).select("ack_id", "year", "status")
 
 
 # ---- token paths ---------------------------------------------------------------------------
