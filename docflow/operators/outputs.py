@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from docflow import constants as C
 from docflow.functions.text import repair_mojibake, strip_text
+from docflow.operators.rows import filter_computed
 
 
 def records(routed: DataFrame, root: str = "tracker") -> DataFrame:
@@ -32,7 +33,8 @@ def year_texts(routed: DataFrame, text: str = "text", repair: bool = True) -> Da
     t = F.when(F.col("status") == C.PROCESSED, F.col(text))
     t = repair_mojibake(t) if repair else t
     out = routed.select("ack_id", "year", "status", t.alias(C.OCR_TEXT_COL))
-    return non_null_text(out)
+    # P19 on a computed column: select without letting the optimizer re-run the routing
+    return filter_computed(out, C.OCR_TEXT_COL, lambda c: c.isNotNull())
 
 
 def project_corpus(df: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from docflow import constants as C
 from docflow.functions import text as tx
 from docflow.operators import ledger as lg
 from docflow.operators import pages as pg
+from docflow.operators.rows import filter_computed
 from docflow.plans import bindings as B
 from docflow.plans.registry import PAGES_SQL, register, sql_terms_hit, sql_trim, waterfall_select
 
@@ -94,7 +95,8 @@ def page_window(spark, d):
 
 @register("join_page_texts", f"with {_DOCS_SQL} select doc_id, raw as text from win where page_no >= 0")
 def join_page_texts(spark, d):
-    ps = B.pagesets(spark, d).withColumn("start", pg.first_hit_page("pages", T)).where(F.col("start") >= 0)
+    ps = filter_computed(B.pagesets(spark, d).withColumn("start", pg.first_hit_page("pages", T)), "start",
+                         lambda s: s >= 0)
     return ps.select("doc_id", pg.join_pages(pg.page_window("pages", "start"), "\n").alias("text"))
 
 
@@ -135,7 +137,7 @@ def extractor_cascade(spark, d):
 )
 def text_or_ocr(spark, d):
     w = pg.with_cascade(B.page_texts_wide(spark, d), ["pages_1", "pages_2", "pages_3"], T, tolerant=["pages_2"])
-    w = w.where(F.col("page_no") >= 0)
+    w = filter_computed(w, "page_no", lambda p: p >= 0)
     return w.select("doc_id", pg.text_or_ocr("pages_1", "pages_3", "page_no").alias("text"))
 
 
