@@ -21,7 +21,7 @@ t3 as (select c.doc_id, string_agg(p.text, chr(10) order by p.page_no) as t
         and p.page_no between c.page_no and c.page_no + 3 where c.page_no >= 0 group by 1),
 txt as (select t1.doc_id, case when contains(lower(t1.t), 'the') then t1.t else t3.t end as text
         from t1 join t3 on t1.doc_id = t3.doc_id),
-np as (select doc_id, count(*) as n_pages from pt where extractor = 1 group by 1)
+np as (select doc_id, cast(count(*) as integer) as n_pages from pt where extractor = 1 group by 1)
 """
 
 

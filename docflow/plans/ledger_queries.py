@@ -38,7 +38,7 @@ def status_waterfall(spark, d):
 @register(
     "next_batch",
     f"""select ack_id, year, status, batch_rank from (
-          select ack_id, year, status, row_number() over (partition by year order by ack_id) as batch_rank
+          select ack_id, year, status, cast(row_number() over (partition by year order by ack_id) as integer) as batch_rank
           from ({LATEST_SQL}) where status = 'to_download') where batch_rank <= {C.PROCESS_BATCH_SIZE}""",
 )
 def next_batch(spark, d):

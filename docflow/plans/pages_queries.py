@@ -18,7 +18,7 @@ HIT = sql_terms_hit("text", T)
 
 _DOCS_SQL = f"""
 hits as (select *, {HIT} as hit from ({PAGES_SQL})),
-docs as (select doc_id, year, count(*) as n_pages,
+docs as (select doc_id, year, cast(count(*) as integer) as n_pages,
                 coalesce(min(page_no) filter (where hit), -1) as page_no
          from hits group by 1, 2),
 win as (select d.doc_id, d.year, d.n_pages, d.page_no,
@@ -64,7 +64,7 @@ def first_hit_page(spark, d):
     return B.pagesets(spark, d).select("doc_id", pg.first_hit_page("pages", T).alias("page_no"))
 
 
-@register("page_count", f"select doc_id, count(*) as n_pages from ({PAGES_SQL}) group by 1")
+@register("page_count", f"select doc_id, cast(count(*) as integer) as n_pages from ({PAGES_SQL}) group by 1")
 def page_count(spark, d):
     return B.pagesets(spark, d).select("doc_id", pg.page_count("pages").alias("n_pages"))
 
