@@ -41,9 +41,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint directory.
 
     ``spark.checkpoint.dir`` is read from the session first; a cluster sets it to shared
-    storage. Only when it is unset (local tests) is a private directory created and set.
-    """
-    sc = spark.sparkContext
+    storage. Only when it is unset (local tests) is a private directory created and set."""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext
+        sc = None
+    if sc is None:
+        conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+        if not conf_dir:
+            conf_dir = tempfile.mkdtemp(prefix="docflow-ckpt-")
+            try:
+                spark.conf.set("spark.checkpoint.dir", conf_dir)
+            except Exception:  # noqa: BLE001 - a static setting; scratch paths still use it
+                pass
+        return conf_dir
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
