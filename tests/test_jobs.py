@@ -52,3 +52,19 @@ def test_jobs_end_to_end(spark, tmp_dir):
     assert [(r.ack_id, r.ocr_text) for r in texts] == [("0", "Plan Description: the plan")]
     assert spark.read.parquet(outs["records"]).count() == 5
     assert outs["train"] and outs["full"]
+
+
+def test_command_line_universe(spark, tmp_dir, capsys):
+    import json
+
+    from docflow.__main__ import main
+
+    idx = spark.createDataFrame([(str(i), 2001, f"S{i}", "u", None, 0) for i in range(4)],
+                                "ack_id string, filing_year int, sponsor_name string, link string, "
+                                "facsimile_link string, bucket int")
+    index_root = ix.write_index_files(idx, os.path.join(tmp_dir, "index"))
+    ids_path = os.path.join(tmp_dir, "ids")
+    spark.createDataFrame([("1",), ("3",)], "ack_id string").write.parquet(ids_path)
+    main(["universe", "--index", index_root, "--ids", ids_path, "--out", os.path.join(tmp_dir, "u")])
+    res = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert spark.read.parquet(res["universe_all"]).count() == 2 and res["all_valid"] is True
