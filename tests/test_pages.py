@@ -126,3 +126,13 @@ def test_extract_errors_and_staged_cascade(spark):
     assert rows[("3", 1)] == (None, True)
     assert rows[("2", 1)] == (["nothing", None], False)  # raises before any hit: decided, no stage 2
     assert ("2", 2) not in rows and ("1", 2) not in rows
+
+
+def test_terms_table_join_both_paths(spark):
+    rows = spark.createDataFrame([(1, 0, "A plan-description here"), (1, 1, "nothing"), (2, 0, "Plan\nDescription")],
+                                 "doc_id int, page_no int, text string")
+    terms = pg.terms_table(spark, ["Plan Description", "zz"])
+    inline = sorted(tuple(r) for r in pg.terms_table_join(rows, terms).collect())
+    joined = pg.terms_table_join(rows, terms, max_inline=0)
+    assert "BroadcastNestedLoopJoin" in joined._jdf.queryExecution().executedPlan().toString()
+    assert sorted(tuple(r) for r in joined.collect()) == inline == [(1, 0, "A plan-description here")]
