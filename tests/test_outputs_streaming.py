@@ -84,3 +84,15 @@ def test_entry_contract(spark):
     assert len(rows) == 20 and "processed" in df.columns
     qs, sql = E.queries(), E.oracle_sql()
     assert set(sql) <= set(qs) and len(qs) >= 80
+
+
+def test_replayed_batch_does_not_duplicate(spark, tmp_dir):
+    root = _docs(spark, os.path.join(tmp_dir, "docs"), 4)
+    batch = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    outp = os.path.join(tmp_dir, "out")
+    sj.process_batch(batch, 0, outp, ["plan description"], 4, 100)
+    sj.process_batch(batch, 1, outp, ["plan description"], 4, 100)
+    sj.process_batch(batch, 1, outp, ["plan description"], 4, 100)  # batch 1 retried
+    res = sj.read_routed(spark, outp)
+    assert res.count() == 8
+    assert sorted(r.batch_id for r in res.select("batch_id").distinct().collect()) == [0, 1]
