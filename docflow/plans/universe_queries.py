@@ -8,7 +8,7 @@ from docflow import constants as C
 from docflow.functions import text as tx
 from docflow.operators import universe as uv
 from docflow.plans import bindings as B
-from docflow.plans.registry import INDEX_SQL, LEDGER_SQL, WS_SQL, register, sql_trim
+from docflow.plans.registry import INDEX_SQL, LEDGER_SQL, register, sql_trim
 from docflow.session import scratch_path
 from docflow.sources import index_files as ix
 from docflow.sources import tables as tb

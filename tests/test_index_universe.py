@@ -4,7 +4,6 @@ import os
 import warnings
 
 import pytest
-from pyspark.sql import functions as F
 
 from docflow.operators import universe as uv
 from docflow.sources import index_files as ix

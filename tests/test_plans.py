@@ -1,6 +1,5 @@
 """Plan shapes that the design relies on at scale."""
 
-from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from docflow.operators import ledger as lg
