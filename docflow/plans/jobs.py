@@ -100,9 +100,8 @@ def process_job(spark: SparkSession, doc_root: str, ledger_path: str, out_path:
     if extractors is None:
         routed = pg.route_documents(dc.extract_pages_native(docs), terms, n, limit_pages, error="error")
     else:
-        long = dc.run_cascade(docs, extractors, terms)
+        wide = dc.run_cascade(docs, extractors, terms, n=n)
         ids = [k for k, _, _ in extractors]
-        wide = dc.cascade_wide(long, ids).join(docs.select("ack_id", "year"), "ack_id")
         routed = pg.route_cascade(wide, [f"pages_{k}" for k in ids], f"pages_{ids[0]}", f"pages_{ids[-1]}",
                                   [f"pages_{k}" for k, _, tol in extractors if tol], terms, n, limit_pages,
                                   error="error")

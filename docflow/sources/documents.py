@@ -19,9 +19,9 @@ from collections.abc import Callable, Sequence
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from docflow.operators.pages import first_hit_page, first_null_page, pages_from_form_feeds, to_wide
-from docflow.session import cut_lineage
+from docflow.operators.pages import first_hit_page, first_null_page, pages_from_form_feeds
 
 Extractor = Callable[[bytes], Sequence[str | None]]
 PAGESET_SCHEMA = "ack_id string, extractor int, pages array<string>, error string"
@@ -77,53 +77,94 @@ def extract_pages_native(docs: DataFrame, extractor_id: int = 1, content: str =
     )
 
 
+def _decode(extractor: Extractor, blob) -> tuple[list | None, str | None]:
+    try:
+        return list(extractor(bytes(blob))), None
+    except Exception:  # noqa: BLE001 - the class of failure is data, not control flow
+        return None, traceback.format_exc(limit=1)
+
+
 def extract_pages(docs: DataFrame, extractor: Extractor, extractor_id: int = 1, content: str = "content") -> DataFrame:
     """S7, pluggable codec: ``mapInPandas`` over (ack_id, content) Arrow batches."""
 
     def run(batches):
         for pdf in batches:
-            ids, pages, errors = [], [], []
-            for doc_id, blob in zip(pdf["ack_id"], pdf[content]):
-                ids.append(doc_id)
-                try:
-                    pages.append(list(extractor(bytes(blob))))
-                    errors.append(None)
-                except Exception:  # noqa: BLE001 - the class of failure is data, not control flow
-                    pages.append(None)
-                    errors.append(traceback.format_exc(limit=1))
-            yield pd.DataFrame({"ack_id": ids, "extractor": extractor_id, "pages": pages, "error": errors})
+            out = [_decode(extractor, blob) for blob in pdf[content]]
+            yield pd.DataFrame({"ack_id": pdf["ack_id"], "extractor": extractor_id,
+                                "pages": [o[0] for o in out], "error": [o[1] for o in out]})
 
     return docs.select("ack_id", content).mapInPandas(run, PAGESET_SCHEMA)
 
 
+def codec_where(df: DataFrame, extractor: Extractor, pages_col: str, error_col: str, run: str,
+                content: str = "content") -> DataFrame:
+    """Run ``extractor`` on the rows whose ``run`` column is true and add its pages and error
+    (null elsewhere). Every other column passes through, so no join is needed afterwards."""
+    schema = T.StructType(list(df.schema.fields) + [T.StructField(pages_col, T.ArrayType(T.StringType())),
+                                                     T.StructField(error_col, T.StringType())])
+
+    def run_batches(batches):
+        for pdf in batches:
+            pages, errors = [], []
+            for go, blob in zip(pdf[run], pdf[content]):
+                p, e = _decode(extractor, blob) if go else (None, None)
+                pages.append(p)
+                errors.append(e)
+            yield pdf.assign(**{pages_col: pages, error_col: errors})
+
+    return df.mapInPandas(run_batches, schema)
+
+
 def run_cascade(docs: DataFrame, extractors: Sequence[tuple[int, Extractor | None, bool]], terms: Sequence[str],
-                checkpoint: bool = True) -> DataFrame:
-    """A7 with staged extraction: extractor k runs only on documents that no earlier extractor
-    decided (hit, or raised on an unreadable page before a hit). ``extractors`` is a list of
-    (id, callable or None for the native decoder, tolerant). Each stage's pages are checkpointed
-    (reliably, to the checkpoint directory) so a costly extraction never runs twice.
-    Returns long page sets for all stages, ready for ``to_wide``/``route_cascade``."""
-    remaining = docs.select("ack_id", "content")
-    stages = []
+                ocr_window: bool = True, n: int = 4, content: str = "content") -> DataFrame:
+    """S7 + A7 with the original's short-circuit, as one narrow chain (no join, no shuffle).
+
+    ``extractors``: (id, callable or None for the native decoder, tolerant) in cascade order,
+    text layer first and OCR last. Extractor k runs only on rows that no earlier extractor
+    decided (a hit, an open error, or an unreadable page before the hit); the decision is made
+    in the JVM between the ``mapInPandas`` stages, and the binary content travels along the row
+    instead of being joined back. With ``ocr_window`` the last (OCR) codec also runs where the
+    cascade chose a page but the text layer's window lacks "the" (the text choice of A10 needs
+    the OCR of that window). Returns the wide layout: ``pages_<id>``, ``error`` (the first
+    extractor's) and the input columns without ``content``."""
+    terms = list(terms)
+    df = docs
+    undecided = F.lit(True)
+    tmp = []
     for k, fn, tolerant in extractors:
-        ps = extract_pages_native(remaining, k) if fn is None else extract_pages(remaining, fn, k)
-        if checkpoint:
-            ps = cut_lineage(ps)
-        hit = first_hit_page("pages", list(terms))
-        bad = first_null_page("pages")
-        raises = F.lit(False) if tolerant else (bad >= 0) & ((hit < 0) | (bad < hit))
-        decided = ps.where(F.col("error").isNotNull() | (hit >= 0) | raises).select("ack_id")
-        stages.append(ps)
-        remaining = remaining.join(decided, "ack_id", "left_anti")
-    out = stages[0]
-    for s in stages[1:]:
-        out = out.unionByName(s)
-    return out
-
-
-def cascade_wide(long: DataFrame, extractor_ids: Sequence[int]) -> DataFrame:
-    """Long staged page sets -> wide layout keyed by ack_id."""
-    return to_wide(long, list(extractor_ids), key="ack_id")
+        pages_k, err_k = f"pages_{k}", f"_err_{k}"
+        df = df.withColumn("_run", undecided)
+        if fn is None:
+            raw = F.col(content).cast("string")
+            ok = F.is_valid_utf8(raw)
+            df = df.withColumn(pages_k, F.when(F.col("_run") & ok, pages_from_form_feeds(raw)))
+            df = df.withColumn(err_k, F.when(F.col("_run") & ~ok, F.lit("invalid UTF-8")))
+        else:
+            df = codec_where(df, fn, pages_k, err_k, "_run", content)
+        h, b = first_hit_page(pages_k, terms), first_null_page(pages_k)
+        raises = F.lit(False) if tolerant else (b >= 0) & ((h < 0) | (b < h))
+        decided = F.col(err_k).isNotNull() | F.coalesce((h >= 0) | raises, F.lit(False))
+        df = df.withColumn(f"_dec_{k}", F.col("_run") & decided)
+        undecided = F.col("_run") & ~F.col(f"_dec_{k}")
+        tmp += [err_k, f"_dec_{k}"]
+    first_id, last_id = extractors[0][0], extractors[-1][0]
+    df = df.withColumn("error", F.col(f"_err_{first_id}"))
+    if ocr_window and len(extractors) > 1:
+        from docflow.functions.text import has_text
+        from docflow.operators.pages import join_pages, page_window, with_cascade
+
+        cols = [f"pages_{k}" for k, _, _ in extractors]
+        tol = [f"pages_{k}" for k, _, t in extractors if t]
+        chosen = with_cascade(df, cols, terms, tol)
+        text_layer = join_pages(page_window(f"pages_{first_id}", "page_no", n), "\f")
+        need = (F.col("page_no") >= 0) & F.col(f"pages_{last_id}").isNull() & ~has_text(text_layer)
+        df = chosen.withColumn("_run", need).drop("extractor", "page_no", "_failed")
+        ocr = [fn for k, fn, _ in extractors if k == last_id][0]
+        df = codec_where(df, ocr, "_ocr_pages", "_ocr_err", "_run", content) if ocr is not None else df.withColumn(
+            "_ocr_pages", F.when(F.col("_run"), pages_from_form_feeds(F.col(content).cast("string"))))
+        df = df.withColumn(f"pages_{last_id}", F.coalesce(F.col(f"pages_{last_id}"), F.col("_ocr_pages")))
+        tmp += ["_ocr_pages", "_ocr_err"]
+    return df.drop("_run", content, *[c for c in tmp if c in df.columns])
 
 
 def write_document_files(pagesets: DataFrame, root: str, key: str = "ack_id", year: str = "year",

@@ -68,3 +68,31 @@ def test_command_line_universe(spark, tmp_dir, capsys):
     main(["universe", "--index", index_root, "--ids", ids_path, "--out", os.path.join(tmp_dir, "u")])
     res = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert spark.read.parquet(res["universe_all"]).count() == 2 and res["all_valid"] is True
+
+
+def test_process_job_with_codec_cascade(spark, tmp_dir):
+    ledger = os.path.join(tmp_dir, "ledger")
+    t0 = dt.datetime(2025, 1, 1)
+    todo = spark.createDataFrame([(k, 2001, "to_process", t0, 0, None, False) for k in ("a", "b", "c")],
+                                 "ack_id string, year int, status string, ts timestamp, seq long, message string, "
+                                 "overwrite_ boolean")
+    jobs.append_transitions(todo, ledger)
+    ps = spark.createDataFrame([("a", 2001, ["x", "plan description here"]), ("b", 2001, ["scan only"]),
+                                ("c", 2001, ["bad"])], "ack_id string, year int, pages array<string>")
+    root = dc.write_document_files(ps, os.path.join(tmp_dir, "docs"))
+
+    def text_layer(b):
+        if b.startswith(b"bad"):
+            raise ValueError("cannot open")
+        return ["" if "scan" in p else p for p in dc.form_feed_pages(b)]
+
+    def ocr(b):
+        return [p.replace("scan only", "plan description of the scan") for p in dc.form_feed_pages(b)]
+
+    jobs.process_job(spark, root, ledger, os.path.join(tmp_dir, "routed"), terms=["plan description"],
+                     extractors=[(1, text_layer, False), (3, ocr, False)], ts=t0 + dt.timedelta(hours=1))
+    from docflow.operators import ledger as lg
+
+    cur = {r.ack_id: r.status for r in lg.latest_status(jobs.read_ledger(spark, ledger)).collect()}
+    # a: text layer hits, its window lacks "the" -> OCR text of the window is used (A10)
+    assert cur == {"a": "text_extraction_empty", "b": "processed", "c": "corrupted_file"}

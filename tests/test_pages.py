@@ -113,18 +113,21 @@ def test_extract_errors_and_staged_cascade(spark):
             raise ValueError("cannot open")
         return [None if p == "here" else p for p in b.decode().split("\f")]
 
-    calls = []
-
     def ocr(b):
-        calls.append(b)
         return ["plan description ocr"]
 
-    long = dc.run_cascade(docs, [(1, failing, False), (2, ocr, False)], TERMS)
-    rows = {(r.ack_id, r.extractor): (r.pages, r.error is not None) for r in long.collect()}
-    assert rows[("1", 1)] == (["plan description"], False)
-    assert rows[("3", 1)] == (None, True)
-    assert rows[("2", 1)] == (["nothing", None], False)  # raises before any hit: decided, no stage 2
-    assert ("2", 2) not in rows and ("1", 2) not in rows
+    wide = dc.run_cascade(docs, [(1, failing, False), (2, ocr, False)], TERMS)
+    rows = {r.ack_id: (r.pages_1, r.pages_2, r.error is not None) for r in wide.collect()}
+    # 1: extractor 1 hits; its window lacks "the", so OCR runs for the text choice (A10)
+    assert rows["1"] == (["plan description"], ["plan description ocr"], False)
+    # 2: extractor 1 meets an unreadable page before any hit: decided, OCR never runs
+    assert rows["2"] == (["nothing", None], None, False)
+    # 3: cannot be opened: decided, error kept
+    assert rows["3"] == (None, None, True)
+    plain = {r.ack_id: r.pages_2 for r in dc.run_cascade(docs, [(1, failing, False), (2, ocr, False)], TERMS,
+                                                         ocr_window=False).collect()}
+    assert plain == {"1": None, "2": None, "3": None}
+    assert "Exchange" not in wide._jdf.queryExecution().executedPlan().toString()
 
 
 def test_terms_table_join_both_paths(spark):
