@@ -86,7 +86,7 @@ def staged_cascade(spark, d):
     """S6 + S7 + A7 staged: document files read with binaryFile, extractor k run (mapInPandas)
     only on documents no earlier extractor decided, content carried along (no join), then the
     cascade decision."""
-    docs = dc.scan_documents(spark, _doc_files(spark, d))
+    docs = dc.scan_documents(spark, _doc_files(spark, d), with_content=False)  # stages read files by path
     wide = dc.run_cascade(docs, [(1, _text_layer, False), (2, _second_reader, True), (3, _ocr, False)], T)
     c = pg.with_cascade(wide, ["pages_1", "pages_2", "pages_3"], T, tolerant=["pages_2"])
     return c.select("ack_id", "extractor", "page_no")

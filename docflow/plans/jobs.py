@@ -96,9 +96,12 @@ def process_job(spark: SparkSession, doc_root: str, ledger_path: str, out_path:
     todo = lg.latest_status(ledger).where(F.col("status") == C.TO_PROCESS).select("ack_id", "year")
     if years:
         todo = todo.where(F.col("year").between(*years))
-    docs = dc.scan_documents(spark, doc_root).join(todo, ["ack_id", "year"], "left_semi")
+    # the semi join sees the file listing only; each extraction task reads its own files by path,
+    # so document bytes are never shuffled whatever the size of the to-do list
+    docs = dc.scan_documents(spark, doc_root, with_content=False).join(todo, ["ack_id", "year"], "left_semi")
     if extractors is None:
-        routed = pg.route_documents(dc.extract_pages_native(docs), terms, n, limit_pages, error="error")
+        ps = dc.codec_where(docs.withColumn("_run", F.lit(True)), dc.form_feed_pages, "pages", "error", "_run")
+        routed = pg.route_documents(ps, terms, n, limit_pages, error="error")
     else:
         wide = dc.run_cascade(docs, extractors, terms, n=n)
         ids = [k for k, _, _ in extractors]

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docflow.operators.pages import first_hit_page, first_null_page, pages_from_form_feeds
+from docflow.sources.fs import read_bytes
 
 Extractor = Callable[[bytes], Sequence[str | None]]
 PAGESET_SCHEMA = "ack_id string, extractor int, pages array<string>, error string"
@@ -97,16 +98,27 @@ def extract_pages(docs: DataFrame, extractor: Extractor, extractor_id: int = 1,
 
 
 def codec_where(df: DataFrame, extractor: Extractor, pages_col: str, error_col: str, run: str,
-                content: str = "content") -> DataFrame:
+                content: str = "content", path: str = "path") -> DataFrame:
     """Run ``extractor`` on the rows whose ``run`` column is true and add its pages and error
-    (null elsewhere). Every other column passes through, so no join is needed afterwards."""
+    (null elsewhere). Every other column passes through, so no join is needed afterwards.
+    Without a ``content`` column the task reads each file it processes from ``path`` itself:
+    bytes are never shuffled or carried between stages."""
+    by_path = content not in df.columns
     schema = T.StructType(list(df.schema.fields) + [T.StructField(pages_col, T.ArrayType(T.StringType())),
                                                      T.StructField(error_col, T.StringType())])
 
     def run_batches(batches):
         for pdf in batches:
             pages, errors = [], []
-            for go, blob in zip(pdf[run], pdf[content]):
+            blobs = pdf[path] if by_path else pdf[content]
+            for go, blob in zip(pdf[run], blobs):
+                if go and by_path:
+                    try:
+                        blob = read_bytes(blob)
+                    except Exception:  # noqa: BLE001 - a missing or unreadable file is an open error
+                        pages.append(None)
+                        errors.append(traceback.format_exc(limit=1))
+                        continue
                 p, e = _decode(extractor, blob) if go else (None, None)
                 pages.append(p)
                 errors.append(e)
@@ -119,6 +131,8 @@ def run_cascade(docs: DataFrame, extractors: Sequence[tuple[int, Extractor | Non
                 ocr_window: bool = True, n: int = 4, content: str = "content") -> DataFrame:
     """S7 + A7 with the original's short-circuit, as one narrow chain (no join, no shuffle).
 
+    ``docs`` carries either ``content`` (bytes travel along the row) or only ``path`` (each stage
+    reads the files it processes; use this after a join, so that bytes are never shuffled).
     ``extractors``: (id, callable or None for the native decoder, tolerant) in cascade order,
     text layer first and OCR last. Extractor k runs only on rows that no earlier extractor
     decided (a hit, an open error, or an unreadable page before the hit); the decision is made
@@ -134,6 +148,8 @@ def run_cascade(docs: DataFrame, extractors: Sequence[tuple[int, Extractor | Non
     for k, fn, tolerant in extractors:
         pages_k, err_k = f"pages_{k}", f"_err_{k}"
         df = df.withColumn("_run", undecided)
+        if fn is None and content not in df.columns:
+            fn = form_feed_pages  # the built-in format, decoded in the task that reads the file
         if fn is None:
             raw = F.col(content).cast("string")
             ok = F.is_valid_utf8(raw)
@@ -160,11 +176,13 @@ def run_cascade(docs: DataFrame, extractors: Sequence[tuple[int, Extractor | Non
         need = (F.col("page_no") >= 0) & F.col(f"pages_{last_id}").isNull() & ~has_text(text_layer)
         df = chosen.withColumn("_run", need).drop("extractor", "page_no", "_failed")
         ocr = [fn for k, fn, _ in extractors if k == last_id][0]
+        if ocr is None and content not in df.columns:
+            ocr = form_feed_pages
         df = codec_where(df, ocr, "_ocr_pages", "_ocr_err", "_run", content) if ocr is not None else df.withColumn(
             "_ocr_pages", F.when(F.col("_run"), pages_from_form_feeds(F.col(content).cast("string"))))
         df = df.withColumn(f"pages_{last_id}", F.coalesce(F.col(f"pages_{last_id}"), F.col("_ocr_pages")))
         tmp += ["_ocr_pages", "_ocr_err"]
-    return df.drop("_run", content, *[c for c in tmp if c in df.columns])
+    return df.drop("_run", *[c for c in [content, *tmp] if c in df.columns])
 
 
 def write_document_files(pagesets: DataFrame, root: str, key: str = "ack_id", year: str = "year",

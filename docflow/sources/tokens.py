@@ -18,19 +18,11 @@ from pyspark.sql import functions as F
 
 from docflow import constants as C
 from docflow.functions.paths import parse_status_path
+from docflow.sources.fs import filesystem
 
 
 def _fs(root: str):
-    """(filesystem, path) for a local path, a 'file:' URI or any URI pyarrow understands."""
-    import re
-
-    from pyarrow import fs
-
-    if root.startswith("file:"):
-        return fs.LocalFileSystem(), "/" + re.sub(r"^file:/*", "", root)
-    if re.match(r"^[a-zA-Z][a-zA-Z0-9+.-]*://", root):
-        return fs.FileSystem.from_uri(root)
-    return fs.LocalFileSystem(), root
+    return filesystem(root)
 
 
 def _year_dirs(root: str, years=None) -> list[str]:
