@@ -141,3 +141,19 @@ def test_terms_table_join_both_paths(spark):
     assert "BroadcastNestedLoopJoin" in joined._jdf.queryExecution().executedPlan().toString()
     assert inline == [(1, 0, "the Plan Descrip-tion")]
     assert sorted(tuple(r) for r in joined.collect()) == inline
+
+
+def test_original_layout_and_codec_by_path(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "downloaded")
+    for year, ack, body in [("2001", "12", b"p0\fthe plan description\f"), ("2002", "x.y", b"only\f")]:
+        os.makedirs(os.path.join(root, year), exist_ok=True)
+        with open(os.path.join(root, year, f"{ack}.pdf"), "wb") as fh:
+            fh.write(body)
+    listing = dc.scan_documents(spark, root, glob="*.pdf", with_content=False)
+    got = {r.ack_id: r.year for r in listing.collect()}
+    assert got == {"12": 2001, "x.y": 2002}
+    from pyspark.sql import functions as F
+
+    ps = dc.codec_where(listing.withColumn("_run", F.col("ack_id") == "12"), dc.form_feed_pages, "pages", "err", "_run")
+    pages = {r.ack_id: r.pages for r in ps.collect()}
+    assert pages == {"12": ["p0", "the plan description"], "x.y": None}
