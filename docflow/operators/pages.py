@@ -86,8 +86,10 @@ def first_null_page(pages: Column | str) -> Column:
 
 
 def page_count(pages: Column | str) -> Column:
-    """Pages per document (0 for a missing page array)."""
-    return F.coalesce(F.size(_c(pages)), F.lit(0))
+    """Pages per document (0 for a missing page array; ``size(null)`` is -1 when a session
+    runs with ANSI off, so the null case is explicit)."""
+    p = _c(pages)
+    return F.when(p.isNull(), F.lit(0)).otherwise(F.size(p))
 
 
 def page_window(pages: Column | str, start: Column | str, n: int = C.NUMBER_PAGES_TO_SAVE) -> Column:

@@ -157,3 +157,13 @@ def test_original_layout_and_codec_by_path(spark, tmp_dir):
     ps = dc.codec_where(listing.withColumn("_run", F.col("ack_id") == "12"), dc.form_feed_pages, "pages", "err", "_run")
     pages = {r.ack_id: r.pages for r in ps.collect()}
     assert pages == {"12": ["p0", "the plan description"], "x.y": None}
+
+
+def test_missing_pages_are_corrupted_without_ansi(spark):
+    ps = spark.createDataFrame([(1, None)], "doc_id int, pages array<string>")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        r = pg.route_documents(ps, ["x"]).first()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+    assert (r.n_pages, r.status) == (0, "corrupted_file")
