@@ -76,13 +76,14 @@ def page_hits(pages: Column | str, terms: Iterable[str]) -> Column:
 
 
 def first_hit_page(pages: Column | str, terms: Iterable[str]) -> Column:
-    """Lowest 0-based page with a hit, -1 when none."""
-    return (F.array_position(page_hits(pages, terms), F.lit(True)) - 1).cast("int")
+    """Lowest 0-based page with a hit, -1 when none (also for a missing page array)."""
+    return F.coalesce(F.array_position(page_hits(pages, terms), F.lit(True)) - 1, F.lit(-1)).cast("int")
 
 
 def first_null_page(pages: Column | str) -> Column:
     """0-based index of the first page the extractor could not read, -1 when none."""
-    return (F.array_position(F.transform(_c(pages), lambda p: p.isNull()), F.lit(True)) - 1).cast("int")
+    pos = F.array_position(F.transform(_c(pages), lambda p: p.isNull()), F.lit(True)) - 1
+    return F.coalesce(pos, F.lit(-1)).cast("int")
 
 
 def page_count(pages: Column | str) -> Column:

@@ -157,6 +157,11 @@ def run_cascade(docs: DataFrame, extractors: Sequence[tuple[int, Extractor | Non
             df = df.withColumn(err_k, F.when(F.col("_run") & ~ok, F.lit("invalid UTF-8")))
         else:
             df = codec_where(df, fn, pages_k, err_k, "_run", content)
+        if k != extractors[0][0]:
+            # a later codec that raises is an unreadable page before any hit: the cascade rule
+            # then gives pdf_reader_failed, or no match for a tolerant reader
+            df = df.withColumn(pages_k, F.when(F.col(err_k).isNotNull(), F.array(F.lit(None).cast("string")))
+                               .otherwise(F.col(pages_k)))
         h, b = first_hit_page(pages_k, terms), first_null_page(pages_k)
         raises = F.lit(False) if tolerant else (b >= 0) & ((h < 0) | (b < h))
         decided = F.col(err_k).isNotNull() | F.coalesce((h >= 0) | raises, F.lit(False))

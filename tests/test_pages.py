@@ -166,4 +166,21 @@ def test_missing_pages_are_corrupted_without_ansi(spark):
         r = pg.route_documents(ps, ["x"]).first()
     finally:
         spark.conf.set("spark.sql.ansi.enabled", "true")
-    assert (r.n_pages, r.status) == (0, "corrupted_file")
+    assert (r.n_pages, r.page_no, r.status) == (0, -1, "corrupted_file")
+
+
+def test_later_codec_failure_is_reader_failure(spark):
+    docs = spark.createDataFrame([("1", b"nothing"), ("2", b"nothing")], "ack_id string, content binary")
+
+    def failing_ocr(b):
+        raise RuntimeError("renderer crashed")
+
+    def text_layer(b):
+        return [b.decode()]
+
+    strict = dc.run_cascade(docs, [(1, text_layer, False), (2, failing_ocr, False)], TERMS)
+    r = pg.route_cascade(strict, ["pages_1", "pages_2"], "pages_1", "pages_2", [], TERMS).first()
+    assert r.status == "pdf_reader_failed"
+    tolerant = dc.run_cascade(docs, [(1, text_layer, False), (2, failing_ocr, True)], TERMS)
+    r = pg.route_cascade(tolerant, ["pages_1", "pages_2"], "pages_1", "pages_2", ["pages_2"], TERMS).first()
+    assert r.status == "plan_not_found"
