@@ -14,6 +14,16 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+def _default_heap() -> str:
+    """Local mode runs everything in the driver JVM: give it about 60% of physical memory,
+    at most 16 GB, so the heap never outgrows a small machine."""
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+    except (ValueError, OSError, AttributeError):
+        return "4g"
+    return f"{max(1, min(16, int(total * 0.6 / 2**30)))}g"
+
+
 def build_session(master: str | None = None, shuffle_partitions: int = 8, app: str = "docflow") -> SparkSession:
     """Session for local runs: ANSI on (the 4.x default), UTC, AQE with skew handling, no UI."""
     builder = (
@@ -27,7 +37,7 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8, app: s
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", os.environ.get("DOCFLOW_DRIVER_MEMORY", "16g"))
+        .config("spark.driver.memory", os.environ.get("DOCFLOW_DRIVER_MEMORY", _default_heap()))
     )
     if master:
         builder = builder.master(master)
