@@ -176,3 +176,12 @@ def recover_claims(ledger: DataFrame, queues: Sequence[str] = C.QUEUE_STATUSES,
     return cur.where(F.col("current") == C.CLAIMED).select(
         *KEY, F.coalesce(F.col("queue"), F.lit(default)).alias("status"), ts_col.alias("ts")
     )
+
+
+def claim_conflicts(records: DataFrame, destination: str = C.TO_DOWNLOAD) -> DataFrame:
+    """J9 on an imported token tree (records from ``scan_status_tree``): claimed tokens whose
+    destination queue already holds a token for the same (id, year). The original raises on
+    these instead of moving; here they are a side table to resolve. One semi join."""
+    claimed = records.where(F.col("status") == C.CLAIMED).select(*KEY, "path")
+    dest = records.where(F.col("status") == destination).select(*KEY)
+    return claimed.join(dest, KEY, "left_semi")

@@ -160,6 +160,12 @@ def recover_claims(spark, d):
 _NORM = "replace(path, chr(92), '/')"
 
 
+_PARSED_SQL = f"""select regexp_replace(string_split({_NORM}, '/')[-1], '\\.[^.]+$', '') as ack_id,
+               try_cast(string_split({_NORM}, '/')[-2] as integer) as year,
+               string_split({_NORM}, '/')[-3] as status, path
+        from ({TOKEN_PATHS_SQL}) where try_cast(string_split({_NORM}, '/')[-2] as integer) is not null"""
+
+
 @register(
     "parse_status_path",
     f"""select regexp_replace(string_split({_NORM}, '/')[-1], '\\.[^.]+$', '') as ack_id,
@@ -232,3 +238,16 @@ def clean_token_names(spark, d):
         ph.name("path").alias("name"),
     )
     return ph.clean_token_names(t)
+
+
+@register(
+    "claim_conflicts",
+    f"""with r as (select distinct ack_id, year, status, path from ({_PARSED_SQL}))
+        select c.ack_id, c.year, c.path from r c
+        where c.status = 'claimed'
+          and exists (select 1 from r d where d.status = 'to_download' and d.ack_id = c.ack_id and d.year = c.year)""",
+)
+def claim_conflicts(spark, d):
+    """J9 conflicts: a token tree's claimed tokens whose queue already holds one for the id."""
+    recs = ph.parse_status_path(B.token_paths(spark, d).select("path").distinct())
+    return lg.claim_conflicts(recs)

@@ -133,3 +133,10 @@ def test_write_token_tree(spark, tmp_dir):
     assert tk.write_token_tree(cur, root) == 2
     assert os.path.getsize(os.path.join(root, "queue/to_download/2001/1.txt")) == 0
     assert open(os.path.join(root, "processed/2001/2.txt")).read() == "body"
+
+
+def test_claim_conflicts(spark):
+    paths = spark.createDataFrame([("/t/claimed/2001/1.txt",), ("/t/queue/to_download/2001/1.txt",),
+                                   ("/t/claimed/2001/2.txt",), ("/t/queue/to_download/2002/2.txt",)], "path string")
+    got = [(r.ack_id, r.year) for r in lg.claim_conflicts(ph.parse_status_path(paths)).collect()]
+    assert got == [("1", 2001)]
