@@ -112,7 +112,15 @@ def _header_names(header: str) -> list[str]:
     import re
 
     fields = re.findall(r"\|((?:[^|\\]|\\.)*)", "|" + header)
-    return [re.sub(r"\\(.)", r"\1", f) for f in fields]
+    names = [re.sub(r"\\(.)", r"\1", f) for f in fields]
+    # a repeated header name gets a numeric suffix (a, a.1, a.2 ...), as CSV readers do
+    seen: dict[str, int] = {}
+    out = []
+    for n in names:
+        k = seen.get(n, 0)
+        seen[n] = k + 1
+        out.append(n if k == 0 else f"{n}.{k}")
+    return out
 
 
 def scan_index(spark: SparkSession, paths, **kw) -> DataFrame:

@@ -125,3 +125,9 @@ def test_read_id_list_prunes_columns(spark):
                          pattern="ECO|PRO")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<p_partkey:bigint,p_type:string>" in plan
+
+
+def test_repeated_header_names(spark, tmp_dir):
+    write(os.path.join(tmp_dir, "2004.txt"), ["p", "p", "p", "id|filing_year|note|note", "7|2004|a|b"])
+    r = ix.scan_index(spark, tmp_dir).first()
+    assert (r["ack_id"], r["note"], r["note.1"]) == ("7", "a", "b")
