@@ -108,9 +108,11 @@ def trim_all_strings(df, columns: Iterable[str] | None = None):
     """P5: trim every string column with the Python whitespace set; other types untouched."""
     string_cols = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
     wanted = set(columns) if columns is not None else string_cols
-    return df.select(
-        *[strip_text(F.col(c)).alias(c) if c in wanted and c in string_cols else F.col(c) for c in df.columns]
-    )
+
+    def q(c):  # header names may hold dots ("note.1"): quote, not struct access
+        return F.col("`" + c.replace("`", "``") + "`")
+
+    return df.select(*[strip_text(q(c)).alias(c) if c in wanted and c in string_cols else q(c) for c in df.columns])
 
 
 def strip_quotes(col: Column | str) -> Column:
