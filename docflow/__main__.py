@@ -4,6 +4,7 @@
   seed      --universe PATH --ledger PATH [--year Y]
   process   --docs DIR --ledger PATH --out DIR [--min-year Y --max-year Y]
   outputs   --ledger PATH --train PATH --out DIR [--min-year Y --max-year Y]
+  tree-outputs --tracker DIR --train PATH --out DIR [--min-year Y --max-year Y]
 
 Id lists are Parquet tables with ``ack_id`` and optionally ``pension_benefit_code``.
 """
@@ -36,7 +37,11 @@ def main(argv=None):
     o.add_argument("--ledger", required=True)
     o.add_argument("--train", required=True)
     o.add_argument("--out", required=True)
-    for x in (u, p, o):
+    t = sub.add_parser("tree-outputs")
+    t.add_argument("--tracker", required=True)
+    t.add_argument("--train", required=True)
+    t.add_argument("--out", required=True)
+    for x in (u, p, o, t):
         x.add_argument("--min-year", type=int)
         x.add_argument("--max-year", type=int)
     ap.add_argument("--master")
@@ -49,6 +54,10 @@ def main(argv=None):
         res = {"seeded": jobs.seed_job(spark, a.universe, a.ledger, a.year)}
     elif a.cmd == "process":
         res = {"routed": jobs.process_job(spark, a.docs, a.ledger, a.out, years=years)}
+    elif a.cmd == "tree-outputs":
+        train = spark.read.parquet(a.train).select("ack_id")
+        yrs = range(years[0], years[1] + 1) if years else None
+        res = jobs.tree_outputs_job(spark, a.tracker, a.out, train, yrs)
     else:
         train = spark.read.parquet(a.train).select("ack_id")
         res = jobs.outputs_job(spark, a.ledger, a.out, train, years)

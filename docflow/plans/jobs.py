@@ -137,3 +137,26 @@ def outputs_job(spark: SparkSession, ledger_path: str, out_root: str, train_ids:
     train, full = out.build_corpora(spark.read.parquet(text_path), train_ids, exclude_train)
     corpora = tb.write_corpora(train, full, f"{out_root}/train", f"{out_root}/full")
     return {"records": rec_path, "year_text": text_path, **corpora}
+
+
+def tree_outputs_job(spark: SparkSession, tracker_root: str, out_root: str, train_ids: DataFrame,
+                     years: Sequence[int] | None = None, exclude_train: bool = False) -> dict:
+    """Entry 3 from an existing token tree (for installations that still have one): list every
+    token including zero-byte ones (S8), parse records (P10), read processed bodies (S9), drop rows
+    without text (P19), repair (F8), write records and per-year texts (K3, K4) and the corpora (K5).
+    Each token is one record (D4: duplicate tokens of an id stay separate rows, as in the tree)."""
+    from docflow.sources import tokens as tk
+
+    from docflow.session import scratch_path
+
+    # list the tree once (driver walks to the year folders, executors list them) and keep it
+    listing_path = scratch_path(spark, "token_listing")
+    tk.status_records(tk.scan_status_tree(spark, tracker_root, years)).write.parquet(listing_path)
+    listing = spark.read.parquet(listing_path)
+    rec_path = tb.write_records(listing.select("ack_id", "year", "status", "path"), f"{out_root}/records")
+    payload = tk.read_payload(spark, listing, tracker_root)
+    texts = out.year_texts(payload.withColumnRenamed(C.OCR_TEXT_COL, "text"))
+    text_path = tb.write_year_text(texts, f"{out_root}/year_text")
+    train, full = out.build_corpora(spark.read.parquet(text_path), train_ids, exclude_train)
+    corpora = tb.write_corpora(train, full, f"{out_root}/train", f"{out_root}/full")
+    return {"records": rec_path, "year_text": text_path, **corpora}

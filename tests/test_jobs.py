@@ -96,3 +96,20 @@ def test_process_job_with_codec_cascade(spark, tmp_dir):
     cur = {r.ack_id: r.status for r in lg.latest_status(jobs.read_ledger(spark, ledger)).collect()}
     # a: text layer hits, its window lacks "the" -> OCR text of the window is used (A10)
     assert cur == {"a": "text_extraction_empty", "b": "processed", "c": "corrupted_file"}
+
+
+def test_tree_outputs_job(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "tracker")
+    for rel, body in [("processed/2001/1.txt", "Ã© the text\n"), ("processed/2002/2.txt", ""),
+                      ("error/plan_not_found/2001/3.txt", ""), ("queue/to_download/2001/4.txt", ""),
+                      ("queue/to_download/2001/1.txt", "")]:  # D4: a stale seed token for id 1
+        p = os.path.join(root, rel)
+        os.makedirs(os.path.dirname(p), exist_ok=True)
+        with open(p, "w") as fh:
+            fh.write(body)
+    train = spark.createDataFrame([("1",)], "ack_id string")
+    outs = jobs.tree_outputs_job(spark, root, os.path.join(tmp_dir, "out"), train)
+    assert spark.read.parquet(outs["records"]).count() == 5
+    texts = sorted((r.ack_id, r.ocr_text) for r in spark.read.parquet(outs["year_text"]).collect())
+    assert texts == [("1", "é the text\n"), ("2", "")]
+    assert [r.ack_id for r in spark.read.parquet(outs["train"]).collect()] == ["1"]
