@@ -60,11 +60,16 @@ def write_universe(universe: DataFrame, path: str, fmt: str = "parquet") -> str:
 
 
 def write_by_year(universe: DataFrame, path: str, fmt: str = "parquet", year: str = "filing_year",
-                  files_per_year: int = 4) -> str:
-    """K2: one folder per filing year (split by the column, not by the source file). Each year is
-    spread over ``files_per_year`` hash buckets so a large year is written by several tasks.
+                  partitions: int | None = None) -> str:
+    """K2: one folder per filing year (split by the column, not by the source file).
+
+    Rows are range-partitioned on (year, hash of the id): the range bounds come from a sample,
+    so a year holding a large share of the rows is cut over as many tasks as its size needs,
+    while small years share a task; each task writes one file per year it holds (usually one).
+    ``partitions`` defaults to the session's shuffle partitions (AQE may coalesce them).
     A null year lands in the default partition; the original only writes it to the whole table."""
-    spread = universe.repartition(F.col(year), F.pmod(F.xxhash64("ack_id"), F.lit(files_per_year)))
+    keys = (F.col(year), F.xxhash64("ack_id"))
+    spread = universe.repartitionByRange(partitions, *keys) if partitions else universe.repartitionByRange(*keys)
     return _write(spread, path, fmt, [year])
 
 
