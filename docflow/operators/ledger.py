@@ -64,9 +64,13 @@ def message_fold(ledger: DataFrame, keys: Sequence[str] = KEY) -> DataFrame:
     everything before it, empty messages write nothing (and do not overwrite)."""
     msgs = ledger.where(F.col("message").isNotNull() & (F.col("message") != ""))
     k = _order_key()
-    w = Window.partitionBy(*keys)
-    last_ow = F.max(F.when(F.col("overwrite_"), k)).over(w)
-    kept = msgs.withColumn("_ow", last_ow).where(F.col("_ow").isNull() | (k >= F.col("_ow")))
+    # the last overwrite per document: a partial aggregate joined back (AQE splits a hot
+    # document on the message side), so messages before it are dropped before the fold
+    ow = msgs.where(F.col("overwrite_")).groupBy(*[F.col(c).alias(f"_k_{c}") for c in keys]).agg(
+        F.max(k).alias("_ow"))
+    on = [msgs[c].eqNullSafe(ow[f"_k_{c}"]) for c in keys]
+    kept = (msgs.join(ow, on, "left").where(F.col("_ow").isNull() | (k >= F.col("_ow")))
+            .drop(*[f"_k_{c}" for c in keys]))
     return kept.groupBy(*keys).agg(
         F.concat(
             F.expr("listagg(message, '\\n') WITHIN GROUP (ORDER BY ts, seq)"), F.lit("\n")

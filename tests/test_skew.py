@@ -49,6 +49,9 @@ def test_hot_document_message_fold(spark):
         F.col("id").cast("string").alias("message"), (F.col("id") == 19998).alias("overwrite_"))
     body = lg.message_fold(msgs).first().body
     assert body == "19998\n19999\n"
+    # the overwrite point is a partial aggregate joined back, not a window over the hot document
+    p = plan(lg.message_fold(msgs))
+    assert "Window" not in p and "partial_max" in p
 
 
 def test_hot_year_written_by_many_tasks(spark, tmp_dir):
