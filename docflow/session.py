@@ -44,9 +44,27 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8, app: s
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_PKG_ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package (pandas UDFs and ``mapInPandas`` functions refer to
+    it by module). On a cluster ship it with ``--py-files``; where workers share the driver's
+    file system (local mode) the package folder is put on their PYTHONPATH, so runs work from
+    any working directory. Call before building queries: UDFs take the environment when applied."""
+    try:
+        env = spark.sparkContext.environment
+    except Exception:  # noqa: BLE001 - Spark Connect: the server's workers need the package installed
+        return
+    parts = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if _PKG_ROOT not in parts:
+        env["PYTHONPATH"] = os.pathsep.join([_PKG_ROOT, *parts])
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint directory.
 

@@ -113,3 +113,30 @@ def test_tree_outputs_job(spark, tmp_dir):
     texts = sorted((r.ack_id, r.ocr_text) for r in spark.read.parquet(outs["year_text"]).collect())
     assert texts == [("1", "é the text\n"), ("2", "")]
     assert [r.ack_id for r in spark.read.parquet(outs["train"]).collect()] == ["1"]
+
+
+def test_entry_from_another_working_directory(tmp_dir):
+    # the driver contract is loaded by path with a plain session; Python workers (NFKC UDF,
+    # token-tree listing) must still import the package
+    import subprocess
+    import sys
+
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = f"""
+import importlib.util
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+spec = importlib.util.spec_from_file_location("__spark_entry__", {os.path.join(repo, "__spark_entry__.py")!r})
+E = importlib.util.module_from_spec(spec)
+spec.loader.exec_module(E)
+qs = E.queries()
+print("RESULT", E.entry(spark).count(), qs["nfkc"](spark, "/root/testdata/sf0.001").count(),
+      qs["scan_status_tree"](spark, "/root/testdata/sf0.001").count() > 0)
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", script], cwd=tmp_dir, env=env, capture_output=True, text=True,
+                         timeout=600)
+    line = [x for x in out.stdout.splitlines() if x.startswith("RESULT")]
+    assert line, out.stderr[-2000:]
+    n_entry, n_nfkc, tree = line[0].split()[1:]
+    assert int(n_entry) > 0 and int(n_nfkc) > 0 and tree == "True"
