@@ -73,10 +73,12 @@ select cast(doc_id as varchar) as ack_id, extractor, page_no from cas
 """
 
 
-def _doc_files(spark, d, keep=None):
+def _doc_files(spark, d, stored=None):
+    """Write one document file per page set; ``stored`` (a table of doc_id) limits the archive
+    to those documents (semi join)."""
     ps = B.pagesets(spark, d)
-    if keep is not None:
-        ps = ps.where(keep)
+    if stored is not None:
+        ps = ps.join(stored, "doc_id", "left_semi")
     ps = ps.select(F.col("doc_id").cast("string").alias("ack_id"), "year", "pages")
     return dc.write_document_files(ps, scratch_path(spark, "documents"))
 
@@ -94,12 +96,13 @@ def staged_cascade(spark, d):
 
 @register(
     "missing_documents",
-    f"select ack_id, filing_year as year from ({INDEX_SQL}) where cast(ack_id as bigint) % 10 = 7",
+    f"""select ack_id, filing_year as year from ({INDEX_SQL})
+        where ack_id not in (select cast(doc_id as varchar) from labels)""",
 )
 def missing_documents(spark, d):
-    """Documents of the universe without a file (here: every tenth was never stored) come
-    out as a side table instead of stopping the job."""
-    root = _doc_files(spark, d, keep=F.col("doc_id") % 10 != 7)
+    """Documents of the universe without a file (here the archive holds files only for the
+    labelled documents) come out as a side table instead of stopping the job."""
+    root = _doc_files(spark, d, stored=B.table(spark, d, "labels").select("doc_id"))
     found = dc.scan_documents(spark, root, with_content=False)
     expected = B.index(spark, d).select("ack_id", F.col("filing_year").alias("year"))
     return dc.missing_documents(expected, found)
