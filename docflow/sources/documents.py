@@ -192,17 +192,32 @@ def run_cascade(docs: DataFrame, extractors: Sequence[tuple[int, Extractor | Non
 
 def write_document_files(pagesets: DataFrame, root: str, key: str = "ack_id", year: str = "year",
                          pages: str = "pages") -> str:
-    """Materialise page sets as one text-layer file per document (UTF-8, a form feed after each
-    page) under ``root/year=<y>/ack_id=<id>/``; used to build test inputs from tables."""
-    rows = pagesets.select(F.col(year).alias("year"), F.col(key).alias("ack_id"),
-                           F.posexplode(pages).alias("page_no", "value"))
-    (
-        rows.repartition("year", "ack_id")
-        .sortWithinPartitions("year", "ack_id", "page_no")
-        .drop("page_no")
-        .write.mode("overwrite")
-        .option("lineSep", "\f")
-        .partitionBy("year", "ack_id")
-        .text(root)
-    )
+    """Materialise page sets as one text-layer file per document, ``root/<year>/<id>.txt`` (UTF-8,
+    a form feed after each page; an unreadable page is written empty), the layout of a
+    year-foldered archive; used to build test inputs from tables. The file body is built
+    JVM-side and executors write the files themselves - no per-file output commit - so a retried
+    task rewrites the same paths."""
+    from docflow.sources.fs import filesystem
+
+    p = F.col(pages)
+    body = F.when(F.size(p) > 0, F.concat(F.array_join(F.transform(p, lambda x: F.coalesce(x, F.lit(""))), "\f"),
+                                          F.lit("\f"))).otherwise(F.lit(""))
+    rel = F.concat_ws("/", F.col(year).cast("string"), F.concat(F.col(key).cast("string"), F.lit(".txt")))
+    base_root = root
+
+    def write(batches):
+        fs_, base = filesystem(base_root)
+        made = set()
+        for pdf in batches:
+            for rel_path, text in zip(pdf["rel"], pdf["body"]):
+                full = f"{base.rstrip('/')}/{rel_path}"
+                folder = full.rsplit("/", 1)[0]
+                if folder not in made:
+                    fs_.create_dir(folder, recursive=True)
+                    made.add(folder)
+                with fs_.open_output_stream(full) as fh:
+                    fh.write(text.encode("utf-8"))
+            yield pd.DataFrame({"n": [len(pdf)]})
+
+    pagesets.select(rel.alias("rel"), body.alias("body")).mapInPandas(write, "n long").agg(F.sum("n")).first()
     return root
