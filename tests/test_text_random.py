@@ -84,3 +84,18 @@ def test_differential_splitter(spark):
     for s, g in zip(lines, got):
         want = next(csv.reader(io.StringIO(s), delimiter="|", quoting=csv.QUOTE_NONE, escapechar="\\"), [""])
         assert g == (want if want else [""]), repr(s)
+
+
+def test_differential_pages_from_lines(spark):
+    # pages of k lines (the regex split) equal splitting on newlines and joining groups of k
+    from docflow.operators.pages import pages_from_lines
+
+    r = random.Random(11)
+    data = ["".join(r.choice("ab \n\r") for _ in range(r.randint(0, 25))) for _ in range(2000)] + [None]
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(data)], "i int, s string")
+    for k in (1, 2, 3, 4):
+        got = {row.i: row.p for row in df.select("i", pages_from_lines("s", k).alias("p")).collect()}
+        for i, s in enumerate(data):
+            lines = s.split("\n") if s is not None else []
+            want = ["\n".join(lines[j:j + k]) for j in range(0, len(lines), k)]
+            assert got[i] == want, (k, s)
