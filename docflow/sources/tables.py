@@ -63,13 +63,16 @@ def write_by_year(universe: DataFrame, path: str, fmt: str = "parquet", year: st
                   partitions: int | None = None) -> str:
     """K2: one folder per filing year (split by the column, not by the source file).
 
-    Rows are range-partitioned on (year, hash of the id): the range bounds come from a sample,
-    so a year holding a large share of the rows is cut over as many tasks as its size needs,
-    while small years share a task; each task writes one file per year it holds (usually one).
-    ``partitions`` defaults to the session's shuffle partitions (AQE may coalesce them).
+    Rows go to tasks by year with a ``REBALANCE`` hint: adaptive execution cuts a year that
+    holds a large share of the rows into partitions of the advisory size (by measured shuffle
+    bytes, no extra pass) and packs small years together, so each task writes few, well-sized
+    files. With ``partitions`` the rows are range-partitioned on (year, hash of the id) instead
+    (sampled bounds; also for sessions without adaptive execution).
     A null year lands in the default partition; the original only writes it to the whole table."""
-    keys = (F.col(year), F.xxhash64("ack_id"))
-    spread = universe.repartitionByRange(partitions, *keys) if partitions else universe.repartitionByRange(*keys)
+    if partitions:
+        spread = universe.repartitionByRange(partitions, F.col(year), F.xxhash64("ack_id"))
+    else:
+        spread = universe.hint("rebalance", year)
     return _write(spread, path, fmt, [year])
 
 

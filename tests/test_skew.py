@@ -61,8 +61,20 @@ def test_hot_year_written_by_many_tasks(spark, tmp_dir):
     hot = spark.range(6000).select(F.col("id").cast("string").alias("ack_id"), F.lit(2001).alias("filing_year"))
     cold = spark.range(6000, 10000).select(F.col("id").cast("string").alias("ack_id"),
                                            (2002 + F.col("id") % 4).cast("int").alias("filing_year"))
-    path = tb.write_by_year(hot.unionByName(cold), os.path.join(tmp_dir, "by_year"), partitions=8)
+    df = hot.unionByName(cold).repartition(8)
+    path = tb.write_by_year(df, os.path.join(tmp_dir, "by_year"), partitions=8)
     files = [f for f in os.listdir(os.path.join(path, "filing_year=2001")) if f.endswith(".parquet")]
     assert len(files) >= 4
     assert tb.scan_universe(spark, path, 2001).count() == 6000
     assert spark.read.parquet(path).count() == 10000
+    # default: REBALANCE - adaptive execution splits the hot year by measured size
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "4k")
+    try:
+        path = tb.write_by_year(df, os.path.join(tmp_dir, "by_year_rebalance"))
+    finally:
+        spark.conf.set(key, old)
+    files = [f for f in os.listdir(os.path.join(path, "filing_year=2001")) if f.endswith(".parquet")]
+    assert len(files) >= 4
+    assert spark.read.parquet(path).count() == 10000
