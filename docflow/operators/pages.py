@@ -53,9 +53,14 @@ def pages_from_form_feeds(text: Column | str) -> Column:
 
 
 def explode_pages(df: DataFrame, pages: str = "pages") -> DataFrame:
-    """Array layout -> row layout (doc columns kept, ``page_no`` 0-based, ``text``)."""
+    """Array layout -> row layout (doc columns kept, ``page_no`` 0-based, ``text``).
+
+    ``posexplode_outer`` and a filter on the generated position: for a plain ``posexplode`` of a
+    column the optimizer infers ``size(pages) > 0`` and pushes it below the projection that
+    computes the pages, which would build every page array three times."""
     keep = [c for c in df.columns if c != pages]
-    return df.select(*keep, F.posexplode(pages).alias("page_no", "text"))
+    out = df.select(*keep, F.posexplode_outer(pages).alias("page_no", "text"))
+    return out.where(F.col("page_no").isNotNull())
 
 
 def collect_pages(rows: DataFrame, keys: Sequence[str] = ("doc_id",)) -> DataFrame:

@@ -88,9 +88,10 @@ def is_corrupted(spark, d):
 def page_window(spark, d):
     ps = B.pagesets(spark, d).withColumn("start", pg.first_hit_page("pages", T))
     w = ps.select("doc_id", "start", pg.page_window("pages", "start").alias("w"))
-    return w.select("doc_id", "start", F.posexplode("w").alias("i", "text")).select(
-        "doc_id", (F.col("start") + F.col("i")).cast("int").alias("page_no"), "text"
-    )
+    # outer + filter: a plain posexplode of a column gets an inferred size(w) > 0 pushed below
+    # the projection, which would run the page scan a second time
+    rows = w.select("doc_id", "start", F.posexplode_outer("w").alias("i", "text")).where(F.col("i").isNotNull())
+    return rows.select("doc_id", (F.col("start") + F.col("i")).cast("int").alias("page_no"), "text")
 
 
 @register("join_page_texts", f"with {_DOCS_SQL} select doc_id, raw as text from win where page_no >= 0")

@@ -39,3 +39,12 @@ def test_fetch_outcome_error_kinds(spark):
                               "doc int, event_id int, status_code int, kind string")
     got = {r.doc: r.outcome for r in lg.fetch_outcome(a, error_kind="kind").collect()}
     assert got == {1: "ok", 2: "permanent"}  # D12: a non-network error is not retried
+
+
+def test_page_arrays_built_once_when_exploded(spark):
+    # no inferred size(...) > 0 filter: it would copy the page split / page scan below the
+    # projection that computes the arrays
+    qs = E.queries()
+    for key in ("terms_table_join", "page_window", "extract_pages"):
+        p = qs[key](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+        assert "size(" not in p, key
