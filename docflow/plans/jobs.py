@@ -86,12 +86,32 @@ def seed_job(spark: SparkSession, universe_path: str, ledger_path: str, year: in
         return 0
 
 
+def spread_documents(docs: DataFrame, docs_per_task: int = C.PROCESS_BATCH_SIZE) -> DataFrame:
+    """Spread a document listing over tasks by count, about ``docs_per_task`` documents each.
+
+    A listing row is ~100 bytes while extracting its document can take minutes, so partitions
+    sized by bytes (adaptive coalescing after a join) would put every document into one or two
+    tasks. An explicit partition count is kept by adaptive execution; hashing on the id keeps
+    the assignment deterministic for retried tasks. The count reads the listing only."""
+    n = docs.count()
+    if n == 0:
+        return docs
+    try:
+        cores = docs.sparkSession.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - Spark Connect: no SparkContext
+        cores = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(cores, -(-n // max(1, docs_per_task)))
+    return docs.repartition(min(n, parts), "ack_id", "year")
+
+
 def process_job(spark: SparkSession, doc_root: str, ledger_path: str, out_path: str,
                 terms: Sequence[str] = C.TERMS, extractors: Sequence[tuple] | None = None,
                 n: int = C.NUMBER_PAGES_TO_SAVE, limit_pages: int = C.PAGE_LIMIT,
-                years: tuple[int, int] | None = None, ts: dt.datetime | None = None) -> str:
+                years: tuple[int, int] | None = None, ts: dt.datetime | None = None,
+                docs_per_task: int = C.PROCESS_BATCH_SIZE) -> str:
     """Entry 2. ``extractors``: None for the built-in text layer, or the cascade list of
-    (id, callable, tolerant) with text layer first and OCR last (see ``run_cascade``)."""
+    (id, callable, tolerant) with text layer first and OCR last (see ``run_cascade``).
+    About ``docs_per_task`` documents go to each extraction task (the original's claim size)."""
     ledger = read_ledger(spark, ledger_path)
     todo = lg.latest_status(ledger).where(F.col("status") == C.TO_PROCESS).select("ack_id", "year")
     if years:
@@ -99,6 +119,7 @@ def process_job(spark: SparkSession, doc_root: str, ledger_path: str, out_path:
     # the semi join sees the file listing only; each extraction task reads its own files by path,
     # so document bytes are never shuffled whatever the size of the to-do list
     docs = dc.scan_documents(spark, doc_root, with_content=False).join(todo, ["ack_id", "year"], "left_semi")
+    docs = spread_documents(docs, docs_per_task)
     if extractors is None:
         ps = dc.codec_where(docs.withColumn("_run", F.lit(True)), dc.form_feed_pages, "pages", "error", "_run")
         routed = pg.route_documents(ps, terms, n, limit_pages, error="error")

@@ -140,3 +140,15 @@ print("RESULT", E.entry(spark).count(), qs["nfkc"](spark, "/root/testdata/sf0.00
     assert line, out.stderr[-2000:]
     n_entry, n_nfkc, tree = line[0].split()[1:]
     assert int(n_entry) > 0 and int(n_nfkc) > 0 and tree == "True"
+
+
+def test_spread_documents_by_count_after_join(spark):
+    # listing rows are tiny: after a join AQE would coalesce them into one task; the spread
+    # keeps about docs_per_task documents per extraction task
+    listing = spark.range(400).select(F.col("id").cast("string").alias("ack_id"), F.lit(2001).alias("year"),
+                                      F.concat(F.lit("/d/"), F.col("id").cast("string")).alias("path"))
+    todo = spark.range(0, 400, 2).select(F.col("id").cast("string").alias("ack_id"), F.lit(2001).alias("year"))
+    docs = jobs.spread_documents(listing.join(todo.hint("merge"), ["ack_id", "year"], "left_semi"), docs_per_task=20)
+    parts = docs.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+    assert sum(r["count"] for r in parts) == 200
+    assert len(parts) >= 8 and max(r["count"] for r in parts) <= 40
