@@ -53,10 +53,19 @@ def process_batch(batch: DataFrame, batch_id: int, out: str, terms: Sequence[str
 
 
 def stream_documents(spark: SparkSession, doc_root: str, out: str, checkpoint: str,
-                     terms: Sequence[str] = C.TERMS, batch_files: int = C.PROCESS_BATCH_SIZE,
+                     terms: Sequence[str] = C.TERMS, batch_files: int | None = None,
                      n: int = C.NUMBER_PAGES_TO_SAVE, limit_pages: int = C.PAGE_LIMIT):
     """T1 + T3: drain the document folder in batches of ``batch_files`` files, route every
-    document exactly once. Returns the finished StreamingQuery (its progress lists the batches)."""
+    document exactly once. Returns the finished StreamingQuery (its progress lists the batches).
+
+    A micro-batch runs on every core of the cluster, so the default batch is the original's
+    per-worker claim (20 documents) times the session's parallelism, not a single claim."""
+    if batch_files is None:
+        try:
+            cores = spark.sparkContext.defaultParallelism
+        except Exception:  # noqa: BLE001 - Spark Connect: no SparkContext
+            cores = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        batch_files = C.PROCESS_BATCH_SIZE * cores
     stream = (
         spark.readStream.format("binaryFile")
         .schema(DOC_FILE_SCHEMA)
