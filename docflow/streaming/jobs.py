@@ -91,15 +91,17 @@ def read_routed(spark: SparkSession, out: str) -> DataFrame:
 LEDGER_SCHEMA = "ack_id string, year int, status string, ts timestamp, seq long, message string, overwrite_ boolean"
 
 
-def stream_ledger(spark: SparkSession, ledger_root: str, out: str, checkpoint: str, batch_files: int = 1):
-    """Maintain the current status per document from a stream of transition files.
+def stream_ledger(spark: SparkSession, ledger_root: str, out: str, checkpoint: str, batch_files: int | None = None):
+    """Maintain the current status per document from a stream of transition files
+    (``batch_files`` caps the files per micro-batch; by default a backlog is one batch).
 
     ``max_by(status, (ts, seq))`` is order-insensitive, so late or out-of-order transitions are
     harmless, and the state holds one row per document. Each micro-batch appends the updated
     keys with its ``batch_id`` (a changelog); ``read_current`` takes the latest per key."""
-    stream = (
-        spark.readStream.schema(LEDGER_SCHEMA).option("maxFilesPerTrigger", batch_files).parquet(ledger_root)
-    )
+    reader = spark.readStream.schema(LEDGER_SCHEMA)
+    if batch_files:
+        reader = reader.option("maxFilesPerTrigger", batch_files)
+    stream = reader.parquet(ledger_root)
     k = F.struct("ts", "seq")
     current = stream.groupBy("ack_id", "year").agg(F.max_by("status", k).alias("status"), F.max(k).alias("k"))
 

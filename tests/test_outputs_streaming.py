@@ -70,7 +70,7 @@ def test_stream_ledger_equals_batch(spark, tmp_dir):
     src = os.path.join(tmp_dir, "led")
     led.repartition(3, "seq").write.parquet(src)
     outp = os.path.join(tmp_dir, "cur")
-    sj.stream_ledger(spark, src, outp, os.path.join(tmp_dir, "ck2"))
+    sj.stream_ledger(spark, src, outp, os.path.join(tmp_dir, "ck2"), batch_files=1)  # three batches
     got = {(r.ack_id, r.year, r.status) for r in sj.read_current(spark, outp).collect()}
     want = {(r.ack_id, r.year, r.status) for r in lg.latest_status(led).collect()}
     assert got == want
