@@ -25,6 +25,13 @@ def _fs(root: str):
     return filesystem(root)
 
 
+def _exists(path: str) -> bool:
+    from pyarrow import fs as pafs
+
+    filesystem, p = _fs(path)
+    return filesystem.get_file_info(p).type != pafs.FileType.NotFound
+
+
 def _year_dirs(root: str, years=None) -> list[str]:
     from pyarrow import fs as pafs
 
@@ -82,11 +89,16 @@ def read_payload(spark: SparkSession, recs: DataFrame, root: str, status: str =
     """The body of every token in ``status``; a zero-byte body is '' and a body that cannot be
     read becomes '[Error reading file: ...]'. Other statuses get null (they are dropped later)."""
     want = recs.where(F.col("status") == status)
-    bodies = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.txt").load(root)
-        .select(_plain(F.col("path")).alias("_p"), F.col("content").cast("string").alias("value"))
-    )
+    # only that status's folder is read: bodies of other tokens are neither read nor shuffled
+    folder = f"{root.rstrip('/')}/{STATUS_FOLDERS.get(status, status)}"
+    if _exists(folder):
+        bodies = (
+            spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+            .option("pathGlobFilter", "*.txt").load(folder)
+            .select(_plain(F.col("path")).alias("_p"), F.col("content").cast("string").alias("value"))
+        )
+    else:  # no token has that status yet
+        bodies = spark.createDataFrame([], "_p string, value string")
     joined = want.withColumn("_p", _plain(F.col("path"))).join(bodies, "_p", "left")
     text = (
         F.when(F.col("size") == 0, F.lit(""))

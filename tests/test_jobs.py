@@ -152,3 +152,15 @@ def test_spread_documents_by_count_after_join(spark):
     parts = docs.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
     assert sum(r["count"] for r in parts) == 200
     assert len(parts) >= 8 and max(r["count"] for r in parts) <= 40
+
+
+def test_read_payload_without_processed_folder(spark, tmp_dir):
+    from docflow.sources import tokens as tk
+
+    root = os.path.join(tmp_dir, "tracker")
+    p = os.path.join(root, "queue/to_download/2001/4.txt")
+    os.makedirs(os.path.dirname(p), exist_ok=True)
+    open(p, "w").close()
+    recs = tk.status_records(tk.scan_status_tree(spark, root))
+    rows = tk.read_payload(spark, recs, root).collect()
+    assert [(r.ack_id, r.status, r.ocr_text) for r in rows] == [("4", "to_download", None)]
