@@ -61,8 +61,9 @@ def nfkc(col: Column | str) -> Column:
     Strings that cannot change are answered in the JVM; only the others cross to Python (the
     rest are sent as nulls, which cost next to nothing in an Arrow batch)."""
     c = _c(col)
-    needs = c.rlike(NFKC_UNSTABLE)
-    return F.when(needs, _nfkc_udf(F.when(needs, c))).otherwise(c)
+    # the UDF runs below the projection that uses its result, so the check is written once: a
+    # string that can change comes back normalised (never null), every other one as null
+    return F.coalesce(_nfkc_udf(F.when(c.rlike(NFKC_UNSTABLE), c)), c)
 
 
 def drop_bad_utf8(col: Column | str) -> Column:
