@@ -252,7 +252,7 @@ def text_or_ocr(text_pages: Column | str, ocr_pages: Column | str, start: Column
     window - whichever extractor found the page."""
     t1 = join_pages(page_window(text_pages, start, n), text_sep)
     t3 = join_pages(page_window(ocr_pages, start, n), ocr_sep)
-    return F.when(tx.has_text(t1), t1).otherwise(t3)
+    return let(t1, lambda a: F.when(tx.has_text(a), a).otherwise(t3))  # the window joined once
 
 
 def route_cascade(
@@ -279,13 +279,15 @@ def route_cascade(
     too_long = is_too_long(first, limit_pages)
     out = with_cascade(wide, list(page_cols), terms, tolerant).withColumn("n_pages", page_count(first))
     selected = (~corrupted) & (~too_long) & (~F.col("_failed")) & (F.col("page_no") >= 0)
-    raw = text_or_ocr(text_col, ocr_col, "page_no", n, text_sep, ocr_sep)
-    norm = tx.normalize_text(raw) if nfkc else tx.normalize_text_native(raw)
-    out = out.withColumn("text", F.when(selected, norm))
+    # the chosen window text is a column of its own: the normalisation refers to its input several
+    # times, and a column referenced more than once is not inlined again by the optimizer
+    out = out.withColumn("_raw", F.when(selected, text_or_ocr(text_col, ocr_col, "page_no", n, text_sep, ocr_sep)))
+    raw = F.col("_raw")
+    out = out.withColumn("text", tx.normalize_text(raw) if nfkc else tx.normalize_text_native(raw))
     out = out.withColumn(
         "status", classify_outcome(corrupted, too_long, F.col("_failed"), F.col("page_no"), F.col("text"))
     )
-    return out.drop("_failed")
+    return out.drop("_failed", "_raw")
 
 
 def to_wide(long: DataFrame, extractors: Sequence[int] = (1, 2, 3), key: str = "doc_id") -> DataFrame:
