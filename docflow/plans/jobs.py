@@ -91,8 +91,9 @@ def spread_documents(docs: DataFrame, docs_per_task: int = C.PROCESS_BATCH_SIZE)
 
     A listing row is ~100 bytes while extracting its document can take minutes, so partitions
     sized by bytes (adaptive coalescing after a join) would put every document into one or two
-    tasks. An explicit partition count is kept by adaptive execution; hashing on the id keeps
-    the assignment deterministic for retried tasks. The count reads the listing only."""
+    tasks. An explicit partition count is kept by adaptive execution. Ranges of (year, id hash)
+    keep a task's documents mostly within one year and are deterministic for retried tasks.
+    The count reads the listing only."""
     n = docs.count()
     if n == 0:
         return docs
@@ -101,7 +102,7 @@ def spread_documents(docs: DataFrame, docs_per_task: int = C.PROCESS_BATCH_SIZE)
     except Exception:  # noqa: BLE001 - Spark Connect: no SparkContext
         cores = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = max(cores, -(-n // max(1, docs_per_task)))
-    return docs.repartition(min(n, parts), "ack_id", "year")
+    return docs.repartitionByRange(min(n, parts), F.col("year"), F.xxhash64("ack_id"))
 
 
 def process_job(spark: SparkSession, doc_root: str, ledger_path: str, out_path: str,
@@ -132,7 +133,9 @@ def process_job(spark: SparkSession, doc_root: str, ledger_path: str, out_path:
     ts = ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     # extraction and routing run once: the routed table is written, transitions read it back
     cols = ["ack_id", "year", "status", "page_no", "n_pages", "text"]
-    tb._write(routed.select(*cols), out_path, "parquet", ["year"])
+    # extraction runs in the small tasks above; the routed rows are then rebalanced by year so
+    # each year is written as files of the advisory size rather than one small file per task
+    tb._write(routed.select(*cols).hint("rebalance", "year"), out_path, "parquet", ["year"])
     written = spark.read.parquet(out_path)
     with_text = F.col("status").isin(C.PROCESSED, C.TEXT_EXTRACTION_EMPTY)
     transitions = written.select(
