@@ -76,34 +76,26 @@ def read_index(spark: SparkSession, paths: str | list[str], preamble: int = C.IN
     if not header_rows:
         empty = spark.createDataFrame([], "_file string")
         return IndexScan(empty, empty, spark.createDataFrame([], "_file string, line string, n_fields int, n_header int"))
-    hdf = spark.createDataFrame([(r["_file"], r["_header"], r["_hmid"]) for r in header_rows],
-                                "_file string, _header string, _hmid long")
+    # each file's column names travel with its (broadcast) header row, so every line of every
+    # file is split and named in one pass, whatever the number of distinct headers
+    names_of = {h: _header_names(h) for h in dict.fromkeys(r["_header"] for r in header_rows)}
+    all_names = list(dict.fromkeys(n for names in names_of.values() for n in names))
+    hdf = spark.createDataFrame([(r["_file"], r["_hmid"], names_of[r["_header"]]) for r in header_rows],
+                                "_file string, _hmid long, _names array<string>")
     data = (
         lines.join(F.broadcast(hdf), "_file")  # one small row per file, size known from collect()
         .where((F.col("_block") > 0) | (F.col("_mid") > F.col("_hmid")))
         .where(~_blank(F.col("value")))
-        .select("_file", "_header", F.col("value").alias("line"), split_fields(F.col("value")).alias("_fields"),
+        .select("_file", "_names", F.col("value").alias("line"), split_fields(F.col("value")).alias("_fields"),
                 F.col("value").rlike(_DANGLING).alias("_dangling"))
     )
-    by_header: dict[str, list[str]] = {}
-    for r in header_rows:
-        by_header.setdefault(r["_header"], []).append(r["_file"])
-
-    raws, bads = [], []
-    for header, files in by_header.items():
-        names = _header_names(header)
-        n = len(names)
-        part = data.where(F.col("_header") == header)
-        too_many = (F.size("_fields") > n) | F.col("_dangling")
-        bads.append(part.where(too_many).select("_file", "line", F.size("_fields").alias("n_fields"), F.lit(n).alias("n_header")))
-        cells = [null_tokens(F.get(F.col("_fields"), i), na_tokens).alias(names[i]) for i in range(n)]
-        raws.append(part.where(~too_many).select(*cells, "_file"))
-    raw = raws[0]
-    for r in raws[1:]:
-        raw = raw.unionByName(r, allowMissingColumns=True)
-    bad = bads[0]
-    for b in bads[1:]:
-        bad = bad.unionByName(b)
+    too_many = (F.size("_fields") > F.size("_names")) | F.col("_dangling")
+    bad = data.where(too_many).select("_file", "line", F.size("_fields").alias("n_fields"),
+                                      F.size("_names").alias("n_header"))
+    # name -> cell of the line (missing trailing cells are null); columns a file lacks are null
+    named = data.where(~too_many).select(
+        "_file", F.map_from_arrays("_names", F.transform("_names", lambda _, i: F.get(F.col("_fields"), i))).alias("_m"))
+    raw = named.select(*[null_tokens(F.try_element_at("_m", F.lit(n)), na_tokens).alias(n) for n in all_names], "_file")
     rows = clean_index(raw.drop("_file")) if clean else raw
     return IndexScan(rows, raw, bad)
 
@@ -114,12 +106,17 @@ def _header_names(header: str) -> list[str]:
     fields = re.findall(r"\|((?:[^|\\]|\\.)*)", "|" + header)
     names = [re.sub(r"\\(.)", r"\1", f) for f in fields]
     # a repeated header name gets a numeric suffix (a, a.1, a.2 ...), as CSV readers do
+    # (skipping suffixes already taken, so the names are always unique)
     seen: dict[str, int] = {}
-    out = []
+    out: list[str] = []
     for n in names:
         k = seen.get(n, 0)
+        cand = n if k == 0 else f"{n}.{k}"
+        while cand in out:
+            k += 1
+            cand = f"{n}.{k}"
         seen[n] = k + 1
-        out.append(n if k == 0 else f"{n}.{k}")
+        out.append(cand)
     return out
 
 

@@ -131,3 +131,22 @@ def test_repeated_header_names(spark, tmp_dir):
     write(os.path.join(tmp_dir, "2004.txt"), ["p", "p", "p", "id|filing_year|note|note", "7|2004|a|b"])
     r = ix.scan_index(spark, tmp_dir).first()
     assert (r["ack_id"], r["note"], r["note.1"]) == ("7", "a", "b")
+
+
+def test_files_with_different_headers_one_pass(spark, tmp_dir):
+    # two header layouts: columns are the union, a file lacking a column gives nulls, a short
+    # line is null-padded, a long one is quarantined; lines are split and named in one pass
+    write(os.path.join(tmp_dir, "2001.txt"), ["p", "p", "p", "id|filing_year|sponsor_name", "1|2001|A", "2|2001"])
+    write(os.path.join(tmp_dir, "2002.txt"), ["p", "p", "p", "", "id|filing_year|plan|sponsor_name",
+                                              "3|2002|x|C", "4|2002|y|D|extra"])
+    write(os.path.join(tmp_dir, "2003.txt"), ["p", "p", "p", "a|a|a.1", "5|6|7"])
+    scan = ix.read_index(spark, tmp_dir)
+    rows = {r["ack_id"]: r.asDict() for r in scan.rows.collect() if r["ack_id"]}
+    assert rows["1"]["sponsor_name"] == "A" and rows["1"]["plan"] is None
+    assert rows["2"]["sponsor_name"] is None
+    assert rows["3"]["plan"] == "x" and rows["3"]["filing_year"] == 2002
+    assert "4" not in rows
+    assert [(r.n_fields, r.n_header) for r in scan.bad_lines.collect()] == [(5, 4)]
+    r = [x.asDict() for x in scan.raw.where("a is not null").collect()][0]
+    assert (r["a"], r["a.1"], r["a.1.1"]) == ("5", "6", "7")  # a taken suffix is skipped
+    assert "Union" not in scan.rows._jdf.queryExecution().optimizedPlan().toString()
