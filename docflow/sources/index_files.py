@@ -47,6 +47,9 @@ def _blank(col):
     return strip_text(col) == ""
 
 
+MAX_BROADCAST_FILES = 1_000_000  # per-file rows (a path and a long) broadcast up to this count
+
+
 def read_index(spark: SparkSession, paths: str | list[str], preamble: int = C.INDEX_PREAMBLE_LINES,
                na_tokens=C.NA_TOKENS, clean: bool = True) -> IndexScan:
     """S1 + S2 + S3 over every index file under ``paths`` (files or folders, recursive)."""
@@ -62,13 +65,15 @@ def read_index(spark: SparkSession, paths: str | list[str], preamble: int = C.IN
         )
     )
     first_split = lines.where(F.col("_block") == 0)
-    # per file: id of the first line (partial aggregate; one row per file reaches the driver)
-    start_rows = first_split.groupBy("_file").agg(F.min("_mid").alias("_m0")).collect()
-    if not start_rows:
+    # per file: id of the first line (partial aggregate), broadcast within the header job below:
+    # one row per input file, and the listing gives the file count without running a job
+    starts = first_split.groupBy("_file").agg(F.min("_mid").alias("_m0"))
+    n_files = len(lines.inputFiles())
+    if n_files == 0:
         empty = spark.createDataFrame([], "_file string")
         return IndexScan(empty, empty, spark.createDataFrame([], "_file string, line string, n_fields int, n_header int"))
-    starts = spark.createDataFrame([(r["_file"], r["_m0"]) for r in start_rows], "_file string, _m0 long")
-    after = first_split.join(F.broadcast(starts), "_file").where(F.col("_mid") >= F.col("_m0") + preamble)
+    starts = F.broadcast(starts) if n_files <= MAX_BROADCAST_FILES else starts
+    after = first_split.join(starts, "_file").where(F.col("_mid") >= F.col("_m0") + preamble)
     after = after.where(~_blank(F.col("value")))
     # one row per file: the header line and its position
     headers = after.groupBy("_file").agg(F.min_by("value", "_mid").alias("_header"), F.min("_mid").alias("_hmid"))
