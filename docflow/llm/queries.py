@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import bpe, chat_format, decontaminate, line_frequency
+from . import bpe, chat_format, decontaminate, line_frequency, paragraphs, probminhash
 
 QUERIES = {
     "op1_line_frequency": line_frequency.op1_line_frequency,
+    "op3_paragraph_minhash": paragraphs.op3_paragraph_minhash,
     "op4_decontaminate": decontaminate.op4_decontaminate,
     "op7_pair_index_bpe": bpe.op7_pair_index_bpe,
+    "op9_probminhash": probminhash.op9_probminhash,
     "op10_incremental_chat": chat_format.op10_incremental_chat,
 }
 
