@@ -2,15 +2,17 @@
 
 Every position belongs to the bucket of its q-gram. Buckets are refined as in suffix sorting: a
 position's next identifier is made of its own one and that of a later offset, and each round
-reuses the identifiers of the round before: 20 bytes, then 40, 80 and 100. Identifiers are
+reuses the identifiers of the round before: 20 bytes, then 40, 60 and 100. Identifiers are
 64-bit hashes, so a later offset's identifier is known without a lookup.
 
 Not all positions travel. A window of 100 bytes is represented by the position of its smallest
 q-gram (the rightmost of equal ones), which depends on the window's bytes alone; successive windows
 with one representative form a run. Runs are shuffled by the bucket of their representative;
 buckets of one run are done; the others are refined by the identifiers of the runs' ends, which
-fix all their bytes; and only the first run of each refined bucket is opened into positions where
-its first bucket was not of one content. Whole copies of a document are recognised beforehand.
+fix all their bytes. Of each refined bucket only the first run goes on, and only where another
+run shares its representative with the 40 bytes before or after it: every window holds one of
+the two. What is left is opened into positions and refined to the full length. Whole copies of a
+document are recognised beforehand.
 """
 
 from __future__ import annotations
@@ -27,24 +29,26 @@ from .textbytes import U, batches, mix, prefix_sums, span_hashes
 
 LENGTH = 100
 GRAM = 20
+SIDE = (LENGTH - GRAM) // 2
 
 WEIGHTS = mix(np.arange(2001, 2005, dtype=U)) | U(1)
 
 
-def identifiers(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Per position of ``raw``: the identifier of its q-gram, and the one of its ``LENGTH`` bytes,
-    refined from it by later offsets. Positions without enough bytes after them have none."""
+def identifiers(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per position of ``raw``: the identifier of its q-gram, and those of its ``GRAM + SIDE`` and of
+    its ``LENGTH`` bytes, each refined from the one before by that of a later offset. Positions
+    without enough bytes after them have none."""
     starts = np.arange(len(raw) - GRAM + 1)
-    gram = span_hashes(prefix_sums(raw), starts, starts + GRAM)
-    known, depth = gram, GRAM
-    while depth < LENGTH:
-        later = min(depth, LENGTH - depth)
-        known = mix(known[: len(known) - later] * WEIGHTS[0] + known[later:] * WEIGHTS[1])
-        depth += later
-    return gram, known
+    known = [span_hashes(prefix_sums(raw), starts, starts + GRAM)]
+    depth = GRAM
+    for goal in (2 * GRAM, GRAM + SIDE, LENGTH):
+        now, later = known[-1], goal - depth
+        known.append(mix(now[: len(now) - later] * WEIGHTS[0] + now[later:] * WEIGHTS[1]))
+        depth = goal
+    return known[0], known[2], known[3]
 
 
-def runs(raw: np.ndarray, ends: np.ndarray, gram: np.ndarray, full: np.ndarray):
+def runs(ends: np.ndarray, gram: np.ndarray):
     """Owner, representative, first and last window of every run. ``ends`` closes the texts that
     ``raw`` concatenates; windows do not cross them."""
     width = LENGTH - GRAM + 1
@@ -84,10 +88,13 @@ def _runs_of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             raw, ends = _concatenated(texts[a:b])
             if len(raw) < LENGTH:
                 continue
-            gram, full = identifiers(raw)
-            owner, at, lo, hi = runs(raw, ends, gram, full)
+            gram, half, full = identifiers(raw)
+            owner, at, lo, hi = runs(ends, gram)
             content = mix(full[lo] * WEIGHTS[2] + full[hi] * WEIGHTS[3] + (hi - lo).astype(U))
             base = (ends - np.diff(ends, prepend=0))[owner]
+            # a side that no window of the run holds whole is told apart by the run's own content
+            before = np.where(at - lo >= SIDE, half[np.maximum(at - SIDE, 0)], content)
+            after = np.where(at - hi <= SIDE, half[np.minimum(at, len(half) - 1)], content)
             yield pd.DataFrame(
                 {
                     "bucket": gram[at].view(np.int64),
@@ -95,6 +102,8 @@ def _runs_of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     "doc": frame["doc"].to_numpy()[a:b][owner],
                     # first window, and how many more follow it
                     "lo": lo - base,
+                    "before": before.astype(np.uint32).view(np.int32),
+                    "after": after.astype(np.uint32).view(np.int32),
                     "more": (hi - lo).astype(np.int32),
                 }
             )
@@ -106,7 +115,7 @@ def _positions_of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         texts = [_bytes(t) for t in frame["text"]]
         for a, b in batches([len(t) for t in texts]):
             raw, ends = _concatenated(texts[a:b])
-            _, full = identifiers(raw)
+            _, _, full = identifiers(raw)
             base = ends - np.diff(ends, prepend=0)
             parts = []
             for k in range(a, b):
@@ -144,12 +153,12 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     firsts = sized.groupBy("digest").agg(F.min("doc").alias("first"), F.count("*").alias("n")).where("n > 1")
     copies = stored(sized.join(firsts, "digest").where("doc > first").select("doc").distinct(), "copies")
     source = own.where(F.octet_length("text") >= LENGTH).join(copies, "doc", "left_anti")
-    made = source.mapInPandas(_runs_of, "bucket long, content long, doc long, lo long, more int")
+    made = source.mapInPandas(_runs_of, "bucket long, content long, doc long, lo long, before int, after int, more int")
     several = made.groupBy("bucket").count().where(F.col("count") > 1).select(F.col("bucket").alias("b"))
     shared = stored(made.join(several, F.col("bucket") == F.col("b")).drop("b"), "shared")
     # the first run of each content, and the buckets that hold different contents
     firsts = stored(
-        shared.groupBy("bucket", "content").agg(F.min(F.struct("doc", "lo", "more")).alias("first"), F.count("*").alias("n")), "contents"
+        shared.groupBy("bucket", "content").agg(F.min(F.struct("doc", "lo", "more", "before", "after")).alias("first"), F.count("*").alias("n")), "contents"
     )
     place = F.struct("doc", "lo")
     repeated = firsts.where("n > 1").select(F.col("bucket").alias("b"), F.col("content").alias("c"), "first")
@@ -158,12 +167,16 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         .where(place != F.struct("first.doc", "first.lo"))
         .select("doc", "lo", (F.col("lo") + F.col("more") + LENGTH).alias("hi"))
     )
-    mixed = firsts.groupBy("bucket").count().where(F.col("count") > 1).select(F.col("bucket").alias("b"))
+    sides = [
+        firsts.groupBy("bucket", f"first.{side}").count().where(F.col("count") > 1).select(F.col("bucket").alias("b"), F.col(side).alias("s"))
+        for side in ("before", "after")
+    ]
+    touched = [
+        firsts.join(found, (F.col("bucket") == F.col("b")) & (F.col(f"first.{side}") == F.col("s"))).select("bucket", "first.doc", "first.lo", "first.more")
+        for found, side in zip(sides, ("before", "after"))
+    ]
     wanted = stored(
-        firsts.join(mixed, F.col("bucket") == F.col("b"))
-        .groupBy("first.doc")
-        .agg(F.collect_list(F.struct("bucket", F.col("first.lo").alias("lo"), F.col("first.more").alias("more"))).alias("wanted")),
-        "wanted",
+        touched[0].union(touched[1]).groupBy("doc").agg(F.collect_set(F.struct("bucket", "lo", "more")).alias("wanted")), "wanted"
     )
     opened = own.join(wanted, "doc").select("doc", "text", "wanted")
     positions = stored(opened.mapInPandas(_positions_of, "bucket long, content long, doc long, pos long"), "positions")
