@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from .clusters import link_buckets
 from .common import stored, table
-from .textbytes import U, band_codes, batches, digest64, distinct, mix, plain_words, shingles
+from .textbytes import U, band_codes, batches, digest64, distinct, mix, plain_words, shingle_sets, shingles
 
 THRESHOLD = 0.8
 MIN_WORDS = 20
@@ -111,7 +111,7 @@ def repeated_paragraphs(
         lines = own.join(wanted, same).select(
             F.inline(F.transform("wanted", lambda x: F.struct(x["id"].alias("id"), F.get(F.split("text", "\n"), x["place"]).alias("text"))))
         )
-        return lines.mapInPandas(_sets, "id long, grams array<long>").dropDuplicates(["id"])
+        return lines.mapInPandas(_sets, "id long, grams array<long>, sketch array<long>").dropDuplicates(["id"])
 
     labels = link_buckets(items.select(F.col("node").alias("id"), "bands"), sets_of, threshold)
     labelled = nodes.join(labels, nodes["node"] == labels["id"], "left").select("node", "spot", "n", F.coalesce("label", "node").alias("label"))
@@ -123,14 +123,8 @@ def repeated_paragraphs(
 
 def _sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
-        texts = [plain_words(t) for t in frame["text"]]
-        for a, b in batches([len(t) for t in texts]):
-            d, h, _ = distinct(*shingles(texts[a:b], WIDTH))
-            cuts = np.searchsorted(d, np.arange(b - a + 1))
-            values = h.view(np.int64)
-            yield pd.DataFrame(
-                {"id": frame["id"].iloc[a:b].reset_index(drop=True), "grams": [values[cuts[i] : cuts[i + 1]] for i in range(b - a)]}
-            )
+        for part, _ in shingle_sets(frame["id"], [plain_words(t) for t in frame["text"]], WIDTH):
+            yield part
 
 
 def remove_repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from .clusters import link_buckets
 from .common import stored, table
-from .textbytes import U, band_codes, batches, digest64, distinct, mix, plain_words, shingles
+from .textbytes import U, band_codes, batches, digest64, distinct, mix, plain_words, shingle_sets, shingles
 
 REGISTERS = 144
 ROWS = 6
@@ -67,18 +67,6 @@ def _signed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             )
 
 
-def _shingle_sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for frame in frames:
-        texts = [plain_words(t) for t in frame["text"]]
-        for a, b in batches([len(t) for t in texts]):
-            d, h, _ = distinct(*shingles(texts[a:b], WIDTH))
-            cuts = np.searchsorted(d, np.arange(b - a + 1))
-            sets = h.view(np.int64)
-            yield pd.DataFrame(
-                {"id": frame["id"].iloc[a:b].reset_index(drop=True), "grams": [sets[cuts[i] : cuts[i + 1]] for i in range(b - a)]}
-            )
-
-
 def _hash(text: str) -> Column:
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
 
@@ -106,8 +94,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         wanted = stored(nodes.join(ids, nodes["node"] == ids["id"]).select("id", "doc_id").where("doc_id is not null"), "wanted")
         source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
         found = source.join(wanted, "doc_id").select("id", "text")
-        made = found.mapInPandas(_named_sets, "id long, node long, grams array<long>")
-        return made.where("id = node").dropDuplicates(["id"]).select("id", "grams")
+        made = found.mapInPandas(_named_sets, "id long, node long, grams array<long>, sketch array<long>")
+        return made.where("id = node").dropDuplicates(["id"]).select("id", "grams", "sketch")
 
     labels = link_buckets(
         items.where("node is not null and doc_id is not null").select(F.col("node").alias("id"), "bands"), sets_of, threshold
@@ -132,11 +120,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 def _named_sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Sets with the node of their own text: rows of another text under the same id fall out."""
     for frame in frames:
-        nodes = pd.Series([digest64(plain_words(t)) for t in frame["text"]], dtype="int64")
-        done = 0
-        for part in _shingle_sets(iter([frame])):
-            part.insert(1, "node", nodes.iloc[done : done + len(part)].reset_index(drop=True))
-            done += len(part)
+        texts = [plain_words(t) for t in frame["text"]]
+        for part, (a, b) in shingle_sets(frame["id"], texts, WIDTH):
+            part.insert(1, "node", np.array([digest64(t) for t in texts[a:b]], dtype=np.int64))
             yield part
 
 

@@ -11,6 +11,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 
 U = np.uint64
 MULTIPLIER = 0x9E3779B97F4A7C15 | 1
@@ -128,3 +129,46 @@ def band_codes(signature: np.ndarray, rows: int) -> np.ndarray:
     weights = mix(np.arange(101, 101 + rows, dtype=U)) | U(1)
     cut = signature[:, : m // rows * rows].reshape(n, m // rows, rows)
     return mix((cut * weights).sum(axis=2, dtype=U)).view(np.int64)
+
+
+SKETCH_WORDS = 16
+
+
+def sketches(owner: np.ndarray, hashes: np.ndarray, n: int) -> np.ndarray:
+    """For each of ``n`` sets, one bit of each of 64 * SKETCH_WORDS MinHash values. Two sets agree in a
+    bit with probability (1 + J) / 2. ``owner`` is sorted; sets without values keep zeros."""
+    out = np.zeros((n, SKETCH_WORDS), dtype=U)
+    present, firsts = np.unique(owner, return_index=True)
+    if not len(present):
+        return out.view(np.int64)
+    factors = mix(np.arange(5001, 5001 + 64 * SKETCH_WORDS, dtype=U)) | U(1)
+    for k, f in enumerate(factors):
+        least = np.minimum.reduceat(hashes * f, firsts)
+        bit = (least * U(0xBF58476D1CE4E5B9)) >> U(63)
+        out[present, k // 64] |= bit << U(k % 64)
+    return out.view(np.int64)
+
+
+def most_different_bits(threshold: float, deviations: float = 3.3) -> int:
+    """Differing bits that sets at the threshold exceed only beyond so many standard deviations."""
+    bits = 64 * SKETCH_WORDS
+    p = (1 - threshold) / 2
+    return int(bits * p + deviations * (bits * p * (1 - p)) ** 0.5)
+
+
+def shingle_sets(ids: pd.Series, texts: list[bytes], width: int) -> Iterator[tuple[pd.DataFrame, tuple[int, int]]]:
+    """``id, grams, sketch`` of each text, batch by batch, with the range of texts in the batch."""
+    for a, b in batches([len(t) for t in texts]):
+        owner, hashes, _ = distinct(*shingles(texts[a:b], width))
+        cuts = np.searchsorted(owner, np.arange(b - a + 1))
+        grams = hashes.view(np.int64)
+        yield (
+            pd.DataFrame(
+                {
+                    "id": ids.iloc[a:b].reset_index(drop=True),
+                    "grams": [grams[cuts[i] : cuts[i + 1]] for i in range(b - a)],
+                    "sketch": list(sketches(owner, hashes, b - a)),
+                }
+            ),
+            (a, b),
+        )
