@@ -2,17 +2,17 @@
 
 Every position belongs to the bucket of its q-gram. Buckets are refined as in suffix sorting: a
 position's next identifier is made of its own one and that of a later offset, and each round
-reuses the identifiers of the round before: 20 bytes, then 40, 60 and 100. Identifiers are
+reuses the identifiers of the round before: 20 bytes, then 40, 80 and 100. Identifiers are
 64-bit hashes, so a later offset's identifier is known without a lookup.
 
 Not all positions travel. A window of 100 bytes is represented by the position of its smallest
 q-gram (the rightmost of equal ones), which depends on the window's bytes alone; successive windows
 with one representative form a run. Runs are shuffled by the bucket of their representative;
 buckets of one run are done; the others are refined by the identifiers of the runs' ends, which
-fix all their bytes. Of each refined bucket only the first run goes on, and only where another
-run shares its representative with the 40 bytes before or after it: every window holds one of
-the two. What is left is opened into positions and refined to the full length. Whole copies of a
-document are recognised beforehand.
+fix all their bytes. Of each refined bucket only the first run goes on. Its windows fall into four
+parts by their distance from the representative; all windows of a part hold the same core of 80
+bytes, and a part whose core no other run of the bucket has is done. What is left is opened into
+positions and refined to the full length. Whole copies of a document are recognised beforehand.
 """
 
 from __future__ import annotations
@@ -29,19 +29,21 @@ from .textbytes import U, batches, mix, prefix_sums, span_hashes
 
 LENGTH = 100
 GRAM = 20
-SIDE = (LENGTH - GRAM) // 2
+PARTS = 4
+STEP = (LENGTH - GRAM) // PARTS
+CORE = LENGTH - STEP
 
 WEIGHTS = mix(np.arange(2001, 2005, dtype=U)) | U(1)
 
 
 def identifiers(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per position of ``raw``: the identifier of its q-gram, and those of its ``GRAM + SIDE`` and of
-    its ``LENGTH`` bytes, each refined from the one before by that of a later offset. Positions
+    """Per position of ``raw``: the identifier of its q-gram, and those of its ``CORE`` and of its
+    ``LENGTH`` bytes, each refined from the one before by that of a later offset. Positions
     without enough bytes after them have none."""
     starts = np.arange(len(raw) - GRAM + 1)
     known = [span_hashes(prefix_sums(raw), starts, starts + GRAM)]
     depth = GRAM
-    for goal in (2 * GRAM, GRAM + SIDE, LENGTH):
+    for goal in (2 * GRAM, CORE, LENGTH):
         now, later = known[-1], goal - depth
         known.append(mix(now[: len(now) - later] * WEIGHTS[0] + now[later:] * WEIGHTS[1]))
         depth = goal
@@ -92,19 +94,21 @@ def _runs_of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             owner, at, lo, hi = runs(ends, gram)
             content = mix(full[lo] * WEIGHTS[2] + full[hi] * WEIGHTS[3] + (hi - lo).astype(U))
             base = (ends - np.diff(ends, prepend=0))[owner]
-            # a side that no window of the run holds whole is told apart by the run's own content
-            before = np.where(at - lo >= SIDE, half[np.maximum(at - SIDE, 0)], content)
-            after = np.where(at - hi <= SIDE, half[np.minimum(at, len(half) - 1)], content)
+            cores = np.zeros(len(at), dtype=U)
+            for j in range(PARTS):
+                core = half[np.clip(at - STEP * j, 0, len(half) - 1)]
+                cores |= (core >> U(48)) << U(16 * j)
             yield pd.DataFrame(
                 {
                     "bucket": gram[at].view(np.int64),
                     "content": content.view(np.int64),
                     "doc": frame["doc"].to_numpy()[a:b][owner],
-                    # first window, and how many more follow it
                     "lo": lo - base,
-                    "before": before.astype(np.uint32).view(np.int32),
-                    "after": after.astype(np.uint32).view(np.int32),
-                    "more": (hi - lo).astype(np.int32),
+                    # how far the representative lies behind the first and behind the last window
+                    "far": (at - lo).astype(np.int8),
+                    "near": (at - hi).astype(np.int8),
+                    # 16 bits of the core of each part
+                    "cores": cores.view(np.int64),
                 }
             )
 
@@ -153,30 +157,39 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     firsts = sized.groupBy("digest").agg(F.min("doc").alias("first"), F.count("*").alias("n")).where("n > 1")
     copies = stored(sized.join(firsts, "digest").where("doc > first").select("doc").distinct(), "copies")
     source = own.where(F.octet_length("text") >= LENGTH).join(copies, "doc", "left_anti")
-    made = source.mapInPandas(_runs_of, "bucket long, content long, doc long, lo long, before int, after int, more int")
+    made = source.mapInPandas(_runs_of, "bucket long, content long, doc long, lo long, far byte, near byte, cores long")
     several = made.groupBy("bucket").count().where(F.col("count") > 1).select(F.col("bucket").alias("b"))
     shared = stored(made.join(several, F.col("bucket") == F.col("b")).drop("b"), "shared")
     # the first run of each content, and the buckets that hold different contents
     firsts = stored(
-        shared.groupBy("bucket", "content").agg(F.min(F.struct("doc", "lo", "more", "before", "after")).alias("first"), F.count("*").alias("n")), "contents"
+        shared.groupBy("bucket", "content").agg(F.min(F.struct("doc", "lo", "far", "near", "cores")).alias("first"), F.count("*").alias("n")), "contents"
     )
     place = F.struct("doc", "lo")
     repeated = firsts.where("n > 1").select(F.col("bucket").alias("b"), F.col("content").alias("c"), "first")
     whole = (
         shared.join(repeated, (F.col("bucket") == F.col("b")) & (F.col("content") == F.col("c")))
         .where(place != F.struct("first.doc", "first.lo"))
-        .select("doc", "lo", (F.col("lo") + F.col("more") + LENGTH).alias("hi"))
+        .select("doc", "lo", (F.col("lo") + F.col("far") - F.col("near") + LENGTH).alias("hi"))
+    )
+    parts = firsts.select("bucket", "first.*", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("part"))
+    least = F.greatest(F.col("near").cast("int"), F.col("part") * STEP)
+    most = F.least(F.col("far").cast("int"), F.col("part") * STEP + F.when(F.col("part") == PARTS - 1, STEP).otherwise(STEP - 1))
+    parts = parts.select(
+        "bucket",
+        "doc",
+        "part",
+        F.expr("shiftright(cores, 16 * part) & 65535").alias("core"),
+        (F.col("lo") + F.col("far") - most).alias("lo"),
+        (most - least).alias("more"),
+    ).where("more >= 0")
+    held = parts.groupBy("bucket", "part", "core").count().where(F.col("count") > 1).select(
+        F.col("bucket").alias("b"), F.col("part").alias("p"), F.col("core").alias("c")
     )
-    sides = [
-        firsts.groupBy("bucket", f"first.{side}").count().where(F.col("count") > 1).select(F.col("bucket").alias("b"), F.col(side).alias("s"))
-        for side in ("before", "after")
-    ]
-    touched = [
-        firsts.join(found, (F.col("bucket") == F.col("b")) & (F.col(f"first.{side}") == F.col("s"))).select("bucket", "first.doc", "first.lo", "first.more")
-        for found, side in zip(sides, ("before", "after"))
-    ]
     wanted = stored(
-        touched[0].union(touched[1]).groupBy("doc").agg(F.collect_set(F.struct("bucket", "lo", "more")).alias("wanted")), "wanted"
+        parts.join(held, (F.col("bucket") == F.col("b")) & (F.col("part") == F.col("p")) & (F.col("core") == F.col("c")))
+        .groupBy("doc")
+        .agg(F.collect_list(F.struct("bucket", "lo", "more")).alias("wanted")),
+        "wanted",
     )
     opened = own.join(wanted, "doc").select("doc", "text", "wanted")
     positions = stored(opened.mapInPandas(_positions_of, "bucket long, content long, doc long, pos long"), "positions")
