@@ -17,8 +17,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import lower_ascii, stored, table, words
+from .common import stored, table
 from .textbytes import prefix_sums, span_hashes
 
 # So many of the most frequent words are broadcast (about 100 bytes each).
@@ -190,14 +191,16 @@ def _one_round(seen: DataFrame, path: str, weight: np.ndarray) -> np.ndarray:
     return np.log(n / n.sum())
 
 
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _lower_words(texts: pd.Series) -> pd.Series:
+    """Words of each text, A-Z in lower case: bytes know no other letters and no other blanks."""
+    return texts.map(lambda t: b" ".join(t.encode("utf-8", "surrogatepass").lower().split()).decode("utf-8", "surrogatepass").split(" "))
+
+
 def _tokens(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     held = F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 10, F.lit(0)) == 0
-    return docs.select(
-        F.col(doc_id).alias("doc_id"),
-        F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_hash"),
-        held.alias("held_out"),
-        words(lower_ascii(F.col(text))).alias("w"),
-    )
+    whole = F.coalesce(F.col(text), F.lit(""))
+    return docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(whole).alias("text_hash"), held.alias("held_out"), whole.alias("text"))
 
 
 def lattice_scores(docs: DataFrame, vocabulary: str | None = None, doc_id: str = "doc_id", text: str = "text", frequent: int = FREQUENT) -> DataFrame:
@@ -209,7 +212,7 @@ def lattice_scores(docs: DataFrame, vocabulary: str | None = None, doc_id: str =
     tokens = _tokens(docs, doc_id, text)
     trained = F.when(~F.col("held_out"), 1).otherwise(0)
     counts = stored(
-        tokens.select(trained.alias("t"), F.explode("w").alias("word")).groupBy("word").agg(F.sum("t").alias("c")), "words"
+        tokens.select(trained.alias("t"), F.explode(_lower_words("text")).alias("word")).where("word <> ''").groupBy("word").agg(F.sum("t").alias("c")), "words"
     )
     ends = tokens.agg(F.coalesce(F.sum(trained), F.lit(0))).first()[0]
     known = counts.where("c > 0")
@@ -242,7 +245,7 @@ def lattice_scores(docs: DataFrame, vocabulary: str | None = None, doc_id: str =
     valued = lexicon.select(F.col("word").alias("key"), (F.col("c") > 0).cast("long").alias("known"), base.alias("base"), "lp")
     top = stored(lexicon.orderBy(F.desc("c"), "word").limit(frequent).select(F.col("word").alias("top")), "frequent")
     first = F.broadcast(valued.join(F.broadcast(top), F.col("key") == F.col("top"), "left_semi"))
-    spread = tokens.select("doc_id", "text_hash", F.explode("w").alias("word"))
+    spread = tokens.select("doc_id", "text_hash", F.explode(_lower_words("text")).alias("word")).where("word <> ''")
     common = spread.join(first, F.col("word") == F.col("key"))
     rare = spread.join(F.broadcast(top), F.col("word") == F.col("top"), "left_anti").join(valued, F.col("word") == F.col("key"))
 
@@ -258,18 +261,18 @@ def lattice_scores(docs: DataFrame, vocabulary: str | None = None, doc_id: str =
     )
     end_base = float(np.log10((ends + 0.1) / (n + 0.1 * (v + 1))))
     end_model = float(np.log10(ends / n)) if ends else end_base
-    rows = tokens.select("doc_id", "text_hash", "held_out", F.size("w").cast("long").alias("size"))
-    joined = rows.join(sums, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h")), "left")
     # equal rows are summed together: each has its share
-    share = F.col("size") / F.col("n")
+    rows = tokens.groupBy("doc_id", "text_hash", "held_out").agg(F.count("*").alias("copies"))
+    joined = rows.join(sums, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h")), "left")
+    joined = joined.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
 
     def part(c: Column) -> Column:
-        return F.coalesce(c * share, F.lit(0.0))
+        return F.coalesce(c / F.col("copies"), F.lit(0.0))
 
     return joined.select(
         "doc_id",
         "held_out",
-        (F.col("size") + 1).alias("n_tokens"),
+        (F.round(part(F.col("n"))).cast("long") + 1).alias("n_tokens"),
         (F.round(part(F.col("known"))).cast("long") + (1 if ends else 0)).alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"),
         (part(F.col("base")) + end_base).alias("base_score"),
