@@ -17,10 +17,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .common import stored, table
-from .textbytes import prefix_sums, span_hashes
+from .textbytes import batches, prefix_sums, span_hashes
 
 # So many of the most frequent words are broadcast (about 100 bytes each).
 FREQUENT = 10_000
@@ -191,10 +190,22 @@ def _one_round(seen: DataFrame, path: str, weight: np.ndarray) -> np.ndarray:
     return np.log(n / n.sum())
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _lower_words(texts: pd.Series) -> pd.Series:
-    """Words of each text, A-Z in lower case: bytes know no other letters and no other blanks."""
-    return texts.map(lambda t: b" ".join(t.encode("utf-8", "surrogatepass").lower().split()).decode("utf-8", "surrogatepass").split(" "))
+def _words(tokens: DataFrame) -> DataFrame:
+    """``doc_id, text_hash, held_out, word`` of every word, A-Z in lower case: bytes know no other
+    letters and no other blanks. About a megabyte of text is split at a time."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for a, b in batches([len(t) for t in frame["text"]]):
+                part = frame.iloc[a:b]
+                found = [b" ".join(t.encode("utf-8", "surrogatepass").lower().split()).decode("utf-8", "surrogatepass") for t in part["text"]]
+                yield part.drop(columns="text").assign(words=[t.split(" ") if t else [] for t in found])
+
+    kind = tokens.schema["doc_id"].dataType.simpleString()
+    made = tokens.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(
+        run, "doc_id string, text_hash long, held_out boolean, words array<string>"
+    )
+    return made.select(F.col("doc_id").cast(kind).alias("doc_id"), "text_hash", "held_out", F.explode("words").alias("word"))
 
 
 def _tokens(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -212,7 +223,7 @@ def lattice_scores(docs: DataFrame, vocabulary: str | None = None, doc_id: str =
     tokens = _tokens(docs, doc_id, text)
     trained = F.when(~F.col("held_out"), 1).otherwise(0)
     counts = stored(
-        tokens.select(trained.alias("t"), F.explode(_lower_words("text")).alias("word")).where("word <> ''").groupBy("word").agg(F.sum("t").alias("c")), "words"
+        _words(tokens).select(trained.alias("t"), "word").groupBy("word").agg(F.sum("t").alias("c")), "words"
     )
     ends = tokens.agg(F.coalesce(F.sum(trained), F.lit(0))).first()[0]
     known = counts.where("c > 0")
@@ -245,7 +256,7 @@ def lattice_scores(docs: DataFrame, vocabulary: str | None = None, doc_id: str =
     valued = lexicon.select(F.col("word").alias("key"), (F.col("c") > 0).cast("long").alias("known"), base.alias("base"), "lp")
     top = stored(lexicon.orderBy(F.desc("c"), "word").limit(frequent).select(F.col("word").alias("top")), "frequent")
     first = F.broadcast(valued.join(F.broadcast(top), F.col("key") == F.col("top"), "left_semi"))
-    spread = tokens.select("doc_id", "text_hash", F.explode(_lower_words("text")).alias("word")).where("word <> ''")
+    spread = _words(tokens).select("doc_id", "text_hash", "word")
     common = spread.join(first, F.col("word") == F.col("key"))
     rare = spread.join(F.broadcast(top), F.col("word") == F.col("top"), "left_anti").join(valued, F.col("word") == F.col("key"))
 
