@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stored, table
+from .common import MAX_BROADCAST_IDS, stored, table, with_ids
 from .textbytes import U, batches, mix, prefix_sums, span_hashes
 
 LENGTH = 100
@@ -191,7 +191,7 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         .agg(F.collect_list(F.struct("bucket", "lo", "more")).alias("wanted")),
         "wanted",
     )
-    opened = own.join(wanted, "doc").select("doc", "text", "wanted")
+    opened = with_ids(own, "doc", wanted.select("doc")).join(wanted, "doc").select("doc", "text", "wanted")
     positions = stored(opened.mapInPandas(_positions_of, "bucket long, content long, doc long, pos long"), "positions")
     earliest = (
         positions.groupBy("bucket", "content")
@@ -236,11 +236,15 @@ def _cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def remove_repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: ``doc_id, n_bytes, spans`` (the removed byte ranges, in order, as pairs)
     and ``kept`` (the bytes that are left; cutting may split a character)."""
-    found = repeated_spans(docs, doc_id, text)
+    found = stored(repeated_spans(docs, doc_id, text), "found")
     kind = docs.schema[doc_id].dataType.simpleString()
     rows = docs.select(F.col(doc_id).cast("long").alias("row_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     variants = rows.where("row_id is not null").groupBy("row_id").agg(F.min(F.xxhash64("text")).alias("least"), F.max(F.xxhash64("text")).alias("most"))
     others = stored(variants.where("least < most").select(F.col("row_id").alias("d"), "least"), "others")
+    whole = None
+    ids = found.select(F.col("doc").alias("row_id"))
+    if ids.count() <= MAX_BROADCAST_IDS:  # texts that stay whole need no shuffle
+        whole, rows = rows.join(F.broadcast(ids), "row_id", "left_anti"), with_ids(rows, "row_id", ids)
     joined = rows.join(found, F.col("row_id") == F.col("doc"), "left")
     if not others.isEmpty():
         joined = joined.join(others, F.col("row_id") == F.col("d"), "left")
@@ -249,6 +253,15 @@ def remove_repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "
     made = joined.select(F.col("row_id").cast("string").alias("doc_id"), "text", "copy", "found").mapInPandas(
         _cut, "doc_id string, n_bytes long, spans array<array<long>>, kept binary"
     )
+    if whole is not None:
+        made = made.union(
+            whole.select(
+                F.col("row_id").cast("string"),
+                F.octet_length("text").cast("long"),
+                F.array().cast("array<array<bigint>>"),
+                F.encode("text", "utf-8"),
+            )
+        )
     return made.withColumn("doc_id", F.col("doc_id").cast(kind))
 
 

@@ -45,3 +45,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+# A list of ids is broadcast up to this many (16 bytes each, and a hash table of like size).
+MAX_BROADCAST_IDS = 1_000_000
+
+
+def with_ids(rows: DataFrame, key: str, ids: DataFrame) -> DataFrame:
+    """The rows whose ``key`` is in ``ids`` (one stored column of that name), filtered before any
+    shuffle where the counted list is small enough to broadcast. Beyond that the rows come back
+    unfiltered: callers join them with the list's table anyway."""
+    if ids.count() > MAX_BROADCAST_IDS:
+        return rows
+    return rows.join(F.broadcast(ids), key, "left_semi")

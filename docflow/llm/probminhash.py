@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .clusters import link_buckets
-from .common import stored, table
+from .common import stored, table, with_ids
 from .textbytes import U, band_codes, batches, digest64, distinct, mix, plain_words, shingle_sets, shingles
 
 REGISTERS = 144
@@ -93,7 +93,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     def sets_of(ids: DataFrame) -> DataFrame:
         wanted = stored(nodes.join(ids, nodes["node"] == ids["id"]).select("id", "doc_id").where("doc_id is not null"), "wanted")
         source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-        found = source.join(wanted, "doc_id").select("id", "text")
+        found = with_ids(source, "doc_id", wanted.select("doc_id")).join(wanted, "doc_id").select("id", "text")
         made = found.mapInPandas(_named_sets, "id long, node long, grams array<long>, sketch array<long>")
         return made.where("id = node").dropDuplicates(["id"]).select("id", "grams", "sketch")
 
