@@ -34,13 +34,13 @@ def style(text: Column, w: Column) -> list[Column]:
     size = F.greatest(F.size(w), F.lit(1))
 
     def share(letters: str) -> Column:
-        return (F.length(t) - F.length(F.translate(t, letters, ""))) / n
+        return F.regexp_count(t, F.lit(f"[{letters}]")) / n
 
     return [
-        share("ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
-        share("0123456789"),
+        share("A-Z"),
+        share("0-9"),
         share("#*$%&"),
-        share("|<>{}[]"),
+        share(r"|<>{}\[\]"),
         share("!?"),
         share(".,;:"),
         share("\n"),
@@ -54,15 +54,12 @@ def style(text: Column, w: Column) -> list[Column]:
 def features(docs: DataFrame, text: str) -> DataFrame:
     """``docs`` with ``words`` (letters and digits in lower case, each once) and ``style``."""
     t = F.col(text)
-    shown = words(t)
-    plain = let(
-        shown,
-        lambda w: F.struct(
-            F.array_distinct(F.transform(w, lambda x: F.lower(F.regexp_replace(x, r"[\p{Punct}]+", "")))).alias("words"),
-            F.array(*[c.cast("double") for c in style(t, w)]).alias("style"),
-        ),
+    plain = F.array_distinct(words(F.lower(F.regexp_replace(F.coalesce(t, F.lit("")), r"[\p{Punct}]+", ""))))
+    shown = let(
+        words(t),
+        lambda w: F.struct(plain.alias("words"), F.array(*[c.cast("double") for c in style(t, w)]).alias("style")),
     )
-    return docs.withColumn("_f", plain).select("*", "_f.words", "_f.style").drop("_f")
+    return docs.withColumn("_f", shown).select("*", "_f.words", "_f.style").drop("_f")
 
 
 def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAINING_DOCS, doc_id: str = "doc_id", text: str = "text"):
