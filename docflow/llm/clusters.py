@@ -1,6 +1,6 @@
 """From colliding bands to connected components, as joins and grouped aggregates.
 
-Members of a bucket are first compared with the bucket's smallest member. Buckets whose members
+Members of a bucket are first compared with a few members, the smallest by different hashes. Buckets whose members
 then lie in one component are done; in the others members of different components are compared
 too, in the first band that they share, by 1,024-bit sketches whose error lets a similar pair go
 once in 2,000; what passes is verified like the rest. Intermediate tables are written to the shared
@@ -61,7 +61,7 @@ def similar(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
 
 
 def link_buckets(
-    items: DataFrame, sets_of: Callable[[DataFrame], DataFrame], threshold: float = 0.8
+    items: DataFrame, sets_of: Callable[[DataFrame], DataFrame], threshold: float = 0.8, n_hubs: int = 1
 ) -> DataFrame:
     """``id, label`` of all ids with a verified link. ``items``: ``id`` (long) and ``bands`` (array of
     codes); repeated rows do no harm. ``sets_of`` gets the ids that collide with another one and
@@ -69,14 +69,17 @@ def link_buckets(
     rows = items.select("id", F.posexplode("bands").alias("band", "code"))
     hubs = (
         rows.groupBy("band", "code")
-        .agg(F.min("id").alias("hub"), F.max("id").alias("top"))
-        .where(F.col("hub") < F.col("top"))
-    )
-    members = stored(rows.join(hubs, ["band", "code"]).select("band", "code", "id", "hub").distinct(), "members")
-    first = stored(
-        members.where(F.col("id") != F.col("hub")).select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct(),
-        "pairs",
+        .agg(
+            F.min("id").alias("least"),
+            F.max("id").alias("most"),
+            *[F.min_by("id", F.xxhash64("id", F.lit(k))).alias(f"hub{k}") for k in range(n_hubs)],
+        )
+        .where(F.col("least") < F.col("most"))
+        .select("band", "code", F.array_distinct(F.array(*[f"hub{k}" for k in range(n_hubs)])).alias("hubs"))
     )
+    members = stored(rows.join(hubs, ["band", "code"]).select("band", "code", "id", "hubs").distinct(), "members")
+    pairs = members.select("id", F.explode("hubs").alias("hub")).where(F.col("id") != F.col("hub"))
+    first = stored(pairs.select(F.greatest("id", "hub").alias("a"), F.least("id", "hub").alias("b")).distinct(), "pairs")
     ids = stored(members.select("id").distinct(), "ids")
     sets = stored(sets_of(ids), "sets")
     found = stored(similar(first, sets, threshold), "found")

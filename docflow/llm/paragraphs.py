@@ -22,6 +22,8 @@ THRESHOLD = 0.8
 MIN_WORDS = 20
 HASHES = 27
 RECALL = 0.995
+# There are few bands, so each bucket is compared with several of its members at first.
+HUBS = 6
 WIDTH = 5
 
 
@@ -113,7 +115,7 @@ def repeated_paragraphs(
         )
         return lines.mapInPandas(_sets, "id long, grams array<long>, sketch array<long>").dropDuplicates(["id"])
 
-    labels = link_buckets(items.select(F.col("node").alias("id"), "bands"), sets_of, threshold)
+    labels = link_buckets(items.select(F.col("node").alias("id"), "bands"), sets_of, threshold, HUBS)
     labelled = nodes.join(labels, nodes["node"] == labels["id"], "left").select("node", "spot", "n", F.coalesce("label", "node").alias("label"))
     kept = labelled.groupBy("label").agg(F.min("spot").alias("kept"), F.sum("n").alias("total")).where("total > 1")
     repeated = stored(labelled.join(kept, "label").select("node", "kept"), "repeated")
