@@ -46,6 +46,8 @@ def main(argv=None):
         x.add_argument("--max-year", type=int)
     ap.add_argument("--master")
     a = ap.parse_args(argv)
+    if (getattr(a, "min_year", None) is None) != (getattr(a, "max_year", None) is None):
+        ap.error("give both --min-year and --max-year, or neither")
     spark = build_session(a.master)
     years = (a.min_year, a.max_year) if getattr(a, "min_year", None) and getattr(a, "max_year", None) else None
     if a.cmd == "universe":

@@ -36,7 +36,7 @@ def index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select(
         k.cast("string").alias("ack_id"),
         filing_year().alias("filing_year"),
-        F.substring("text", 1, 20).alias("sponsor_name"),
+        F.col("lang").alias("sponsor_name"),
         F.when(k % 5 == 0, F.lit(None).cast("string"))
         .when(k % 5 == 1, F.lit("  "))
         .otherwise(F.concat(F.lit("https://a/"), k.cast("string")))

@@ -49,7 +49,7 @@ FILING_YEAR_SQL = "(1999 + cast(substring(source, 4) as int))"
 INDEX_SQL = f"""
 select cast(doc_id as varchar) as ack_id,
        {FILING_YEAR_SQL} as filing_year,
-       substring(text, 1, 20) as sponsor_name,
+       lang as sponsor_name,
        case when doc_id % 5 = 0 then null when doc_id % 5 = 1 then '  '
             else concat('https://a/', doc_id) end as link,
        case when doc_id % 10 = 0 then null else concat('https://b/', doc_id) end as facsimile_link

@@ -8,10 +8,11 @@ the bench and command-line jobs; on a cluster the caller brings a session whose
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 
 def _default_heap() -> str:
@@ -24,11 +25,11 @@ def _default_heap() -> str:
     return f"{max(1, min(16, int(total * 0.6 / 2**30)))}g"
 
 
-def build_session(master: str | None = None, shuffle_partitions: int = 8, app: str = "docflow") -> SparkSession:
-    """Session for local runs: ANSI on (the 4.x default), UTC, AQE with skew handling, no UI."""
+def build_session(master: str | None = None, shuffle_partitions: int | None = None, app: str = "docflow") -> SparkSession:
+    """Session for local runs: ANSI on (the 4.x default), UTC, AQE with skew handling, no UI. The
+    number of shuffle partitions is the submitted one unless given here."""
     builder = (
         SparkSession.builder.appName(app)
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -42,6 +43,8 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8, app: s
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("DOCFLOW_DRIVER_MEMORY", _default_heap()))
     )
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     if master:
         builder = builder.master(master)
     spark = builder.getOrCreate()
@@ -72,7 +75,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint directory.
 
     ``spark.checkpoint.dir`` is read from the session first; a cluster sets it to shared
-    storage. Only when it is unset (local tests) is a private directory created and set."""
+    storage. Only when it is unset and the session runs in one local process (tests) is a private
+    directory created and set; elsewhere executors could not share it, so that is an error."""
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext
@@ -80,17 +84,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if sc is None:
         conf_dir = spark.conf.get("spark.checkpoint.dir", None)
         if not conf_dir:
-            conf_dir = tempfile.mkdtemp(prefix="docflow-ckpt-")
-            try:
-                spark.conf.set("spark.checkpoint.dir", conf_dir)
-            except Exception:  # noqa: BLE001 - a static setting; scratch paths still use it
-                pass
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         return conf_dir
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="docflow-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc._jsc.sc().getCheckpointDir().get()
@@ -100,9 +102,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path for an intermediate table under the shared checkpoint directory."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/docflow-scratch/{uuid.uuid4().hex}/{name}"
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (never a local one): survives executor loss and bounds lineage."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
