@@ -107,16 +107,21 @@ def semi_universe(index: DataFrame, ids: DataFrame, col: str = "ack_id") -> Data
     return index.join(ids.select(F.col(col).alias("ack_id")), "ack_id", "left_semi")
 
 
-def clean_index(df: DataFrame) -> DataFrame:
-    """P1, P2, P3, P5, P6 in the original order: ruler rows, headers, year cast, trim, quotes."""
-    df = clean_headers(drop_ruler_rows(df))
-    df = cast_year(df)
+def clean_cells(df: DataFrame) -> DataFrame:
+    """P3, P5, P6 in the original order: year cast, trim, quotes."""
+    if "filing_year" in df.columns:
+        df = cast_year(df)
     df = trim_all_strings(df)
     if "sponsor_name" in df.columns:
         df = df.withColumn("sponsor_name", strip_quotes("sponsor_name"))
     return df
 
 
+def clean_index(df: DataFrame) -> DataFrame:
+    """P1, P2 and ``clean_cells`` in the original order, for one file's frame."""
+    return clean_cells(clean_headers(drop_ruler_rows(df)))
+
+
 def build_universe(index_rows: DataFrame, ids: DataFrame) -> DataFrame:
     """The universe: acceptable ids only, full-row de-duplication, lenient year."""
     u = dedupe_rows(semi_universe(index_rows, ids))

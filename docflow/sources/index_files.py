@@ -7,21 +7,23 @@ with nulls. Cells equal to an NA token become null before any trimming.
 
 Spark's CSV reader cannot do this (with quoting off it still splits an escaped delimiter, and
 it takes the column count from the first preamble line), so the files are read with the text
-source, which splits large files. Per file, the first split holds the preamble; its first line
-is found as the smallest ``monotonically_increasing_id`` among rows whose
-``_metadata.file_block_start`` is 0 (ids increase along the lines of a split).
+source, which splits large files. One scan writes the lines, each with its place (start of its
+split, position in it), to the shared scratch folder; headers and rows are both taken from that
+table, so places cannot change between jobs, whatever the number of executors or the split size.
 """
 
 from __future__ import annotations
 
+import re
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docflow import constants as C
 from docflow.functions.text import null_tokens, strip_text
-from docflow.operators.universe import clean_index
+from docflow.operators.universe import clean_cells
+from docflow.session import scratch_path
 
 _FIELD = r"\|((?:[^|\\]|\\.)*)"
 _UNESCAPE = r"\\(.)"
@@ -31,8 +33,9 @@ _DANGLING = r"(^|[^\\])(\\\\)*\\$"
 
 class IndexScan(NamedTuple):
     rows: DataFrame  # cleaned index rows (header columns, id -> ack_id, filing_year int)
-    raw: DataFrame  # uncleaned string cells plus _file
+    raw: DataFrame  # string cells as they are (names stripped, id -> ack_id), ruler rows too, plus _file
     bad_lines: DataFrame  # (_file, line, n_fields, n_header)
+    no_header: DataFrame  # (_file): files with lines but without a header
 
 
 def split_fields(line):
@@ -47,49 +50,52 @@ def _blank(col):
     return strip_text(col) == ""
 
 
-MAX_BROADCAST_FILES = 1_000_000  # per-file rows (a path and a long) broadcast up to this count
+_RULER = "^-+$"
+
+
+def _stored_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """``_file, _place, value`` of every line, written once. Places order the lines of a file: splits
+    by their start, lines of a split by the ids that the writing task gave them."""
+    lines = spark.read.option("recursiveFileLookup", "true").text(paths).select(
+        F.col("_metadata.file_path").alias("_file"),
+        F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line")).alias("_place"),
+        "value",
+    )
+    path = scratch_path(spark, "index_lines")
+    lines.write.parquet(path)
+    return spark.read.schema(lines.schema).parquet(path)
+
+
+def _headers(lines: DataFrame, preamble: int) -> DataFrame:
+    """``_file, _header, _at`` of every file: its first non-blank line after the preamble."""
+    place = lines.select("_file", "_place")
+    # planned as a limit per file and task before the shuffle
+    top = place.withColumn("_n", F.row_number().over(Window.partitionBy("_file").orderBy("_place"))).where(F.col("_n") <= preamble)
+    ends = top.groupBy("_file").agg(F.max("_place").alias("_end"))
+    after = lines.where(~_blank(F.col("value"))).join(ends, "_file", "left")
+    after = after.where(F.col("_end").isNull() | (F.col("_place") > F.col("_end")))
+    return after.groupBy("_file").agg(F.min_by("value", "_place").alias("_header"), F.min("_place").alias("_at"))
 
 
 def read_index(spark: SparkSession, paths: str | list[str], preamble: int = C.INDEX_PREAMBLE_LINES,
                na_tokens=C.NA_TOKENS, clean: bool = True) -> IndexScan:
-    """S1 + S2 + S3 over every index file under ``paths`` (files or folders, recursive)."""
+    """S1 + S2 + S3 over every index file under ``paths`` (files or folders, recursive).
+
+    The columns are the union of all files' names, so the distinct header lines - one per layout,
+    not one per file - come to the driver. Without any header the columns are ``ack_id`` and
+    ``filing_year`` and there are no rows."""
     paths = [paths] if isinstance(paths, str) else list(paths)
-    lines = (
-        spark.read.option("recursiveFileLookup", "true")
-        .text(paths)
-        .select(
-            F.col("value"),
-            F.col("_metadata.file_path").alias("_file"),
-            F.col("_metadata.file_block_start").alias("_block"),
-            F.monotonically_increasing_id().alias("_mid"),
-        )
-    )
-    first_split = lines.where(F.col("_block") == 0)
-    # per file: id of the first line (partial aggregate), broadcast within the header job below:
-    # one row per input file, and the listing gives the file count without running a job
-    starts = first_split.groupBy("_file").agg(F.min("_mid").alias("_m0"))
-    n_files = len(lines.inputFiles())
-    if n_files == 0:
-        empty = spark.createDataFrame([], "_file string")
-        return IndexScan(empty, empty, spark.createDataFrame([], "_file string, line string, n_fields int, n_header int"))
-    starts = F.broadcast(starts) if n_files <= MAX_BROADCAST_FILES else starts
-    after = first_split.join(starts, "_file").where(F.col("_mid") >= F.col("_m0") + preamble)
-    after = after.where(~_blank(F.col("value")))
-    # one row per file: the header line and its position
-    headers = after.groupBy("_file").agg(F.min_by("value", "_mid").alias("_header"), F.min("_mid").alias("_hmid"))
-    header_rows = headers.collect()  # bounded by the number of files
-    if not header_rows:
-        empty = spark.createDataFrame([], "_file string")
-        return IndexScan(empty, empty, spark.createDataFrame([], "_file string, line string, n_fields int, n_header int"))
-    # each file's column names travel with its (broadcast) header row, so every line of every
-    # file is split and named in one pass, whatever the number of distinct headers
-    names_of = {h: _header_names(h) for h in dict.fromkeys(r["_header"] for r in header_rows)}
-    all_names = list(dict.fromkeys(n for names in names_of.values() for n in names))
-    hdf = spark.createDataFrame([(r["_file"], r["_hmid"], names_of[r["_header"]]) for r in header_rows],
-                                "_file string, _hmid long, _names array<string>")
+    lines = _stored_lines(spark, paths)
+    where = scratch_path(spark, "index_headers")
+    _headers(lines, preamble).write.parquet(where)
+    headers = spark.read.parquet(where)
+    layouts = {r["_header"]: _header_names(r["_header"]) for r in headers.select("_header").distinct().collect()}
+    all_names = list(dict.fromkeys(n for names in layouts.values() for n in names)) or ["ack_id", "filing_year"]
+    named_layouts = spark.createDataFrame(list(layouts.items()), "_header string, _names array<string>")
+    tops = headers.join(F.broadcast(named_layouts), "_header").select(F.col("_file"), "_at", "_names")
     data = (
-        lines.join(F.broadcast(hdf), "_file")  # one small row per file, size known from collect()
-        .where((F.col("_block") > 0) | (F.col("_mid") > F.col("_hmid")))
+        lines.join(tops, "_file")
+        .where(F.col("_place") > F.col("_at"))
         .where(~_blank(F.col("value")))
         .select("_file", "_names", F.col("value").alias("line"), split_fields(F.col("value")).alias("_fields"),
                 F.col("value").rlike(_DANGLING).alias("_dangling"))
@@ -97,21 +103,27 @@ def read_index(spark: SparkSession, paths: str | list[str], preamble: int = C.IN
     too_many = (F.size("_fields") > F.size("_names")) | F.col("_dangling")
     bad = data.where(too_many).select("_file", "line", F.size("_fields").alias("n_fields"),
                                       F.size("_names").alias("n_header"))
-    # name -> cell of the line (missing trailing cells are null); columns a file lacks are null
-    named = data.where(~too_many).select(
-        "_file", F.map_from_arrays("_names", F.transform("_names", lambda _, i: F.get(F.col("_fields"), i))).alias("_m"))
-    raw = named.select(*[null_tokens(F.try_element_at("_m", F.lit(n)), na_tokens).alias(n) for n in all_names], "_file")
-    rows = clean_index(raw.drop("_file")) if clean else raw
-    return IndexScan(rows, raw, bad)
+    good = data.where(~too_many)
 
+    def cells(df: DataFrame) -> DataFrame:
+        # name -> cell of the line (missing trailing cells are null); columns a file lacks are null
+        named = df.select(
+            "_file", F.map_from_arrays("_names", F.transform("_names", lambda _, i: F.get(F.col("_fields"), i))).alias("_m"))
+        return named.select(*[null_tokens(F.try_element_at("_m", F.lit(n)), na_tokens).alias(n) for n in all_names], "_file")
 
-def _header_names(header: str) -> list[str]:
-    import re
+    raw = cells(good)
+    # a ruler is a line whose own first cell is dashes, whatever column that is in the union
+    rows = clean_cells(cells(good.where(~F.get("_fields", F.lit(0)).rlike(_RULER))).drop("_file")) if clean else raw
+    no_header = lines.select("_file").distinct().join(headers, "_file", "left_anti")
+    return IndexScan(rows, raw, bad, no_header)
 
-    fields = re.findall(r"\|((?:[^|\\]|\\.)*)", "|" + header)
-    names = [re.sub(r"\\(.)", r"\1", f) for f in fields]
-    # a repeated header name gets a numeric suffix (a, a.1, a.2 ...), as CSV readers do
-    # (skipping suffixes already taken, so the names are always unique)
+
+def _header_names(header: str) -> list[str]:
+    """Names of one header line: unescaped, stripped, ``id`` renamed, repeated names numbered
+    (a, a.1, a.2 ...) past suffixes that are taken."""
+    fields = re.findall(_FIELD, "|" + header)
+    names = [re.sub(_UNESCAPE, r"\1", f).strip() for f in fields]
+    names = ["ack_id" if n == "id" else n for n in names]
     seen: dict[str, int] = {}
     out: list[str] = []
     for n in names:

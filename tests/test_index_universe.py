@@ -150,3 +150,38 @@ def test_files_with_different_headers_one_pass(spark, tmp_dir):
     r = [x.asDict() for x in scan.raw.where("a is not null").collect()][0]
     assert (r["a"], r["a.1"], r["a.1.1"]) == ("5", "6", "7")  # a taken suffix is skipped
     assert "Union" not in scan.rows._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_layout_of_splits_changes_between_build_and_action(spark, tmp_dir):
+    for y in (2001, 2002, 2003):
+        write(os.path.join(tmp_dir, f"{y}.txt"), ["p", "", "p", "", "id|filing_year|sponsor_name", "--|--|--"]
+              + [f"{y}-{i}|{y}|s{i}" for i in range(4000)])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+    spark.conf.set("spark.sql.files.openCostInBytes", "16")
+    try:
+        scan = ix.read_index(spark, tmp_dir)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "50000")
+        spark.conf.set("spark.sql.files.minPartitionNum", "3")
+        assert scan.rows.count() == scan.rows.distinct().count() == 12000
+        assert scan.raw.count() == 12003  # rulers are rows there
+    finally:
+        for k in ("maxPartitionBytes", "openCostInBytes", "minPartitionNum"):
+            spark.conf.unset(f"spark.sql.files.{k}")
+    plan = scan.rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "monotonically" not in plan and " text" not in plan  # rows come from the written lines
+
+
+def test_padded_headers_rulers_and_files_without_a_header(spark, tmp_dir):
+    write(os.path.join(tmp_dir, "2001.txt"), ["p", "p", "p", "first|id|filing_year", "---|---|---", "a|1|2001"])
+    write(os.path.join(tmp_dir, "2002.txt"), ["p", "p", "p", " id |filing_year ", "---|----", "2|2002"])
+    write(os.path.join(tmp_dir, "2003.txt"), ["p", "p", "p", "", " "])
+    scan = ix.read_index(spark, tmp_dir)
+    assert scan.rows.columns == ["first", "ack_id", "filing_year"]
+    assert sorted(map(tuple, scan.rows.collect()), key=str) == [("a", "1", 2001), (None, "2", 2002)]
+    assert [r[0].rsplit("/", 1)[1] for r in scan.no_header.collect()] == ["2003.txt"]
+
+
+def test_index_without_files(spark, tmp_dir):
+    scan = ix.read_index(spark, tmp_dir)
+    assert scan.rows.columns == ["ack_id", "filing_year"] and scan.rows.count() == 0
+    assert scan.bad_lines.count() == 0 and scan.no_header.count() == 0
