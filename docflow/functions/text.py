@@ -98,10 +98,16 @@ def normalize_text_native(col: Column | str) -> Column:
 
 def repair_mojibake(col: Column | str) -> Column:
     """F8: encode as Latin-1 dropping code points above U+00FF, decode as UTF-8 dropping invalid
-    bytes. Repairs double-encoded text and deletes legitimate non-Latin-1 characters."""
+    bytes. Repairs double-encoded text and deletes legitimate non-Latin-1 characters. A double-encoded
+    U+FFFD is kept: the text is cut at its three characters (their first byte starts a sequence
+    wherever it stands) before U+FFFD marks invalid bytes."""
     latin1 = F.regexp_replace(_c(col), r"[^\x{00}-\x{FF}]", "")
-    as_utf8 = F.encode(latin1, "ISO-8859-1").cast("string")
-    return F.replace(F.make_valid_utf8(as_utf8), F.lit("\ufffd"), F.lit(""))
+
+    def repaired(part: Column) -> Column:
+        as_utf8 = F.encode(part, "ISO-8859-1").cast("string")
+        return F.replace(F.make_valid_utf8(as_utf8), F.lit("\ufffd"), F.lit(""))
+
+    return F.array_join(F.transform(F.split(latin1, "\u00ef\u00bf\u00bd"), repaired), "\ufffd")
 
 
 # ---- P5 / P6 / S3 ---------------------------------------------------------------------------

@@ -62,13 +62,15 @@ def next_batch(current: DataFrame, n: int, status: str = C.TO_DOWNLOAD, partitio
 def message_fold(ledger: DataFrame, keys: Sequence[str] = KEY) -> DataFrame:
     """The token body: messages appended with a newline each, an overwrite message drops
     everything before it, empty messages write nothing (and do not overwrite)."""
-    msgs = ledger.where(F.col("message").isNotNull() & (F.col("message") != ""))
+    msgs = ledger.where(F.col("message").isNotNull() & (F.col("message") != "")).dropna(subset=list(keys))
     k = _order_key()
     # the last overwrite per document: a partial aggregate joined back (AQE splits a hot
     # document on the message side), so messages before it are dropped before the fold
     ow = msgs.where(F.col("overwrite_")).groupBy(*[F.col(c).alias(f"_k_{c}") for c in keys]).agg(
         F.max(k).alias("_ow"))
-    on = [msgs[c].eqNullSafe(ow[f"_k_{c}"]) for c in keys]
+    # plain equality (ids are never null, D3): the join's partitioning serves the fold as well, so
+    # the messages are shuffled once
+    on = [msgs[c] == ow[f"_k_{c}"] for c in keys]
     kept = (msgs.join(ow, on, "left").where(F.col("_ow").isNull() | (k >= F.col("_ow")))
             .drop(*[f"_k_{c}" for c in keys]))
     return kept.groupBy(*keys).agg(
@@ -89,29 +91,30 @@ def fetch_outcome(attempts: DataFrame, doc: str = "doc", order: str = "event_id"
     document: ``ok`` / ``permanent`` at the first terminal attempt within ``max_retries``,
     ``exhausted`` after ``max_retries`` retried attempts, else ``pending`` with the next wait.
 
-    Two aggregations and one join instead of a per-document sort, so a document with a huge
-    log is handled by partial aggregation and AQE's skew join."""
+    Only the first ``max_retries`` attempts of a document matter. The rank is planned as a limit per
+    document and task before the shuffle, so a document with a huge log sends a few rows, and
+    the aggregate on the same key needs no further exchange."""
     code = F.col(status_code)
     terminal = code < 500
     if error_kind is not None:
         terminal = terminal | (F.col(error_kind) == "other")
     ok = code < 400
-    first = attempts.groupBy(doc).agg(
-        F.min(F.when(terminal, F.struct(F.col(order).alias("id"), ok.alias("ok")))).alias("_t")
+    tried = (
+        attempts.select(doc, order, terminal.alias("_terminal"), ok.alias("_ok"))
+        .withColumn("_rank", F.row_number().over(Window.partitionBy(doc).orderBy(order)))
+        .where(F.col("_rank") <= max_retries)
     )
-    joined = attempts.select(doc, order).join(first, doc)
-    before = F.col("_t").isNull() | (F.col(order) < F.col("_t.id"))
-    # _t is one value per document, so grouping by it keeps one group per document
-    counted = joined.groupBy(doc, "_t").agg(F.count(F.when(before, 1)).alias("_n"))
-    n = F.col("_n")
-    has_t = F.col("_t").isNotNull() & (n < max_retries)
+    counted = tried.groupBy(doc).agg(
+        F.min(F.when(F.col("_terminal"), F.struct("_rank", "_ok"))).alias("_t"), F.count("*").alias("_n"))
+    has_t = F.col("_t").isNotNull()
+    n = F.when(has_t, F.col("_t._rank") - 1).otherwise(F.col("_n")).cast("long")
     outcome = (
-        F.when(has_t & F.col("_t.ok"), "ok")
+        F.when(has_t & F.col("_t._ok"), "ok")
         .when(has_t, "permanent")
         .when(n >= max_retries, "exhausted")
         .otherwise("pending")
     )
-    used = F.when(has_t, n + 1).otherwise(F.least(n, F.lit(max_retries)))
+    used = F.when(has_t, n + 1).otherwise(n)
     return counted.select(
         F.col(doc),
         outcome.alias("outcome"),

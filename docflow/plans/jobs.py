@@ -20,6 +20,7 @@ import datetime as dt
 import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,14 +36,22 @@ from docflow.sources import tables as tb
 LEDGER_COLUMNS = ["ack_id", "year", "status", "ts", "seq", "message", "overwrite_"]
 
 
-def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+LEDGER_SCHEMA = "ack_id string, year int, status string, ts timestamp, seq long, message string, overwrite_ boolean, run string"
+
+
+def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    """The ledger with its ``run`` column; the schema is given, so a folder that no run has written
+    rows to is an empty ledger, and so is an absent one."""
     try:
-        return spark.read.parquet(path).select(*LEDGER_COLUMNS)
-    except Exception as e:  # noqa: BLE001 - an absent ledger is an empty one
-        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+        return spark.read.schema(LEDGER_SCHEMA).parquet(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
             raise
-        schema = "ack_id string, year int, status string, ts timestamp, seq long, message string, overwrite_ boolean"
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], LEDGER_SCHEMA)
+
+
+def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    return read_runs(spark, path).select(*LEDGER_COLUMNS)
 
 
 def append_transitions(transitions: DataFrame, path: str, run: str | None = None) -> str:
@@ -70,7 +79,7 @@ def build_universe_job(spark: SparkSession, index_root: str, id_lists: Sequence[
 
 
 def seed_job(spark: SparkSession, universe_path: str, ledger_path: str, year: int | None = None,
-             ts: dt.datetime | None = None) -> int:
+             ts: dt.datetime | None = None, run: str | None = None) -> int:
     """Entry 1b: a ``to_download`` transition for every universe document without one."""
     universe = spark.read.parquet(universe_path)
     if year is not None:
@@ -79,11 +88,9 @@ def seed_job(spark: SparkSession, universe_path: str, ledger_path: str, year: in
     seeds = lg.seed_ledger(universe, read_ledger(spark, ledger_path), ts=ts).select(
         "ack_id", "year", "status", "ts", F.lit(0).cast("long").alias("seq"),
         F.lit(None).cast("string").alias("message"), F.lit(False).alias("overwrite_"))
-    run = append_transitions(seeds, ledger_path)
-    try:  # counted from the written run partition, not by recomputing the anti join
-        return spark.read.parquet(ledger_path).where(F.col("run") == run).count()
-    except Exception:  # noqa: BLE001 - nothing written: the ledger may not exist yet
-        return 0
+    run = append_transitions(seeds, ledger_path, run)
+    # counted from the written run partition, not by recomputing the anti join
+    return read_runs(spark, ledger_path).where(F.col("run") == run).count()
 
 
 def spread_documents(docs: DataFrame, docs_per_task: int = C.PROCESS_BATCH_SIZE) -> DataFrame:
@@ -109,10 +116,13 @@ def process_job(spark: SparkSession, doc_root: str, ledger_path: str, out_path:
                 terms: Sequence[str] = C.TERMS, extractors: Sequence[tuple] | None = None,
                 n: int = C.NUMBER_PAGES_TO_SAVE, limit_pages: int = C.PAGE_LIMIT,
                 years: tuple[int, int] | None = None, ts: dt.datetime | None = None,
-                docs_per_task: int = C.PROCESS_BATCH_SIZE) -> str:
+                docs_per_task: int = C.PROCESS_BATCH_SIZE, run: str | None = None) -> str:
     """Entry 2. ``extractors``: None for the built-in text layer, or the cascade list of
     (id, callable, tolerant) with text layer first and OCR last (see ``run_cascade``).
-    About ``docs_per_task`` documents go to each extraction task (the original's claim size)."""
+    About ``docs_per_task`` documents go to each extraction task (the original's claim size).
+    Each run writes its own ``run`` partition of the output and of the ledger; a run repeated
+    under its id replaces its own rows, and one without work writes nothing."""
+    run = run or uuid.uuid4().hex
     ledger = read_ledger(spark, ledger_path)
     todo = lg.latest_status(ledger).where(F.col("status") == C.TO_PROCESS).select("ack_id", "year")
     if years:
@@ -120,6 +130,8 @@ def process_job(spark: SparkSession, doc_root: str, ledger_path: str, out_path:
     # the semi join sees the file listing only; each extraction task reads its own files by path,
     # so document bytes are never shuffled whatever the size of the to-do list
     docs = dc.scan_documents(spark, doc_root, with_content=False).join(todo, ["ack_id", "year"], "left_semi")
+    if docs.isEmpty():
+        return out_path
     docs = spread_documents(docs, docs_per_task)
     if extractors is None:
         ps = dc.codec_where(docs.withColumn("_run", F.lit(True)), dc.form_feed_pages, "pages", "error", "_run")
@@ -135,13 +147,14 @@ def process_job(spark: SparkSession, doc_root: str, ledger_path: str, out_path:
     cols = ["ack_id", "year", "status", "page_no", "n_pages", "text"]
     # extraction runs in the small tasks above; the routed rows are then rebalanced by year so
     # each year is written as files of the advisory size rather than one small file per task
-    tb._write(routed.select(*cols).hint("rebalance", "year"), out_path, "parquet", ["year"])
-    written = spark.read.parquet(out_path)
+    out_rows = routed.select(*cols).withColumn("run", F.lit(run)).hint("rebalance", "year")
+    out_rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run", "year").parquet(out_path)
+    written = spark.read.schema(out_rows.schema).parquet(out_path).where(F.col("run") == run)
     with_text = F.col("status").isin(C.PROCESSED, C.TEXT_EXTRACTION_EMPTY)
     transitions = written.select(
         "ack_id", "year", "status", F.lit(ts).cast("timestamp").alias("ts"), F.lit(1).cast("long").alias("seq"),
         F.when(with_text, F.col("text")).alias("message"), (F.col("status") == C.PROCESSED).alias("overwrite_"))
-    append_transitions(transitions, ledger_path)
+    append_transitions(transitions, ledger_path, run)
     return out_path
 
 
@@ -158,7 +171,7 @@ def outputs_job(spark: SparkSession, ledger_path: str, out_root: str, train_ids:
     body = F.regexp_replace(F.col("body"), r"\n\z", "")
     texts = out.year_texts(current.withColumn("text", body))
     text_path = tb.write_year_text(texts, f"{out_root}/year_text")
-    train, full = out.build_corpora(spark.read.parquet(text_path), train_ids, exclude_train)
+    train, full = out.build_corpora(spark.read.schema(texts.schema).parquet(text_path), train_ids, exclude_train)
     corpora = tb.write_corpora(train, full, f"{out_root}/train", f"{out_root}/full")
     return {"records": rec_path, "year_text": text_path, **corpora}
 
@@ -181,6 +194,6 @@ def tree_outputs_job(spark: SparkSession, tracker_root: str, out_root: str, trai
     payload = tk.read_payload(spark, listing, tracker_root)
     texts = out.year_texts(payload.withColumnRenamed(C.OCR_TEXT_COL, "text"))
     text_path = tb.write_year_text(texts, f"{out_root}/year_text")
-    train, full = out.build_corpora(spark.read.parquet(text_path), train_ids, exclude_train)
+    train, full = out.build_corpora(spark.read.schema(texts.schema).parquet(text_path), train_ids, exclude_train)
     corpora = tb.write_corpora(train, full, f"{out_root}/train", f"{out_root}/full")
     return {"records": rec_path, "year_text": text_path, **corpora}
