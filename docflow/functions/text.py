@@ -175,14 +175,22 @@ def folded_pattern(folded: Iterable[str]) -> str:
     return f"(?=[{firsts}])(?:" + "|".join(gap.join(lit(ch) for ch in f) for f in folded) + ")"
 
 
+# Up to so many terms are tested one after another in generated code, more in a loop over a literal
+# array; both give the same answer.
+MAX_CHAINED_TERMS = 32
+
+
 def find_terms_lowered(lowered: Column, terms: Iterable[str]) -> Column:
     """P15 on text that is already lower-cased."""
     direct, folded = fold_terms(terms)
     if not direct:
         return F.lit(False)
-    first = F.lit(False)
-    for t in direct:
-        first = first | lowered.contains(t)
+    if len(direct) > MAX_CHAINED_TERMS:  # a chain of thousands would be too deep a tree to analyse
+        first = F.exists(F.array(*[F.lit(t) for t in direct]), lambda t: lowered.contains(t))
+    else:
+        first = F.lit(False)
+        for t in direct:
+            first = first | lowered.contains(t)
     if any(f == "" for f in folded):
         return first | F.lit(True)
     # Or short-circuits in generated code: the regex runs only for pages the first check missed

@@ -343,10 +343,11 @@ def terms_table_join(rows: DataFrame, terms: DataFrame, text: str = "text", max_
     The size of the terms table is checked first. Up to ``max_inline`` terms it is read once on
     the driver and compiled into the predicate (folded and de-duplicated): a plain filter, no
     join. A larger table is broadcast for a left-semi BroadcastNestedLoopJoin, with the page's
-    lowered and folded text projected once per page rather than once per (page, term) pair."""
+    lowered and folded text projected once per page rather than once per (page, term) pair.
+    A null term matches nothing."""
     head = terms.select("term").limit(max_inline + 1).collect()  # the size check reads at most this
     if len(head) <= max_inline:
-        lits = [r[0] for r in head]
+        lits = [r[0] for r in head if r[0] is not None]
         return rows.where(F.coalesce(tx.find_terms(F.col(text), lits), F.lit(False)))
     low = F.lower(F.col(text))
     keyed = rows.withColumn("_low", low).withColumn("_fold", tx.alnum_fold(F.col("_low")))
