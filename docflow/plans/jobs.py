@@ -135,7 +135,7 @@ def process_job(spark: SparkSession, doc_root: str, ledger_path: str, out_path:
     docs = spread_documents(docs, docs_per_task)
     if extractors is None:
         ps = dc.codec_where(docs.withColumn("_run", F.lit(True)), dc.form_feed_pages, "pages", "error", "_run")
-        routed = pg.route_documents(ps, terms, n, limit_pages, error="error")
+        routed = pg.route_documents(ps, terms, n, limit_pages, error="error", sep="\f")  # a text layer: form feed
     else:
         wide = dc.run_cascade(docs, extractors, terms, n=n)
         ids = [k for k, _, _ in extractors]

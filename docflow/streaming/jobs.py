@@ -38,7 +38,7 @@ def _ids_from_path(df: DataFrame) -> DataFrame:
 
 
 def process_batch(batch: DataFrame, batch_id: int, out: str, terms: Sequence[str], n: int, limit_pages: int,
-                  text_sep: str = "\n") -> None:
+                  text_sep: str = "\f") -> None:
     """Route one micro-batch and write it under status=<outcome>/batch_id=<id>."""
     docs = _ids_from_path(batch)
     ps = extract_pages_native(docs)
