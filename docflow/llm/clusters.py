@@ -67,17 +67,19 @@ def link_buckets(
     codes); repeated rows do no harm. ``sets_of`` gets the ids that collide with another one and
     returns their sets, ``id, grams, sketch``."""
     rows = items.select("id", F.posexplode("bands").alias("band", "code"))
-    hubs = (
+    # most codes have one id: two columns a code tell, and only the rest is gathered
+    shared = stored(
         rows.groupBy("band", "code")
-        .agg(
-            F.min("id").alias("least"),
-            F.max("id").alias("most"),
-            *[F.min_by("id", F.xxhash64("id", F.lit(k))).alias(f"hub{k}") for k in range(n_hubs)],
-        )
+        .agg(F.min("id").alias("least"), F.max("id").alias("most"))
         .where(F.col("least") < F.col("most"))
-        .select("band", "code", F.array_distinct(F.array(*[f"hub{k}" for k in range(n_hubs)])).alias("hubs"))
+        .select("band", "code"),
+        "shared",
+    )
+    gathered = stored(rows.join(shared, ["band", "code"]).distinct(), "gathered")
+    hubs = gathered.groupBy("band", "code").agg(
+        F.array_distinct(F.array(*[F.min_by("id", F.xxhash64("id", F.lit(k))) for k in range(n_hubs)])).alias("hubs")
     )
-    members = stored(rows.join(hubs, ["band", "code"]).select("band", "code", "id", "hubs").distinct(), "members")
+    members = stored(gathered.join(hubs, ["band", "code"]).select("band", "code", "id", "hubs"), "members")
     pairs = members.select("id", F.explode("hubs").alias("hub")).where(F.col("id") != F.col("hub"))
     first = stored(pairs.select(F.greatest("id", "hub").alias("a"), F.least("id", "hub").alias("b")).distinct(), "pairs")
     ids = stored(members.select("id").distinct(), "ids")
@@ -93,10 +95,9 @@ def link_buckets(
         .where(F.col("lo") < F.col("hi"))
         .select("band", "code")
     )
-    bands = items.select("id", "bands").dropDuplicates(["id"])
-    left = stored(
-        known.join(open_keys, ["band", "code"]).join(bands, "id").join(sets.select("id", "sketch"), "id"), "open"
-    )
+    unlinked = stored(known.join(open_keys, ["band", "code"]), "unlinked")
+    bands = items.join(unlinked.select("id").distinct(), "id", "left_semi").select("id", "bands").dropDuplicates(["id"])
+    left = stored(unlinked.join(bands, "id").join(sets.select("id", "sketch"), "id"), "open")
 
     def side(k: str) -> DataFrame:
         return left.select("band", "code", *[F.col(c).alias(f"{c}_{k}") for c in ("id", "label", "bands", "sketch")])
