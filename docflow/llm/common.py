@@ -58,3 +58,14 @@ def with_ids(rows: DataFrame, key: str, ids: DataFrame) -> DataFrame:
     if ids.count() > MAX_BROADCAST_IDS:
         return rows
     return rows.join(F.broadcast(ids), key, "left_semi")
+
+
+def split_by_hash(rows: DataFrame, key: str, hashes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """The rows whose ``key`` (never null) may be among ``hashes``, a stored table with a column of
+    that name, and the others. Up to ``MAX_BROADCAST_IDS`` counted hashes the rows are told apart
+    before any shuffle; beyond that all come back as the first part, and callers join them anyway."""
+    known = stored(hashes.select(key).distinct(), "hashes")
+    if known.count() > MAX_BROADCAST_IDS:
+        return rows, None
+    known = F.broadcast(known)
+    return rows.join(known, key, "left_semi"), rows.join(known, key, "left_anti")

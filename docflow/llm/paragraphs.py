@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .clusters import link_buckets
-from .common import stored, table
+from .common import split_by_hash, stored, table
 from .textbytes import U, band_codes, batches, digest64, distinct, mix, plain_words, shingle_sets, shingles
 
 THRESHOLD = 0.8
@@ -97,7 +97,7 @@ def repeated_paragraphs(
     _, rows = tune_bands(threshold)
     items = stored(paragraph_signatures(docs, doc_id, text, rows, min_words), "paragraphs")
     spot = F.struct("doc_id", "text_hash", "place")
-    nodes = stored(items.groupBy("node").agg(F.min(spot).alias("spot"), F.count("*").alias("n")), "nodes")
+    nodes = stored(items.groupBy("node").agg(F.min(spot).alias("spot"), F.count("*").alias("n"), F.first("bands").alias("bands")), "nodes")
 
     def sets_of(ids: DataFrame) -> DataFrame:
         wanted = stored(
@@ -109,13 +109,14 @@ def repeated_paragraphs(
         own = docs.select(
             F.col(doc_id).alias("row_id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("row_hash"), F.col(text).alias("text")
         )
-        same = (own["row_hash"] == wanted["text_hash"]) & own["row_id"].eqNullSafe(wanted["doc_id"])
+        own, _ = split_by_hash(own, "row_hash", wanted.select(F.col("text_hash").alias("row_hash")))
+        same = (F.col("row_hash") == F.col("text_hash")) & F.col("row_id").eqNullSafe(F.col("doc_id"))
         lines = own.join(wanted, same).select(
             F.inline(F.transform("wanted", lambda x: F.struct(x["id"].alias("id"), F.get(F.split("text", "\n"), x["place"]).alias("text"))))
         )
         return lines.mapInPandas(_sets, "id long, grams array<long>, sketch array<long>").dropDuplicates(["id"])
 
-    labels = link_buckets(items.select(F.col("node").alias("id"), "bands"), sets_of, threshold, HUBS)
+    labels = link_buckets(nodes.select(F.col("node").alias("id"), "bands"), sets_of, threshold, HUBS)
     labelled = nodes.join(labels, nodes["node"] == labels["id"], "left").select("node", "spot", "n", F.coalesce("label", "node").alias("label"))
     kept = labelled.groupBy("label").agg(F.min("spot").alias("kept"), F.sum("n").alias("total")).where("total > 1")
     repeated = stored(labelled.join(kept, "label").select("node", "kept"), "repeated")
@@ -136,14 +137,18 @@ def remove_repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     tagged = docs.select(row.alias("row"), F.col(doc_id).alias("row_id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("row_hash"))
     same = (F.col("row_hash") == F.col("text_hash")) & F.col("row_id").eqNullSafe(F.col("doc_id"))
+    tagged, whole = split_by_hash(tagged, "row_hash", gone.select(F.col("text_hash").alias("row_hash")))
     joined = tagged.join(gone, same, "left")
     old = F.col("row")[text]
     lines = F.filter(F.split(old, "\n"), lambda x, i: ~F.array_contains("places", i))
     new = F.when(F.col("places").isNull(), old).otherwise(F.array_join(lines, "\n"))
-    return joined.select(
-        *[(new if c == text else F.col("row")[c]).alias(c) for c in docs.columns],
-        F.coalesce("places", F.array().cast("array<int>")).alias("removed_places"),
+    none = F.array().cast("array<int>")
+    made = joined.select(
+        *[(new if c == text else F.col("row")[c]).alias(c) for c in docs.columns], F.coalesce("places", none).alias("removed_places")
     )
+    if whole is None:
+        return made
+    return made.union(whole.select(*[F.col("row")[c].alias(c) for c in docs.columns], none.alias("removed_places")))
 
 
 def op3_paragraph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
