@@ -33,6 +33,9 @@ PARTS = 4
 STEP = (LENGTH - GRAM) // PARTS
 CORE = LENGTH - STEP
 
+# Bytes of text that a task refines at a time.
+BATCH = 300_000
+
 WEIGHTS = mix(np.arange(2001, 2005, dtype=U)) | U(1)
 
 
@@ -85,9 +88,8 @@ def _concatenated(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 def _runs_of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
-        texts = [_bytes(t) for t in frame["text"]]
-        for a, b in batches([len(t) for t in texts]):
-            raw, ends = _concatenated(texts[a:b])
+        for a, b in batches([len(t) for t in frame["text"]], BATCH):
+            raw, ends = _concatenated([_bytes(t) for t in frame["text"].iloc[a:b]])
             if len(raw) < LENGTH:
                 continue
             gram, half, full = identifiers(raw)
@@ -116,9 +118,8 @@ def _runs_of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _positions_of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Bucket, identifier and place of every window of the wanted runs."""
     for frame in frames:
-        texts = [_bytes(t) for t in frame["text"]]
-        for a, b in batches([len(t) for t in texts]):
-            raw, ends = _concatenated(texts[a:b])
+        for a, b in batches([len(t) for t in frame["text"]], BATCH):
+            raw, ends = _concatenated([_bytes(t) for t in frame["text"].iloc[a:b]])
             _, _, full = identifiers(raw)
             base = ends - np.diff(ends, prepend=0)
             parts = []
@@ -211,26 +212,28 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
 def _cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
-        spans, left = [], []
-        for text, copy, found in zip(frame["text"], frame["copy"], frame["found"]):
-            raw = _bytes(text)
-            ranges = sorted((r["lo"], r["hi"]) for r in found) if found is not None else []
-            if copy is True:
-                ranges = [(0, len(raw))]
-            merged: list[list[int]] = []
-            for lo, hi in ranges:
-                if merged and lo <= merged[-1][1]:
-                    merged[-1][1] = max(merged[-1][1], hi)
-                else:
-                    merged.append([lo, hi])
-            done, kept = 0, []
-            for lo, hi in merged:
-                kept.append(raw[done:lo])
-                done = hi
-            kept.append(raw[done:])
-            spans.append(merged)
-            left.append(b"".join(kept))
-        yield pd.DataFrame({"doc_id": frame["doc_id"], "n_bytes": [len(_bytes(t)) for t in frame["text"]], "spans": spans, "kept": left})
+        for a, b in batches([len(t) for t in frame["text"]], BATCH):
+            spans, left, sizes = [], [], []
+            for text, copy, found in zip(frame["text"].iloc[a:b], frame["copy"].iloc[a:b], frame["found"].iloc[a:b]):
+                raw = _bytes(text)
+                ranges = sorted((r["lo"], r["hi"]) for r in found) if found is not None else []
+                if copy is True:
+                    ranges = [(0, len(raw))]
+                merged: list[list[int]] = []
+                for lo, hi in ranges:
+                    if merged and lo <= merged[-1][1]:
+                        merged[-1][1] = max(merged[-1][1], hi)
+                    else:
+                        merged.append([lo, hi])
+                done, kept = 0, []
+                for lo, hi in merged:
+                    kept.append(raw[done:lo])
+                    done = hi
+                kept.append(raw[done:])
+                spans.append(merged)
+                left.append(b"".join(kept))
+                sizes.append(len(raw))
+            yield pd.DataFrame({"doc_id": frame["doc_id"].to_numpy()[a:b], "n_bytes": sizes, "spans": spans, "kept": left})
 
 
 def remove_repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
