@@ -4,7 +4,7 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
-from docflow.llm import bucket_refinement, decontaminate, lattice, line_blocks, line_frequency, paragraphs, probminhash, site_quality
+from docflow.llm import bucket_refinement, common, decontaminate, lattice, line_blocks, line_frequency, paragraphs, probminhash, site_quality
 
 SF = "/root/testdata/sf0.001"
 LONG = " ".join(f"word{i}" for i in range(60))
@@ -60,6 +60,15 @@ def test_paragraphs(docs):
     assert paragraphs.remove_repeated(docs.limit(0)).count() == 0
 
 
+def test_paragraphs_without_broadcast(docs, monkeypatch):
+    def rows():
+        return sorted(map(repr, paragraphs.remove_repeated(docs).select("doc_id", "text", "removed_places").collect()))
+
+    split = rows()
+    monkeypatch.setattr(common, "MAX_BROADCAST_IDS", -1)  # all texts go through the shuffle
+    assert rows() == split and len(split) == docs.count()
+
+
 def test_bucket_refinement(docs):
     got = {r.doc_id: (r.n_bytes, bytes(r.kept)) for r in bucket_refinement.remove_repeated_spans(docs).collect()}
     assert got[1][1] == LONG.encode() and got[3][1] == b"" and got[4] == (0, b"") and got[None][1] == b"short text"
