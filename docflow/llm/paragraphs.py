@@ -1,6 +1,6 @@
 """Removal of near-duplicate paragraphs by MinHash banding.
 
-Paragraphs (lines with at least ``min_words`` words) are signed; bands are tuned for recall at the
+Paragraphs (lines with at least five words) are signed; bands are tuned for recall at the
 threshold; paragraphs that share a band are joined and verified by the exact Jaccard similarity
 of their five-word shingles; of each component the first paragraph, by document and place, stays.
 """
@@ -20,6 +20,8 @@ from .textbytes import U, band_codes, batches, digest64, distinct, mix, plain_wo
 
 THRESHOLD = 0.8
 MIN_WORDS = 20
+# Lines with fewer words than this have no whole shingle; those from here to MIN_WORDS are short paragraphs.
+LEAST_WORDS = 5
 HASHES = 27
 RECALL = 0.995
 # There are few bands, so each bucket is compared with several of its members at first.
@@ -41,26 +43,29 @@ def minhash(owner: np.ndarray, elements: np.ndarray, n: int, hashes: int = HASHE
     return np.stack([np.minimum.reduceat(mix(elements ^ s), firsts) for s in seeds], axis=1)
 
 
-def _paragraphs(text: str | None, min_words: int) -> Iterator[tuple[int, bytes]]:
+def _paragraphs(text: str | None, least_words: int) -> Iterator[tuple[int, bytes, int]]:
     for i, line in enumerate((text or "").split("\n")):
         plain = plain_words(line)
-        if plain and plain.count(b" ") + 1 >= min_words:
-            yield i, plain
+        n = plain.count(b" ") + 1
+        if plain and n >= least_words:
+            yield i, plain, n
 
 
-def paragraph_signatures(docs: DataFrame, doc_id: str, text: str, rows: int, min_words: int) -> DataFrame:
-    """``doc_id, text_hash, place, node, bands`` of every paragraph."""
+def paragraph_signatures(docs: DataFrame, doc_id: str, text: str, rows: int, min_words: int, least_words: int) -> DataFrame:
+    """``doc_id, text_hash, place, short, node, bands`` of every paragraph; those with fewer than
+    ``min_words`` words are short."""
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for a, b in batches([len(t or "") for t in frame["text"]]):
-                who, place, plain = [], [], []
+                who, place, plain, short = [], [], [], []
                 for k, t in enumerate(frame["text"].iloc[a:b], a):
-                    for i, p in _paragraphs(t, min_words):
+                    for i, p, n in _paragraphs(t, least_words):
                         who.append(k)
                         place.append(i)
                         plain.append(p)
+                        short.append(n < min_words)
                 if plain:
                     d, h, _ = distinct(*shingles(plain, WIDTH))
                     codes = band_codes(minhash(d, h, len(plain)), rows)
@@ -69,6 +74,7 @@ def paragraph_signatures(docs: DataFrame, doc_id: str, text: str, rows: int, min
                             "doc_id": frame["doc_id"].iloc[who].reset_index(drop=True),
                             "text_hash": frame["text_hash"].iloc[who].reset_index(drop=True),
                             "place": np.array(place, dtype=np.int32),
+                            "short": short,
                             "node": np.array([digest64(p) for p in plain], dtype=np.int64),
                             "bands": list(codes),
                         }
@@ -77,7 +83,7 @@ def paragraph_signatures(docs: DataFrame, doc_id: str, text: str, rows: int, min
     source = docs.select(
         F.col(doc_id).cast("string").alias("doc_id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_hash"), F.col(text).alias("text")
     )
-    out = source.mapInPandas(run, "doc_id string, text_hash long, place int, node long, bands array<long>")
+    out = source.mapInPandas(run, "doc_id string, text_hash long, place int, short boolean, node long, bands array<long>")
     return out.withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
@@ -87,15 +93,17 @@ def repeated_paragraphs(
     text: str = "text",
     threshold: float = THRESHOLD,
     min_words: int = MIN_WORDS,
+    least_words: int = LEAST_WORDS,
 ) -> DataFrame:
-    """``doc_id, text_hash, places``: the paragraphs to remove from each document that has any, as
-    line numbers from 0, in order.
+    """``doc_id, text_hash, places, short_places``: the paragraphs to remove from each document that
+    has any, as line numbers from 0, in order; those of fewer than ``min_words`` words apart. Both
+    kinds are compared with each other.
 
-    Null and blank texts and shorter lines have no paragraphs. Of repeated rows with one id and
+    Null and blank texts and lines of fewer than ``least_words`` words have no paragraphs. Of repeated rows with one id and
     text the first occurrence is the same paragraph and stays in all of them. Null ids come before
     all others. Other columns are ignored, whatever their names."""
     _, rows = tune_bands(threshold)
-    items = stored(paragraph_signatures(docs, doc_id, text, rows, min_words), "paragraphs")
+    items = stored(paragraph_signatures(docs, doc_id, text, rows, min_words, least_words), "paragraphs")
     spot = F.struct("doc_id", "text_hash", "place")
     nodes = stored(items.groupBy("node").agg(F.min(spot).alias("spot"), F.count("*").alias("n"), F.first("bands").alias("bands")), "nodes")
 
@@ -120,8 +128,11 @@ def repeated_paragraphs(
     labelled = nodes.join(labels, nodes["node"] == labels["id"], "left").select("node", "spot", "n", F.coalesce("label", "node").alias("label"))
     kept = labelled.groupBy("label").agg(F.min("spot").alias("kept"), F.sum("n").alias("total")).where("total > 1")
     repeated = stored(labelled.join(kept, "label").select("node", "kept"), "repeated")
-    gone = items.select("node", "doc_id", "text_hash", "place").join(repeated, "node").where(~spot.eqNullSafe(F.col("kept")))
-    return gone.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set("place")).alias("places"))
+    gone = items.select("node", "doc_id", "text_hash", "place", "short").join(repeated, "node").where(~spot.eqNullSafe(F.col("kept")))
+    return gone.groupBy("doc_id", "text_hash").agg(
+        F.sort_array(F.collect_set(F.when(~F.col("short"), F.col("place")))).alias("places"),
+        F.sort_array(F.collect_set(F.when(F.col("short"), F.col("place")))).alias("short_places"),
+    )
 
 
 def _sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -132,7 +143,8 @@ def _sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def remove_repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The documents without their repeated paragraphs, and the line numbers removed, as
-    ``removed_places`` (empty if none); all columns of ``docs`` stay and every row stays."""
+    ``removed_places`` and, for short paragraphs, ``removed_short`` (empty if none); all columns of
+    ``docs`` stay and every row stays."""
     gone = stored(repeated_paragraphs(docs, doc_id, text, **options), "gone")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     tagged = docs.select(row.alias("row"), F.col(doc_id).alias("row_id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("row_hash"))
@@ -140,15 +152,17 @@ def remove_repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     tagged, whole = split_by_hash(tagged, "row_hash", gone.select(F.col("text_hash").alias("row_hash")))
     joined = tagged.join(gone, same, "left")
     old = F.col("row")[text]
-    lines = F.filter(F.split(old, "\n"), lambda x, i: ~F.array_contains("places", i))
+    lines = F.filter(F.split(old, "\n"), lambda x, i: ~F.array_contains("places", i) & ~F.array_contains("short_places", i))
     new = F.when(F.col("places").isNull(), old).otherwise(F.array_join(lines, "\n"))
     none = F.array().cast("array<int>")
     made = joined.select(
-        *[(new if c == text else F.col("row")[c]).alias(c) for c in docs.columns], F.coalesce("places", none).alias("removed_places")
+        *[(new if c == text else F.col("row")[c]).alias(c) for c in docs.columns],
+        F.coalesce("places", none).alias("removed_places"),
+        F.coalesce("short_places", none).alias("removed_short"),
     )
     if whole is None:
         return made
-    return made.union(whole.select(*[F.col("row")[c].alias(c) for c in docs.columns], none.alias("removed_places")))
+    return made.union(whole.select(*[F.col("row")[c].alias(c) for c in docs.columns], none.alias("removed_places"), none.alias("removed_short")))
 
 
 def op3_paragraph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -158,8 +172,9 @@ def op3_paragraph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select(
         "doc_id",
         "n_chars",
-        F.size("removed_places").cast("long").alias("n_removed"),
+        (F.size("removed_places") + F.size("removed_short")).cast("long").alias("n_removed"),
         (F.col("n_chars") - F.length(F.coalesce("text", F.lit("")))).cast("long").alias("chars_removed"),
         "removed_places",
+        "removed_short",
         F.coalesce("text", F.lit("")).alias("text"),
     )
