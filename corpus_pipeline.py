@@ -28,9 +28,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_paragraphs(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Paragraphs that an earlier place holds go; ``n_chars`` follows the text."""
+    """Paragraphs and passages that an earlier place holds go; ``n_chars`` follows the text."""
     kept = paragraphs.remove_repeated(docs)
-    changed = (F.size("removed_places") > 0) | (F.size("removed_short") > 0)
+    changed = (F.size("removed_places") > 0) | (F.size("removed_short") > 0) | (F.size("removed_passages") > 0)
     return kept.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
 
 

@@ -2,7 +2,8 @@
 
 Paragraphs (lines with at least five words) are signed; bands are tuned for recall at the
 threshold; paragraphs that share a band are joined and verified by the exact Jaccard similarity
-of their five-word shingles; of each component the first paragraph, by document and place, stays.
+of their five-word shingles; of each component the first paragraph, by document and place, stays. Passages that are repeated
+inside lines that otherwise differ, or across lines, go after that (``passages``).
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 
 from .clusters import link_buckets
 from .common import split_by_hash, stored, table
+from .passages import remove_passages
 from .textbytes import U, band_codes, batches, digest64, distinct, mix, plain_words, shingle_sets, shingles
 
 THRESHOLD = 0.8
@@ -143,30 +145,38 @@ def _sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def remove_repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The documents without their repeated paragraphs, and the line numbers removed, as
-    ``removed_places`` and, for short paragraphs, ``removed_short`` (empty if none); all columns of
-    ``docs`` stay and every row stays."""
+    ``removed_places`` and, for short paragraphs, ``removed_short``; then without the passages that
+    an earlier place of what is left holds word for word, with the words removed as
+    ``removed_passages`` (all empty if none). All columns of ``docs`` stay and every row stays."""
     gone = stored(repeated_paragraphs(docs, doc_id, text, **options), "gone")
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    tagged = docs.select(row.alias("row"), F.col(doc_id).alias("row_id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("row_hash"))
+    others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text])
+    tagged = docs.select(
+        others.alias("row"), F.col(doc_id).alias("row_id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("row_hash"), F.col(text).alias("text")
+    )
     same = (F.col("row_hash") == F.col("text_hash")) & F.col("row_id").eqNullSafe(F.col("doc_id"))
     tagged, whole = split_by_hash(tagged, "row_hash", gone.select(F.col("text_hash").alias("row_hash")))
     joined = tagged.join(gone, same, "left")
-    old = F.col("row")[text]
-    lines = F.filter(F.split(old, "\n"), lambda x, i: ~F.array_contains("places", i) & ~F.array_contains("short_places", i))
-    new = F.when(F.col("places").isNull(), old).otherwise(F.array_join(lines, "\n"))
+    lines = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("places", i) & ~F.array_contains("short_places", i))
+    new = F.when(F.col("places").isNull(), F.col("text")).otherwise(F.array_join(lines, "\n"))
     none = F.array().cast("array<int>")
     made = joined.select(
-        *[(new if c == text else F.col("row")[c]).alias(c) for c in docs.columns],
+        "row",
+        "row_id",
+        "row_hash",
+        new.alias("text"),
         F.coalesce("places", none).alias("removed_places"),
         F.coalesce("short_places", none).alias("removed_short"),
     )
-    if whole is None:
-        return made
-    return made.union(whole.select(*[F.col("row")[c].alias(c) for c in docs.columns], none.alias("removed_places"), none.alias("removed_short")))
+    if whole is not None:
+        made = made.union(whole.select("row", "row_id", "row_hash", "text", none.alias("removed_places"), none.alias("removed_short")))
+    left = remove_passages(stored(made, "lines_left"))
+    return left.select(
+        *[(F.col("text") if c == text else F.col("row")[c]).alias(c) for c in docs.columns], "removed_places", "removed_short", "removed_passages"
+    )
 
 
 def op3_paragraph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document with the text that is left and the lines that went."""
+    """Every document with the text that is left and the lines and passages that went."""
     docs = table(spark, sf_dir, "documents")
     kept = remove_repeated(docs.select("doc_id", "text", F.length(F.coalesce("text", F.lit(""))).cast("long").alias("n_chars")))
     return kept.select(
@@ -176,5 +186,6 @@ def op3_paragraph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("n_chars") - F.length(F.coalesce("text", F.lit("")))).cast("long").alias("chars_removed"),
         "removed_places",
         "removed_short",
+        "removed_passages",
         F.coalesce("text", F.lit("")).alias("text"),
     )

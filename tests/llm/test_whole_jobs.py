@@ -3,8 +3,9 @@ import hashlib
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
-from docflow.llm import paragraphs
+from docflow.llm import paragraphs, passages
 from test_operators import _classes, _shingles
 
 SF = "/root/testdata/sf0.001"
@@ -26,3 +27,55 @@ def test_wrapped_text(spark):
     df = spark.createDataFrame([(1, text), (2, "own words of the second\n" + text), (3, "a b c d\na b c d")], "doc_id long, text string")
     got = {r.doc_id: (r.text, r.removed_short) for r in paragraphs.remove_repeated(df).collect()}
     assert got == {1: (text, []), 2: ("own words of the second", list(range(1, 7))), 3: ("a b c d\na b c d", [])}
+
+
+def _brute_passages(texts):
+    """Words removed from each text (id, words), by comparing all windows of 50 words in order."""
+    first, gone = {}, {k: set() for k, _ in texts}
+    for k, words in texts:
+        for i in range(len(words) - 49):
+            window = tuple(words[i : i + 50])
+            d, p = first.setdefault(window, (k, i))
+            if d != k or i >= p + 50:
+                gone[k].update(range(i, i + 50))
+    return gone
+
+
+def test_passages_match_brute_force(spark):
+    rnd = random.Random(3)
+    pool = [f"v{i}" for i in range(400)]
+    shared = [[rnd.choice(pool) for _ in range(n)] for n in (49, 50, 51, 86, 200)]
+    texts = []
+    for k in range(40):
+        words = []
+        for _ in range(rnd.randrange(1, 5)):
+            words += [rnd.choice(pool) for _ in range(rnd.randrange(120))]
+            part = rnd.choice(shared)
+            a = rnd.choice([0, 0, rnd.randrange(len(part))])
+            words += part[a:]
+        texts.append((k, words))
+    texts += [(40, ["X"] * 200), (41, ["x"] * 120), (42, []), (43, ["q"] * 49)]
+    rows = [(k, "".join(w + rnd.choice(" \n") for w in words), k) for k, words in texts] + [(44, None, 0), (40, " ".join(["X"] * 200), 1)]
+    df = spark.createDataFrame(rows, "row_id long, text string, other long").withColumn("row_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+    got = {(r.row_id, r.other): r for r in passages.remove_passages(df).collect()}
+    assert len(got) == len(rows)
+    want = _brute_passages([(k, [w.lower() for w in words]) for k, words in texts])
+    for k, words in texts:
+        if k == 40:
+            continue  # two rows with one id: which text is first is for the hash
+        r = got[k, k]
+        assert {i for a, b in r.removed_passages for i in range(a, b + 1)} == want[k], k
+        assert r.text.split() == [w for i, w in enumerate(words) if i not in want[k]]
+    assert any(want.values()) and got[44, 0].text is None
+    assert sorted(len((got[40, o].text or "").split()) for o in (40, 1)) == [0, 50]
+
+
+def test_passage_inside_other_lines(spark):
+    def own(tag):
+        return " ".join(f"{tag}{i}" for i in range(60))
+
+    passage = " ".join(f"p{i}" for i in range(60))
+    df = spark.createDataFrame([(1, f"{own('a')} {passage} {own('b')}"), (2, f"{own('c')} {passage} {own('d')}")], "doc_id long, text string")
+    got = {r.doc_id: r for r in paragraphs.remove_repeated(df).collect()}
+    assert got[1].text.count("p59") == 1 and got[1].removed_passages == []
+    assert got[2].text == f"{own('c')} {own('d')}" and got[2].removed_passages == [[60, 119]]
