@@ -3,8 +3,8 @@
 Each five-word shingle of a document is a Poisson process whose rate is its count. Its arrivals
 fall on random registers, and a register keeps the shingle that arrives first; a shingle stops as
 soon as its next arrival is later than all registers. Two signatures agree in a register with
-the probability Jaccard similarity of the weighted shingle sets. Bands of registers give
-candidates; the Jaccard similarity of the shingle sets decides; components are the classes.
+the probability Jaccard similarity of the weighted shingle sets, and with all rates 1 with the Jaccard
+similarity of the sets. Bands of registers of both kinds give candidates; the Jaccard similarity of the shingle sets decides; components are the classes.
 """
 
 from __future__ import annotations
@@ -49,6 +49,19 @@ def signatures(owner: np.ndarray, elements: np.ndarray, weights: np.ndarray, n:
     return kept.reshape(n, registers)
 
 
+def both_bands(owner: np.ndarray, elements: np.ndarray, counts: np.ndarray, n: int) -> np.ndarray:
+    """Band codes of the signatures weighted by the counts, then of those with all rates 1, by which
+    a pair is found whatever its counts. The two agree where no shingle occurs twice."""
+    flat = signatures(owner, elements, np.ones(len(elements)), n)
+    weighted = flat.copy()
+    several = np.zeros(n, dtype=bool)
+    several[owner[counts > 1]] = True
+    if several.any():
+        on, number = several[owner], np.cumsum(several) - 1
+        weighted[several] = signatures(number[owner[on]], elements[on], counts[on], int(several.sum()))
+    return np.concatenate((band_codes(weighted, ROWS), band_codes(flat, ROWS)), axis=1)
+
+
 def _signed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
         texts = [plain_words(t) for t in frame["text"]]
@@ -59,7 +72,7 @@ def _signed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             full = [i for i, t in enumerate(own) if t]
             if full:
                 d, h, c = distinct(*shingles([own[i] for i in full], WIDTH))
-                codes = band_codes(signatures(d, h, c, len(full)), ROWS)
+                codes = both_bands(d, h, c, len(full))
                 for k, i in enumerate(full):
                     bands[i], node[i] = codes[k], digest64(own[i])
             yield pd.DataFrame(

@@ -1,11 +1,10 @@
 """Cases that operators used to leave out."""
-import hashlib
 import random
 
-import pytest
+import pandas as pd
 from pyspark.sql import functions as F
 
-from docflow.llm import paragraphs, passages
+from docflow.llm import paragraphs, passages, probminhash
 from test_operators import _classes, _shingles
 
 SF = "/root/testdata/sf0.001"
@@ -79,3 +78,14 @@ def test_passage_inside_other_lines(spark):
     got = {r.doc_id: r for r in paragraphs.remove_repeated(df).collect()}
     assert got[1].text.count("p59") == 1 and got[1].removed_passages == []
     assert got[2].text == f"{own('c')} {own('d')}" and got[2].removed_passages == [[60, 119]]
+
+
+def test_copy_with_a_repeated_line_is_a_candidate():
+    texts = []
+    for k in range(20):
+        words = [f"d{k}w{i}" for i in range(204)]
+        texts += [" ".join(words), " ".join(words[:100] + words[80:100] * 49 + words[100:])]
+    frame = pd.DataFrame({"doc_id": [str(i) for i in range(40)], "text_hash": range(40), "text": texts})
+    bands = next(probminhash._signed(iter([frame])))["bands"]
+    assert all(any(x == y for x, y in zip(bands[i], bands[i + 1])) for i in range(0, 40, 2))
+    assert not any(x == y for x, y in zip(bands[0], bands[2]))
