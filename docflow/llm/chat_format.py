@@ -4,9 +4,11 @@ The template is only called: successive prefixes of a conversation are rendered,
 prefix adds to the one before it is the span of its last turn. A template whose longer output does
 not start with the shorter one rewrites history and is reported.
 
-Conversations are partitioned by id, sorted by turn and streamed through the tasks, so a
-conversation of any length is held a few turns at a time. Prefixes restart every ``restart``
-turns, with the last turn of the block before as context, which keeps the work linear.
+Conversations are partitioned by id, sorted by turn and streamed through the tasks. A
+template gets true prefixes, which takes the whole conversation in memory and work that grows with
+the square of its turns. A template that promises, by an attribute ``turn_local``, to render every
+turn by itself, as the built-in one does, gets prefixes that restart every ``restart`` turns, with
+the last turn of the block before as context: that holds a few turns and keeps the work linear.
 
 The built-in template writes ``<|im_start|>role\ntext<|im_end|>\n`` and breaks every ``<|`` that
 is not its own, however many backslashes already stand inside it, by one more backslash.
@@ -47,6 +49,9 @@ def chat_template(turns: list[Turn]) -> str:
     )
 
 
+chat_template.turn_local = True
+
+
 def parse_turn(span: str) -> Turn:
     """Role and text of one rendered turn of the built-in template."""
     if not (span.startswith(START) and span.endswith(END + "\n")):
@@ -67,13 +72,14 @@ class TurnSpans:
     """Spans of the turns of one conversation, from renderings of growing prefixes."""
 
     def __init__(self, template: Template, restart: int = RESTART):
-        self.template, self.restart = template, restart
+        self.template = template
+        self.restart = restart if getattr(template, "turn_local", False) else None
         self.prefix: list[Turn] = []
         self.shown = ""
         self.rewrites = False
 
     def add(self, turn: Turn) -> str:
-        if len(self.prefix) >= self.restart:
+        if self.restart and len(self.prefix) >= self.restart:
             self.prefix = self.prefix[-1:]
             self.shown = self.template(self.prefix)
         now = self.template([*self.prefix, turn])

@@ -4,7 +4,7 @@ import random
 import pandas as pd
 from pyspark.sql import functions as F
 
-from docflow.llm import paragraphs, passages, probminhash
+from docflow.llm import chat_format, paragraphs, passages, probminhash
 from test_operators import _classes, _shingles
 
 SF = "/root/testdata/sf0.001"
@@ -89,3 +89,24 @@ def test_copy_with_a_repeated_line_is_a_candidate():
     bands = next(probminhash._signed(iter([frame])))["bands"]
     assert all(any(x == y for x, y in zip(bands[i], bands[i + 1])) for i in range(0, 40, 2))
     assert not any(x == y for x, y in zip(bands[0], bands[2]))
+
+
+def _numbered(turns):  # the first turn must be a user's; shows the system turn and the number of each
+    assert turns[0][0] == "user"
+    return "".join(f"[{turns[0][1]}:{i}:{r}:{t}]" for i, (r, t) in enumerate(turns))
+
+
+def _late_rewrite(turns):  # drops the thoughts of all turns but the last two
+    return "".join(f"[{r}:{t if i >= len(turns) - 2 else t.split('#')[-1]}]" for i, (r, t) in enumerate(turns))
+
+
+def test_templates_get_true_prefixes():
+    turns = [("assistant" if i % 2 else "user", f"t{i}") for i in range(21)]
+    state = chat_format.TurnSpans(_numbered)
+    assert "".join(state.add(t) for t in turns) == _numbered(turns) and not state.rewrites
+    turns = [(r, f"think#{t}" if i == 6 else t) for i, (r, t) in enumerate(turns)]
+    state, seen = chat_format.TurnSpans(_late_rewrite), []
+    for t in turns:
+        state.add(t)
+        seen.append(state.rewrites)
+    assert seen == [i >= 8 for i in range(21)]
