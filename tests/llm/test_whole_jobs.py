@@ -4,7 +4,7 @@ import random
 import pandas as pd
 from pyspark.sql import functions as F
 
-from docflow.llm import chat_format, paragraphs, passages, probminhash
+from docflow.llm import chat_format, line_blocks, paragraphs, passages, probminhash
 from test_operators import _classes, _shingles
 
 SF = "/root/testdata/sf0.001"
@@ -110,3 +110,20 @@ def test_templates_get_true_prefixes():
         state.add(t)
         seen.append(state.rewrites)
     assert seen == [i >= 8 for i in range(21)]
+
+
+def test_pages_without_marked_article():
+    long = "A sentence of the text that is long enough to count."
+    menu = '<ul class="menu"><li>m</li><li>n</li><li>o</li><li>p</li></ul>'
+    page = f"<body><p>Hello you</p>{menu}<h1>Title</h1><p>{long * 20}</p><p>Bye.</p>{menu}<p>{long}</p>{menu}<div>Site map</div></body>"
+    assert line_blocks.main_text(page) == f"Title {long * 20} Bye. {long}"
+    assert line_blocks.main_text("<body><p>short</p></body>") == "short"
+    assert line_blocks.stretches([30, 0, 0, 0, 50, 0, 0, 0, 12]) == [(4, 5)]
+
+
+def test_attributes_are_parsed_by_name():
+    long = "A sentence of the text that is long enough to count."
+    for mark in ('title="hidden gems"', 'aria-hidden="false"', 'data-id="menu"', "data-x='class=ad'"):
+        assert line_blocks.main_text(f"<div {mark}><p>{long}</p></div>") == long, mark
+    for mark in ("hidden", 'HIDDEN=""', "class=ad", 'id="x" class="big ad"', "role = 'menu'"):
+        assert line_blocks.main_text(f"<div {mark}><p>{long}</p></div>") == "", mark
