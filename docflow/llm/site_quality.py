@@ -78,7 +78,8 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAINING_DOCS,
     source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     rows = features(source.join(drawn, F.col("doc_id") == F.col("label_id")), "text")
     dense = rows.select("label", "low", "toxic", "words", *[F.get("style", k).alias(f"s{k}") for k in range(11)])
-    sample = stored(dense.coalesce(TRAINING_TASKS), "training")
+    # dealt anew: a coalesce would run the join over all documents in so few tasks
+    sample = stored(dense.repartition(TRAINING_TASKS), "training")
     if sample.select("label").distinct().count() < 2:
         return None
     vocabulary = telling_words(sample)

@@ -4,7 +4,7 @@ import random
 import pandas as pd
 from pyspark.sql import functions as F
 
-from docflow.llm import chat_format, line_blocks, paragraphs, passages, probminhash
+from docflow.llm import chat_format, line_blocks, paragraphs, passages, probminhash, site_quality
 from test_operators import _classes, _shingles
 
 SF = "/root/testdata/sf0.001"
@@ -127,3 +127,17 @@ def test_attributes_are_parsed_by_name():
         assert line_blocks.main_text(f"<div {mark}><p>{long}</p></div>") == long, mark
     for mark in ("hidden", 'HIDDEN=""', "class=ad", 'id="x" class="big ad"', "role = 'menu'"):
         assert line_blocks.main_text(f"<div {mark}><p>{long}</p></div>") == "", mark
+
+
+def test_training_rows_are_joined_in_all_tasks(spark, monkeypatch):
+    plans, write = [], site_quality.stored
+
+    def keep(df, name):
+        plans.append((name, df._jdf.queryExecution().optimizedPlan().toString()))
+        return write(df, name)
+
+    monkeypatch.setattr(site_quality, "stored", keep)
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    site_quality.train(docs, labels)
+    plan = dict(plans)["training"]
+    assert f"Repartition {site_quality.TRAINING_TASKS}, true" in plan and f"Repartition {site_quality.TRAINING_TASKS}, false" not in plan
