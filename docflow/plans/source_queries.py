@@ -24,8 +24,10 @@ def _doc_files(spark, d):
     "cast(strlen(text) + 1 as bigint) as length from documents",
 )
 def scan_documents(spark, d):
-    """One text-layer file per document, listed with the binaryFile source."""
-    return dc.scan_documents(spark, _doc_files(spark, d), with_content=False).select("ack_id", "year", "length")
+    """One text-layer file per document, read with the binaryFile source; the length is that of
+    the bytes read."""
+    docs = dc.scan_documents(spark, _doc_files(spark, d))
+    return docs.select("ack_id", "year", F.length("content").cast("long").alias("length"))
 
 
 @register(
