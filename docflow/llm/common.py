@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docflow.operators import bloom
 from docflow.session import scratch_path
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -39,12 +40,22 @@ def words(text: Column) -> Column:
     )
 
 
+CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate table to the shared folder and read it back: later steps neither
-    recompute it nor depend on the executors that made it."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    recompute it nor depend on the executors that made it. The shuffle files of the write go once it
+    is done: nothing reads them again."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    before = spark.conf.get(CLEAN_SHUFFLES, "false")
+    spark.conf.set(CLEAN_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEAN_SHUFFLES, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 # A list of ids is broadcast up to this many (16 bytes each, and a hash table of like size).
@@ -69,3 +80,30 @@ def split_by_hash(rows: DataFrame, key: str, hashes: DataFrame) -> tuple[DataFra
         return rows, None
     known = F.broadcast(known)
     return rows.join(known, key, "left_semi"), rows.join(known, key, "left_anti")
+
+
+def text_hash(text: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+
+
+def drop_rows(docs: DataFrame, gone: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` without the rows whose id and text hash are in ``gone``, a stored table ``gone_id,
+    gone_hash``; null ids are equal to each other.
+
+    Texts stay where they are, at every size of the list: a Bloom filter of the list tells most rows
+    apart; the keys alone of the others are joined with the list, which leaves those that the
+    filter took for listed ones, and only these few are fetched by a join."""
+    filt = bloom.build(gone, "gone_id", "gone_hash")
+    filt.bits = stored(filt.bits, "bloom")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    tagged = docs.select(row.alias("row"), F.col(doc_id).alias("row_id"), text_hash(text).alias("row_hash"))
+    columns = [F.col("row")[c].alias(c) for c in docs.columns]
+    told = filt.split(tagged, "row_id", "row_hash")
+    listed = F.col("row_id").eqNullSafe(F.col("gone_id")) & (F.col("row_hash") == F.col("gone_hash"))
+    taken = filt.split(tagged.select("row_id", "row_hash"), "row_id", "row_hash").where("_maybe").select("row_id", "row_hash")
+    spared = stored(taken.join(gone, listed, "left_anti").distinct().toDF("gone_id", "gone_hash"), "spared")
+    left = told.where(~F.col("_maybe")).select(*columns)
+    if spared.isEmpty():
+        return left
+    again = bloom.build(spared, "gone_id", "gone_hash").split(told.where("_maybe").drop("_maybe"), "row_id", "row_hash")
+    return left.union(again.where("_maybe").join(spared, listed, "left_semi").select(*columns))

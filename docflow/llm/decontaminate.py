@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import let, lower_ascii, table
+from .common import drop_rows, let, lower_ascii, stored, table
 
 WINDOW = 13
 MAX_HIT_PCT = 5
@@ -70,8 +70,8 @@ def find_contamination(
     max_broadcast: int = MAX_BROADCAST_WINDOWS,
 ) -> DataFrame:
     """Per document with hits: ``doc_id, text_hash, spans`` (sorted, distinct start and size of
-    verified windows, starts from 1), ``items`` (sorted ids as strings) and ``n_hit`` (words inside
-    any span). Rows that agree in id and text share one output row; null and blank texts, and an
+    verified windows, starts from 1), ``items`` (sorted ids as strings), ``n_hit`` (words inside
+    any span) and ``n_words``. Rows that agree in id and text share one output row; null and blank texts, and an
     empty benchmark, give none. Other columns are ignored, whatever their names."""
     grams = benchmark_windows(benchmark, size=size)
     # at most `size` sizes; the count decides between broadcast and shuffle
@@ -85,16 +85,17 @@ def find_contamination(
     )
     windows = scanned.select(
         "doc_id", "text_hash", "w", F.explode(_windows(F.col("w"), sizes)).alias("x")
-    ).select("doc_id", "text_hash", "w", "x.*")
+    ).select("doc_id", "text_hash", "w", F.size("w").alias("n_words"), "x.*")
     own = F.slice("w", F.col("pos"), F.col("size"))
     if small:
         hits = windows.join(F.broadcast(grams), ["size", "h"]).where(own == F.col("gram"))
     else:
-        carried = windows.select("doc_id", "text_hash", "pos", "size", "h", own.alias("own"))
+        carried = windows.select("doc_id", "text_hash", "n_words", "pos", "size", "h", own.alias("own"))
         hits = carried.join(grams, ["size", "h"]).where(F.col("own") == F.col("gram"))
     per_doc = hits.groupBy("doc_id", "text_hash").agg(
         F.sort_array(F.collect_set(F.struct("pos", "size"))).alias("spans"),
         F.sort_array(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
+        F.max("n_words").cast("long").alias("n_words"),
     )
     zero = F.struct(F.lit(0).alias("end"), F.lit(0).alias("n"))
 
@@ -108,7 +109,7 @@ def find_contamination(
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its hit words and the benchmark items it holds."""
     docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
-    found = find_contamination(docs, benchmark)
+    found = find_contamination(docs, benchmark).drop("n_words")
     base = docs.select(
         "doc_id",
         F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"),
@@ -137,17 +138,10 @@ def decontaminate(
 ) -> DataFrame:
     """The documents whose hit words are under ``max_hit_pct`` percent of their words; columns,
     texts and repeated rows stay as they are."""
-    found = find_contamination(docs, benchmark, doc_id, text, **options).select("doc_id", "text_hash", "n_hit")
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    tagged = docs.select(
-        row.alias("row"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("row_hash")
-    )
-    n_words = F.size(gram_words(F.col("row")[text]))
-    bad = (F.col("row_hash") == F.col("text_hash")) & F.col("row")[doc_id].eqNullSafe(F.col("doc_id"))
-    joined = tagged.join(found, bad, "left").where(
-        F.col("n_hit").isNull() | (100 * F.col("n_hit") < max_hit_pct * n_words)
-    )
-    return joined.select(*[F.col("row")[c].alias(c) for c in docs.columns])
+    found = find_contamination(docs, benchmark, doc_id, text, **options)
+    bad = found.where(100 * F.col("n_hit") >= max_hit_pct * F.col("n_words"))
+    gone = stored(bad.select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash")), "contaminated")
+    return drop_rows(docs, gone, doc_id, text)
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", **options):

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .clusters import link_buckets
-from .common import stored, table, with_ids
+from .common import drop_rows, stored, table, with_ids
 from .textbytes import U, band_codes, batches, digest64, distinct, mix, plain_words, shingle_sets, shingles
 
 REGISTERS = 144
@@ -159,16 +159,15 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresh
         found.where("not first").select("doc_id", "text_hash").union(others.select("doc_id", "text_hash")).toDF("gone_id", "gone_hash").distinct(),
         "gone",
     )
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    tagged = docs.select(row.alias("row"), F.col(doc_id).alias("row_id"), _hash(text).alias("row_hash"))
-    left = tagged.join(gone, F.col("row_id").eqNullSafe(F.col("gone_id")) & (F.col("row_hash") == F.col("gone_hash")), "left_anti")
-    columns = [F.col("row")[c].alias(c) for c in docs.columns]
+    left = drop_rows(docs, gone, doc_id, text)
     if several.isEmpty():
-        return left.select(*columns)
+        return left
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    tagged = left.select(row.alias("row"), F.col(doc_id).alias("row_id"), _hash(text).alias("row_hash"))
     again = F.col("row_id").eqNullSafe(F.col("kept_id")) & (F.col("row_hash") == F.col("kept_hash"))
-    single = left.join(several, again, "left_anti")
-    one = left.join(several, again, "left_semi").dropDuplicates(["row_id", "row_hash"])
-    return single.union(one).select(*columns)
+    single = tagged.join(several, again, "left_anti")
+    one = tagged.join(several, again, "left_semi").dropDuplicates(["row_id", "row_hash"])
+    return single.union(one).select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def op9_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:

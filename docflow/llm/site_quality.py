@@ -16,7 +16,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import let, stored, table, words
+from .common import drop_rows, let, stored, table, words
 
 # The classifier learns from about this many labelled documents, drawn by a hash of their ids.
 MAX_TRAINING_DOCS = 20_000
@@ -76,7 +76,8 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAINING_DOCS,
     share = min(1.0, max_docs / max(n, 1))
     drawn = marked.where(F.pmod(F.xxhash64("label_id", F.lit(17)), F.lit(1_000_000)) < share * 1_000_000)
     source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    rows = features(source.join(drawn, F.col("doc_id") == F.col("label_id")), "text")
+    # about max_docs rows by the draw above, so no text is shuffled for them
+    rows = features(source.join(F.broadcast(drawn), F.col("doc_id") == F.col("label_id")), "text")
     dense = rows.select("label", "low", "toxic", "words", *[F.get("style", k).alias(f"s{k}") for k in range(11)])
     # dealt anew: a coalesce would run the join over all documents in so few tasks
     sample = stored(dense.repartition(TRAINING_TASKS), "training")
@@ -198,14 +199,9 @@ def site_quality(
 def keep_good(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The documents that are kept, with all their columns; rows that agree in id and text go
     together when any of them is rejected."""
-    bad = stored(
-        site_quality(docs, labels, doc_id, text, **options).where("not kept").select(F.col("doc_id").alias("bad_id"), F.col("text_hash").alias("bad_hash")).distinct(),
-        "rejected",
-    )
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    tagged = docs.select(row.alias("row"), F.col(doc_id).alias("row_id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("row_hash"))
-    left = tagged.join(bad, F.col("row_id").eqNullSafe(F.col("bad_id")) & (F.col("row_hash") == F.col("bad_hash")), "left_anti")
-    return left.select(*[F.col("row")[c].alias(c) for c in docs.columns])
+    verdicts = site_quality(docs, labels, doc_id, text, **options)
+    bad = verdicts.where("not kept").select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash"))
+    return drop_rows(docs, stored(bad.distinct(), "rejected"), doc_id, text)
 
 
 def op8_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
