@@ -7,6 +7,7 @@ from . import (
     bucket_refinement,
     chat_format,
     decontaminate,
+    dimension_lloyd,
     fp_tree,
     lattice,
     line_blocks,
@@ -27,11 +28,13 @@ QUERIES = {
     "op8_site_quality": site_quality.op8_site_quality,
     "op9_probminhash": probminhash.op9_probminhash,
     "op10_incremental_chat": chat_format.op10_incremental_chat,
+    "op12_dimension_lloyd": dimension_lloyd.op12_dimension_lloyd,
     "op13_fp_tree": fp_tree.op13_fp_tree,
 }
 
 ORACLE = {
     "op1_line_frequency": line_frequency.ORACLE,
     "op4_decontaminate": decontaminate.ORACLE,
+    "op12_dimension_lloyd": dimension_lloyd.ORACLE,
     "op13_fp_tree": fp_tree.ORACLE,
 }
