@@ -13,6 +13,7 @@ from . import (
     line_blocks,
     line_frequency,
     paragraphs,
+    partenum,
     probminhash,
     site_quality,
 )
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_site_quality": site_quality.op8_site_quality,
     "op9_probminhash": probminhash.op9_probminhash,
     "op10_incremental_chat": chat_format.op10_incremental_chat,
+    "op11_partenum": partenum.op11_partenum,
     "op12_dimension_lloyd": dimension_lloyd.op12_dimension_lloyd,
     "op13_fp_tree": fp_tree.op13_fp_tree,
 }
@@ -35,6 +37,7 @@ QUERIES = {
 ORACLE = {
     "op1_line_frequency": line_frequency.ORACLE,
     "op4_decontaminate": decontaminate.ORACLE,
+    "op11_partenum": partenum.ORACLE,
     "op12_dimension_lloyd": dimension_lloyd.ORACLE,
     "op13_fp_tree": fp_tree.ORACLE,
 }

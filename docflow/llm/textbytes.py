@@ -134,14 +134,14 @@ def band_codes(signature: np.ndarray, rows: int) -> np.ndarray:
 SKETCH_WORDS = 16
 
 
-def sketches(owner: np.ndarray, hashes: np.ndarray, n: int) -> np.ndarray:
-    """For each of ``n`` sets, one bit of each of 64 * SKETCH_WORDS MinHash values. Two sets agree in a
+def sketches(owner: np.ndarray, hashes: np.ndarray, n: int, words: int = SKETCH_WORDS) -> np.ndarray:
+    """For each of ``n`` sets, one bit of each of 64 * ``words`` MinHash values. Two sets agree in a
     bit with probability (1 + J) / 2. ``owner`` is sorted; sets without values keep zeros."""
-    out = np.zeros((n, SKETCH_WORDS), dtype=U)
+    out = np.zeros((n, words), dtype=U)
     present, firsts = np.unique(owner, return_index=True)
     if not len(present):
         return out.view(np.int64)
-    factors = mix(np.arange(5001, 5001 + 64 * SKETCH_WORDS, dtype=U)) | U(1)
+    factors = mix(np.arange(5001, 5001 + 64 * words, dtype=U)) | U(1)
     for k, f in enumerate(factors):
         least = np.minimum.reduceat(hashes * f, firsts)
         bit = (least * U(0xBF58476D1CE4E5B9)) >> U(63)
