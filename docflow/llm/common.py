@@ -55,7 +55,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(CLEAN_SHUFFLES, before)
-    return spark.read.schema(df.schema).parquet(path)
+    made = spark.read.schema(df.schema).parquet(path)
+    made.stored_at = path
+    return made
+
+
+def discard(made: DataFrame) -> None:
+    """Delete a table that ``stored`` wrote, once the tables made from it are written too."""
+    jvm, conf = made.sparkSession._jvm, made.sparkSession._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(made.stored_at)
+    path.getFileSystem(conf).delete(path, True)
 
 
 # A list of ids is broadcast up to this many (16 bytes each, and a hash table of like size).

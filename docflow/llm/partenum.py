@@ -8,9 +8,9 @@ a size that must agree are enumerated, which makes longer signatures; elsewhere
 subsets are the single partitions, of which the first k + 1 that hold anything are enough: before the first
 partition in which both agree, each one that holds anything differs.
 
-Sets that share a signature are compared, so no similar pair is lost by the signatures. In a signature that many
-sets share, all are compared with a few of them first; where that leaves several components,
-with eight times as many, and so on.
+Sets that share a signature are compared, so no similar pair is lost by the signatures. Where more than two
+sets share one, all are compared with the smallest; if that leaves several components, members of
+different ones are compared with eight of them, then with eight times as many, and so on.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from docflow.operators import bloom
 
 from .clusters import components, similar
-from .common import stored, table, text_hash
+from .common import discard, stored, table, text_hash
 from .textbytes import U, batches, digest64, distinct, mix, shingles, sketches
 
 PERCENT = 80
@@ -36,7 +36,7 @@ FIRST_BAND = 4
 GROWTH = (3, 2)
 # Up to this many differences all subsets of partitions are enumerated: partitions by differences.
 PARTITIONS = {1: 3, 2: 4, 3: 5, 4: 6}
-HUBS = 4
+HUBS = 8
 SKETCH = 4
 
 
@@ -192,8 +192,11 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     ignored. Shingles and sets are known by 64-bit hashes."""
     kind = docs.schema[doc_id].dataType.simpleString()
     source = docs.select(F.col(doc_id).alias("doc_id"), text_hash(text).alias("text_hash"), F.col(text).alias("text"))
-    items = stored(source.mapInPandas(_signer(percent), f"doc_id {kind}, text_hash long, n long, node long, codes array<long>"), "sets")
-    labels = _link(items, source.select("text_hash", "text"), percent)
+    signed = stored(source.mapInPandas(_signer(percent), f"doc_id {kind}, text_hash long, n long, node long, codes array<long>"), "signed")
+    items = stored(signed.drop("codes"), "sets")
+    met, members = _meetings(signed)
+    discard(signed)
+    labels = _link(met, members, items, source.select("text_hash", "text"), percent)
     nodes = items.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
     labelled = nodes.join(labels.withColumnRenamed("id", "node"), "node", "left").select("node", "least", F.coalesce("label", "node").alias("label"))
     labelled = stored(labelled, "labelled")
@@ -203,26 +206,33 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     named = stored(linked.join(names, "label").select("node", "component_id"), "named")
     alone = labelled.join(named, "node", "left_anti").select("node", F.col("least").alias("component_id"))
     by_node = named.union(alone)
-    return items.drop("codes").join(by_node, "node", "left").select(
+    return items.join(by_node, "node", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
     )
 
 
-def _link(items: DataFrame, source: DataFrame, percent: int) -> DataFrame:
-    """``id, label`` of every node with a link."""
-    rows = items.where("node is not null").select("node", F.explode("codes").alias("code"))
+def _meetings(signed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``a, b, code, two`` of the codes that several nodes share (two: only ``a`` and ``b`` do), and
+    ``code, node, a`` of all members of the others."""
+    rows = signed.where("node is not null").select("node", F.explode("codes").alias("code"))
     # a code of one node, of two, or of more: of two nodes all bits are in their OR and AND
     met = (
         rows.groupBy("code")
         .agg(F.min("node").alias("a"), F.max("node").alias("b"), F.bit_or("node").alias("any"), F.bit_and("node").alias("all"))
         .where(F.col("a") < F.col("b"))
     )
-    met = stored(met.withColumn("two", (F.col("any") == F.col("a").bitwiseOR(F.col("b"))) & (F.col("all") == F.col("a").bitwiseAND(F.col("b")))), "met")
-    crowded = met.where("not two").select("code")
+    two = (F.col("any") == F.col("a").bitwiseOR(F.col("b"))) & (F.col("all") == F.col("a").bitwiseAND(F.col("b")))
+    met = stored(met.select("code", "a", "b", two.alias("two")), "met")
+    crowded = met.where("not two").select("code", "a")
     maybe = bloom.build(crowded, "code").split(rows, "code").where("_maybe").select("node", "code")
-    members = stored(maybe.join(crowded, "code").distinct(), "members")
-    pairs = met.where("two").select("a", "b").distinct()
-    ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).union(members.select("node")).distinct(), "ids")
+    return met, stored(maybe.join(crowded, "code").distinct(), "members")
+
+
+def _link(met: DataFrame, members: DataFrame, items: DataFrame, source: DataFrame, percent: int) -> DataFrame:
+    """``id, label`` of every node with a link."""
+    star = members.where(F.col("node") != F.col("a")).select("a", F.col("node").alias("b"))
+    pairs = stored(met.where("two").select("a", "b").union(star).distinct(), "pairs")
+    ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
     sets = stored(_sets_of(items, source, ids), "shingle_sets")
     small = sets.select("id", "n", "sketch")
     threshold = percent / 100
@@ -233,24 +243,24 @@ def _link(items: DataFrame, source: DataFrame, percent: int) -> DataFrame:
     likely = pairs.join(_sided(small, "a"), "a").join(_sided(small, "b"), "b").where(_may_be_similar(percent))
     links = verified(likely.select("a", "b"))
     labels = components(links)
-    hubs, left = HUBS, members
-    compared = None
+    compared, hubs, left = 1, HUBS, members.select("code", "node")
     while True:
         known = left.join(labels.withColumnRenamed("id", "node"), "node", "left").select("code", "node", F.coalesce("label", "node").alias("label"))
-        if compared is not None:
-            state = known.groupBy("code").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("members"))
-            still = state.where((F.col("lo") < F.col("hi")) & (F.col("members") > compared)).select("code")
-            known = stored(known.join(still, "code"), "open")
-            if known.isEmpty():
-                return labels
-            left = known.select("code", "node")
-        order = Window.partitionBy("code").orderBy(F.xxhash64("node", F.lit(3)), "node")
+        state = known.groupBy("code").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("members"))
+        still = state.where((F.col("lo") < F.col("hi")) & (F.col("members") > compared)).select("code")
+        known = stored(known.join(still, "code"), "open")
+        if known.isEmpty():
+            return labels
+        left = known.select("code", "node")
+    order = Window.partitionBy("code").orderBy(F.xxhash64("node", F.lit(3)), "node")
         first = known.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= hubs)
         hub = first.select("code", F.col("node").alias("a"), F.col("label").alias("label_a")).join(_sided(small, "a"), "a")
         other = known.select("code", F.col("node").alias("b"), F.col("label").alias("label_b")).join(_sided(small, "b"), "b")
         near = other.join(hub, "code").where((F.col("label_a") != F.col("label_b")) & _may_be_similar(percent))
-        links = stored(links.union(verified(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))), "links")
-        labels = components(links)
+        more = verified(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+        if not more.isEmpty():
+            links = stored(links.union(more), "links")
+            labels = components(links)
         compared, hubs = hubs, hubs * 8
 
 
