@@ -36,6 +36,7 @@ TREE_TERMS = 4_000
 LEAF = 64
 # The tasks' rows of an item meet in so many first rankings, and these in one.
 MERGES = 64
+TASK_DOCS = 10_000
 PIECE = 1_000_000
 
 _KEPT = bytes(
@@ -300,6 +301,8 @@ def _rank_block(docs: DataFrame, own: list, doc_id: str, text: str, kind: str, t
     for t, k in place.items():
         by_frequency[t] = k
     plain = [(i, sorted(place[n] for t in r["terms"] if (n := number[t.encode("utf-8", "surrogatepass")]) in place)) for i, r in enumerate(own)]
+    # a task searches 10,000 documents, however small their vectors are
+    vectors = vectors.repartition(max(1, -(-n_docs // TASK_DOCS)))
     search = _searcher([p for p in plain if p[1]], weights, n_docs, n_terms, top)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
