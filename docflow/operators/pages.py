@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from docflow import constants as C
 from docflow.functions import text as tx
+from docflow.operators import term_index
 
 
 def _c(col):
@@ -337,19 +338,7 @@ def terms_table(spark, terms: Iterable[str]) -> DataFrame:
     return spark.createDataFrame(rows, "term string, term_lower string, term_folded string")
 
 
-def terms_table_join(rows: DataFrame, terms: DataFrame, text: str = "text", max_inline: int = 10_000) -> DataFrame:
-    """Pages that contain any term when the terms are a table.
-
-    The size of the terms table is checked first. Up to ``max_inline`` terms it is read once on
-    the driver and compiled into the predicate (folded and de-duplicated): a plain filter, no
-    join. A larger table is broadcast for a left-semi BroadcastNestedLoopJoin, with the page's
-    lowered and folded text projected once per page rather than once per (page, term) pair.
-    A null term matches nothing."""
-    head = terms.select("term").limit(max_inline + 1).collect()  # the size check reads at most this
-    if len(head) <= max_inline:
-        lits = [r[0] for r in head if r[0] is not None]
-        return rows.where(F.coalesce(tx.find_terms(F.col(text), lits), F.lit(False)))
-    low = F.lower(F.col(text))
-    keyed = rows.withColumn("_low", low).withColumn("_fold", tx.alnum_fold(F.col("_low")))
-    cond = F.col("_low").contains(F.col("term_lower")) | F.col("_fold").contains(F.col("term_folded"))
-    return keyed.join(F.broadcast(terms), cond, "left_semi").drop("_low", "_fold")
+def terms_table_join(rows: DataFrame, terms: DataFrame, text: str = "text") -> DataFrame:
+    """Pages that contain any term when the terms are a table of any size (column ``term``), by an
+    inverted index of q-grams (``term_index``). A null term matches nothing."""
+    return term_index.pages_with_terms(rows, terms, text)

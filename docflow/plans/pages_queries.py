@@ -153,3 +153,19 @@ def text_or_ocr(spark, d):
 def terms_table_join(spark, d):
     rows = pg.explode_pages(B.pagesets(spark, d).select("doc_id", "pages"))
     return pg.terms_table_join(rows, pg.terms_table(spark, T)).select("doc_id", "page_no")
+
+
+@register(
+    "terms_index_join",
+    f"""select doc_id, page_no from ({PAGES_SQL}) p
+    where exists (select 1 from (select distinct regexp_replace(lower(w[i] || ' ' || w[i + 1]), '[^a-z0-9() ]', '', 'g') as term
+                                 from (select w, unnest(range(1, len(w))) as i
+                                       from (select string_split(text, ' ') as w from benchmark))) t
+                  where contains(regexp_replace(lower(p.text), '[^a-z0-9() ]', '', 'g'), t.term))""",
+)
+def terms_index_join(spark, d):
+    """J7 with thousands of terms: every two neighbouring words of the benchmark items."""
+    rows = pg.explode_pages(B.pagesets(spark, d).select("doc_id", "pages"))
+    words = B.table(spark, d, "benchmark").select(F.split("text", " ").alias("w")).where(F.size("w") > 1)
+    pairs = F.transform(F.sequence(F.lit(1), F.size("w") - 1), lambda i: F.concat_ws(" ", F.element_at("w", i), F.element_at("w", i + 1)))
+    return pg.terms_table_join(rows, words.select(F.explode(pairs).alias("term"))).select("doc_id", "page_no")

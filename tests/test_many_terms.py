@@ -1,16 +1,52 @@
-"""Term tables of many sizes (J7), with null terms."""
+"""Term tables of many sizes (J7): one plan, equal to a scan of every term, with null, short and empty terms."""
+
+import random
+import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from docflow.operators import pages as pg
 
 TERMS = "term string, term_lower string, term_folded string"
 
 
-@pytest.mark.parametrize("n", [10, 300, 3000])
+def fold(text):
+    return re.sub("[^a-z0-9() ]", "", text.lower())
+
+
+@pytest.mark.parametrize("n", [10, 3000, 200_000])
 def test_terms_tables_of_many_sizes(spark, n):
-    pages = spark.createDataFrame([(1, "x needle1q y"), (2, f"Needle{n - 1}Q"), (3, "need le2q-"), (4, "nothing"), (5, None)], "id int, text string")
-    terms = pg.terms_table(spark, [f"needle{i}q" for i in range(n)])
-    terms = terms.union(spark.createDataFrame([(None, None, None)], TERMS))
-    assert sorted(r.id for r in pg.terms_table_join(pages, terms).collect()) == [1, 2]
-    assert sorted(r.id for r in pg.terms_table_join(pages, terms, max_inline=0).collect()) == [1, 2]
+    pages = spark.createDataFrame([(1, "x needle1q y"), (2, f"Needle{n - 1}Q"), (3, "need le2q-"), (4, "nothing"), (5, None), (6, "nee-dle\n2q")], "id int, text string")
+    terms = spark.range(n).select(F.concat(F.lit("needle"), "id", F.lit("q")).alias("term"))
+    terms = terms.union(spark.createDataFrame([(None,)], "term string"))
+    assert sorted(r.id for r in pg.terms_table_join(pages, terms).collect()) == [1, 2, 6]
+
+
+def test_matches_a_scan_of_every_term(spark):
+    rnd = random.Random(5)
+    letters = "abAB1 (-\né"
+    texts = ["".join(rnd.choices(letters, k=rnd.randrange(0, 60))) for _ in range(150)] + [None, ""]
+    pages = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(0, texts[0])], "id int, text string")
+    for size in (1, 2, 3, 5, 9):
+        terms = ["".join(rnd.choices(letters, k=size + rnd.randrange(3))) for _ in range(12)]
+        terms = [t for t in terms if fold(t)]
+        got = sorted(r.id for r in pg.terms_table_join(pages, pg.terms_table(spark, terms)).collect())
+        want = sorted(i for i, t in [*enumerate(texts), (0, texts[0])] if t is not None and any(fold(x) in fold(t) for x in terms))
+        assert got == want, terms
+
+
+def test_empty_term_and_empty_tables(spark):
+    pages = spark.createDataFrame([(1, "a", 0), (2, None, 0), (3, "", 0)], "id int, text string, gram int")
+    none = spark.createDataFrame([], TERMS)
+    assert sorted(r.id for r in pg.terms_table_join(pages, pg.terms_table(spark, ["-", "q"])).collect()) == [1, 3]
+    assert pg.terms_table_join(pages, none).count() == 0
+    assert pg.terms_table_join(pages.limit(0), pg.terms_table(spark, ["abcde"])).count() == 0
+    assert pg.terms_table_join(pages, pg.terms_table(spark, ["A"])).columns == pages.columns
+
+
+def test_plan_has_no_nested_loop(spark):
+    pages = spark.range(100).select("id", F.concat(F.lit("some text of page"), "id").alias("text"))
+    terms = spark.range(50_000).select(F.concat(F.lit("page"), "id").alias("term"))
+    plan = pg.terms_table_join(pages, terms)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
