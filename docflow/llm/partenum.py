@@ -9,8 +9,9 @@ subsets are the single partitions, of which the first k + 1 that hold anything a
 partition in which both agree, each one that holds anything differs.
 
 Sets that share a signature are compared, so no similar pair is lost by the signatures. Where more than two
-sets share one, all are compared with the smallest; if that leaves several components, members of
-different ones are compared with eight of them, then with eight times as many, and so on.
+sets share one, all are compared with the one that has the most such signatures, as the text has of which the others
+are changed copies; if that leaves several components, members of different ones are compared with
+eight of them, then with eight times as many, and so on.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ GROWTH = (3, 2)
 # Up to this many differences all subsets of partitions are enumerated: partitions by differences.
 PARTITIONS = {1: 3, 2: 4, 3: 5, 4: 6}
 HUBS = 8
-SKETCH = 4
+SKETCH = 16
 
 
 def band_limits(largest: int) -> list[int]:
@@ -213,7 +214,7 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
 
 def _meetings(signed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``a, b, code, two`` of the codes that several nodes share (two: only ``a`` and ``b`` do), and
-    ``code, node, a`` of all members of the others."""
+    ``code, node, degree`` of all members of the others; the degree is the node's number of them."""
     rows = signed.where("node is not null").select("node", F.explode("codes").alias("code"))
     # a code of one node, of two, or of more: of two nodes all bits are in their OR and AND
     met = (
@@ -223,14 +224,16 @@ def _meetings(signed: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     two = (F.col("any") == F.col("a").bitwiseOR(F.col("b"))) & (F.col("all") == F.col("a").bitwiseAND(F.col("b")))
     met = stored(met.select("code", "a", "b", two.alias("two")), "met")
-    crowded = met.where("not two").select("code", "a")
+    crowded = met.where("not two").select("code")
     maybe = bloom.build(crowded, "code").split(rows, "code").where("_maybe").select("node", "code")
-    return met, stored(maybe.join(crowded, "code").distinct(), "members")
+    members = stored(maybe.join(crowded, "code").distinct(), "members")
+    return met, stored(members.join(members.groupBy("node").agg(F.count("*").alias("degree")), "node"), "ranked")
 
 
 def _link(met: DataFrame, members: DataFrame, items: DataFrame, source: DataFrame, percent: int) -> DataFrame:
     """``id, label`` of every node with a link."""
-    star = members.where(F.col("node") != F.col("a")).select("a", F.col("node").alias("b"))
+    tops = members.groupBy("code").agg(F.max_by("node", F.struct("degree", "node")).alias("top"))
+    star = members.join(tops, "code").where(F.col("node") != F.col("top")).select(F.least("node", "top").alias("a"), F.greatest("node", "top").alias("b"))
     pairs = stored(met.where("two").select("a", "b").union(star).distinct(), "pairs")
     ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
     sets = stored(_sets_of(items, source, ids), "shingle_sets")
@@ -243,17 +246,19 @@ def _link(met: DataFrame, members: DataFrame, items: DataFrame, source: DataFram
     likely = pairs.join(_sided(small, "a"), "a").join(_sided(small, "b"), "b").where(_may_be_similar(percent))
     links = verified(likely.select("a", "b"))
     labels = components(links)
-    compared, hubs, left = 1, HUBS, members.select("code", "node")
+    compared, hubs, left = 0, HUBS, members
     while True:
-        known = left.join(labels.withColumnRenamed("id", "node"), "node", "left").select("code", "node", F.coalesce("label", "node").alias("label"))
+        known = left.join(labels.withColumnRenamed("id", "node"), "node", "left").select("code", "node", "degree", F.coalesce("label", "node").alias("label"))
         state = known.groupBy("code").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("members"))
         still = state.where((F.col("lo") < F.col("hi")) & (F.col("members") > compared)).select("code")
         known = stored(known.join(still, "code"), "open")
         if known.isEmpty():
             return labels
-        left = known.select("code", "node")
-        order = Window.partitionBy("code").orderBy(F.xxhash64("node", F.lit(3)), "node")
-        first = known.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= hubs)
+        left = known.select("code", "node", "degree")
+        order = Window.partitionBy("code").orderBy(F.desc("degree"), F.desc("node"))
+        ranked = known.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= hubs)
+        # the first `compared` members have met all others
+        first = ranked.where(F.col("rank") > compared)
         hub = first.select("code", F.col("node").alias("a"), F.col("label").alias("label_a")).join(_sided(small, "a"), "a")
         other = known.select("code", F.col("node").alias("b"), F.col("label").alias("label_b")).join(_sided(small, "b"), "b")
         near = other.join(hub, "code").where((F.col("label_a") != F.col("label_b")) & _may_be_similar(percent))
