@@ -338,7 +338,18 @@ def terms_table(spark, terms: Iterable[str]) -> DataFrame:
     return spark.createDataFrame(rows, "term string, term_lower string, term_folded string")
 
 
-def terms_table_join(rows: DataFrame, terms: DataFrame, text: str = "text") -> DataFrame:
-    """Pages that contain any term when the terms are a table of any size (column ``term``), by an
-    inverted index of q-grams (``term_index``). A null term matches nothing."""
-    return term_index.pages_with_terms(rows, terms, text)
+# Up to this many terms the predicate holds them; it is one narrow pass, without an index.
+MAX_INLINE_TERMS = 200
+
+
+def terms_table_join(rows: DataFrame, terms: DataFrame, text: str = "text", max_inline: int = MAX_INLINE_TERMS) -> DataFrame:
+    """Pages that contain any term when the terms are a table of any size (column ``term``).
+
+    The size is checked first: up to ``max_inline`` terms are compiled into the predicate, a plain
+    filter; more of them are joined by an inverted index of q-grams (``term_index``), which neither
+    collects nor broadcasts the terms. A null term matches nothing."""
+    head = terms.select("term").limit(max(0, max_inline + 1)).collect()  # reads at most this many
+    if len(head) > max_inline:
+        return term_index.pages_with_terms(rows, terms, text)
+    lits = [r[0] for r in head if r[0] is not None]
+    return rows.where(F.coalesce(tx.find_terms(F.col(text), lits), F.lit(False)))

@@ -1,9 +1,11 @@
 """J7 for term tables of any size: an inverted index of q-grams.
 
 A page contains a term when its folded text contains the folded term (deleting characters keeps
-containment, so the folded check covers the plain one). Each term is filed under one of its q-grams, the
-rarest on the pages; a page that contains the term holds that gram. Pages and postings meet in an
-equi-join on distinct grams, keys only; ``contains`` then decides, inside a semi join with the pages.
+containment, so the folded check covers the plain one). Pages are cut into blocks of q characters, end to
+end. A term of 2q - 1 characters or more covers a whole block wherever it stands, and that block is one of
+any q grams in a row of the term; the term is filed under the q grams in a row that are rarest on the
+pages. Pages and postings meet in an equi-join of distinct blocks, keys only; ``contains`` then
+decides, inside a semi join with the pages that met a term.
 """
 
 from __future__ import annotations
@@ -13,9 +15,11 @@ from pyspark.sql import functions as F
 
 from docflow.functions import text as tx
 from docflow.operators import bloom
+from docflow.session import scratch_path
 
-Q = 4
-# Rarity is estimated on every 16th page, by a hash of its text. It decides which gram a term is filed
+# Block sizes: a term uses the largest that it covers at every place.
+SIZES = (1, 2, 3, 4, 6, 8)
+# Rarity is estimated on every 16th page, by a hash of its text. It decides which grams a term is filed
 # under, never a result.
 RARITY_SHARE = 16
 
@@ -24,54 +28,77 @@ def folded(text: Column) -> Column:
     return tx.alnum_fold(F.lower(text))
 
 
-def grams(value: Column, size: int) -> Column:
-    """Hashes of the distinct substrings of this size: a lookahead matches at every place, in one
-    pass over the string."""
-    found = F.regexp_extract_all(value, F.lit(f"(?=(.{{{size}}}))"), F.lit(1))
-    return F.array_distinct(F.transform(found, lambda g: F.xxhash64(g)))
+def block_size(length: Column) -> Column:
+    out = F.lit(0)
+    for s in SIZES:
+        out = F.when(length >= 2 * s - 1, F.lit(s)).otherwise(out)
+    return out
 
 
-def _page_grams(value: Column, sizes: list[int]) -> Column:
-    parts = [grams(value, s) for s in sizes]
-    return F.concat(*parts) if len(parts) > 1 else parts[0]
+def page_blocks(value: Column, sizes: list[int]) -> Column:
+    """Hashes of the distinct blocks of a folded text, for each size in use."""
 
+    def cut(v: Column) -> Column:
+        parts = [F.regexp_extract_all(v, F.lit(f".{{{s}}}"), F.lit(0)) for s in sizes]
+        return F.array_distinct(F.transform(F.concat(*parts) if len(parts) > 1 else parts[0], lambda b: F.xxhash64(b)))
 
-def file_terms(terms: DataFrame, pages: DataFrame, sizes: list[int], q: int = Q) -> DataFrame:
-    """Postings ``gram, folded_term``: each distinct folded term under its rarest gram; a term shorter
-    than ``q`` is its own gram. ``pages`` holds ``_fold``."""
-    held = terms.select("folded_term", F.explode(_term_grams(F.col("folded_term"), q)).alias("gram"))
-    sample = pages.where(F.pmod(F.xxhash64("_fold"), F.lit(RARITY_SHARE)) == 0)
-    seen = sample.select(F.explode(_page_grams(F.col("_fold"), sizes)).alias("gram"))
+    return tx.let(value, cut) if len(sizes) > 1 else cut(value)  # bound once: the text is folded once
+
+
+def file_terms(terms: DataFrame, sample: DataFrame, sizes: list[int]) -> DataFrame:
+    """Postings ``gram, folded_term``: each distinct folded term under the hashes of its rarest grams in
+    a row. ``sample`` holds the texts ``_fold`` that tell rarity."""
+    size = block_size(F.length("folded_term"))
+    at = F.sequence(F.lit(1), F.length("folded_term") - size + 1)
+    held = terms.select("folded_term", size.alias("size"), F.posexplode(F.transform(at, lambda i: F.xxhash64(F.substring("folded_term", i, size)))).alias("at", "gram"))
+    # explode_outer: no second evaluation of the array in an inferred filter
+    seen = sample.select(F.explode_outer(page_blocks(F.col("_fold"), sizes)).alias("gram"))
     # only grams of terms are counted; the rest stops before the shuffle
     counts = bloom.build(held, "gram").split(seen, "gram").where("_maybe").groupBy("gram").agg(F.count("*").alias("n"))
-    rarest = F.min_by("gram", F.struct(F.coalesce("n", F.lit(0)).alias("n"), F.xxhash64("gram").alias("tie")))
-    return held.join(counts, "gram", "left").groupBy("folded_term").agg(rarest.alias("gram")).select("gram", "folded_term")
+    known = held.join(counts, "gram", "left").groupBy("folded_term", "size").agg(
+        F.sort_array(F.collect_list(F.struct("at", F.coalesce("n", F.lit(0)).alias("n"), "gram"))).alias("grams")
+    )
 
+    def total(j: Column) -> Column:
+        return F.aggregate(F.slice("grams", j, F.col("size")), F.lit(0).cast("long"), lambda acc, g: acc + g["n"])
 
-def _term_grams(value: Column, q: int) -> Column:
-    return F.when(F.length(value) < q, F.array(F.xxhash64(value))).otherwise(grams(value, q))
+    starts = F.sequence(F.lit(1), F.size("grams") - F.col("size") + 1)
+    best = F.array_min(F.transform(starts, lambda j: F.struct(total(j).alias("n"), j.alias("j"))))
+    chosen = known.select("folded_term", "size", "grams", best["j"].alias("j"))
+    return chosen.select("folded_term", F.explode(F.array_distinct(F.transform(F.slice("grams", F.col("j"), F.col("size")), lambda g: g["gram"]))).alias("gram"))
 
 
-def pages_with_terms(rows: DataFrame, terms: DataFrame, text: str = "text", term: str = "term", q: int = Q) -> DataFrame:
+def pages_with_terms(rows: DataFrame, terms: DataFrame, text: str = "text", term: str = "term") -> DataFrame:
     """The rows whose text contains any term of the table, each as often as it occurs.
 
     Null terms match nothing; a term without letters, digits, parentheses or blanks matches every text
     that is not null. Null texts match nothing. One plan at every number of terms: what is
-    broadcast is a filter of bounded size, and Spark chooses the joins by measured sizes."""
+    broadcast is a filter of bounded size, and Spark chooses the joins by measured sizes. Postings and
+    the pairs of pages and terms that met are written to the shared folder."""
+    spark = rows.sparkSession
     distinct = terms.select(folded(F.col(term)).alias("folded_term")).where("folded_term is not null").distinct()
-    # one row: the gram sizes in use, at most q + 1 numbers
-    sizes = sorted(distinct.agg(F.collect_set(F.least(F.length("folded_term"), F.lit(q))).alias("s")).first()["s"])
+    # one row: the block sizes in use
+    sizes = sorted(distinct.agg(F.collect_set(block_size(F.length("folded_term"))).alias("s")).first()["s"])
     if 0 in sizes:
         return rows.where(F.col(text).isNotNull())
     if not sizes:
         return rows.where(F.lit(False))
-    columns = [F.col(f"`{c}`") for c in rows.columns]
-    keyed = rows.select(F.struct(*columns).alias("_row"), folded(F.col(text)).alias("_fold")).where(F.col("_fold").isNotNull())
-    postings = file_terms(distinct, keyed, sizes, q)
-    key = [F.xxhash64("_fold").alias("_h1"), F.xxhash64("_fold", F.lit(1)).alias("_h2")]
-    slim = keyed.select(*key, F.explode(_page_grams(F.col("_fold"), sizes)).alias("gram"))
+    row = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
+    raw = F.col(f"`{text}`")
+    key = [F.xxhash64(raw).alias("_h1"), F.xxhash64(raw, F.lit(1)).alias("_h2")]
+    full = rows.select(raw.alias("_text"), *key).where("_text is not null")
+    sample = full.where(F.pmod("_h1", F.lit(RARITY_SHARE)) == 0).select(folded(F.col("_text")).alias("_fold"))
+    where = scratch_path(spark, "postings")
+    file_terms(distinct, sample, sizes).write.parquet(where)
+    postings = spark.read.schema("folded_term string, gram long").parquet(where)
+    slim = full.select("_h1", "_h2", F.explode_outer(page_blocks(folded(F.col("_text")), sizes)).alias("gram"))
     few = bloom.build(postings, "gram").split(slim, "gram").where("_maybe").drop("_maybe")
-    found = few.join(postings, "gram").select(F.col("_h1").alias("_g1"), F.col("_h2").alias("_g2"), "folded_term")
-    same = (F.col("_h1") == F.col("_g1")) & (F.col("_h2") == F.col("_g2")) & F.col("_fold").contains(F.col("folded_term"))
-    hit = keyed.select("_row", "_fold", *key).join(found, same, "left_semi")
+    where = scratch_path(spark, "met")
+    few.join(postings, "gram").select(F.col("_h1").alias("_g1"), F.col("_h2").alias("_g2"), "folded_term").distinct().write.parquet(where)
+    met = spark.read.schema("_g1 long, _g2 long, folded_term string").parquet(where)
+    same = (F.col("_h1") == F.col("_g1")) & (F.col("_h2") == F.col("_g2"))
+    # texts are folded once, and only where they met a term
+    near = rows.select(row.alias("_row"), raw.alias("_text"), *key).join(met.select("_g1", "_g2").distinct(), same, "left_semi")
+    near = near.select("_row", "_h1", "_h2", folded(F.col("_text")).alias("_fold"))
+    hit = near.join(met, same & F.col("_fold").contains(F.col("folded_term")), "left_semi")
     return hit.select(*[F.col("_row")[c].alias(c) for c in rows.columns])

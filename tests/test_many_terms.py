@@ -20,7 +20,8 @@ def test_terms_tables_of_many_sizes(spark, n):
     pages = spark.createDataFrame([(1, "x needle1q y"), (2, f"Needle{n - 1}Q"), (3, "need le2q-"), (4, "nothing"), (5, None), (6, "nee-dle\n2q")], "id int, text string")
     terms = spark.range(n).select(F.concat(F.lit("needle"), "id", F.lit("q")).alias("term"))
     terms = terms.union(spark.createDataFrame([(None,)], "term string"))
-    assert sorted(r.id for r in pg.terms_table_join(pages, terms).collect()) == [1, 2, 6]
+    for limit in (0, pg.MAX_INLINE_TERMS):
+        assert sorted(r.id for r in pg.terms_table_join(pages, terms, max_inline=limit).collect()) == [1, 2, 6]
 
 
 def test_matches_a_scan_of_every_term(spark):
@@ -31,7 +32,7 @@ def test_matches_a_scan_of_every_term(spark):
     for size in (1, 2, 3, 5, 9):
         terms = ["".join(rnd.choices(letters, k=size + rnd.randrange(3))) for _ in range(12)]
         terms = [t for t in terms if fold(t)]
-        got = sorted(r.id for r in pg.terms_table_join(pages, pg.terms_table(spark, terms)).collect())
+        got = sorted(r.id for r in pg.terms_table_join(pages, pg.terms_table(spark, terms), max_inline=0).collect())
         want = sorted(i for i, t in [*enumerate(texts), (0, texts[0])] if t is not None and any(fold(x) in fold(t) for x in terms))
         assert got == want, terms
 
@@ -39,10 +40,10 @@ def test_matches_a_scan_of_every_term(spark):
 def test_empty_term_and_empty_tables(spark):
     pages = spark.createDataFrame([(1, "a", 0), (2, None, 0), (3, "", 0)], "id int, text string, gram int")
     none = spark.createDataFrame([], TERMS)
-    assert sorted(r.id for r in pg.terms_table_join(pages, pg.terms_table(spark, ["-", "q"])).collect()) == [1, 3]
-    assert pg.terms_table_join(pages, none).count() == 0
-    assert pg.terms_table_join(pages.limit(0), pg.terms_table(spark, ["abcde"])).count() == 0
-    assert pg.terms_table_join(pages, pg.terms_table(spark, ["A"])).columns == pages.columns
+    assert sorted(r.id for r in pg.terms_table_join(pages, pg.terms_table(spark, ["-", "q"]), max_inline=0).collect()) == [1, 3]
+    assert pg.terms_table_join(pages, none, max_inline=-1).count() == 0
+    assert pg.terms_table_join(pages.limit(0), pg.terms_table(spark, ["abcde"]), max_inline=0).count() == 0
+    assert pg.terms_table_join(pages, pg.terms_table(spark, ["A"]), max_inline=0).columns == pages.columns
 
 
 def test_plan_has_no_nested_loop(spark):
