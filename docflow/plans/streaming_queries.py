@@ -10,6 +10,7 @@ from docflow.plans.pages_queries import _DOCS_SQL
 from docflow.plans.registry import LATEST_SQL, register
 from docflow.plans.source_queries import _doc_files
 from docflow.session import scratch_path
+from docflow.streaming import compaction as cp
 from docflow.streaming import jobs as sj
 
 STREAM_BATCH_FILES = 250
@@ -49,3 +50,33 @@ def stream_ledger(spark, d):
     out = scratch_path(spark, "ledger_current")
     sj.stream_ledger(spark, src, out, scratch_path(spark, "ledger_ckpt"), batch_files=1)
     return sj.read_current(spark, out)
+
+
+def _compacted(spark, d):
+    """The ledger streamed in two runs, compacted after the first."""
+    src, out, ckpt = (scratch_path(spark, n) for n in ("ledger_in", "ledger_log", "ledger_log_ckpt"))
+    snapshots = scratch_path(spark, "ledger_snapshots")
+    rows = B.ledger(spark, d)
+    for part in (0, 1):
+        rows.where(F.pmod(F.xxhash64("seq"), F.lit(2)) == part).repartition(2, "seq").write.mode("append").parquet(src)
+        sj.stream_ledger(spark, src, out, ckpt, batch_files=1)
+        if part == 0:
+            cp.compact(spark, out, snapshots)
+    return out, snapshots
+
+
+@register("compact_ledger", f"select ack_id, year, status, ts, seq from ({LATEST_SQL})")
+def compact_ledger(spark, d):
+    """Snapshot of the first run merged with the batches of the second equals the batch result."""
+    return cp.read_current(spark, *_compacted(spark, d)).select("ack_id", "year", "status", "ts", "seq")
+
+
+@register(
+    "new_ledger_ids",
+    f"""select cast(doc_id as varchar) as ack_id, cast(1999 + doc_id % 20 as integer) as year from documents
+    where cast(doc_id as varchar) not in (select ack_id from ({LATEST_SQL}))""",
+)
+def new_ledger_ids(spark, d):
+    """K6: documents that the compacted ledger does not hold, by its stored key filter."""
+    ids = B.table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("ack_id"), (1999 + F.col("doc_id") % 20).cast("int").alias("year"))
+    return cp.new_ids(spark, ids, *_compacted(spark, d))
