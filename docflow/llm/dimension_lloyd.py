@@ -53,11 +53,11 @@ def whole_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "
     floor(scale * component)."""
     rows = vectors.select(F.col(vec_id).alias("vec_id"), F.col(embedding).alias("v")).where(F.size("v") == dimensions)
     doubles = rows.select("vec_id", F.transform("v", lambda c: c.cast("double")).alias("v"))
-    fit = doubles.where(F.forall("v", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))))
-    whole = fit.select("vec_id", F.transform("v", lambda c: F.floor(F.lit(float(scale)) * c)).alias("x"))
-    return whole.where(
-        F.when(F.forall("x", lambda c: F.abs(c) <= LARGEST), True).otherwise(F.raise_error(F.lit("a component is too large for long distances")).cast("boolean"))
-    )
+    numbers = F.forall("v", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
+    small = F.forall("v", lambda c: F.abs(c) * scale < LARGEST)
+    # one condition: separate filters could be tested in another order, the error before the rest
+    kept = F.when(~F.coalesce(numbers, F.lit(False)), False).when(small, True).otherwise(F.raise_error(F.lit("a component is too large for long distances")).cast("boolean"))
+    return doubles.where(kept).select("vec_id", F.transform("v", lambda c: F.floor(F.lit(float(scale)) * c)).alias("x"))
 
 
 def first_centroids(rows: DataFrame, k: int) -> np.ndarray:
