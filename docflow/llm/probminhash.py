@@ -101,17 +101,22 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         "doc_id", F.col("doc_id").cast(kind)
     )
     items = stored(signed, "signatures")
-    nodes = stored(items.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n")), "nodes")
+    nodes = stored(items.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("text_hash").alias("text_hash"), F.count("*").alias("n")), "nodes")
 
     def sets_of(ids: DataFrame) -> DataFrame:
-        wanted = stored(nodes.join(ids, nodes["node"] == ids["id"]).select("id", "doc_id").where("doc_id is not null"), "wanted")
+        every = stored(nodes.join(ids, nodes["node"] == ids["id"]).select("id", "doc_id", "text_hash"), "wanted")
+        wanted = every.where("doc_id is not null").select("id", "doc_id")
         source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
         found = with_ids(source, "doc_id", wanted.select("doc_id")).join(wanted, "doc_id").select("id", "text")
+        nameless = every.where("doc_id is null").select("id", "text_hash")
+        if not nameless.isEmpty():  # texts whose rows all have a null id
+            texts = docs.where(F.col(doc_id).isNull()).select(_hash(text).alias("text_hash"), F.col(text).alias("text"))
+            found = found.union(texts.dropDuplicates(["text_hash"]).join(nameless, "text_hash").select("id", "text"))
         made = found.mapInPandas(_named_sets, "id long, node long, grams array<long>, sketch array<long>")
         return made.where("id = node").dropDuplicates(["id"]).select("id", "grams", "sketch")
 
     labels = link_buckets(
-        items.where("node is not null and doc_id is not null").select(F.col("node").alias("id"), "bands"), sets_of, threshold
+        items.where("node is not null").select(F.col("node").alias("id"), "bands"), sets_of, threshold
     )
     classed = nodes.join(labels, nodes["node"] == labels["id"], "left").select(
         "node", "doc_id", "n", F.coalesce("label", "node").alias("label")

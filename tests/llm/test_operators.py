@@ -53,6 +53,13 @@ def test_near_duplicates(docs):
     assert probminhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_near_duplicates_with_null_ids(spark):
+    rows = [(1, LONG), (None, NEAR), (None, "alone " + LONG[::-1]), (None, "alone " + LONG[::-1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.doc_id, r.class_id, r.class_size) for r in probminhash.near_duplicates(docs).collect()), key=str)
+    assert got == sorted([(1, 1, 2), (None, 1, 2), (None, None, 2), (None, None, 2)], key=str)
+
+
 def test_paragraphs(docs):
     got = {r.doc_id: r for r in paragraphs.remove_repeated(docs).collect()}
     assert got[1].text == LONG and got[2].text == "" and got[8].text == "unrelated words of one" and got[4].text is None
