@@ -48,3 +48,10 @@ def test_page_arrays_built_once_when_exploded(spark):
     for key in ("terms_table_join", "page_window", "extract_pages"):
         p = qs[key](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
         assert "size(" not in p, key
+
+
+def test_scan_documents_reads_the_bytes(spark):
+    import __spark_entry__
+
+    df = __spark_entry__.queries()["scan_documents"](spark, "/root/testdata/sf0.001")
+    assert "content" in df._jdf.queryExecution().executedPlan().toString()
