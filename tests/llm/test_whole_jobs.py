@@ -141,10 +141,3 @@ def test_training_rows_are_joined_in_all_tasks(spark, monkeypatch):
     site_quality.train(docs, labels)
     plan = dict(plans)["training"]
     assert f"Repartition {site_quality.TRAINING_TASKS}, true" in plan and f"Repartition {site_quality.TRAINING_TASKS}, false" not in plan
-
-
-def test_scan_documents_reads_the_bytes(spark):
-    import __spark_entry__
-
-    df = __spark_entry__.queries()["scan_documents"](spark, SF)
-    assert "content" in df._jdf.queryExecution().executedPlan().toString()
