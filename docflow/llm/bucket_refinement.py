@@ -23,6 +23,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from .common import MAX_BROADCAST_IDS, stored, table, with_ids
 from .textbytes import U, batches, mix, prefix_sums, span_hashes
@@ -134,26 +135,29 @@ def _positions_of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({c: np.concatenate([p[i] for p in parts]) for i, c in enumerate(["bucket", "content", "doc", "pos"])})
 
 
-def _documents(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """``doc, text`` of the rows that take part: ids that are not null, and one text for each id."""
-    own = docs.select(F.col(doc_id).cast("long").alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text")).where("doc is not null")
-    hashed = own.select("doc", F.xxhash64("text").alias("hash"))
-    least = hashed.groupBy("doc").agg(F.min("hash").alias("least"), F.max("hash").alias("most")).where("least < most")
-    several = stored(least.select(F.col("doc").alias("d"), "least"), "several_texts")
-    if several.isEmpty():
-        return own
-    other = (F.col("doc") == F.col("d")) & (F.xxhash64("text") != F.col("least"))
-    return own.join(several, other, "left_anti")
+def numbered(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """``row_id, doc, text``: the rows with a number for each document, in the order of their ids.
 
+    Whole-number ids of one text each are the numbers themselves. Where there are other ids (null
+    ones, strings, several texts under one id), a document is an id with a text, ordered by id, null
+    first, then by the text's hash; the sorted list of these is stored, with its row numbers."""
+    own = docs.select(F.col(doc_id).alias("row_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    keys = own.select("row_id", F.xxhash64("text").alias("hash"))
+    if isinstance(docs.schema[doc_id].dataType, IntegralType):
+        texts = keys.groupBy("row_id").agg(F.min("hash").alias("least"), F.max("hash").alias("most"))
+        if texts.where("row_id is null or least < most").isEmpty():
+            return own.select("row_id", F.col("row_id").cast("long").alias("doc"), "text")
+    in_order = keys.distinct().orderBy("row_id", "hash").select(F.col("row_id").alias("id"), "hash", F.monotonically_increasing_id().alias("doc"))
+    numbers = stored(in_order, "numbers")
+    same = F.col("row_id").eqNullSafe(F.col("id")) & (F.xxhash64("text") == F.col("hash"))
+    return stored(own.join(numbers, same).select("row_id", "doc", "text"), "numbered")
 
-def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc, copy, found`` of every document with bytes to remove: ``copy`` if an earlier document
-    has the same text, else ``found``, byte ranges ``(lo, hi)`` that cover them.
 
-    Null texts are empty. Rows with a null id take no part. Repeated rows are one document; of
-    different texts under one id, the one with the smallest hash takes part. Texts under 100 bytes
-    have no windows. Other columns are ignored."""
-    own = _documents(docs, doc_id, text)
+def repeated_spans(own: DataFrame) -> DataFrame:
+    """``doc, copy, found`` of every document of ``numbered`` rows with bytes to remove: ``copy`` if an
+    earlier document has the same text, else ``found``, byte ranges ``(lo, hi)`` that cover them.
+
+    Repeated rows are one document. Texts under 100 bytes have no windows."""
     sized = own.where(F.octet_length("text") >= LENGTH).select("doc", F.unhex(F.md5(F.encode("text", "utf-8"))).alias("digest"))
     firsts = sized.groupBy("digest").agg(F.min("doc").alias("first"), F.count("*").alias("n")).where("n > 1")
     copies = stored(sized.join(firsts, "digest").where("doc > first").select("doc").distinct(), "copies")
@@ -238,21 +242,19 @@ def _cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def remove_repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: ``doc_id, n_bytes, spans`` (the removed byte ranges, in order, as pairs)
-    and ``kept`` (the bytes that are left; cutting may split a character)."""
-    found = stored(repeated_spans(docs, doc_id, text), "found")
+    and ``kept`` (the bytes that are left; cutting may split a character).
+
+    Ids of any type that can be ordered; null ids come first, and of different texts under one id the
+    one with the smaller hash. Null texts are empty. Repeated rows are one document and lose the same
+    bytes. An empty table gives no rows. Other columns are ignored, whatever their names."""
+    rows = numbered(docs, doc_id, text)
+    found = stored(repeated_spans(rows), "found")
     kind = docs.schema[doc_id].dataType.simpleString()
-    rows = docs.select(F.col(doc_id).cast("long").alias("row_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    variants = rows.where("row_id is not null").groupBy("row_id").agg(F.min(F.xxhash64("text")).alias("least"), F.max(F.xxhash64("text")).alias("most"))
-    others = stored(variants.where("least < most").select(F.col("row_id").alias("d"), "least"), "others")
     whole = None
-    ids = found.select(F.col("doc").alias("row_id"))
+    ids = found.select("doc")
     if ids.count() <= MAX_BROADCAST_IDS:  # texts that stay whole need no shuffle
-        whole, rows = rows.join(F.broadcast(ids), "row_id", "left_anti"), with_ids(rows, "row_id", ids)
-    joined = rows.join(found, F.col("row_id") == F.col("doc"), "left")
-    if not others.isEmpty():
-        joined = joined.join(others, F.col("row_id") == F.col("d"), "left")
-        mine = F.col("least").isNull() | (F.xxhash64("text") == F.col("least"))
-        joined = joined.withColumn("copy", F.when(mine, F.col("copy"))).withColumn("found", F.when(mine, F.col("found")))
+        whole, rows = rows.join(F.broadcast(ids), "doc", "left_anti"), with_ids(rows, "doc", ids)
+    joined = rows.join(found, "doc", "left")
     made = joined.select(F.col("row_id").cast("string").alias("doc_id"), "text", "copy", "found").mapInPandas(
         _cut, "doc_id string, n_bytes long, spans array<array<long>>, kept binary"
     )

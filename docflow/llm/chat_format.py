@@ -8,7 +8,9 @@ Conversations are partitioned by id, sorted by turn and streamed through the tas
 template gets true prefixes, which takes the whole conversation in memory and work that grows with
 the square of its turns. A template that promises, by an attribute ``turn_local``, to render every
 turn by itself, as the built-in one does, gets prefixes that restart every ``restart`` turns, with
-the last turn of the block before as context: that holds a few turns and keeps the work linear.
+the last turn of the block before as context: that holds a few turns and keeps the work linear. The
+promise is checked on every turn, against the rendering of that turn alone: a template that breaks it
+before the first restart gets true prefixes, one that breaks it later is reported like one that rewrites.
 
 The built-in template writes ``<|im_start|>role\ntext<|im_end|>\n`` and breaks every ``<|`` that
 is not its own, however many backslashes already stand inside it, by one more backslash.
@@ -77,11 +79,13 @@ class TurnSpans:
         self.prefix: list[Turn] = []
         self.shown = ""
         self.rewrites = False
+        self.restarted = False
 
     def add(self, turn: Turn) -> str:
         if self.restart and len(self.prefix) >= self.restart:
             self.prefix = self.prefix[-1:]
             self.shown = self.template(self.prefix)
+            self.restarted = True
         now = self.template([*self.prefix, turn])
         if not now.startswith(self.shown):
             self.rewrites = True
@@ -89,6 +93,11 @@ class TurnSpans:
         if self.rewrites:
             at = next((i for i, (a, b) in enumerate(zip(self.shown, now)) if a != b), min(len(self.shown), len(now)))
         span = now[at:] if self.rewrites else now[len(self.shown) :]
+        if self.restart and self.template([turn]) != span:  # not turn by turn, as promised
+            if self.restarted:
+                self.rewrites = True
+            else:
+                self.restart = None
         self.prefix.append(turn)
         self.shown = now
         return span
@@ -112,7 +121,7 @@ def _ids(frame: pd.DataFrame) -> list[str | None]:
 def format_turns(conversations: DataFrame, template: Template = chat_template, restart: int = RESTART) -> DataFrame:
     """One row per turn: ``conv_id`` (string), ``seq`` (from 0), ``span`` (what the turn adds to the
     rendered conversation) and ``rewrites`` (true once a longer prefix changed what a shorter one
-    rendered). Joining the spans of a conversation by ``seq`` gives its formatted text.
+    rendered, or once a ``turn_local`` template depended on other turns after the first restart). Joining the spans of a conversation by ``seq`` gives its formatted text.
 
     Null texts and roles are empty, a null ``conv_id`` is one conversation, null turns come first,
     equal turns are ordered by role and text, and repeated rows are turns of their own. An empty

@@ -108,8 +108,8 @@ def line_frequency(
     """One row per input row: its key (``doc_id, host, text_hash``), ``n_line_chars``,
     ``n_removed_chars``, ``removed`` (the hashes of the lines to remove) and ``depleted``.
 
-    Each row counts as a document; a line that a document repeats counts once for it. A null host
-    is a host of its own. Null or blank texts have no lines and are not depleted. Rows that agree
+    A document is an id: its rows count once for a line, however many carry it and however often.
+    Rows without an id are told apart by their texts. A null host is a host of its own. Null or blank texts have no lines and are not depleted. Rows that agree
     in id, host and text share one output row. Other columns are ignored, whatever their names.
     """
     rows = docs.select(
@@ -118,8 +118,10 @@ def line_frequency(
         F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_hash"),
         _lines(F.col(text), F.col(host).cast("string")).alias("lines"),
     )
+    nameless = F.when(F.col("doc_id").isNull(), F.col("text_hash"))
     common = (
-        rows.select(F.explode(F.array_distinct(F.transform("lines", lambda x: x["h"]))).alias("h"))
+        rows.select("doc_id", nameless.alias("nameless"), F.explode(F.array_distinct(F.transform("lines", lambda x: x["h"]))).alias("h"))
+        .distinct()
         .groupBy("h")
         .count()
         .where(F.col("count") > max_docs)
