@@ -45,9 +45,25 @@ BOILERPLATE = set(
     "social related recommended recommendations newsletter subscribe subscription signup login search form widget "
     "pagination pager complementary contentinfo dialog skip copyright".split()
 )
+# These mark boilerplate as a part of any name; the other words only in names made of such words.
+TELLING = set(
+    "advert advertisement advertising sponsor sponsored promo cookie cookies consent gdpr popup nav navbar navigation "
+    "breadcrumb breadcrumbs sidebar topbar toolbar comments disqus newsletter subscribe signup pagination".split()
+)
+PLAIN = set(
+    "area bar block body bottom box btn button buttons col column container content global group icon icons inner item items left "
+    "links list main outer page panel primary right row secondary site slot top unit wrap wrapper".split()
+)
 KEPT_WHOLE = {"article", "main"}
 
 
+def _names_boilerplate(name: str) -> bool:
+    """Whether a class or another mark names a part that is no text: ``site-footer`` and
+    ``post-comments`` do, ``section-header`` and ``related-work`` do not."""
+    parts = {x for x in re.split(r"[^a-z]+", name) if len(x) > 1}
+    return bool(parts & TELLING) or bool(parts & BOILERPLATE) and parts <= BOILERPLATE | PLAIN
+
+
 def _boilerplate(tag: str, attributes: str, inside: bool) -> bool:
     if tag in OUTSIDE or tag == "header" and not inside:
         return True
@@ -55,7 +71,8 @@ def _boilerplate(tag: str, attributes: str, inside: bool) -> bool:
         name, value = name.lower(), "".join(values).lower()
         if name == "hidden":
             return True
-        if name in MARKS and tag not in ("html", "body", "article", "main") and BOILERPLATE.intersection(re.split(r"[^a-z]+", value)):
+        names = [value] if name == "aria-label" else value.split()
+        if name in MARKS and tag not in ("html", "body", "article", "main") and any(map(_names_boilerplate, names)):
             return True
     return False
 

@@ -1,6 +1,8 @@
 """Results recomputed in plain Python: lattices by all segmentations, posteriors by loops over documents,
 and documents with repeated, null or string ids."""
 import math
+import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -8,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from docflow.llm import bucket_refinement, chat_format, lattice, line_frequency, site_quality
+from docflow.llm import bucket_refinement, chat_format, lattice, line_blocks, line_frequency, site_quality
 
 SF = "/root/testdata/sf0.001"
 
@@ -201,3 +203,35 @@ def test_broken_promises_of_templates(spark):
     assert not state.rewrites
     state.add(turns[21])
     assert state.rewrites
+
+
+def test_surges_and_dives_by_windows():
+    """A line is kept if a window of three lines with it weighs enough; weightless ends go."""
+    rnd = random.Random(4)
+    for _ in range(2000):
+        weights = [rnd.choice([0, 0, 5, 20, 39, 40, 90]) for _ in range(rnd.randrange(25))]
+        high = {k for i in range(-2, len(weights)) if sum(weights[max(0, i) : i + 3]) >= 40 for k in range(max(0, i), min(i + 3, len(weights)))}
+        want = {k for k in high if weights[k]}
+        got = [(a, b) for a, b in line_blocks.stretches(weights)]
+        assert {k for a, b in got for k in range(a, b) if weights[k]} == want
+        assert all(weights[a] and weights[b - 1] and set(range(a, b)) <= high for a, b in got)
+
+
+def test_names_inside_articles_are_read_whole():
+    page = (
+        '<article><h2 class="section-header">Head</h2><div class="related-work">Work</div><p class="notice-of-award">Award</p>'
+        '<div class="social-share">share</div><div class="ad-slot">ad</div><div id="post-comments">said</div></article>'
+        '<div class="site-footer wide">foot</div><div class="main-nav">nav</div>'
+    )
+    assert line_blocks.main_text(page) == "Head Work Award"
+
+
+def test_long_page():
+    text = "word and word. " * 200_000
+    assert line_blocks.main_text(f"<nav>n</nav><p>{text}</p><ul>" + "<li><a href=x>link</a>" * 20_000) == text.strip()
+
+
+def test_windows_find_articles_without_marks(spark):
+    pages = [r.html for r in spark.read.parquet(f"{SF.replace('0.001', '0.01')}/pages.parquet").collect()]
+    same = sum(line_blocks.main_text(p) == line_blocks.main_text(re.sub(r"<(/?)(?:article|main)\b", r"<\1div", p)) for p in pages)
+    assert same >= 0.95 * len(pages)
