@@ -2,7 +2,8 @@
 
 Paragraphs (lines with at least five words) are signed; bands are tuned for recall at the
 threshold; paragraphs that share a band are joined and verified by the exact Jaccard similarity
-of their five-word shingles; of each component the first paragraph, by document and place, stays. Passages that are repeated
+of their five-word shingles; of each component the first paragraph, by document and place, stays. A
+short paragraph goes only with a block: repeated lines on end that hold enough words together. Passages that are repeated
 inside lines that otherwise differ, or across lines, go after that (``passages``).
 """
 
@@ -12,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .clusters import link_buckets
@@ -45,29 +46,34 @@ def minhash(owner: np.ndarray, elements: np.ndarray, n: int, hashes: int = HASHE
     return np.stack([np.minimum.reduceat(mix(elements ^ s), firsts) for s in seeds], axis=1)
 
 
-def _paragraphs(text: str | None, least_words: int) -> Iterator[tuple[int, bytes, int]]:
+def _paragraphs(text: str | None, least_words: int) -> Iterator[tuple[int, int, bytes, int]]:
+    """Line number, number among the lines with words, words, and how many, of each paragraph."""
+    seq = 0
     for i, line in enumerate((text or "").split("\n")):
         plain = plain_words(line)
-        n = plain.count(b" ") + 1
-        if plain and n >= least_words:
-            yield i, plain, n
+        if plain:
+            n = plain.count(b" ") + 1
+            if n >= least_words:
+                yield i, seq, plain, n
+            seq += 1
 
 
-def paragraph_signatures(docs: DataFrame, doc_id: str, text: str, rows: int, min_words: int, least_words: int) -> DataFrame:
-    """``doc_id, text_hash, place, short, node, bands`` of every paragraph; those with fewer than
-    ``min_words`` words are short."""
+def paragraph_signatures(docs: DataFrame, doc_id: str, text: str, rows: int, least_words: int) -> DataFrame:
+    """``doc_id, text_hash, place, seq, words, node, bands`` of every paragraph; ``seq`` counts the
+    lines with words, ``words`` those of the line."""
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for a, b in batches([len(t or "") for t in frame["text"]]):
-                who, place, plain, short = [], [], [], []
+                who, place, seq, plain, count = [], [], [], [], []
                 for k, t in enumerate(frame["text"].iloc[a:b], a):
-                    for i, p, n in _paragraphs(t, least_words):
+                    for i, j, p, n in _paragraphs(t, least_words):
                         who.append(k)
                         place.append(i)
+                        seq.append(j)
                         plain.append(p)
-                        short.append(n < min_words)
+                        count.append(n)
                 if plain:
                     d, h, _ = distinct(*shingles(plain, WIDTH))
                     codes = band_codes(minhash(d, h, len(plain)), rows)
@@ -76,7 +82,8 @@ def paragraph_signatures(docs: DataFrame, doc_id: str, text: str, rows: int, min
                             "doc_id": frame["doc_id"].iloc[who].reset_index(drop=True),
                             "text_hash": frame["text_hash"].iloc[who].reset_index(drop=True),
                             "place": np.array(place, dtype=np.int32),
-                            "short": short,
+                            "seq": np.array(seq, dtype=np.int32),
+                            "words": np.array(count, dtype=np.int64),
                             "node": np.array([digest64(p) for p in plain], dtype=np.int64),
                             "bands": list(codes),
                         }
@@ -85,7 +92,7 @@ def paragraph_signatures(docs: DataFrame, doc_id: str, text: str, rows: int, min
     source = docs.select(
         F.col(doc_id).cast("string").alias("doc_id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_hash"), F.col(text).alias("text")
     )
-    out = source.mapInPandas(run, "doc_id string, text_hash long, place int, short boolean, node long, bands array<long>")
+    out = source.mapInPandas(run, "doc_id string, text_hash long, place int, seq int, words long, node long, bands array<long>")
     return out.withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
@@ -99,13 +106,14 @@ def repeated_paragraphs(
 ) -> DataFrame:
     """``doc_id, text_hash, places, short_places``: the paragraphs to remove from each document that
     has any, as line numbers from 0, in order; those of fewer than ``min_words`` words apart. Both
-    kinds are compared with each other.
+    kinds are compared with each other. Short ones go only where repeated lines that follow each
+    other, blank lines aside, hold ``min_words`` words together.
 
     Null and blank texts and lines of fewer than ``least_words`` words have no paragraphs. Of repeated rows with one id and
     text the first occurrence is the same paragraph and stays in all of them. Null ids come before
     all others. Other columns are ignored, whatever their names."""
     _, rows = tune_bands(threshold)
-    items = stored(paragraph_signatures(docs, doc_id, text, rows, min_words, least_words), "paragraphs")
+    items = stored(paragraph_signatures(docs, doc_id, text, rows, least_words), "paragraphs")
     spot = F.struct("doc_id", "text_hash", "place")
     nodes = stored(items.groupBy("node").agg(F.min(spot).alias("spot"), F.count("*").alias("n"), F.first("bands").alias("bands")), "nodes")
 
@@ -130,10 +138,24 @@ def repeated_paragraphs(
     labelled = nodes.join(labels, nodes["node"] == labels["id"], "left").select("node", "spot", "n", F.coalesce("label", "node").alias("label"))
     kept = labelled.groupBy("label").agg(F.min("spot").alias("kept"), F.sum("n").alias("total")).where("total > 1")
     repeated = stored(labelled.join(kept, "label").select("node", "kept"), "repeated")
-    gone = items.select("node", "doc_id", "text_hash", "place", "short").join(repeated, "node").where(~spot.eqNullSafe(F.col("kept")))
-    return gone.groupBy("doc_id", "text_hash").agg(
-        F.sort_array(F.collect_set(F.when(~F.col("short"), F.col("place")))).alias("places"),
-        F.sort_array(F.collect_set(F.when(F.col("short"), F.col("place")))).alias("short_places"),
+    lines = items.select("node", "doc_id", "text_hash", "place", "seq", "words")
+    gone = lines.join(repeated, "node").where(~spot.eqNullSafe(F.col("kept")))
+    # lines on end have one difference of place and rank; repeated rows share their ranks
+    rank = F.dense_rank().over(Window.partitionBy("doc_id", "text_hash").orderBy("seq"))
+    blocks = gone.withColumn("block", F.col("seq") - rank).groupBy("doc_id", "text_hash", "block").agg(F.collect_set(F.struct("place", "words")).alias("lines"))
+    held = F.aggregate("lines", F.lit(0).cast("long"), lambda n, x: n + x["words"])
+
+    def places(keep) -> Column:
+        return F.sort_array(F.flatten(F.collect_list(F.transform(F.filter("lines", keep), lambda x: x["place"]))))
+
+    return (
+        blocks.withColumn("held", held)
+        .groupBy("doc_id", "text_hash")
+        .agg(
+            places(lambda x: x["words"] >= min_words).alias("places"),
+            places(lambda x: (x["words"] < min_words) & (F.col("held") >= min_words)).alias("short_places"),
+        )
+        .where((F.size("places") > 0) | (F.size("short_places") > 0))
     )
 
 

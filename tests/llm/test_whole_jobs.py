@@ -14,7 +14,15 @@ def test_lines_of_five_words_match_brute_force(spark):
     rows = spark.read.parquet(f"{SF}/documents.parquet").collect()
     lines = {(r.doc_id, i): p for r in rows for i, p in enumerate((r.text or "").split("\n")) if len(p.split()) >= 5}
     found = _classes({k: _shingles(p) for k, p in lines.items()})
-    want = {k for k, c in found.items() if k != c}
+    repeated = {k for k, c in found.items() if k != c}
+    want, block = {k for k in repeated if len(lines[k].split()) >= 20}, []
+    for r in rows:  # blocks of repeated lines on end, blank ones aside, of 20 words and more
+        for i, p in [*enumerate((r.text or "").split("\n")), (-1, "end")]:
+            if (r.doc_id, i) in repeated:
+                block.append((r.doc_id, i))
+            elif p.split():
+                want.update(block if sum(len(lines[k].split()) for k in block) >= 20 else [])
+                block = []
     got = paragraphs.op3_paragraph_minhash(spark, SF).collect()
     assert {(r.doc_id, i) for r in got for i in (*r.removed_places, *r.removed_short)} == want
     assert {(r.doc_id, i) for r in got for i in r.removed_short} == {k for k in want if len(lines[k].split()) < 20}
@@ -28,6 +36,14 @@ def test_wrapped_text(spark):
     assert got == {1: (text, []), 2: ("own words of the second", list(range(1, 7))), 3: ("a b c d\na b c d", [])}
 
 
+def test_short_lines_go_with_blocks_only(spark):
+    alone, pair = "one line of seven words that recurs", ["these eleven words make one half of a block of lines", "\tand these ten words make up its other half here"]
+    rows = [(1, "\n".join([alone, "x", *pair])), (2, "\n".join(["own", alone, "own", pair[0], " ", pair[1], "z"])), (2, "\n".join(["own", alone, "own", pair[0], " ", pair[1], "z"])), (3, pair[0]), (None, alone)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.text, tuple(r.removed_short)) for r in paragraphs.remove_repeated(df).collect()}
+    assert got == {(1, rows[0][1], ()), (2, f"own\n{alone}\nown\n \nz", (3, 5)), (3, pair[0], ()), (None, alone, ())}
+
+
 def _brute_passages(texts):
     """Words removed from each text (id, words), by comparing all windows of 50 words in order."""
     first, gone = {}, {k: set() for k, _ in texts}
