@@ -40,21 +40,28 @@ def words(text: Column) -> Column:
     )
 
 
-CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# Settings while a table is written: shuffle files go once it is done, and Python tasks get texts
+# four megabytes at a time (rows without long texts are bounded by their number as before).
+WRITING = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4194304",
+}
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate table to the shared folder and read it back: later steps neither
     recompute it nor depend on the executors that made it. The shuffle files of the write go once it
-    is done: nothing reads them again."""
+    is done (nothing reads them again), and Arrow batches are small."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    before = spark.conf.get(CLEAN_SHUFFLES, "false")
-    spark.conf.set(CLEAN_SHUFFLES, "true")
+    before = {k: spark.conf.get(k) for k in WRITING}
+    for k, v in WRITING.items():
+        spark.conf.set(k, v)
     try:
         df.write.parquet(path)
     finally:
-        spark.conf.set(CLEAN_SHUFFLES, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
     made = spark.read.schema(df.schema).parquet(path)
     made.stored_at = path
     return made
