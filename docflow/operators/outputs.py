@@ -7,7 +7,7 @@ partitioned sorts; the top-k forms plan as TakeOrderedAndProject (per-task top-k
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docflow import constants as C
@@ -72,6 +72,19 @@ def stable_shuffle(df: DataFrame, col: str = "ack_id", seed: int = C.SHUFFLE_SEE
     return df.withColumn("shuffle_key", shuffle_key(col, seed)).orderBy("shuffle_key", col)
 
 
+def shuffle_rank(df: DataFrame, col: str = "ack_id", seed: int = C.SHUFFLE_SEED) -> DataFrame:
+    """``df`` with ``shuffle_key`` and ``shuffle_rank``, the place from 1 that ``stable_shuffle`` gives a
+    row, without a global sort: rows are ranked inside the first four digits of the key, after the
+    counted rows of the smaller ones (at most 65,536 counts, so they are broadcast)."""
+    keyed = df.withColumn("shuffle_key", shuffle_key(col, seed)).withColumn("_prefix", F.coalesce(F.substring("shuffle_key", 1, 4), F.lit("")))
+    counts = keyed.groupBy("_prefix").count()
+    before = F.sum("count").over(Window.orderBy("_prefix")) - F.col("count")
+    smaller = counts.select("_prefix", before.alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("_prefix").orderBy("shuffle_key", col))
+    ranked = keyed.withColumn("_inside", inside).join(F.broadcast(smaller), "_prefix")
+    return ranked.withColumn("shuffle_rank", F.col("_before") + F.col("_inside")).select(*df.columns, "shuffle_key", "shuffle_rank")
+
+
 def sample_k(df: DataFrame, k: int = C.SAMPLE_K, col: str = "path", seed: int = C.SHUFFLE_SEED) -> DataFrame:
     """L2: min(k, n) pseudo-random rows for a preview (the limit is the feature)."""
     return df.withColumn("shuffle_key", shuffle_key(col, seed)).orderBy("shuffle_key", col).limit(k)

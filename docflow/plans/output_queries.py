@@ -67,10 +67,12 @@ def merge_text(spark, d):
 
 @register(
     "stable_shuffle",
-    f"{_TEXTS_SQL} select ack_id, year, ocr_text, md5(ack_id || ':42') as shuffle_key from texts",
+    f"{_TEXTS_SQL} select ack_id, year, ocr_text, md5(ack_id || ':42') as shuffle_key, "
+    "row_number() over (order by md5(ack_id || ':42'), ack_id) as shuffle_rank from texts",
 )
 def stable_shuffle(spark, d):
-    return out.stable_shuffle(out.project_corpus(_texts(spark, d)))
+    """L1: the permutation by its ranks, so that rows without an order can be compared."""
+    return out.shuffle_rank(out.project_corpus(_texts(spark, d)))
 
 
 _RECORDS_SQL = f"""with {_DOCS_SQL} select cast(doc_id as varchar) as ack_id, year, status,

@@ -22,11 +22,11 @@ def _na_trim(x: str) -> str:
     return f"case when {x} is null or {x} in {NA_SQL} then null else {sql_trim(x)} end"
 
 
-def _index_files(spark, d):
+def _index_files(spark, d, long_lines=False):
     """The index binding written as yearly index files (4 files per year)."""
     idx = B.index(spark, d).withColumn("bucket", F.col("ack_id").cast("bigint") % 4)
     path = scratch_path(spark, "index_files")
-    ix.write_index_files(idx, path)
+    ix.write_index_files(idx, path, header=IDX_COLS, long_lines=long_lines)
     return path
 
 
@@ -44,27 +44,35 @@ def scan_index(spark, d):
     return ix.scan_index(spark, _index_files(spark, d)).select(*IDX_COLS)
 
 
+def _cell_sql(col: str) -> str:
+    """A cell as the index files hold it."""
+    return f"regexp_replace(regexp_replace(coalesce(cast({col} as varchar), ''), '[\\r\\n]', ' ', 'g'), '([|\\\\])', '\\\\\\1', 'g')"
+
+
 @register(
     "quarantine_bad_lines",
     "select 'extra|x|x|x|x|x' as line, 6 as n_fields from "
-    "(select distinct 1999 + cast(substring(source, 4) as int), doc_id % 4 from documents)",
+    "(select distinct 1999 + cast(substring(source, 4) as int), doc_id % 4 from documents) "
+    f"union all select concat_ws('|', {', '.join(map(_cell_sql, IDX_COLS))}, 'x'), 6 from ({INDEX_SQL})",
 )
 def quarantine_bad_lines(spark, d):
-    return ix.quarantine_bad_lines(spark, _index_files(spark, d)).select("line", "n_fields")
+    """A constant line in every file, and each row once more with a field too many."""
+    return ix.quarantine_bad_lines(spark, _index_files(spark, d, long_lines=True)).select("line", "n_fields")
 
 
 @register(
     "null_tokens",
     f"""select doc_id, case when v in {NA_SQL} then null else v end as value from (
           select doc_id, case when doc_id % 7 = 0 then {NA_LIST_SQL}[cast((doc_id // 7) % {len(C.NA_TOKENS)} as integer) + 1]
-                              else split_part(text, ' ', 1) end as v from documents)""",
+                              else text end as v from documents)""",
 )
 def null_tokens(spark, d):
+    """S3: whole texts, in one of seven rows replaced by a token."""
     doc = B.table(spark, d, "documents")
     tokens = F.array(*[F.lit(t) for t in C.NA_TOKENS])
     v = F.when(F.col("doc_id") % 7 == 0,
                F.element_at(tokens, (F.floor(F.col("doc_id") / 7) % len(C.NA_TOKENS) + 1).cast("int"))
-               ).otherwise(F.split_part(F.col("text"), F.lit(" "), F.lit(1)))
+               ).otherwise(F.col("text"))
     return doc.select("doc_id", tx.null_tokens(v).alias("value"))
 
 

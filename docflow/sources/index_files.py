@@ -149,10 +149,11 @@ def quarantine_bad_lines(spark: SparkSession, paths, **kw) -> DataFrame:
 
 def write_index_files(df: DataFrame, path: str, year: str = "filing_year", bucket: str = "bucket",
                       header: list[str] | None = None, preamble: list[str] | None = None,
-                      bad_line: bool = True) -> str:
+                      bad_line: bool = True, long_lines: bool = False) -> str:
     """Write rows in the index-file format: one file per (year, bucket), each with its own
     preamble, header and ruler row; '|' and '\\' in cells are escaped, nulls written empty,
-    line breaks inside cells become blanks. Used to materialise test inputs."""
+    line breaks inside cells become blanks. ``long_lines`` adds one line with too many fields for
+    each row, made of its cells. Used to materialise test inputs."""
     cols = header or [c for c in df.columns if c != bucket]
     preamble = preamble or ["Index of filings", "", "exported listing"]
 
@@ -170,6 +171,9 @@ def write_index_files(df: DataFrame, path: str, year: str = "filing_year", bucke
         fixed = fixed + ["extra|" + "|".join(["x"] * len(cols))]
     top = groups.select("y", "b", F.posexplode(F.array(*[F.lit(x) for x in fixed])).alias("_o", "value"))
     out = top.unionByName(body)
+    if long_lines:
+        again = F.concat_ws("|", *[esc(c) for c in cols], F.lit("x"))
+        out = out.unionByName(df.select(F.col(year).alias("y"), F.col(bucket).alias("b"), F.lit(1 << 21).alias("_o"), again.alias("value")))
     (
         out.repartition("y", "b")
         .sortWithinPartitions("y", "b", "_o")
