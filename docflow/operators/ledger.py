@@ -81,31 +81,36 @@ def message_fold(ledger: DataFrame, keys: Sequence[str] = KEY) -> DataFrame:
 
 
 # ---- A12 ------------------------------------------------------------------------------------
-def fetch_outcome(attempts: DataFrame, doc: str = "doc", order: str = "event_id",
+def fetch_outcome(attempts: DataFrame, doc: str | Sequence[str] = "doc", order: str = "event_id",
                   status_code: str = "status_code", error_kind: str | None = None,
-                  max_retries: int = C.MAX_RETRIES, backoff: float = C.BACKOFF_SECONDS) -> DataFrame:
+                  max_retries: int = C.MAX_RETRIES, backoff: float = C.BACKOFF_SECONDS,
+                  message: str | None = None) -> DataFrame:
     """Decision of the retry loop over an attempt log.
 
     An attempt succeeds with a status below 400, fails for good with 400-499 (or a non-HTTP,
     non-network error when ``error_kind`` says 'other'), and is retried otherwise. Outcome per
     document: ``ok`` / ``permanent`` at the first terminal attempt within ``max_retries``,
     ``exhausted`` after ``max_retries`` retried attempts, else ``pending`` with the next wait.
+    With ``message`` the message of the attempt that decided (or of the last one) is kept.
 
     Only the first ``max_retries`` attempts of a document matter. The rank is planned as a limit per
     document and task before the shuffle, so a document with a huge log sends a few rows, and
     the aggregate on the same key needs no further exchange."""
+    keys = [doc] if isinstance(doc, str) else list(doc)
+    said = F.col(message) if message else F.lit(None).cast("string")
     code = F.col(status_code)
     terminal = code < 500
     if error_kind is not None:
         terminal = terminal | (F.col(error_kind) == "other")
     ok = code < 400
     tried = (
-        attempts.select(doc, order, terminal.alias("_terminal"), ok.alias("_ok"))
-        .withColumn("_rank", F.row_number().over(Window.partitionBy(doc).orderBy(order)))
+        attempts.select(*keys, order, terminal.alias("_terminal"), ok.alias("_ok"), said.alias("_said"))
+        .withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(order)))
         .where(F.col("_rank") <= max_retries)
     )
-    counted = tried.groupBy(doc).agg(
-        F.min(F.when(F.col("_terminal"), F.struct("_rank", "_ok"))).alias("_t"), F.count("*").alias("_n"))
+    counted = tried.groupBy(*keys).agg(
+        F.min(F.when(F.col("_terminal"), F.struct("_rank", "_ok", "_said"))).alias("_t"), F.count("*").alias("_n"),
+        *([F.max_by("_said", "_rank").alias("_last")] if message else []))
     has_t = F.col("_t").isNotNull()
     n = F.when(has_t, F.col("_t._rank") - 1).otherwise(F.col("_n")).cast("long")
     outcome = (
@@ -116,13 +121,26 @@ def fetch_outcome(attempts: DataFrame, doc: str = "doc", order: str = "event_id"
     )
     used = F.when(has_t, n + 1).otherwise(n)
     return counted.select(
-        F.col(doc),
+        *keys,
         outcome.alias("outcome"),
         used.cast("int").alias("attempts"),
         F.when(outcome == "pending", backoff_seconds(n, backoff)).alias("next_wait_s"),
+        *([F.when(has_t, F.col("_t._said")).otherwise(F.col("_last")).alias("message")] if message else []),
     )
 
 
+def waiting_to_fetch(ledger: DataFrame) -> DataFrame:
+    """Documents that wait for their download: in ``to_download``, or claimed from there. ``since`` is
+    when they entered that queue. One aggregation per document."""
+    k = _order_key()
+    queued = F.when(F.col("status").isin(C.QUEUE_STATUSES), k)
+    cur = ledger.groupBy(*KEY).agg(F.max_by("status", k).alias("current"), F.max_by("status", queued).alias("queue"),
+                                   F.max(queued).alias("_q"))
+    return cur.where(
+        F.col("current").isin(C.TO_DOWNLOAD, C.CLAIMED) & (F.coalesce("queue", F.lit(C.TO_DOWNLOAD)) == C.TO_DOWNLOAD)
+    ).select(*KEY, F.col("_q.ts").alias("since"))
+
+
 # ---- K6 -------------------------------------------------------------------------------------
 def seed_ledger(universe: DataFrame, ledger: DataFrame | None, ts=None,
                 year: str = "filing_year") -> DataFrame:

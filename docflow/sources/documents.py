@@ -27,6 +27,9 @@ from docflow.sources.fs import read_bytes
 Extractor = Callable[[bytes], Sequence[str | None]]
 PAGESET_SCHEMA = "ack_id string, extractor int, pages array<string>, error string"
 
+# begins the error of a file that could not be read, as opposed to one that could not be decoded
+UNREAD = "unread: "
+
 
 def scan_documents(spark: SparkSession, root: str | list[str], glob: str = "*", with_content: bool = True) -> DataFrame:
     """(ack_id, year, path, length[, content]) for every document file under ``root``.
@@ -78,6 +81,27 @@ def extract_pages_native(docs: DataFrame, extractor_id: int = 1, content: str =
     )
 
 
+def read_content(docs: DataFrame, path: str = "path") -> DataFrame:
+    """Adds ``content`` (the bytes of the file at ``path``) and ``read_error`` (null, or why it could
+    not be read). Files are read in the tasks of ``docs``, so bytes are never shuffled."""
+    schema = T.StructType(list(docs.schema.fields) + [T.StructField("content", T.BinaryType()),
+                                                       T.StructField("read_error", T.StringType())])
+
+    def run(batches):
+        for pdf in batches:
+            blobs, errors = [], []
+            for p in pdf[path]:
+                try:
+                    blobs.append(read_bytes(p))
+                    errors.append(None)
+                except OSError as e:
+                    blobs.append(None)
+                    errors.append(f"{UNREAD}{e}")
+            yield pdf.assign(content=blobs, read_error=errors)
+
+    return docs.mapInPandas(run, schema)
+
+
 def _decode(extractor: Extractor, blob) -> tuple[list | None, str | None]:
     try:
         return list(extractor(bytes(blob))), None
@@ -102,7 +126,8 @@ def codec_where(df: DataFrame, extractor: Extractor, pages_col: str, error_col:
     """Run ``extractor`` on the rows whose ``run`` column is true and add its pages and error
     (null elsewhere). Every other column passes through, so no join is needed afterwards.
     Without a ``content`` column the task reads each file it processes from ``path`` itself:
-    bytes are never shuffled or carried between stages."""
+    bytes are never shuffled or carried between stages. The error of a file that cannot be read
+    begins with ``UNREAD``: it says nothing about the document, which may be tried again."""
     by_path = content not in df.columns
     schema = T.StructType(list(df.schema.fields) + [T.StructField(pages_col, T.ArrayType(T.StringType())),
                                                      T.StructField(error_col, T.StringType())])
@@ -115,9 +140,9 @@ def codec_where(df: DataFrame, extractor: Extractor, pages_col: str, error_col:
                 if go and by_path:
                     try:
                         blob = read_bytes(blob)
-                    except Exception:  # noqa: BLE001 - a missing or unreadable file is an open error
+                    except OSError as e:
                         pages.append(None)
-                        errors.append(traceback.format_exc(limit=1))
+                        errors.append(f"{UNREAD}{e}")
                         continue
                 p, e = _decode(extractor, blob) if go else (None, None)
                 pages.append(p)
@@ -128,7 +153,7 @@ def codec_where(df: DataFrame, extractor: Extractor, pages_col: str, error_col:
 
 
 def run_cascade(docs: DataFrame, extractors: Sequence[tuple[int, Extractor | None, bool]], terms: Sequence[str],
-                ocr_window: bool = True, n: int = 4, content: str = "content") -> DataFrame:
+                ocr_window: bool = True, n: int = 4, content: str = "content", keep_errors: bool = False) -> DataFrame:
     """S7 + A7 with the original's short-circuit, as one narrow chain (no join, no shuffle).
 
     ``docs`` carries either ``content`` (bytes travel along the row) or only ``path`` (each stage
@@ -140,7 +165,9 @@ def run_cascade(docs: DataFrame, extractors: Sequence[tuple[int, Extractor | Non
     instead of being joined back. With ``ocr_window`` the last (OCR) codec also runs where the
     cascade chose a page but the text layer's window lacks "the" (the text choice of A10 needs
     the OCR of that window). Returns the wide layout: ``pages_<id>``, ``error`` (the first
-    extractor's) and the input columns without ``content``."""
+    extractor's) and the input columns without ``content``. With ``keep_errors`` also ``reader_error``
+    (the first error of a later extractor that is not tolerant) and ``read_error`` (why the file itself
+    could not be read by any of them)."""
     terms = list(terms)
     df = docs
     undecided = F.lit(True)
@@ -187,6 +214,12 @@ def run_cascade(docs: DataFrame, extractors: Sequence[tuple[int, Extractor | Non
             "_ocr_pages", F.when(F.col("_run"), pages_from_form_feeds(F.col(content).cast("string"))))
         df = df.withColumn(f"pages_{last_id}", F.coalesce(F.col(f"pages_{last_id}"), F.col("_ocr_pages")))
         tmp += ["_ocr_pages", "_ocr_err"]
+    if keep_errors:
+        errs = [c for c in tmp if c.startswith("_err_") or c == "_ocr_err"]
+        strict = [f"_err_{k}" for k, _, tol in extractors[1:] if not tol]
+        df = df.withColumn("reader_error", F.coalesce(*strict) if strict else F.lit(None).cast("string"))
+        df = df.withColumn("read_error", F.coalesce(*[F.when(F.startswith(F.col(c), F.lit(UNREAD)), F.col(c)) for c in errs
+                                                      if c in df.columns]))
     return df.drop("_run", *[c for c in [content, *tmp] if c in df.columns])
 
 

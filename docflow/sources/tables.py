@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docflow import constants as C
-from docflow.operators.universe import distinct_ids, filter_codes
+from docflow.functions.text import strip_text
+from docflow.operators.universe import distinct_ids, filter_codes, filter_counts
 
 CSV_WRITE = {"header": "true", "quoteAll": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false",
              "ignoreTrailingWhiteSpace": "false"}
@@ -39,6 +40,13 @@ def _write(df: DataFrame, path: str, fmt: str, partition_by: Sequence[str] = (),
     return path
 
 
+def read_table(spark: SparkSession, path: str, schema=None, fmt: str = "parquet") -> DataFrame:
+    """A table that this module wrote; with a ``schema`` an empty one needs no files and CSV cells
+    get their types."""
+    r = _reader(spark, fmt)
+    return (r.schema(schema) if schema is not None else r).load(path)
+
+
 # ---- S4 -------------------------------------------------------------------------------------
 def read_id_list(spark: SparkSession, path: str, fmt: str = "parquet", id_col: str = "ack_id",
                  code_col: str | None = "pension_benefit_code", pattern: str = C.CODE_PATTERN) -> DataFrame:
@@ -53,6 +61,16 @@ def read_id_list(spark: SparkSession, path: str, fmt: str = "parquet", id_col: s
     return distinct_ids(df, id_col)
 
 
+def count_id_list(spark: SparkSession, path: str, fmt: str = "parquet", id_col: str = "ack_id",
+                  code_col: str | None = "pension_benefit_code", pattern: str = C.CODE_PATTERN) -> DataFrame:
+    """A3 for the list that ``read_id_list`` reads: rows, rows kept and unique trimmed ids of these."""
+    df = _reader(spark, fmt).load(path)
+    ids = strip_text(F.col(id_col).cast("string")).alias("ack_id")
+    if code_col and code_col in df.columns:
+        return filter_counts(df.select(ids, F.col(code_col).alias("_code")), "_code", pattern)
+    return filter_counts(df.select(ids, F.lit("").alias("_code")), "_code", "")  # keeps every row
+
+
 # ---- K1 / K2 / S5 ---------------------------------------------------------------------------
 def write_universe(universe: DataFrame, path: str, fmt: str = "parquet") -> str:
     """K1: the whole universe as one table."""

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from docflow import constants as C
 from docflow.functions.paths import parse_status_path
-from docflow.sources.fs import filesystem
+from docflow.sources.fs import filesystem, uri_prefix
 
 
 def _fs(root: str):
@@ -53,9 +53,10 @@ def _year_dirs(root: str, years=None) -> list[str]:
 def scan_status_tree(spark: SparkSession, root: str, years=None, pattern: str = "*.txt",
                      dirs_per_task: int = 4) -> DataFrame:
     """Every token file (zero-byte ones included) under year folders of ``root``:
-    (path, size). Names not matching ``pattern`` - such as '.claiming.' markers - are skipped."""
+    (path, size). Names not matching ``pattern`` - such as '.claiming.' markers - are skipped.
+    Paths keep the scheme and host of ``root``."""
     dirs = _year_dirs(root, set(years) if years is not None else None)
-    scheme_root = root
+    scheme_root, prefix = root, uri_prefix(root)
 
     def list_dirs(batches):
         from pyarrow import fs as pafs
@@ -66,7 +67,7 @@ def scan_status_tree(spark: SparkSession, root: str, years=None, pattern: str =
             for d in pdf["dir"]:
                 for info in filesystem.get_file_info(pafs.FileSelector(d, allow_not_found=True)):
                     if info.type == pafs.FileType.File and fnmatch.fnmatchcase(info.base_name, pattern):
-                        paths.append(info.path)
+                        paths.append(prefix + info.path)
                         sizes.append(info.size)
             yield pd.DataFrame({"path": paths, "size": pd.Series(sizes, dtype="int64")})
 
@@ -81,7 +82,7 @@ def status_records(listing: DataFrame) -> DataFrame:
 
 
 def _plain(col):
-    # 'file:/x', 'file:///x' and 'hdfs://host/x' -> '/x' so both sides compare
+    # 'file:/x', 'file:///x' and 'hdfs://host/x' -> '/x', 's3a://bucket/x' -> '/x': both sides compare
     return F.regexp_replace(col, r"^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?", "")
 
 

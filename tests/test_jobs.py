@@ -49,7 +49,7 @@ def test_jobs_end_to_end(spark, tmp_dir):
     train = spark.createDataFrame([("0",)], "ack_id string")
     outs = jobs.outputs_job(spark, ledger, os.path.join(tmp_dir, "out"), train)
     texts = spark.read.parquet(outs["year_text"]).collect()
-    assert [(r.ack_id, r.ocr_text) for r in texts] == [("0", "Plan Description: the plan")]
+    assert [(r.ack_id, r.ocr_text) for r in texts] == [("0", "Plan Description: the plan\n")]
     assert spark.read.parquet(outs["records"]).count() == 5
     assert outs["train"] and outs["full"]
 
