@@ -47,6 +47,15 @@ def index(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def index_with_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The index with a second row for some documents: equal to the first, or of another sponsor."""
+    once = index(spark, sf_dir)
+    k = F.col("ack_id").cast("long") % 7
+    again = once.where(k.isin(3, 4)).withColumn(
+        "sponsor_name", F.when(k == 3, F.concat("sponsor_name", F.lit("?"))).otherwise(F.col("sponsor_name")))
+    return once.unionByName(again)
+
+
 def ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Acceptable-id list without a code column (labels)."""
     return table(spark, sf_dir, "labels").select(F.col("doc_id").cast("string").alias("ack_id"))
@@ -122,13 +131,19 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fetch attempts: (doc, event_id, status_code)."""
+    return attempt_log(spark, sf_dir).select("doc", "event_id", "status_code")
+
+
+def attempt_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fetch attempts with their messages, also cut into short logs: (doc, lot, event_id, status_code, said)."""
     e = table(spark, sf_dir, "events")
     code = (
         F.when(F.col("event_type") == "error", F.when(F.col("event_id") % 2 == 0, 404).otherwise(503))
         .when(F.col("event_type") == "purchase", 200)
         .otherwise(503)
     )
-    return e.select(F.col("user_id").alias("doc"), "event_id", code.cast("int").alias("status_code"))
+    return e.select(F.col("user_id").alias("doc"), (F.col("event_id") % 40).cast("int").alias("lot"), "event_id",
+                    code.cast("int").alias("status_code"), F.col("props").alias("said"))
 
 
 def _status_folder():

@@ -12,6 +12,7 @@ from docflow.functions import paths as ph
 from docflow.operators import ledger as lg
 from docflow.plans import bindings as B
 from docflow.plans.registry import (
+    ATTEMPT_CODE_SQL,
     ATTEMPTS_SQL,
     INDEX_SQL,
     LATEST_SQL,
@@ -81,6 +82,40 @@ def fetch_outcome(spark, d):
     return lg.fetch_outcome(B.attempts(spark, d))
 
 
+@register(
+    "fetch_outcome_lots",
+    f"""with a as (select user_id as doc, cast(event_id % 40 as integer) as lot, event_id, props as said, {ATTEMPT_CODE_SQL} as status_code
+                  from events),
+        r as (select *, row_number() over (partition by doc, lot order by event_id) as rn from a),
+        t as (select doc, lot, min(rn) filter (where status_code < 500) as trn, count(*) as n_all from r group by 1, 2),
+        o as (select doc, lot, coalesce(trn <= {C.MAX_RETRIES}, false) as done, trn,
+                     least(n_all, {C.MAX_RETRIES}) as n from t),
+        u as (select doc, lot, done, n, cast(case when done then trn else n end as integer) as used from o)
+        select u.doc, u.lot,
+               case when done and r.status_code < 400 then 'ok' when done then 'permanent'
+                    when n >= {C.MAX_RETRIES} then 'exhausted' else 'pending' end as outcome,
+               used as attempts,
+               case when not done and n < {C.MAX_RETRIES} then {C.BACKOFF_SECONDS} * pow(2, n - 1) end as next_wait_s,
+               r.said as message
+        from u join r on r.doc = u.doc and r.lot = u.lot and r.rn = u.used""",
+)
+def fetch_outcome_lots(spark, d):
+    """A12 on short logs, so that some documents still wait for their next attempt, with messages."""
+    return lg.fetch_outcome(B.attempt_log(spark, d), ["doc", "lot"], message="said")
+
+
+@register(
+    "waiting_to_fetch",
+    f"""select ack_id, year, max(ts) filter (where status in ('to_download', 'to_process')) as since
+        from ({LEDGER_SQL}) group by 1, 2
+        having arg_max(status, (ts, seq)) in ('to_download', 'claimed')
+           and coalesce(arg_max(status, (ts, seq)) filter (where status in ('to_download', 'to_process')),
+                        'to_download') = 'to_download'""",
+)
+def waiting_to_fetch(spark, d):
+    return lg.waiting_to_fetch(B.ledger(spark, d))
+
+
 @register(
     "backoff_seconds",
     f"select doc, event_id, {C.BACKOFF_SECONDS} * pow(2, rn - 1) as wait_s from "
@@ -112,7 +147,11 @@ def seed_ledger(spark, d):
 
 @register(
     "lookup_attributes",
-    f"""with u as (select distinct ack_id, filing_year as year, link, facsimile_link, sponsor_name from ({INDEX_SQL})),
+    f"""with i as (select * from ({INDEX_SQL})),
+        r as (select * from i
+              union all select ack_id, filing_year, sponsor_name || '?', link, facsimile_link from i where cast(ack_id as bigint) % 7 = 3
+              union all select * from i where cast(ack_id as bigint) % 7 = 4),
+        u as (select distinct ack_id, filing_year as year, link, facsimile_link, sponsor_name from r),
         k as (select ack_id, year, count(*) = 1 as one, max(link) as link, max(facsimile_link) as facsimile_link,
                      max(sponsor_name) as sponsor_name from u group by 1, 2)
         select l.ack_id, l.year, l.status,
@@ -124,7 +163,7 @@ def seed_ledger(spark, d):
 )
 def lookup_attributes(spark, d):
     cur = lg.latest_status(B.ledger(spark, d)).select("ack_id", "year", "status")
-    return lg.lookup_attributes(cur, B.index(spark, d))
+    return lg.lookup_attributes(cur, B.index_with_repeats(spark, d))
 
 
 @register(

@@ -82,12 +82,11 @@ select ack_id, year, arg_max(status, (ts, seq)) as status, max(ts) as ts,
 from ({LEDGER_SQL}) group by 1, 2
 """
 
-ATTEMPTS_SQL = """
-select user_id as doc, event_id,
+ATTEMPT_CODE_SQL = """
        cast(case when event_type = 'error' then (case when event_id % 2 = 0 then 404 else 503 end)
-                 when event_type = 'purchase' then 200 else 503 end as integer) as status_code
-from events
-"""
+                 when event_type = 'purchase' then 200 else 503 end as integer)"""
+
+ATTEMPTS_SQL = f"select user_id as doc, event_id, {ATTEMPT_CODE_SQL} as status_code from events"
 
 
 def waterfall_select(statuses: list[str]) -> str:
