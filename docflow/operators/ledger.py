@@ -59,9 +59,8 @@ def next_batch(current: DataFrame, n: int, status: str = C.TO_DOWNLOAD, partitio
 
 
 # ---- A11 ------------------------------------------------------------------------------------
-def message_fold(ledger: DataFrame, keys: Sequence[str] = KEY) -> DataFrame:
-    """The token body: messages appended with a newline each, an overwrite message drops
-    everything before it, empty messages write nothing (and do not overwrite)."""
+def live_messages(ledger: DataFrame, keys: Sequence[str] = KEY) -> DataFrame:
+    """The messages that still count: not empty, and none from before the document's last overwrite."""
     msgs = ledger.where(F.col("message").isNotNull() & (F.col("message") != "")).dropna(subset=list(keys))
     k = _order_key()
     # the last overwrite per document: a partial aggregate joined back (AQE splits a hot
@@ -71,9 +70,14 @@ def message_fold(ledger: DataFrame, keys: Sequence[str] = KEY) -> DataFrame:
     # plain equality (ids are never null, D3): the join's partitioning serves the fold as well, so
     # the messages are shuffled once
     on = [msgs[c] == ow[f"_k_{c}"] for c in keys]
-    kept = (msgs.join(ow, on, "left").where(F.col("_ow").isNull() | (k >= F.col("_ow")))
-            .drop(*[f"_k_{c}" for c in keys]))
-    return kept.groupBy(*keys).agg(
+    return (msgs.join(ow, on, "left").where(F.col("_ow").isNull() | (k >= F.col("_ow")))
+            .drop("_ow", *[f"_k_{c}" for c in keys]))
+
+
+def message_fold(ledger: DataFrame, keys: Sequence[str] = KEY) -> DataFrame:
+    """The token body: messages appended with a newline each, an overwrite message drops
+    everything before it, empty messages write nothing (and do not overwrite)."""
+    return live_messages(ledger, keys).groupBy(*keys).agg(
         F.concat(
             F.expr("listagg(message, '\\n') WITHIN GROUP (ORDER BY ts, seq)"), F.lit("\n")
         ).alias("body")

@@ -216,6 +216,42 @@ def spread_documents(docs: DataFrame, docs_per_task: int = C.PROCESS_BATCH_SIZE)
     return docs.repartitionByRange(min(n, parts), F.col("year"), F.xxhash64("ack_id"))
 
 
+def route_files(docs: DataFrame, terms: Sequence[str], extractors: Sequence[tuple] | None, n: int, limit_pages: int) -> DataFrame:
+    """Extract and route the files of a listing (ack_id, year, path); files that cannot be read have a
+    null status. Adds ``message``: why a file could not be read, opened or searched."""
+    if extractors is None:
+        ps = dc.extract_pages_native(dc.read_content(docs)).withColumn("reader_error", F.lit(None).cast("string"))
+        routed = pg.route_documents(ps, terms, n, limit_pages, error="error", sep="\f")  # a text layer: form feed
+    else:
+        wide = dc.run_cascade(docs, extractors, terms, n=n, keep_errors=True)
+        ids = [k for k, _, _ in extractors]
+        routed = pg.route_cascade(wide, [f"pages_{k}" for k in ids], f"pages_{ids[0]}", f"pages_{ids[-1]}",
+                                  [f"pages_{k}" for k, _, tol in extractors if tol], terms, n, limit_pages,
+                                  error="error")
+    unread = F.col("read_error").isNotNull()
+    failed = F.coalesce("reader_error", F.lit("a page before the first hit cannot be read"))
+    routed = routed.withColumns({
+        "message": F.when(unread, F.col("read_error")).when(F.col("status") == C.PDF_READER_FAILED, failed)
+        .otherwise(F.col("error")),
+        "status": F.when(~unread, F.col("status")),
+        "text": F.when(~unread, F.col("text"))})
+    return routed
+
+
+def record_routed(out_rows: DataFrame, out_path: str, ledger_path: str, run: str, ts: dt.datetime | None) -> None:
+    """Write a run's routed rows, then the transitions of those that have a status, read back from them."""
+    cols = ["ack_id", "year", "status", "page_no", "n_pages", "text", "message"]
+    # extraction runs in the small tasks above; the routed rows are then rebalanced by year so
+    # each year is written as files of the advisory size rather than one small file per task
+    out_rows = out_rows.select(*cols).hint("rebalance", "year")
+    written = _write_run(out_rows, out_path, run, "year")
+    with_text = F.col("status").isin(C.PROCESSED, C.TEXT_EXTRACTION_EMPTY)
+    message = F.when(with_text, F.col("text")).when(F.col("status") == C.PDF_READER_FAILED, F.col("message"))
+    decided = written.where(F.col("status").isNotNull())
+    append_transitions(_transitions(decided, F.col("status"), _now(ts), message, F.col("status") == C.PROCESSED),
+                       ledger_path, run)
+
+
 def process_job(spark: SparkSession, doc_root: str, ledger_path: str, out_path: str,
                 terms: Sequence[str] = C.TERMS, extractors: Sequence[tuple] | None = None,
                 n: int = C.NUMBER_PAGES_TO_SAVE, limit_pages: int = C.PAGE_LIMIT,
@@ -248,33 +284,9 @@ def process_job(spark: SparkSession, doc_root: str, ledger_path: str, out_path:
     files = dc.scan_documents(spark, doc_root, with_content=False)
     missing = dc.missing_documents(todo, files).withColumn("message", F.lit("no file"))
     docs = spread_documents(files.join(todo, ["ack_id", "year"], "left_semi"), docs_per_task)
-    if extractors is None:
-        ps = dc.extract_pages_native(dc.read_content(docs)).withColumn("reader_error", F.lit(None).cast("string"))
-        routed = pg.route_documents(ps, terms, n, limit_pages, error="error", sep="\f")  # a text layer: form feed
-    else:
-        wide = dc.run_cascade(docs, extractors, terms, n=n, keep_errors=True)
-        ids = [k for k, _, _ in extractors]
-        routed = pg.route_cascade(wide, [f"pages_{k}" for k in ids], f"pages_{ids[0]}", f"pages_{ids[-1]}",
-                                  [f"pages_{k}" for k, _, tol in extractors if tol], terms, n, limit_pages,
-                                  error="error")
-    unread = F.col("read_error").isNotNull()
-    failed = F.coalesce("reader_error", F.lit("a page before the first hit cannot be read"))
-    routed = routed.withColumns({
-        "message": F.when(unread, F.col("read_error")).when(F.col("status") == C.PDF_READER_FAILED, failed)
-        .otherwise(F.col("error")),
-        "status": F.when(~unread, F.col("status")),
-        "text": F.when(~unread, F.col("text"))})
+    routed = route_files(docs, terms, extractors, n, limit_pages)
     # extraction and routing run once: the routed table is written, transitions read it back
-    cols = ["ack_id", "year", "status", "page_no", "n_pages", "text", "message"]
-    # extraction runs in the small tasks above; the routed rows are then rebalanced by year so
-    # each year is written as files of the advisory size rather than one small file per task
-    out_rows = routed.select(*cols).unionByName(missing, allowMissingColumns=True).hint("rebalance", "year")
-    written = _write_run(out_rows, out_path, run, "year")
-    with_text = F.col("status").isin(C.PROCESSED, C.TEXT_EXTRACTION_EMPTY)
-    message = F.when(with_text, F.col("text")).when(F.col("status") == C.PDF_READER_FAILED, F.col("message"))
-    decided = written.where(F.col("status").isNotNull())
-    append_transitions(_transitions(decided, F.col("status"), _now(ts), message, F.col("status") == C.PROCESSED),
-                       ledger_path, run)
+    record_routed(routed.unionByName(missing, allowMissingColumns=True), out_path, ledger_path, run, ts)
     return out_path
 
 

@@ -5,13 +5,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from docflow import constants as C
 from docflow.plans import bindings as B
+from docflow.plans import jobs
+from docflow.plans import ledger_queries  # noqa: F401 - its twin of message_fold is used below
+from docflow.operators import ledger as lg
 from docflow.plans.pages_queries import _DOCS_SQL
-from docflow.plans.registry import LATEST_SQL, register
+from docflow.plans.registry import LATEST_SQL, ORACLE, register
 from docflow.plans.source_queries import _doc_files
 from docflow.session import scratch_path
 from docflow.streaming import compaction as cp
 from docflow.streaming import jobs as sj
+from docflow.streaming import worker as wk
 
 STREAM_BATCH_FILES = 250
 
@@ -80,3 +85,35 @@ def new_ledger_ids(spark, d):
     """K6: documents that the compacted ledger does not hold, by its stored key filter."""
     ids = B.table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("ack_id"), (1999 + F.col("doc_id") % 20).cast("int").alias("year"))
     return cp.new_ids(spark, ids, *_compacted(spark, d))
+
+
+@register(
+    "stream_process",
+    f"with {_DOCS_SQL} select cast(doc_id as varchar) as ack_id, year, status from classified",
+)
+def stream_process(spark, d):
+    """Documents in ``to_process`` drained from a folder in micro-batches that write their
+    transitions; the current ledger is the result."""
+    ledger = scratch_path(spark, "worker_ledger")
+    start = F.lit("2025-01-01").cast("timestamp")
+    todo = B.pagesets(spark, d).select(
+        F.col("doc_id").cast("string").alias("ack_id"), "year", F.lit(C.TO_PROCESS).alias("status"), start.alias("ts"),
+        F.lit(0).cast("long").alias("seq"), F.lit(None).cast("string").alias("message"), F.lit(False).alias("overwrite_"))
+    jobs.append_transitions(todo, ledger, "seed")
+    wk.stream_process(spark, _doc_files(spark, d), ledger, scratch_path(spark, "worker_out"), scratch_path(spark, "worker_ckpt"),
+                      "worker", terms=B.FIXTURE_TERMS, limit_pages=B.FIXTURE_PAGE_LIMIT)
+    return lg.latest_status(jobs.read_ledger(spark, ledger)).select("ack_id", "year", "status")
+
+
+@register("stream_bodies", ORACLE["message_fold"])
+def stream_bodies(spark, d):
+    """Messages streamed in two runs out of order, compacted after the first; the bodies equal
+    the batch fold."""
+    src, out, ckpt, snapshots = (scratch_path(spark, n) for n in ("said_in", "said_log", "said_ckpt", "said_snapshots"))
+    rows = B.ledger(spark, d)
+    for part in (0, 1):
+        rows.where(F.pmod(F.xxhash64("seq"), F.lit(2)) == part).repartition(2, "seq").write.mode("append").parquet(src)
+        wk.stream_messages(spark, src, out, ckpt, batch_files=1)
+        if part == 0:
+            wk.compact_messages(spark, out, snapshots)
+    return wk.read_bodies(spark, out, snapshots)

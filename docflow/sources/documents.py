@@ -17,7 +17,7 @@ import traceback
 from collections.abc import Callable, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,7 +40,15 @@ def scan_documents(spark: SparkSession, root: str | list[str], glob: str = "*",
         .option("pathGlobFilter", glob)
         .load(root)
     )
-    p = F.col("path")
+    cols = [F.col("path"), F.col("length")]
+    if with_content:
+        cols.append(F.col("content"))
+    return df.select(*document_keys(), *cols)
+
+
+def document_keys(path: str = "path") -> list[Column]:
+    """``ack_id`` and ``year`` from the path of a document file, in either layout."""
+    p = F.col(path)
     hive_id = F.regexp_extract(p, r"/ack_id=([^/]+)/[^/]*$", 1)
     hive_year = F.regexp_extract(p, r"/year=([^/]+)/", 1)
     name = F.regexp_extract(p, r"/([^/]+)$", 1)
@@ -48,10 +56,7 @@ def scan_documents(spark: SparkSession, root: str | list[str], glob: str = "*",
     plain_year = F.regexp_extract(p, r"/([^/]+)/[^/]+$", 1)
     ack_id = F.when(hive_id != "", hive_id).otherwise(plain_id)
     year = F.when(hive_id != "", hive_year).otherwise(plain_year).try_cast("int")
-    cols = [ack_id.alias("ack_id"), year.alias("year"), p, F.col("length")]
-    if with_content:
-        cols.append(F.col("content"))
-    return df.select(*cols)
+    return [ack_id.alias("ack_id"), year.alias("year")]
 
 
 def missing_documents(expected: DataFrame, found: DataFrame, keys: Sequence[str] = ("ack_id", "year")) -> DataFrame:
