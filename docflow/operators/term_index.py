@@ -4,8 +4,10 @@ A page contains a term when its folded text contains the folded term (deleting c
 containment, so the folded check covers the plain one). Pages are cut into blocks of q characters, end to
 end. A term of 2q - 1 characters or more covers a whole block wherever it stands, and that block is one of
 any q grams in a row of the term; the term is filed under the q grams in a row that are rarest on the
-pages. Pages and postings meet in an equi-join of distinct blocks, keys only; ``contains`` then
-decides, inside a semi join with the pages that met a term.
+pages. Pages and postings meet in an equi-join of blocks. A block brings the text around it, as far as a
+term of its size can reach, and ``contains`` decides on this window within the join: what is
+written is one row for each page that holds a term, not one for each pair that shares a block. Only terms
+longer than ``PROBE`` go on to the whole page, those of which ``PROBE`` characters were found.
 """
 
 from __future__ import annotations
@@ -22,6 +24,8 @@ SIZES = (1, 2, 3, 4, 6, 8)
 # Rarity is estimated on every 16th page, by a hash of its text. It decides which grams a term is filed
 # under, never a result.
 RARITY_SHARE = 16
+# Characters of a term that are looked for around a block; a longer term is met by this much of it.
+PROBE = 40
 
 
 def folded(text: Column) -> Column:
@@ -45,9 +49,33 @@ def page_blocks(value: Column, sizes: list[int]) -> Column:
     return tx.let(value, cut) if len(sizes) > 1 else cut(value)  # bound once: the text is folded once
 
 
+def _widest(size: int, longest: int) -> int:
+    """Length of the longest probe of terms with blocks of ``size``, ``longest`` being the longest term."""
+    larger = [s for s in SIZES if s > size]
+    return min(PROBE, longest, 2 * larger[0] - 2 if larger else longest)
+
+
+def page_windows(value: Column, sizes: list[int], longest: int) -> Column:
+    """``gram, around`` for the blocks of a folded text: the block's hash and the text that a probe holding
+    the block may cover. ``#``, which no folded text holds, stands before its begin and after its end."""
+
+    def of_size(v: Column, s: int) -> Column:
+        before = _widest(s, longest) - s
+        pad = F.lit("#" * before)
+        around = F.regexp_extract_all(F.concat(pad, v, pad), F.lit(f"(?=(.{{{2 * before + s}}})).{{{s}}}"), F.lit(1))
+        return F.transform(F.array_distinct(around), lambda w: F.struct(
+            F.xxhash64(F.substring(w, before + 1, s)).alias("gram"), w.alias("around")))
+
+    def cut(v: Column) -> Column:
+        parts = [of_size(v, s) for s in sizes]
+        return F.concat(*parts) if len(parts) > 1 else parts[0]
+
+    return tx.let(value, cut) if len(sizes) > 1 else cut(value)
+
+
 def file_terms(terms: DataFrame, sample: DataFrame, sizes: list[int]) -> DataFrame:
-    """Postings ``gram, folded_term``: each distinct folded term under the hashes of its rarest grams in
-    a row. ``sample`` holds the texts ``_fold`` that tell rarity."""
+    """Postings ``gram, probe, folded_term``: each distinct folded term under the hashes of its rarest grams
+    in a row, with at most ``PROBE`` of its characters that hold these grams. ``sample`` holds the texts ``_fold`` that tell rarity."""
     size = block_size(F.length("folded_term"))
     at = F.sequence(F.lit(1), F.length("folded_term") - size + 1)
     held = terms.select("folded_term", size.alias("size"), F.posexplode(F.transform(at, lambda i: F.xxhash64(F.substring("folded_term", i, size)))).alias("at", "gram"))
@@ -65,7 +93,8 @@ def file_terms(terms: DataFrame, sample: DataFrame, sizes: list[int]) -> DataFra
     starts = F.sequence(F.lit(1), F.size("grams") - F.col("size") + 1)
     best = F.array_min(F.transform(starts, lambda j: F.struct(total(j).alias("n"), j.alias("j"))))
     chosen = known.select("folded_term", "size", "grams", best["j"].alias("j"))
-    return chosen.select("folded_term", F.explode(F.array_distinct(F.transform(F.slice("grams", F.col("j"), F.col("size")), lambda g: g["gram"]))).alias("gram"))
+    probe = F.substring("folded_term", F.greatest(F.least(F.col("j"), F.length("folded_term") - (PROBE - 1)), F.lit(1)), F.lit(PROBE))
+    return chosen.select("folded_term", probe.alias("probe"), F.explode(F.array_distinct(F.transform(F.slice("grams", F.col("j"), F.col("size")), lambda g: g["gram"]))).alias("gram"))
 
 
 def pages_with_terms(rows: DataFrame, terms: DataFrame, text: str = "text", term: str = "term") -> DataFrame:
@@ -74,11 +103,12 @@ def pages_with_terms(rows: DataFrame, terms: DataFrame, text: str = "text", term
     Null terms match nothing; a term without letters, digits, parentheses or blanks matches every text
     that is not null. Null texts match nothing. One plan at every number of terms: what is
     broadcast is a filter of bounded size, and Spark chooses the joins by measured sizes. Postings and
-    the pairs of pages and terms that met are written to the shared folder."""
+    the pages that hold a term are written to the shared folder."""
     spark = rows.sparkSession
     distinct = terms.select(folded(F.col(term)).alias("folded_term")).where("folded_term is not null").distinct()
-    # one row: the block sizes in use
-    sizes = sorted(distinct.agg(F.collect_set(block_size(F.length("folded_term"))).alias("s")).first()["s"])
+    # one row: the block sizes in use and the length of the longest term
+    of = distinct.agg(F.collect_set(block_size(F.length("folded_term"))).alias("s"), F.max(F.length("folded_term")).alias("n")).first()
+    sizes, longest = sorted(of["s"]), of["n"]
     if 0 in sizes:
         return rows.where(F.col(text).isNotNull())
     if not sizes:
@@ -90,15 +120,19 @@ def pages_with_terms(rows: DataFrame, terms: DataFrame, text: str = "text", term
     sample = full.where(F.pmod("_h1", F.lit(RARITY_SHARE)) == 0).select(folded(F.col("_text")).alias("_fold"))
     where = scratch_path(spark, "postings")
     file_terms(distinct, sample, sizes).write.parquet(where)
-    postings = spark.read.schema("folded_term string, gram long").parquet(where)
-    slim = full.select("_h1", "_h2", F.explode_outer(page_blocks(folded(F.col("_text")), sizes)).alias("gram"))
+    postings = spark.read.schema("folded_term string, probe string, gram long").parquet(where)
+    slim = full.select("_h1", "_h2", F.explode_outer(page_windows(folded(F.col("_text")), sizes, longest)).alias("b"))
+    slim = slim.select("_h1", "_h2", "b.gram", "b.around")
     few = bloom.build(postings, "gram").split(slim, "gram").where("_maybe").drop("_maybe")
     where = scratch_path(spark, "met")
-    few.join(postings, "gram").select(F.col("_h1").alias("_g1"), F.col("_h2").alias("_g2"), "folded_term").distinct().write.parquet(where)
+    found = few.join(postings, (few["gram"] == postings["gram"]) & F.contains("around", "probe"))
+    rest = F.when(F.length("folded_term") > PROBE, F.col("folded_term"))  # null: the probe is the term
+    found.select(F.col("_h1").alias("_g1"), F.col("_h2").alias("_g2"), rest.alias("folded_term")).distinct().write.parquet(where)
     met = spark.read.schema("_g1 long, _g2 long, folded_term string").parquet(where)
     same = (F.col("_h1") == F.col("_g1")) & (F.col("_h2") == F.col("_g2"))
     # texts are folded once, and only where they met a term
     near = rows.select(row.alias("_row"), raw.alias("_text"), *key).join(met.select("_g1", "_g2").distinct(), same, "left_semi")
     near = near.select("_row", "_h1", "_h2", folded(F.col("_text")).alias("_fold"))
-    hit = near.join(met, same & F.col("_fold").contains(F.col("folded_term")), "left_semi")
+    held = F.col("folded_term").isNull() | F.col("_fold").contains(F.col("folded_term"))
+    hit = near.join(met, same & held, "left_semi")
     return hit.select(*[F.col("_row")[c].alias(c) for c in rows.columns])

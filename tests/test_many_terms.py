@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docflow.operators import pages as pg
+from docflow.operators import term_index
 
 TERMS = "term string, term_lower string, term_folded string"
 
@@ -51,3 +52,22 @@ def test_plan_has_no_nested_loop(spark):
     terms = spark.range(50_000).select(F.concat(F.lit("page"), "id").alias("term"))
     plan = pg.terms_table_join(pages, terms)._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_terms_longer_than_a_probe(spark):
+    rnd = random.Random(8)
+    body = ["".join(rnd.choices("ab ", k=rnd.randrange(30, 200))) for _ in range(80)]
+    pages = spark.createDataFrame(list(enumerate(body)), "id int, text string")
+    terms = [b[at:at + n] for b, n in zip(body[:40], [39, 40, 41, 60, 90] * 8) for at in (0, len(b) // 3)]
+    terms += [t[:-1] + ("b" if t[-1] == "a" else "a") for t in terms if len(t) > 41]
+    got = sorted(r.id for r in pg.terms_table_join(pages, pg.terms_table(spark, terms), max_inline=0).collect())
+    assert got == [i for i, t in enumerate(body) if any(x in t for x in terms)]
+
+
+def test_only_pages_with_a_term_are_written(spark, monkeypatch, tmp_dir):
+    """Pages that share blocks with many terms but hold none leave no rows behind."""
+    monkeypatch.setattr(term_index, "scratch_path", lambda _, name: f"{tmp_dir}/{name}")
+    pages = spark.createDataFrame([(i, "abcdefg hijklmnop " * 3 + str(i)) for i in range(50)], "id int, text string")
+    terms = [f"cdefgxyz{n}" for n in range(30)] + [f"zzabcdef{n}" for n in range(30)] + ["hijklmno", "klmnop ab"]
+    assert pg.terms_table_join(pages, pg.terms_table(spark, terms), max_inline=0).count() == 50
+    assert spark.read.parquet(f"{tmp_dir}/met").count() == 50
