@@ -18,13 +18,11 @@ from docflow.streaming import compaction as cp
 from docflow.streaming import jobs as sj
 from docflow.streaming import worker as wk
 
-STREAM_BATCH_FILES = 250
-
 
 def _routed_stream(spark, d):
     out = scratch_path(spark, "routed")
     sj.stream_documents(spark, _doc_files(spark, d), out, scratch_path(spark, "routed_ckpt"),
-                        terms=B.FIXTURE_TERMS, batch_files=STREAM_BATCH_FILES, limit_pages=B.FIXTURE_PAGE_LIMIT)
+                        terms=B.FIXTURE_TERMS, limit_pages=B.FIXTURE_PAGE_LIMIT)
     return sj.read_routed(spark, out)
 
 

@@ -11,6 +11,7 @@ import os
 import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -98,6 +99,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc._jsc.sc().getCheckpointDir().get()
 
 
+@contextmanager
+def session_conf(spark: SparkSession, settings: dict[str, str]):
+    """The session with ``settings`` in the block, and as it was after it."""
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path for an intermediate table under the shared checkpoint directory."""
     root = ensure_checkpoint_dir(spark).rstrip("/")

@@ -19,11 +19,29 @@ from pyspark.sql import functions as F
 
 from docflow import constants as C
 from docflow.operators.pages import route_documents
+from docflow.session import session_conf
 from docflow.sources.documents import extract_pages_native
 
+# Documents a core in one micro-batch: what a micro-batch costs whatever its size (offset and commit logs,
+# listing, planning, output commit) is seconds, so the original's claim of 20 would spend hours on it.
+DOCS_PER_CORE = 1000
 DOC_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
+def _cores(spark: SparkSession) -> int:
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - Spark Connect: no SparkContext
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def small_files(spark: SparkSession):
+    """Settings of the session while a stream of small files runs (its source lists by them): a task lists
+    and reads many files, where Spark's defaults give it one to list and some 32 to read."""
+    return session_conf(spark, {"spark.sql.sources.parallelPartitionDiscovery.parallelism": str(4 * _cores(spark)),
+                                "spark.sql.files.openCostInBytes": str(64 << 10)})
+
+
 def _ids_from_path(df: DataFrame) -> DataFrame:
     p = F.col("path")
     hive_id = F.regexp_extract(p, r"/ack_id=([^/]+)/[^/]*$", 1)
@@ -58,14 +76,10 @@ def stream_documents(spark: SparkSession, doc_root: str, out: str, checkpoint: s
     """T1 + T3: drain the document folder in batches of ``batch_files`` files, route every
     document exactly once. Returns the finished StreamingQuery (its progress lists the batches).
 
-    A micro-batch runs on every core of the cluster, so the default batch is the original's
-    per-worker claim (20 documents) times the session's parallelism, not a single claim."""
+    A micro-batch runs on every core of the cluster, so the default batch is ``DOCS_PER_CORE`` documents
+    times the session's parallelism."""
     if batch_files is None:
-        try:
-            cores = spark.sparkContext.defaultParallelism
-        except Exception:  # noqa: BLE001 - Spark Connect: no SparkContext
-            cores = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        batch_files = C.PROCESS_BATCH_SIZE * cores
+        batch_files = DOCS_PER_CORE * _cores(spark)
     stream = (
         spark.readStream.format("binaryFile")
         .schema(DOC_FILE_SCHEMA)
@@ -73,13 +87,14 @@ def stream_documents(spark: SparkSession, doc_root: str, out: str, checkpoint: s
         .option("maxFilesPerTrigger", batch_files)
         .load(doc_root)
     )
-    q = (
-        stream.writeStream.foreachBatch(lambda b, i: process_batch(b, i, out, terms, n, limit_pages))
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    q.awaitTermination()
+    with small_files(spark):
+        q = (
+            stream.writeStream.foreachBatch(lambda b, i: process_batch(b, i, out, terms, n, limit_pages))
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+        q.awaitTermination()
     return q
 
 

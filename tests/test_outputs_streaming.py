@@ -96,3 +96,18 @@ def test_replayed_batch_does_not_duplicate(spark, tmp_dir):
     res = sj.read_routed(spark, outp)
     assert res.count() == 8
     assert sorted(r.batch_id for r in res.select("batch_id").distinct().collect()) == [0, 1]
+
+
+def test_backlog_needs_few_batches(spark, tmp_dir):
+    """A backlog of 30 times the old batch (20 documents a core) is one micro-batch, whose files take few tasks."""
+    cores = spark.sparkContext.defaultParallelism
+    n = min(600, 600 * cores)
+    pages = spark.range(n).select(F.col("id").cast("string").alias("ack_id"), F.lit(2001).alias("year"),
+                                  F.array(F.lit("the plan description")).alias("pages"))
+    root = dc.write_document_files(pages, f"{tmp_dir}/docs")
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    q = sj.stream_documents(spark, root, f"{tmp_dir}/out", f"{tmp_dir}/ckpt", terms=["plan description"])
+    assert len([p for p in q.recentProgress if p["numInputRows"]]) == 1
+    assert spark.conf.get("spark.sql.files.openCostInBytes") == before
+    routed = sj.read_routed(spark, f"{tmp_dir}/out")
+    assert routed.count() == n and len(routed.inputFiles()) <= 4 * cores
