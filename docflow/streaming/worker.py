@@ -24,7 +24,7 @@ from docflow.operators import ledger as lg
 from docflow.plans import jobs
 from docflow.sources import documents as dc
 from docflow.streaming import compaction as cp
-from docflow.streaming.jobs import DOC_FILE_SCHEMA, LEDGER_SCHEMA
+from docflow.streaming.jobs import DOC_FILE_SCHEMA, DOCS_PER_CORE, LEDGER_SCHEMA, small_files
 
 MESSAGE_ROWS = "ack_id string, year int, ts timestamp, seq long, message string, overwrite_ boolean"
 
@@ -39,7 +39,9 @@ def process_files(files: DataFrame, run: str, ledger_path: str, out: str, terms:
     runs = jobs.read_runs(files.sparkSession, ledger_path).where(F.col("run") != run)
     known = runs.join(listing.select(*lg.KEY).distinct(), lg.KEY, "left_semi")
     todo = lg.latest_status(known).where(F.col("status") == C.TO_PROCESS).select(*lg.KEY)
-    docs = jobs.spread_documents(listing.join(todo, lg.KEY, "left_semi"))
+    # a text layer is decoded at once, a document of other codecs may take minutes
+    per_task = DOCS_PER_CORE if extractors is None else C.PROCESS_BATCH_SIZE
+    docs = jobs.spread_documents(listing.join(todo, lg.KEY, "left_semi"), per_task)
     jobs.record_routed(jobs.route_files(docs, terms, extractors, n, limit_pages), out, ledger_path, run, ts)
 
 
@@ -55,11 +57,12 @@ def stream_process(spark: SparkSession, doc_root: str, ledger_path: str, out: st
     def sink(batch: DataFrame, batch_id: int):
         process_files(batch, f"{name}-{batch_id}", ledger_path, out, **options)
 
-    q = (
-        reader.load(doc_root).select("path").writeStream.foreachBatch(sink)
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    )
-    q.awaitTermination()
+    with small_files(spark):
+        q = (
+            reader.load(doc_root).select("path").writeStream.foreachBatch(sink)
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        )
+        q.awaitTermination()
     return q
 
 
