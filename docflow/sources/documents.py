@@ -13,6 +13,7 @@ a page it cannot read. The PDF/OCR codecs themselves are not part of this librar
 
 from __future__ import annotations
 
+import re
 import traceback
 from collections.abc import Callable, Sequence
 
@@ -22,24 +23,61 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docflow.operators.pages import first_hit_page, first_null_page, pages_from_form_feeds
+from docflow.session import session_conf
 from docflow.sources.fs import read_bytes
 
 Extractor = Callable[[bytes], Sequence[str | None]]
 PAGESET_SCHEMA = "ack_id string, extractor int, pages array<string>, error string"
 
+LISTING_THRESHOLD = "spark.sql.sources.parallelPartitionDiscovery.threshold"
+
 # begins the error of a file that could not be read, as opposed to one that could not be decoded
 UNREAD = "unread: "
 
 
+# Spark counts a file as 4 MB at least, so a task gets some 32 small files, and starting it (four
+# Python workers, generated code) costs more than reading them. Tasks take this many such lots.
+LOTS_PER_TASK = 64
+
+
+def pack_files(df: DataFrame) -> DataFrame:
+    """A scan of many small files in fewer tasks: ``LOTS_PER_TASK`` of Spark's file lots each, but four tasks
+    a core at least. Rows stream through a task, so its memory does not depend on their number."""
+    try:
+        cores, lots = df.sparkSession.sparkContext.defaultParallelism, df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - Spark Connect: neither is known
+        return df
+    tasks = max(4 * cores, -(-lots // LOTS_PER_TASK))
+    return df.coalesce(tasks) if tasks < lots else df
+
+
+def _folders(spark: SparkSession, root: str | list[str]) -> list[str]:
+    """What stands directly under ``root``, where only folders do; otherwise ``root`` itself."""
+    if not isinstance(root, str) or re.search(r"[{}\[\]*?\\]", root):
+        return [root] if isinstance(root, str) else root
+    try:
+        at = spark._jvm.org.apache.hadoop.fs.Path(root)
+        found = at.getFileSystem(spark._jsc.hadoopConfiguration()).listStatusIterator(at)
+        out = []
+        while found.hasNext():
+            one = found.next()
+            name = one.getPath().getName()
+            if not one.isDirectory() or re.search(r"[{}\[\]*?\\]", name) or len(out) == 10_000:
+                return [root]
+            if not name.startswith(".") and not (name.startswith("_") and "=" not in name):
+                out.append(one.getPath().toString())
+    except Exception:  # noqa: BLE001 - no such folder (Spark's reader says so), or Spark Connect
+        return [root]
+    return out or [root]
+
+
 def scan_documents(spark: SparkSession, root: str | list[str], glob: str = "*", with_content: bool = True) -> DataFrame:
     """(ack_id, year, path, length[, content]) for every document file under ``root``.
-    Without ``with_content`` only the listing is read (the binary column is pruned)."""
-    df = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", glob)
-        .load(root)
-    )
+    Without ``with_content`` only the listing is read (the binary column is pruned). The folders under
+    ``root`` are listed by tasks, not one after another by the driver."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
+    with session_conf(spark, {LISTING_THRESHOLD: "1"}):  # folders beyond this number are listed by tasks
+        df = pack_files(reader.load(_folders(spark, root)))
     cols = [F.col("path"), F.col("length")]
     if with_content:
         cols.append(F.col("content"))

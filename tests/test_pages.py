@@ -3,6 +3,8 @@
 import os
 
 
+from pyspark.sql import functions as F
+
 from docflow.operators import pages as pg
 from docflow.sources import documents as dc
 
@@ -185,3 +187,29 @@ def test_later_codec_failure_is_reader_failure(spark):
     tolerant = dc.run_cascade(docs, [(1, text_layer, False), (2, failing_ocr, True)], TERMS)
     r = pg.route_cascade(tolerant, ["pages_1", "pages_2"], "pages_1", "pages_2", ["pages_2"], TERMS).first()
     assert r.status == "plan_not_found"
+
+
+def test_small_files_share_tasks(spark, tmp_dir):
+    cores = spark.sparkContext.defaultParallelism
+    n = 32 * 6 * cores  # files of some 4 MB each, as Spark counts them, in lots of 32
+    pages = spark.range(n).select(F.col("id").cast("string").alias("ack_id"), (F.lit(2000) + F.col("id") % 3).cast("int").alias("year"),
+                                  F.array(F.lit("p")).alias("pages"))
+    root = dc.write_document_files(pages, os.path.join(tmp_dir, "docs"))
+    docs = dc.scan_documents(spark, root)
+    assert docs.rdd.getNumPartitions() <= 4 * cores
+    assert docs.count() == n and docs.select("path").distinct().count() == n
+    plain = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    assert docs.select("path", "length").exceptAll(plain.select("path", "length")).isEmpty()
+
+
+def test_hidden_and_loose_files(spark, tmp_dir):
+    for rel in ("2001/a.txt", ".x/b.txt", "_y/c.txt", "year=2002/ack_id=7/d.txt"):
+        os.makedirs(os.path.join(tmp_dir, "r", os.path.dirname(rel)), exist_ok=True)
+        open(os.path.join(tmp_dir, "r", rel), "w").write("t")
+
+    def listed():
+        return sorted((r.ack_id, r.year) for r in dc.scan_documents(spark, os.path.join(tmp_dir, "r")).collect())
+
+    assert listed() == [("7", 2002), ("a", 2001)]
+    open(os.path.join(tmp_dir, "r", "loose.txt"), "w").write("t")  # beside folders: the root is read as it is
+    assert [k for k, _ in listed()] == ["7", "a", "loose"]
