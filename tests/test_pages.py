@@ -2,7 +2,6 @@
 
 import os
 
-
 from pyspark.sql import functions as F
 
 from docflow.operators import pages as pg
