@@ -1,8 +1,9 @@
 """Benchmark decontamination with a hash set of test n-grams.
 
-The windows of all benchmark items are hashed; documents are scanned window by window against
-the set, hits are verified word by word, and hit words are counted, removed or condemn the
-document. DataFrame functions only.
+The windows of all benchmark items are hashed, and the runs of half their size in them, the seeds.
+Documents are cut into seeds, of which each window holds one; the windows around the benchmark's seeds
+are looked up in the set, hits are verified word by word, and hit words are counted, removed or condemn
+the document. DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -27,23 +28,45 @@ def gram_words(text: Column) -> Column:
     return F.filter(parts, lambda x: x != "")
 
 
-def _windows(w: Column, sizes: list[int]) -> Column:
-    """Start, size and hash of all windows of the given sizes."""
+def _seed(size: int) -> tuple[int, int]:
+    """Length and distance of the seeds of windows of this size: of the runs of so many words that start
+    at every ``distance``-th word of a text, each window holds exactly one."""
+    length = (size + 1) // 2
+    return length, size - length + 1
+
+
+def _seeds(w: Column, sizes: list[int]) -> Column:
+    """Size of the windows, hash of the seed, first word and words of the windows around it."""
 
     def of(size: int) -> Column:
-        starts = F.sequence(F.lit(1), F.size(w) - size + 1)
-        made = F.transform(
-            starts,
-            lambda i: F.struct(
-                i.alias("pos"), F.lit(size).alias("size"), F.xxhash64(F.slice(w, i, F.lit(size))).alias("h")
-            ),
-        )
-        return F.when(F.size(w) >= size, made).otherwise(F.array().cast("array<struct<pos:int,size:int,h:bigint>>"))
+        length, step = _seed(size)
+
+        def around(i: Column) -> Column:
+            first = F.greatest(i - (step - 1), F.lit(1))
+            return F.struct(
+                F.lit(size).alias("size"),
+                F.xxhash64(F.slice(w, i, F.lit(length))).alias("seed"),
+                first.alias("first"),
+                F.slice(w, first, i + size - first).alias("near"),
+            )
+
+        made = F.transform(F.sequence(F.lit(1), F.size(w) - length + 1, F.lit(step)), around)
+        return F.when(F.size(w) >= size, made).otherwise(F.array().cast("array<struct<size:int,seed:bigint,first:int,near:array<string>>>"))
 
     all_of = [of(s) for s in sizes]
     return F.concat(*all_of) if len(all_of) > 1 else all_of[0]
 
 
+def _seeds_of(grams: DataFrame, sizes: list[int]) -> DataFrame:
+    """``size, seed``: the hashes of all runs of a seed's length in the windows."""
+    made = F.array().cast("array<bigint>")
+    for size in sizes:
+        length, step = _seed(size)
+        runs = F.array(*[F.xxhash64(F.slice("gram", i, length)) for i in range(1, step + 1)])
+        made = F.when(F.col("size") == size, runs).otherwise(made)
+    return grams.select("size", F.explode(made).alias("seed")).distinct()
+
+
 def benchmark_windows(benchmark: DataFrame, item_id: str = "item_id", text: str = "text", size: int = WINDOW):
     """Distinct windows ``size, h, gram`` with the ids of their items. An item with fewer words
     than a window is one window; an item without words has none; a null id marks words but is
@@ -83,15 +106,17 @@ def find_contamination(
         F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_hash"),
         gram_words(F.col(text)).alias("w"),
     )
-    windows = scanned.select(
-        "doc_id", "text_hash", "w", F.explode(_windows(F.col("w"), sizes)).alias("x")
-    ).select("doc_id", "text_hash", "w", F.size("w").alias("n_words"), "x.*")
-    own = F.slice("w", F.col("pos"), F.col("size"))
-    if small:
-        hits = windows.join(F.broadcast(grams), ["size", "h"]).where(own == F.col("gram"))
-    else:
-        carried = windows.select("doc_id", "text_hash", "n_words", "pos", "size", "h", own.alias("own"))
-        hits = carried.join(grams, ["size", "h"]).where(F.col("own") == F.col("gram"))
+    rows = scanned.select("doc_id", "text_hash", "w", F.size("w").alias("n_words"))
+    rows = rows.select("doc_id", "text_hash", "n_words", F.explode(_seeds(F.col("w"), sizes)).alias("x")).select("doc_id", "text_hash", "n_words", "x.*")
+    # few seeds are the benchmark's: only the windows around those are hashed
+    seeds = _seeds_of(grams, sizes)
+    near = rows.join(F.broadcast(seeds) if small else seeds, ["size", "seed"], "left_semi")
+    starts = F.when(F.size("near") >= F.col("size"), F.sequence(F.lit(0), F.size("near") - F.col("size"))).otherwise(F.array().cast("array<int>"))
+    at = near.select("doc_id", "text_hash", "n_words", "size", "first", "near", F.explode(starts).alias("at"))
+    own = F.slice("near", F.col("at") + 1, F.col("size"))
+    windows = at.select("doc_id", "text_hash", "n_words", "size", (F.col("first") + F.col("at")).alias("pos"), own.alias("own"))
+    windows = windows.withColumn("h", F.xxhash64("own"))
+    hits = windows.join(F.broadcast(grams) if small else grams, ["size", "h"]).where(F.col("own") == F.col("gram"))
     per_doc = hits.groupBy("doc_id", "text_hash").agg(
         F.sort_array(F.collect_set(F.struct("pos", "size"))).alias("spans"),
         F.sort_array(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),

@@ -1,5 +1,6 @@
 """Small fixtures with nulls, blanks, ties, repeated rows, empty tables and clashing column names."""
 import hashlib
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -45,6 +46,39 @@ def test_decontaminate(spark, docs):
     assert decontaminate.find_contamination(docs, bench.limit(0)).count() == 0
 
 
+def test_windows_of_all_sizes_match_brute_force(spark):
+    rnd = random.Random(11)
+    vocabulary = ["a", "b", "c", "d"]
+    texts = [" ".join(rnd.choice(vocabulary) for _ in range(rnd.randrange(0, 60))) for _ in range(40)]
+    items = [" ".join(rnd.choice(vocabulary) for _ in range(n)) for n in (4, 5, 6, 7, 9)]
+    items += [" ".join(texts[i].split()[rnd.randrange(0, 9) :][:n]) for i, n in enumerate(range(2, 30))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    want = {}
+    for d, text in enumerate(texts):
+        w = text.split()
+        for item in items:
+            x = item.split()
+            n = min(len(x), 13)
+            for k in range(len(x) - n + 1 if x else 0):
+                for i in range(len(w) - n + 1):
+                    if w[i : i + n] == x[k : k + n]:
+                        want.setdefault(d, set()).add((i + 1, n))
+    for limit in (1, 10**6):
+        rows = decontaminate.find_contamination(docs, bench, max_broadcast=limit).collect()
+        assert {r.doc_id: [tuple(s) for s in r.spans] for r in rows} == {d: sorted(s) for d, s in want.items()}
+
+
+def test_documents_are_cut_into_few_seeds(spark):
+    for size in range(1, 14):
+        made = spark.range(1).select(F.transform(F.sequence(F.lit(1), F.lit(130)), lambda i: i.cast("string")).alias("w"))
+        seeds = made.select(F.explode(decontaminate._seeds(F.col("w"), [size])).alias("x")).select("x.*").collect()
+        windows = [(s["first"] + k, s.near[k : k + size]) for s in seeds for k in range(len(s.near) - size + 1)]
+        assert sorted(p for p, _ in windows) == list(range(1, 130 - size + 2))
+        assert all(w == [str(p + i) for i in range(size)] for p, w in windows)
+        assert len(seeds) <= 130 // (size // 2 + 1) + 1
+
+
 def test_near_duplicates(docs):
     got = [(r.doc_id, r.class_id) for r in probminhash.near_duplicates(docs).collect()]
     assert sorted(got, key=str) == sorted([(1, 1), (2, 1), (3, 1), (3, 1), (4, 4), (5, 5), (6, 6), (7, 7), (8, 1), (9, 9), (None, 9)], key=str)
