@@ -14,6 +14,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docflow.operators import bloom
+
 from .common import stored
 from .textbytes import SKETCH_WORDS, most_different_bits
 
@@ -48,9 +50,13 @@ def components(links: DataFrame) -> DataFrame:
 
 def similar(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """Those of ``pairs(a, b)`` whose sets ``id, grams`` (distinct values) have a Jaccard similarity
-    of at least ``threshold``."""
-    one = sets.select(F.col("id").alias("a"), F.col("grams").alias("x"))
-    two = sets.select(F.col("id").alias("b"), F.col("grams").alias("y"))
+    of at least ``threshold``. Sets without a pair stay out of the shuffles; ``pairs`` is a stored table."""
+
+    def side(key: str, name: str) -> DataFrame:
+        rows = sets.select(F.col("id").alias(key), F.col("grams").alias(name))
+        return bloom.build(pairs, key).split(rows, key).where("_maybe").drop("_maybe")
+
+    one, two = side("a", "x"), side("b", "y")
     joined = pairs.join(one, "a").join(two, "b")
     common = F.size(F.array_intersect("x", "y"))
     return (
@@ -110,7 +116,7 @@ def link_buckets(
         .select(F.greatest("id_a", "id_b").alias("a"), F.least("id_a", "id_b").alias("b"))
         .join(first, ["a", "b"], "left_anti")
     )
-    more = stored(similar(rest, sets, threshold), "more")
+    more = stored(similar(stored(rest, "rest"), sets, threshold), "more")
     if more.isEmpty():
         return labels
     return components(found.union(more))

@@ -38,6 +38,8 @@ GROWTH = (3, 2)
 # Up to this many differences all subsets of partitions are enumerated: partitions by differences.
 PARTITIONS = {1: 3, 2: 4, 3: 5, 4: 6}
 HUBS = 8
+# A pair of members is left out at a code if both hold one of this many codes before it.
+EARLIER = 16
 SKETCH = 16
 
 
@@ -230,6 +232,29 @@ def _meetings(signed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return met, stored(members.join(members.groupBy("node").agg(F.count("*").alias("degree")), "node"), "ranked")
 
 
+def _with_earlier(rows: DataFrame) -> DataFrame:
+    """``rows(code, node, ...)`` with up to ``EARLIER`` codes of the node just below this one, as ``earlier``.
+    Two members that share one of these meet there, or at a lower one still, and need not meet at this one:
+    at the lowest code that two have in common they share none."""
+    below = Window.partitionBy("node").orderBy("code").rowsBetween(-EARLIER, -1)
+    return rows.withColumn("earlier", F.collect_list("code").over(below))
+
+
+def _meet(first: DataFrame, known: DataFrame, small: DataFrame, percent: int) -> DataFrame:
+    """``a, b`` of the members ``first`` and those of ``known`` (``code, node, degree, label``) that come after
+    them in a code, with different labels, and may be similar."""
+    columns = ["label", "degree", "earlier", "n", "sketch"]
+
+    def side(rows: DataFrame, key: str) -> DataFrame:
+        sized = _with_earlier(rows).join(small.withColumnRenamed("id", "node"), "node")
+        return sized.select("code", F.col("node").alias(key), *[F.col(c).alias(f"{c}_{key}") for c in columns])
+
+    # a pair meets from one side, the same in every code
+    after = F.struct("degree_b", "b") < F.struct("degree_a", "a")
+    differ = (F.col("label_a") != F.col("label_b")) & after & _may_be_similar(percent)
+    return side(known, "b").join(side(first, "a"), "code").where(differ & ~F.arrays_overlap("earlier_a", "earlier_b")).select("a", "b")
+
+
 def _link(met: DataFrame, members: DataFrame, items: DataFrame, source: DataFrame, percent: int) -> DataFrame:
     """``id, label`` of every node with a link."""
     tops = members.groupBy("code").agg(F.max_by("node", F.struct("degree", "node")).alias("top"))
@@ -246,7 +271,8 @@ def _link(met: DataFrame, members: DataFrame, items: DataFrame, source: DataFram
     likely = pairs.join(_sided(small, "a"), "a").join(_sided(small, "b"), "b").where(_may_be_similar(percent))
     links = verified(likely.select("a", "b"))
     labels = components(links)
-    compared, hubs, left = 0, HUBS, members
+    # the first member of each code has met all others above
+    compared, hubs, left = 1, HUBS, members
     while True:
         known = left.join(labels.withColumnRenamed("id", "node"), "node", "left").select("code", "node", "degree", F.coalesce("label", "node").alias("label"))
         state = known.groupBy("code").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("members"))
@@ -259,9 +285,7 @@ def _link(met: DataFrame, members: DataFrame, items: DataFrame, source: DataFram
         ranked = known.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= hubs)
         # the first `compared` members have met all others
         first = ranked.where(F.col("rank") > compared)
-        hub = first.select("code", F.col("node").alias("a"), F.col("label").alias("label_a")).join(_sided(small, "a"), "a")
-        other = known.select("code", F.col("node").alias("b"), F.col("label").alias("label_b")).join(_sided(small, "b"), "b")
-        near = other.join(hub, "code").where((F.col("label_a") != F.col("label_b")) & _may_be_similar(percent))
+        near = _meet(first, known, small, percent)
         more = verified(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
         if not more.isEmpty():
             links = stored(links.union(more), "links")

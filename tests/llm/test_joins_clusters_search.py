@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from docflow.llm import dimension_lloyd, fp_tree, partenum
+from docflow.llm import clusters, dimension_lloyd, fp_tree, partenum
 
 VOCABULARY = [f"w{i}" for i in range(400)]
 
@@ -62,6 +62,26 @@ def test_partenum_matches_brute_force(spark):
     assert partenum.jaccard_components(docs.limit(0)).count() == 0
 
 
+def test_members_of_many_codes_meet_once(spark):
+    rnd = random.Random(5)
+    held = {(rnd.randrange(-(2**60), 2**60), node) for node in range(6) for _ in range(3)}
+    held |= {(code, node) for code in (rnd.randrange(-(2**60), 2**60) for _ in range(partenum.EARLIER + 14)) for node in range(9) if rnd.random() < 0.8}
+    known = spark.createDataFrame([(c, n, n % 3, n % 4) for c, n in held], "code long, node long, degree long, label long")
+    first = known.where("node >= 4")
+    small = spark.createDataFrame([(n, 100, [7] * partenum.SKETCH) for n in range(9)], "id long, n long, sketch array<long>")
+    met = Counter((r.a, r.b) for r in partenum._meet(first, known, small, 80).collect())
+    want = {(a, b) for c, a in held if a >= 4 for d, b in held if c == d and a % 4 != b % 4 and (b % 3, b) < (a % 3, a)}
+    assert set(met) == want and set(met.values()) == {1}
+
+
+def test_sets_without_a_pair_are_not_shuffled(spark, tmp_dir):
+    spark.range(2000).select(F.col("id"), F.array("id", F.lit(-1)).alias("grams")).write.parquet(f"{tmp_dir}/sets")
+    pairs = spark.createDataFrame([(1, 2), (5, 9), (5, 5000)], "a long, b long")
+    found = clusters.similar(pairs, spark.read.parquet(f"{tmp_dir}/sets"), 0.3)
+    assert sorted(map(tuple, found.collect())) == [(1, 2), (5, 9)]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Join LeftOuter") == 2
+
+
 def test_similar_sets_always_share_a_signature():
     rnd = np.random.default_rng(7)
     for size in (5, 8, 11, 17, 40, 130):
