@@ -81,7 +81,8 @@ def link_buckets(
         .select("band", "code"),
         "shared",
     )
-    gathered = stored(rows.join(shared, ["band", "code"]).distinct(), "gathered")
+    maybe = bloom.build(shared, "band", "code").split(rows, "band", "code").where("_maybe").drop("_maybe")
+    gathered = stored(maybe.join(shared, ["band", "code"]).distinct(), "gathered")
     hubs = gathered.groupBy("band", "code").agg(
         F.array_distinct(F.array(*[F.min_by("id", F.xxhash64("id", F.lit(k))) for k in range(n_hubs)])).alias("hubs")
     )

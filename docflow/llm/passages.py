@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docflow.operators import bloom
+
 from .common import split_by_hash, stored
 from .textbytes import U, batches, distinct, mix, plain_words, prefix_sums, span_hashes
 
@@ -111,7 +113,8 @@ def repeated_windows(rows: DataFrame) -> DataFrame:
     kind = rows.schema["row_id"].dataType.simpleString()
     found = stored(_source(rows).mapInPandas(_anchors, "doc_id string, text_hash long, anchor long, n long"), "anchors")
     shared = stored(found.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor"), "shared_anchors")
-    wanted = stored(found.join(shared, "anchor").groupBy("doc_id", "text_hash").agg(F.collect_set("anchor").alias("shared")), "wanted")
+    maybe = bloom.build(shared, "anchor").split(found, "anchor").where("_maybe").drop("_maybe")
+    wanted = stored(maybe.join(shared, "anchor").groupBy("doc_id", "text_hash").agg(F.collect_set("anchor").alias("shared")), "wanted")
     own, _ = split_by_hash(_source(rows), "text_hash", wanted)
     named = wanted.select(F.col("doc_id").alias("own_id"), F.col("text_hash").alias("own_hash"), "shared")
     same = (F.col("text_hash") == F.col("own_hash")) & F.col("doc_id").eqNullSafe(F.col("own_id"))

@@ -82,6 +82,16 @@ def test_sets_without_a_pair_are_not_shuffled(spark, tmp_dir):
     assert found._jdf.queryExecution().optimizedPlan().toString().count("Join LeftOuter") == 2
 
 
+def test_codes_of_one_id_are_not_shuffled_again(spark, monkeypatch):
+    sets = spark.createDataFrame([(i, [i // 2, 70 + i // 2], [0] * 16) for i in range(8)], "id long, grams array<long>, sketch array<long>")
+    items = spark.createDataFrame([(i, [i // 4, 100 + i]) for i in range(8)], "id long, bands array<long>")
+    seen, stored = {}, clusters.stored
+    monkeypatch.setattr(clusters, "stored", lambda df, name: seen.setdefault(name, df) and stored(df, name))
+    labels = clusters.link_buckets(items, lambda ids: sets.join(ids, "id"), 0.8)
+    assert {tuple(r) for r in labels.collect()} == {(i, i // 2 * 2) for i in range(8)}
+    assert "Join LeftOuter" in seen["gathered"]._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_similar_sets_always_share_a_signature():
     rnd = np.random.default_rng(7)
     for size in (5, 8, 11, 17, 40, 130):
