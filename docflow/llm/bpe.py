@@ -20,10 +20,10 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import releasing, table
 
-CHARS_AT_ONCE = 2_000_000
-KEPT_WORDS = 300_000
+CHARS_AT_ONCE = 200_000
+KEPT_WORDS = 200_000
 
 
 def _byte_symbols() -> list[str]:
@@ -154,16 +154,7 @@ def default_vocabulary() -> str:
         return os.path.join("/opt/tokenizers", "word_bpe_49k.json")
 
 
-def encode_documents(
-    docs: DataFrame, vocabulary: str | None = None, doc_id: str = "doc_id", text: str = "text"
-) -> DataFrame:
-    """One row per input row: ``doc_id, ids`` (packed little-endian unsigned 32-bit integers) and
-    ``decoded``. A null text is an empty one and has no ids; repeated rows and null ids are
-    encoded like any other; other columns are ignored. A batch holds about
-    ``CHARS_AT_ONCE`` characters; a longer text is a batch of its own."""
-    path = vocabulary or default_vocabulary()
-    kind = docs.schema[doc_id].dataType.simpleString()
-
+def _encoder(path: str):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = bpe(path)
         for frame in frames:
@@ -184,10 +175,23 @@ def encode_documents(
                 )
                 done = end
 
+    return run
+
+
+def encode_documents(
+    docs: DataFrame, vocabulary: str | None = None, doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """One row per input row: ``doc_id, ids`` (packed little-endian unsigned 32-bit integers) and
+    ``decoded``. A null text is an empty one and has no ids; repeated rows and null ids are
+    encoded like any other; other columns are ignored. A batch holds about
+    ``CHARS_AT_ONCE`` characters; a longer text is a batch of its own."""
+    path = vocabulary or default_vocabulary()
+    kind = docs.schema[doc_id].dataType.simpleString()
+
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     if kind in ("bigint", "int"):  # pandas would turn ids with nulls into floating point
         rows = rows.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
-    out = rows.mapInPandas(run, f"doc_id {'string' if kind in ('bigint', 'int') else kind}, ids binary, decoded string")
+    out = rows.mapInPandas(releasing(_encoder(path)), f"doc_id {'string' if kind in ('bigint', 'int') else kind}, ids binary, decoded string")
     return out.withColumn("doc_id", F.col("doc_id").cast(kind))
 
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import ctypes
+from collections.abc import Callable, Iterator
 
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -98,6 +101,22 @@ def split_by_hash(rows: DataFrame, key: str, hashes: DataFrame) -> tuple[DataFra
     return rows.join(known, key, "left_semi"), rows.join(known, key, "left_anti")
 
 
+def releasing(run: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """``run`` for ``mapInPandas``. When a task ends, the memory that it has freed goes back to the
+    system: Python workers stay beside the executor for the tasks of other steps."""
+
+    def released(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        try:
+            yield from run(frames)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+            if trim:
+                trim(0)
+
+    return released
+
+
 def text_hash(text: str) -> Column:
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
 

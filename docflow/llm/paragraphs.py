@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .clusters import link_buckets
-from .common import split_by_hash, stored, table
+from .common import releasing, split_by_hash, stored, table
 from .passages import remove_passages
 from .textbytes import U, band_codes, batches, digest64, distinct, mix, plain_words, shingle_sets, shingles
 
@@ -92,7 +92,7 @@ def paragraph_signatures(docs: DataFrame, doc_id: str, text: str, rows: int, lea
     source = docs.select(
         F.col(doc_id).cast("string").alias("doc_id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_hash"), F.col(text).alias("text")
     )
-    out = source.mapInPandas(run, "doc_id string, text_hash long, place int, seq int, words long, node long, bands array<long>")
+    out = source.mapInPandas(releasing(run), "doc_id string, text_hash long, place int, seq int, words long, node long, bands array<long>")
     return out.withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
@@ -132,7 +132,7 @@ def repeated_paragraphs(
         lines = own.join(wanted, same).select(
             F.inline(F.transform("wanted", lambda x: F.struct(x["id"].alias("id"), F.get(F.split("text", "\n"), x["place"]).alias("text"))))
         )
-        return lines.mapInPandas(_sets, "id long, grams array<long>, sketch array<long>").dropDuplicates(["id"])
+        return lines.mapInPandas(releasing(_sets), "id long, grams array<long>, sketch array<long>").dropDuplicates(["id"])
 
     labels = link_buckets(nodes.select(F.col("node").alias("id"), "bands"), sets_of, threshold, HUBS)
     labelled = nodes.join(labels, nodes["node"] == labels["id"], "left").select("node", "spot", "n", F.coalesce("label", "node").alias("label"))

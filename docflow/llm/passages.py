@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from docflow.operators import bloom
 
-from .common import split_by_hash, stored
+from .common import releasing, split_by_hash, stored
 from .textbytes import U, batches, distinct, mix, plain_words, prefix_sums, span_hashes
 
 WINDOW = 50
@@ -111,7 +111,7 @@ def repeated_windows(rows: DataFrame) -> DataFrame:
     place of ``rows`` (``row_id, row_hash, text``) holds. Places come in the order of id, text hash and
     word; a window that overlaps the first place in its own text is no repetition of it."""
     kind = rows.schema["row_id"].dataType.simpleString()
-    found = stored(_source(rows).mapInPandas(_anchors, "doc_id string, text_hash long, anchor long, n long"), "anchors")
+    found = stored(_source(rows).mapInPandas(releasing(_anchors), "doc_id string, text_hash long, anchor long, n long"), "anchors")
     shared = stored(found.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor"), "shared_anchors")
     maybe = bloom.build(shared, "anchor").split(found, "anchor").where("_maybe").drop("_maybe")
     wanted = stored(maybe.join(shared, "anchor").groupBy("doc_id", "text_hash").agg(F.collect_set("anchor").alias("shared")), "wanted")
@@ -119,7 +119,7 @@ def repeated_windows(rows: DataFrame) -> DataFrame:
     named = wanted.select(F.col("doc_id").alias("own_id"), F.col("text_hash").alias("own_hash"), "shared")
     same = (F.col("text_hash") == F.col("own_hash")) & F.col("doc_id").eqNullSafe(F.col("own_id"))
     hashed = own.join(named, same).select("doc_id", "text_hash", "text", "shared").mapInPandas(
-        _hashed, "doc_id string, text_hash long, place int, window long"
+        releasing(_hashed), "doc_id string, text_hash long, place int, window long"
     )
     windows = stored(hashed.withColumn("doc_id", F.col("doc_id").cast(kind)), "windows")
     spot = F.struct(*SPOT)

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .clusters import link_buckets
-from .common import drop_rows, stored, table, with_ids
+from .common import drop_rows, releasing, stored, table, with_ids
 from .textbytes import U, band_codes, batches, digest64, distinct, mix, plain_words, shingle_sets, shingles
 
 REGISTERS = 144
@@ -97,7 +97,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     digest has 64 bits: among 10^10 different texts, three pairs are expected to be confused."""
     kind = docs.schema[doc_id].dataType.simpleString()
     rows = docs.select(F.col(doc_id).cast("string").alias("doc_id"), _hash(text).alias("text_hash"), F.col(text).alias("text"))
-    signed = rows.mapInPandas(_signed, "doc_id string, text_hash long, node long, bands array<long>").withColumn(
+    signed = rows.mapInPandas(releasing(_signed), "doc_id string, text_hash long, node long, bands array<long>").withColumn(
         "doc_id", F.col("doc_id").cast(kind)
     )
     items = stored(signed, "signatures")
@@ -112,7 +112,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         if not nameless.isEmpty():  # texts whose rows all have a null id
             texts = docs.where(F.col(doc_id).isNull()).select(_hash(text).alias("text_hash"), F.col(text).alias("text"))
             found = found.union(texts.dropDuplicates(["text_hash"]).join(nameless, "text_hash").select("id", "text"))
-        made = found.mapInPandas(_named_sets, "id long, node long, grams array<long>, sketch array<long>")
+        made = found.mapInPandas(releasing(_named_sets), "id long, node long, grams array<long>, sketch array<long>")
         return made.where("id = node").dropDuplicates(["id"]).select("id", "grams", "sketch")
 
     labels = link_buckets(

@@ -1,7 +1,9 @@
 import random
+import tracemalloc
 import unicodedata
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -64,3 +66,19 @@ def test_edge_rows(spark):
     assert got == [(False, 1, 0, ""), (False, 2, 0, ""), (False, 2, 8, "b</w> b</w>"), (False, 2, 8, "b</w> b</w>"),
                    (True, 0, 4, "a</w>")]
     assert bpe.encode_documents(docs.where(F.lit(False))).count() == 0
+
+
+def test_a_frame_of_new_words_needs_little_memory(spark):
+    rnd = random.Random(3)
+    texts = [" ".join("".join(rnd.choice("abcdefghij") for _ in range(7)) for _ in range(1250)) for _ in range(100)]
+    model = bpe.bpe(bpe.default_vocabulary())
+    model.known = {}
+    frame = pd.DataFrame({"doc_id": range(len(texts)), "text": texts})
+    tracemalloc.start()
+    try:
+        n = sum(len(f) for f in bpe._encoder(bpe.default_vocabulary())(iter([frame])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    known = sum(len(w) + 150 for w in model.known)
+    assert n == len(texts) and peak - known < 60e6
