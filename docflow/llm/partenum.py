@@ -17,6 +17,7 @@ eight of them, then with eight times as many, and so on.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -27,8 +28,8 @@ from pyspark.sql import functions as F
 from docflow.operators import bloom
 
 from .clusters import components, similar
-from .common import discard, stored, table, text_hash
-from .textbytes import U, batches, digest64, distinct, mix, shingles, sketches
+from .common import discard, releasing, stored, table, text_hash
+from .textbytes import U, batches, digest64, distinct, mix, parities, shingles, sketches
 
 PERCENT = 80
 WIDTH = 5
@@ -40,7 +41,13 @@ PARTITIONS = {1: 3, 2: 4, 3: 5, 4: 6}
 HUBS = 8
 # A pair of members is left out at a code if both hold one of this many codes before it.
 EARLIER = 16
-SKETCH = 16
+# 64-bit words of a sketch: bits of MinHash values, then parities of bins of shingles, which tell sets of up to
+# two thousand shingles apart more sharply.
+MINHASH = 16
+PARITY = 16
+SKETCH = MINHASH + PARITY
+# The codes meet in so many turns; the shuffle files of one are gone before the next makes its own.
+TURNS = 2
 
 
 def band_limits(largest: int) -> list[int]:
@@ -165,21 +172,28 @@ def _grams(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     "node": [digest64(hashes[cuts[i] : cuts[i + 1]].tobytes()) for i in range(b - a)],
                     "n": np.diff(cuts),
                     "grams": [hashes[cuts[i] : cuts[i + 1]].view(np.int64) for i in range(b - a)],
-                    "sketch": list(sketches(owner, hashes, b - a, SKETCH)),
+                    "sketch": list(np.hstack((sketches(owner, hashes, b - a, MINHASH), parities(owner, hashes, b - a, PARITY)))),
                 }
             )
 
 
 def _may_be_similar(percent: int) -> Column:
     """Sizes and sketches of both sides allow the threshold. A pair at the threshold differs in more
-    bits than this once in a billion."""
+    bits of MinHash values than this once in a billion, and never in more parities than in shingles."""
     share = (100 - percent) / 200
-    bits = 64 * SKETCH
+    bits = 64 * MINHASH
     most = int(bits * share + 6 * (bits * share * (1 - share)) ** 0.5)
-    differ = F.lit(0)
-    for k in range(SKETCH):
-        differ = differ + F.bit_count(F.get("sketch_a", F.lit(k)).bitwiseXOR(F.get("sketch_b", F.lit(k))))
-    return (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")) & (differ <= most)
+    sizes = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
+    odd = (100 + percent) * _different_bits(MINHASH, SKETCH) <= (100 - percent) * (F.col("n_a") + F.col("n_b"))
+    return sizes & odd & (_different_bits(0, MINHASH) <= most)
+
+
+def _different_bits(start: int, end: int) -> Column:
+    """Bits in which these words of two sketches differ."""
+    out = F.lit(0)
+    for k in range(start, end):
+        out = out + F.bit_count(F.get("sketch_a", F.lit(k)).bitwiseXOR(F.get("sketch_b", F.lit(k))))
+    return out
 
 
 def _sided(rows: DataFrame, side: str) -> DataFrame:
@@ -195,7 +209,7 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     ignored. Shingles and sets are known by 64-bit hashes."""
     kind = docs.schema[doc_id].dataType.simpleString()
     source = docs.select(F.col(doc_id).alias("doc_id"), text_hash(text).alias("text_hash"), F.col(text).alias("text"))
-    signed = stored(source.mapInPandas(_signer(percent), f"doc_id {kind}, text_hash long, n long, node long, codes array<long>"), "signed")
+    signed = stored(source.mapInPandas(releasing(_signer(percent)), f"doc_id {kind}, text_hash long, n long, node long, codes array<long>"), "signed")
     items = stored(signed.drop("codes"), "sets")
     met, members = _meetings(signed)
     discard(signed)
@@ -219,13 +233,17 @@ def _meetings(signed: DataFrame) -> tuple[DataFrame, DataFrame]:
     ``code, node, degree`` of all members of the others; the degree is the node's number of them."""
     rows = signed.where("node is not null").select("node", F.explode("codes").alias("code"))
     # a code of one node, of two, or of more: of two nodes all bits are in their OR and AND
-    met = (
-        rows.groupBy("code")
-        .agg(F.min("node").alias("a"), F.max("node").alias("b"), F.bit_or("node").alias("any"), F.bit_and("node").alias("all"))
-        .where(F.col("a") < F.col("b"))
-    )
     two = (F.col("any") == F.col("a").bitwiseOR(F.col("b"))) & (F.col("all") == F.col("a").bitwiseAND(F.col("b")))
-    met = stored(met.select("code", "a", "b", two.alias("two")), "met")
+    turns = []
+    for k in range(TURNS):
+        found = (
+            rows.where(F.pmod("code", F.lit(TURNS)) == k)
+            .groupBy("code")
+            .agg(F.min("node").alias("a"), F.max("node").alias("b"), F.bit_or("node").alias("any"), F.bit_and("node").alias("all"))
+            .where(F.col("a") < F.col("b"))
+        )
+        turns.append(stored(found.select("code", "a", "b", two.alias("two")), "met"))
+    met = reduce(DataFrame.union, turns)
     crowded = met.where("not two").select("code")
     maybe = bloom.build(crowded, "code").split(rows, "code").where("_maybe").select("node", "code")
     members = stored(maybe.join(crowded, "code").distinct(), "members")
@@ -300,7 +318,7 @@ def _sets_of(items: DataFrame, source: DataFrame, ids: DataFrame) -> DataFrame:
     wanted = stored(wanted, "wanted")
     own = bloom.build(wanted, "text_hash").split(source, "text_hash").where("_maybe").select("text_hash", "text")
     found = own.dropDuplicates(["text_hash"]).join(wanted, "text_hash").select("id", "text")
-    made = found.mapInPandas(_grams, "id long, node long, n long, grams array<long>, sketch array<long>")
+    made = found.mapInPandas(releasing(_grams), "id long, node long, n long, grams array<long>, sketch array<long>")
     return made.where("id = node").select("id", "n", "grams", "sketch")
 
 

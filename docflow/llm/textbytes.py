@@ -149,6 +149,15 @@ def sketches(owner: np.ndarray, hashes: np.ndarray, n: int, words: int = SKETCH_
     return out.view(np.int64)
 
 
+def parities(owner: np.ndarray, hashes: np.ndarray, n: int, words: int) -> np.ndarray:
+    """For each of ``n`` sets one bit for each of 64 * ``words`` bins of values: whether it holds an odd
+    number of them. Two sets differ in at least as many values as they do in bits."""
+    out = np.zeros(n * words, dtype=U)
+    place = mix(hashes ^ U(0x2545F4914F6CDD1D)) % U(64 * words)
+    np.bitwise_xor.at(out, owner.astype(np.int64) * words + (place >> U(6)).astype(np.int64), U(1) << (place & U(63)))
+    return out.reshape(n, words).view(np.int64)
+
+
 def most_different_bits(threshold: float, deviations: float = 3.3) -> int:
     """Differing bits that sets at the threshold exceed only beyond so many standard deviations."""
     bits = 64 * SKETCH_WORDS

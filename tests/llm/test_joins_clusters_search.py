@@ -74,6 +74,24 @@ def test_members_of_many_codes_meet_once(spark):
     assert set(met) == want and set(met.values()) == {1}
 
 
+def test_parities_leave_out_only_pairs_below_the_threshold(spark):
+    rnd = np.random.default_rng(7)
+    whole = rnd.integers(0, 2**63, 900, dtype=np.uint64)
+    # 300 values of each set, of which 250 or more are shared: J from 0.71
+    held = [np.concatenate((whole[:c], whole[300 + 30 * k : 600 + 30 * k - c])) for k, c in enumerate((280, 250, 268, 255, 300))]
+    sets = [np.sort(h) for h in held]
+    owner = np.repeat(np.arange(len(sets)), [len(h) for h in sets])
+    values = np.concatenate(sets)
+    sketch = np.hstack((partenum.sketches(owner, values, len(sets), partenum.MINHASH), partenum.parities(owner, values, len(sets), partenum.PARITY)))
+    rows = [(i, len(h), sketch[i].tolist()) for i, h in enumerate(sets)]
+    small = spark.createDataFrame(rows, "id long, n long, sketch array<long>")
+    pairs = partenum._sided(small, "a").crossJoin(partenum._sided(small, "b")).where("a < b")
+    kept = {(r.a, r.b) for r in pairs.where(partenum._may_be_similar(80)).collect()}
+    jaccard = {(a, b): len(set(sets[a]) & set(sets[b])) / len(set(sets[a]) | set(sets[b])) for a in range(len(sets)) for b in range(a + 1, len(sets))}
+    assert {p for p, j in jaccard.items() if j >= 0.8} <= kept
+    assert min(jaccard.values()) < 0.72 and kept <= {p for p, j in jaccard.items() if j >= 0.75}
+
+
 def test_sets_without_a_pair_are_not_shuffled(spark, tmp_dir):
     spark.range(2000).select(F.col("id"), F.array("id", F.lit(-1)).alias("grams")).write.parquet(f"{tmp_dir}/sets")
     pairs = spark.createDataFrame([(1, 2), (5, 9), (5, 5000)], "a long, b long")
