@@ -192,12 +192,19 @@ def _different_bits(start: int, end: int) -> Column:
     """Bits in which these words of two sketches differ."""
     out = F.lit(0)
     for k in range(start, end):
-        out = out + F.bit_count(F.get("sketch_a", F.lit(k)).bitwiseXOR(F.get("sketch_b", F.lit(k))))
+        out = out + F.bit_count(F.col(f"sketch_a.w{k}").bitwiseXOR(F.col(f"sketch_b.w{k}")))
     return out
 
 
+def _compared(rows: DataFrame) -> DataFrame:
+    """``rows`` with the ``sketch`` as a struct of words that are never null. Reading words of arrays makes
+    the code of a join longer than the JVM compiles (8,000 bytes), and every pair is then interpreted."""
+    words = [F.coalesce(F.get("sketch", F.lit(k)), F.lit(0)).alias(f"w{k}") for k in range(SKETCH)]
+    return rows.withColumn("sketch", F.struct(*words))
+
+
 def _sided(rows: DataFrame, side: str) -> DataFrame:
-    return rows.select(F.col("id").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("n", "sketch")])
+    return _compared(rows).select(F.col("id").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("n", "sketch")])
 
 
 def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -264,7 +271,7 @@ def _meet(first: DataFrame, known: DataFrame, small: DataFrame, percent: int) ->
     columns = ["label", "degree", "earlier", "n", "sketch"]
 
     def side(rows: DataFrame, key: str) -> DataFrame:
-        sized = _with_earlier(rows).join(small.withColumnRenamed("id", "node"), "node")
+        sized = _with_earlier(rows).join(_compared(small).withColumnRenamed("id", "node"), "node")
         return sized.select("code", F.col("node").alias(key), *[F.col(c).alias(f"{c}_{key}") for c in columns])
 
     # a pair meets from one side, the same in every code

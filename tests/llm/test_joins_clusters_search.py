@@ -92,6 +92,29 @@ def test_parities_leave_out_only_pairs_below_the_threshold(spark):
     assert min(jaccard.values()) < 0.72 and kept <= {p for p, j in jaccard.items() if j >= 0.75}
 
 
+def test_comparing_sketches_is_short_enough_to_be_compiled(spark, tmp_dir, capsys):
+    spark.createDataFrame([(c, n, n, n) for c in range(2) for n in range(9)], "code long, node long, degree long, label long").write.parquet(f"{tmp_dir}/known")
+    spark.createDataFrame([(n, 100, [7] * partenum.SKETCH) for n in range(9)], "id long, n long, sketch array<long>").write.parquet(f"{tmp_dir}/small")
+    known, small = spark.read.parquet(f"{tmp_dir}/known"), spark.read.parquet(f"{tmp_dir}/small")
+    pairs = known.select(F.col("node").alias("a"), F.col("label").alias("b"))
+    settings = ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        spark.conf.set(settings[0], "false")
+        for limit in ("-1", "10m"):
+            spark.conf.set(settings[1], limit)
+            partenum._meet(known.where("node > 3"), known, small, 80).explain("codegen")
+        spark.conf.set(settings[1], "-1")  # as with many pairs
+        sides = pairs.join(partenum._sided(small, "a"), "a").join(partenum._sided(small, "b"), "b")
+        sides.where(partenum._may_be_similar(80)).select("a", "b").explain("codegen")
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    # the JVM interprets longer methods
+    assert len(sizes) > 20 and max(sizes) <= 8000
+
+
 def test_sets_without_a_pair_are_not_shuffled(spark, tmp_dir):
     spark.range(2000).select(F.col("id"), F.array("id", F.lit(-1)).alias("grams")).write.parquet(f"{tmp_dir}/sets")
     pairs = spark.createDataFrame([(1, 2), (5, 9), (5, 5000)], "a long, b long")
