@@ -277,7 +277,9 @@ def _meet(first: DataFrame, known: DataFrame, small: DataFrame, percent: int) ->
     # a pair meets from one side, the same in every code
     after = F.struct("degree_b", "b") < F.struct("degree_a", "a")
     differ = (F.col("label_a") != F.col("label_b")) & after & _may_be_similar(percent)
-    return side(known, "b").join(side(first, "a"), "code").where(differ & ~F.arrays_overlap("earlier_a", "earlier_b")).select("a", "b")
+    met = side(known, "b").join(side(first, "a"), "code").where(differ & ~F.arrays_overlap("earlier_a", "earlier_b"))
+    # large codes are cut into pieces of both sides: few tasks take several, or the driver keeps account of thousands
+    return met.select("a", "b").coalesce(int(small.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def _link(met: DataFrame, members: DataFrame, items: DataFrame, source: DataFrame, percent: int) -> DataFrame:

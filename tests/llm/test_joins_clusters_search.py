@@ -115,6 +115,27 @@ def test_comparing_sketches_is_short_enough_to_be_compiled(spark, tmp_dir, capsy
     assert len(sizes) > 20 and max(sizes) <= 8000
 
 
+def test_pieces_of_a_large_code_are_taken_together(spark, tmp_dir):
+    spark.createDataFrame([(0, n, n, n) for n in range(400)], "code long, node long, degree long, label long").write.parquet(f"{tmp_dir}/known")
+    spark.createDataFrame([(n, 100, [n] * partenum.SKETCH) for n in range(400)], "id long, n long, sketch array<long>").write.parquet(f"{tmp_dir}/small")
+    known, small = spark.read.parquet(f"{tmp_dir}/known"), spark.read.parquet(f"{tmp_dir}/small")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        met = partenum._meet(known.where("node >= 200"), known, small, 80)
+        assert met.rdd.getNumPartitions() <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_sets_without_a_pair_are_not_shuffled(spark, tmp_dir):
     spark.range(2000).select(F.col("id"), F.array("id", F.lit(-1)).alias("grams")).write.parquet(f"{tmp_dir}/sets")
     pairs = spark.createDataFrame([(1, 2), (5, 9), (5, 5000)], "a long, b long")
