@@ -32,6 +32,7 @@ from docflow.operators import ledger as lg
 from docflow.operators import outputs as out
 from docflow.operators import pages as pg
 from docflow.operators import universe as uv
+from docflow.session import shuffles_go
 from docflow.sources import documents as dc
 from docflow.sources import fs
 from docflow.sources import index_files as ix
@@ -109,7 +110,8 @@ def _between(df: DataFrame, years: tuple[int, int] | None) -> DataFrame:
 def _write_run(df: DataFrame, path: str, run: str, *more: str) -> DataFrame:
     """Write ``df`` as the ``run`` partition of a table and return that partition as stored."""
     rows = df.withColumn("run", F.lit(run))
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run", *more).parquet(path)
+    with shuffles_go(df.sparkSession):
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run", *more).parquet(path)
     return df.sparkSession.read.schema(rows.schema).parquet(path).where(F.col("run") == run)
 
 

@@ -99,20 +99,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc._jsc.sc().getCheckpointDir().get()
 
 
+def cores(spark: SparkSession) -> int:
+    """Tasks that the session runs at a time."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - Spark Connect: no SparkContext
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 @contextmanager
-def session_conf(spark: SparkSession, settings: dict[str, str]):
-    """The session with ``settings`` in the block, and as it was after it."""
-    before = {k: spark.conf.get(k, None) for k in settings}
-    for k, v in settings.items():
-        spark.conf.set(k, v)
+def shuffles_go(spark: SparkSession):
+    """The shuffle files of what is written in the block go once it is written: nothing reads them again."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
     try:
         yield
     finally:
-        for k, v in before.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

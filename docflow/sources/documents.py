@@ -1,7 +1,7 @@
 """Document files (S6) and page extraction.
 
-Documents are read with the ``binaryFile`` source (one row per file: path, length, content).
-Two layouts are understood: the original ``<root>/<year>/<ack_id>.<ext>`` and the Hive layout
+Tasks list the folders and read the files (one row per file: path, length, content), so that the driver
+holds no listing. Two layouts are understood: the original ``<root>/<year>/<ack_id>.<ext>`` and the Hive layout
 ``<root>/year=<y>/ack_id=<id>/<file>`` that Spark's partitioned writer produces.
 
 Extraction is pluggable. The built-in text-layer format - UTF-8 text with a form feed after
@@ -13,6 +13,7 @@ a page it cannot read. The PDF/OCR codecs themselves are not part of this librar
 
 from __future__ import annotations
 
+import os
 import re
 import traceback
 from collections.abc import Callable, Sequence
@@ -23,65 +24,122 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docflow.operators.pages import first_hit_page, first_null_page, pages_from_form_feeds
-from docflow.session import session_conf
-from docflow.sources.fs import read_bytes
+from docflow.session import cores, scratch_path
+from docflow.sources.fs import filesystem, read_bytes, uri_prefix
 
 Extractor = Callable[[bytes], Sequence[str | None]]
 PAGESET_SCHEMA = "ack_id string, extractor int, pages array<string>, error string"
 
-LISTING_THRESHOLD = "spark.sql.sources.parallelPartitionDiscovery.threshold"
-
 # begins the error of a file that could not be read, as opposed to one that could not be decoded
 UNREAD = "unread: "
 
 
-# Spark counts a file as 4 MB at least, so a task gets some 32 small files, and starting it (four
-# Python workers, generated code) costs more than reading them. Tasks take this many such lots.
-LOTS_PER_TASK = 64
-
-
-def pack_files(df: DataFrame) -> DataFrame:
-    """A scan of many small files in fewer tasks: ``LOTS_PER_TASK`` of Spark's file lots each, but four tasks
-    a core at least. Rows stream through a task, so its memory does not depend on their number."""
-    try:
-        cores, lots = df.sparkSession.sparkContext.defaultParallelism, df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - Spark Connect: neither is known
-        return df
-    tasks = max(4 * cores, -(-lots // LOTS_PER_TASK))
-    return df.coalesce(tasks) if tasks < lots else df
+# Starting a task (four Python workers, generated code) costs more than reading a small file, so a task
+# reads this many. Rows stream through a task: its memory does not depend on their number.
+FILES_PER_TASK = 2048
+MAX_TASKS = 50_000  # beyond that tasks read more files
+LISTED_ROWS = 10_000  # rows of a listing that a task hands over at once
+READ_BYTES = 16 << 20  # file bytes that a task holds before it hands them over, one file at least
+LISTING = "path string, length long, modified long"
 
 
-def _folders(spark: SparkSession, root: str | list[str]) -> list[str]:
-    """What stands directly under ``root``, where only folders do; otherwise ``root`` itself."""
+def _listable(spark: SparkSession, root: str | list[str], glob: str) -> tuple[str, str] | None:
+    """The full URI of ``root`` and the pattern of file names, if tasks can list it: one folder, without
+    wildcards, on a file system that ``sources.fs`` knows."""
     if not isinstance(root, str) or re.search(r"[{}\[\]*?\\]", root):
-        return [root] if isinstance(root, str) else root
+        return None
     try:
-        at = spark._jvm.org.apache.hadoop.fs.Path(root)
-        found = at.getFileSystem(spark._jsc.hadoopConfiguration()).listStatusIterator(at)
-        out = []
-        while found.hasNext():
-            one = found.next()
-            name = one.getPath().getName()
-            if not one.isDirectory() or re.search(r"[{}\[\]*?\\]", name) or len(out) == 10_000:
-                return [root]
-            if not name.startswith(".") and not (name.startswith("_") and "=" not in name):
-                out.append(one.getPath().toString())
-    except Exception:  # noqa: BLE001 - no such folder (Spark's reader says so), or Spark Connect
-        return [root]
-    return out or [root]
+        hadoop = spark._jvm.org.apache.hadoop.fs
+        at = hadoop.Path(root)
+        fs_ = at.getFileSystem(spark._jsc.hadoopConfiguration())
+        if not fs_.getFileStatus(at).isDirectory():
+            return None
+        full = fs_.makeQualified(at).toString()
+        filesystem(full)
+        return full, hadoop.GlobPattern(glob).compiled().pattern()
+    except Exception:  # noqa: BLE001 - no such folder or file system (Spark's reader says so), or Spark Connect
+        return None
+
+
+def _hidden(name: str) -> bool:
+    """Names that Spark's file sources pass over."""
+    return name.startswith(".") or (name.startswith("_") and "=" not in name) or name.endswith("._COPYING_")
+
+
+def _entries(fs_, folder: str):
+    """(name, is a folder, length, modified in microseconds) of what stands in ``folder``; in a local one
+    entries come one by one, however many there are. A folder that is gone is empty."""
+    from pyarrow import fs as pafs
+
+    if isinstance(fs_, pafs.LocalFileSystem):
+        try:
+            with os.scandir(folder) as found:
+                for e in found:
+                    if e.is_dir():
+                        yield e.name, True, 0, 0
+                    elif e.is_file():
+                        st = e.stat()
+                        yield e.name, False, st.st_size, st.st_mtime_ns // 1000
+        except FileNotFoundError:
+            return
+    else:
+        for e in fs_.get_file_info(pafs.FileSelector(folder, allow_not_found=True)):
+            if e.type == pafs.FileType.Directory:
+                yield e.base_name, True, 0, 0
+            elif e.type == pafs.FileType.File:
+                yield e.base_name, False, e.size or 0, (e.mtime_ns or 0) // 1000
+
+
+def list_files(spark: SparkSession, root: str | list[str], glob: str = "*") -> DataFrame:
+    """(path, length, modified) of the files under ``root`` that Spark's file sources would read: names that
+    match ``glob``, no hidden and no empty ones. Tasks list the folders, level by level, and write what they
+    find to the shared folder; the driver holds neither files nor folders, whatever their number, and
+    the listing stays the same however often it is read. Lists of paths, wildcards and file systems that only
+    Spark's readers open are listed by Spark, which takes memory of the driver for each file."""
+    found = _listable(spark, root, glob)
+    if found is None:
+        reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
+        return reader.load(root).select("path", "length", F.unix_micros("modificationTime").alias("modified"))
+    full, pattern = found
+    prefix = "file:" if full.startswith("file:") else uri_prefix(full)
+    where = scratch_path(spark, "listing")
+
+    def run(batches):
+        wanted = re.compile(pattern, re.DOTALL)
+        fs_, _ = filesystem(full)
+        for pdf in batches:
+            rows = []
+            for folder in pdf["path"]:
+                base = filesystem(folder)[1].rstrip("/")
+                for name, is_folder, length, modified in _entries(fs_, base or "/"):
+                    if not _hidden(name) and (is_folder or (length > 0 and wanted.fullmatch(name))):
+                        rows.append((f"{prefix}{base}/{name}", length, modified, is_folder))
+                    if len(rows) == LISTED_ROWS:
+                        yield pd.DataFrame(rows, columns=["path", "length", "modified", "folder"])
+                        rows = []
+            yield pd.DataFrame(rows, columns=["path", "length", "modified", "folder"]).astype(
+                {"path": "object", "length": "int64", "modified": "int64", "folder": "bool"})
+
+    folders, n, level = spark.createDataFrame([(full,)], "path string"), 1, 0
+    while n:
+        tasks = min(n, 4 * cores(spark))
+        listed = folders.repartition(tasks, F.xxhash64("path")) if level else folders.coalesce(1)
+        listed.mapInPandas(run, f"{LISTING}, folder boolean").write.partitionBy("folder").parquet(f"{where}/level={level}")
+        at = spark.read.schema(f"{LISTING}, folder boolean, level int").parquet(where)
+        folders = at.where(f"folder and level = {level}").select("path")
+        n, level = folders.count(), level + 1
+    return at.where("not folder").select("path", "length", "modified")
 
 
 def scan_documents(spark: SparkSession, root: str | list[str], glob: str = "*", with_content: bool = True) -> DataFrame:
-    """(ack_id, year, path, length[, content]) for every document file under ``root``.
-    Without ``with_content`` only the listing is read (the binary column is pruned). The folders under
-    ``root`` are listed by tasks, not one after another by the driver."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
-    with session_conf(spark, {LISTING_THRESHOLD: "1"}):  # folders beyond this number are listed by tasks
-        df = pack_files(reader.load(_folders(spark, root)))
-    cols = [F.col("path"), F.col("length")]
-    if with_content:
-        cols.append(F.col("content"))
-    return df.select(*document_keys(), *cols)
+    """(ack_id, year, path, length[, content]) for every document file under ``root``. Without
+    ``with_content`` only the listing is read. The listing is dealt out by path, ``FILES_PER_TASK`` files a task (four
+    tasks a core at least), and each task reads its own files; a file that is gone or cannot be read fails the job."""
+    files = list_files(spark, root, glob).select("path", "length")
+    n = files.count()
+    tasks = min(max(4 * cores(spark), min(MAX_TASKS, -(-n // FILES_PER_TASK))), max(n, 1))
+    df = files.repartition(tasks, F.xxhash64("path")).select(*document_keys(), "path", "length")
+    return read_content(df, errors=None) if with_content else df
 
 
 def document_keys(path: str = "path") -> list[Column]:
@@ -124,25 +182,33 @@ def extract_pages_native(docs: DataFrame, extractor_id: int = 1, content: str =
     )
 
 
-def read_content(docs: DataFrame, path: str = "path") -> DataFrame:
-    """Adds ``content`` (the bytes of the file at ``path``) and ``read_error`` (null, or why it could
-    not be read). Files are read in the tasks of ``docs``, so bytes are never shuffled."""
-    schema = T.StructType(list(docs.schema.fields) + [T.StructField("content", T.BinaryType()),
-                                                       T.StructField("read_error", T.StringType())])
+def read_content(docs: DataFrame, path: str = "path", errors: str | None = "read_error") -> DataFrame:
+    """Adds ``content`` (the bytes of the file at ``path``) and the column ``errors`` (null, or why it could
+    not be read); without such a column a file that cannot be read raises. Files are read in the tasks of
+    ``docs``, so bytes are never shuffled, and handed over ``READ_BYTES`` at a time."""
+    fields = [*docs.schema.fields, T.StructField("content", T.BinaryType())]
+    if errors:
+        fields.append(T.StructField(errors, T.StringType()))
 
     def run(batches):
         for pdf in batches:
-            blobs, errors = [], []
-            for p in pdf[path]:
+            begin, held, blobs, why = 0, 0, [], []
+            for i, p in enumerate(pdf[path], 1):
                 try:
                     blobs.append(read_bytes(p))
-                    errors.append(None)
+                    why.append(None)
+                    held += len(blobs[-1])
                 except OSError as e:
+                    if not errors:
+                        raise
                     blobs.append(None)
-                    errors.append(f"{UNREAD}{e}")
-            yield pdf.assign(content=blobs, read_error=errors)
+                    why.append(f"{UNREAD}{e}")
+                if held >= READ_BYTES or i == len(pdf):
+                    more = {"content": blobs, **({errors: why} if errors else {})}
+                    yield pdf.iloc[begin:i].assign(**more)
+                    begin, held, blobs, why = i, 0, [], []
 
-    return docs.mapInPandas(run, schema)
+    return docs.mapInPandas(run, T.StructType(fields))
 
 
 def _decode(extractor: Extractor, blob) -> tuple[list | None, str | None]:
@@ -273,8 +339,6 @@ def write_document_files(pagesets: DataFrame, root: str, key: str = "ack_id", ye
     year-foldered archive; used to build test inputs from tables. The file body is built
     JVM-side and executors write the files themselves - no per-file output commit - so a retried
     task rewrites the same paths."""
-    from docflow.sources.fs import filesystem
-
     p = F.col(pages)
     body = F.when(F.size(p) > 0, F.concat(F.array_join(F.transform(p, lambda x: F.coalesce(x, F.lit(""))), "\f"),
                                           F.lit("\f"))).otherwise(F.lit(""))

@@ -24,7 +24,7 @@ from docflow.operators import ledger as lg
 from docflow.plans import jobs
 from docflow.sources import documents as dc
 from docflow.streaming import compaction as cp
-from docflow.streaming.jobs import DOC_FILE_SCHEMA, DOCS_PER_CORE, LEDGER_SCHEMA, small_files
+from docflow.streaming.jobs import DOCS_PER_CORE, LEDGER_SCHEMA, arrivals
 
 MESSAGE_ROWS = "ack_id string, year int, ts timestamp, seq long, message string, overwrite_ boolean"
 
@@ -50,19 +50,14 @@ def stream_process(spark: SparkSession, doc_root: str, ledger_path: str, out: st
     """Drain the files that arrived under ``doc_root`` since the last call in batches of
     ``batch_files`` (all of them by default). ``name`` tells this stream's runs from others and belongs
     to the checkpoint; ``options`` go to ``process_files``. Returns the finished query."""
-    reader = spark.readStream.format("binaryFile").schema(DOC_FILE_SCHEMA).option("recursiveFileLookup", "true")
-    if batch_files:
-        reader = reader.option("maxFilesPerTrigger", batch_files)
-
     def sink(batch: DataFrame, batch_id: int):
         process_files(batch, f"{name}-{batch_id}", ledger_path, out, **options)
 
-    with small_files(spark):
-        q = (
-            reader.load(doc_root).select("path").writeStream.foreachBatch(sink)
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-        )
-        q.awaitTermination()
+    q = (
+        arrivals(spark, doc_root, checkpoint, batch_files).writeStream.foreachBatch(sink)
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
+    q.awaitTermination()
     return q
 
 

@@ -10,6 +10,7 @@ from docflow.operators import ledger as lg
 from docflow.plans import jobs
 from docflow.sources import documents as dc
 from docflow.streaming import compaction as cp
+from docflow.streaming import jobs as sj
 from docflow.streaming import worker as wk
 
 T0 = dt.datetime(2025, 1, 1)
@@ -90,3 +91,60 @@ def test_streamed_bodies(spark, tmp_dir):
     assert wk.compact_messages(spark, log, snaps) == 3
     assert cp.vacuum(spark, log, snaps) > 0
     assert bodies() == batch() == {"a": "second\nthird\n", "b": "new\n"}
+
+
+def _log(ckpt):
+    """Entries of the log of files that the stream's source keeps in the driver's memory."""
+    at = os.path.join(ckpt, "sources", "0")
+    return [x for f in os.listdir(at) if not f.startswith(".") for x in open(os.path.join(at, f)).read().splitlines()[1:]]
+
+
+def test_the_source_holds_few_files(spark, tmp_dir):
+    """A backlog of documents is a few files of paths to the source, in one micro-batch or in many; files that come later are
+    added, and none is taken twice."""
+    n, cores = 400, spark.sparkContext.defaultParallelism
+    p = {k: os.path.join(tmp_dir, k) for k in ("docs", "ledger", "out", "ckpt", "o2", "c2")}
+    _docs(spark, p["docs"], {str(i): ["the plan description"] for i in range(n)})
+    open(os.path.join(p["docs"], "2001", "empty.txt"), "w").close()
+    todo = spark.range(n + 1).select(F.col("id").cast("string").alias("ack_id"), F.lit(2001).alias("year"), F.lit(C.TO_PROCESS).alias("status"),
+                                     F.lit(T0).cast("timestamp").alias("ts"), F.lit(0).cast("long").alias("seq"),
+                                     F.lit(None).cast("string").alias("message"), F.lit(False).alias("overwrite_"))
+    jobs.append_transitions(todo, p["ledger"], "seed")
+    opts = {"terms": TERMS, "ts": T0 + dt.timedelta(hours=1)}
+    q = wk.stream_process(spark, p["docs"], p["ledger"], p["out"], p["ckpt"], "w", **opts)
+    assert len({b["batchId"] for b in q.recentProgress if b["numInputRows"]}) == 1
+    assert 0 < len(_log(p["ckpt"])) <= 4 * cores and spark.read.parquet(p["out"]).count() == n
+    _docs(spark, p["docs"], {str(n): ["the plan description"]})
+    wk.stream_process(spark, p["docs"], p["ledger"], p["out"], p["ckpt"], "w", **opts)
+    assert spark.read.parquet(p["out"]).count() == n + 1
+    assert lg.latest_status(jobs.read_ledger(spark, p["ledger"])).where("status = 'processed'").count() == n + 1
+    wk.stream_process(spark, p["docs"], p["ledger"], p["out"], p["ckpt"], "w", **opts)
+    assert spark.read.parquet(p["out"]).count() == n + 1
+    wk.stream_process(spark, p["docs"], p["ledger"], p["o2"], p["c2"], "v", batch_files=100, **opts)
+    assert len(_log(p["c2"])) == 5  # 401 paths
+
+
+def test_an_earlier_checkpoint_goes_on(spark, tmp_dir):
+    """A checkpoint whose source read the document files themselves: what it has done is not done again."""
+    root, ckpt = os.path.join(tmp_dir, "docs"), os.path.join(tmp_dir, "ckpt")
+    _docs(spark, root, {"a b+c": ["x"], "d": ["x"]})
+    old = (spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary")
+           .option("recursiveFileLookup", "true").load(root).select("path").writeStream.foreachBatch(lambda b, i: b.count())
+           .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    old.awaitTermination()
+    _docs(spark, root, {"e": ["x"], "f g": ["x"]})
+    out = os.path.join(tmp_dir, "out")
+    for _ in range(2):
+        sj.stream_documents(spark, root, out, ckpt, terms=TERMS)
+        assert sorted(r.ack_id for r in spark.read.parquet(out).collect()) == ["e", "f g"]
+
+
+def test_batches_are_oldest_first(spark, tmp_dir):
+    root, out = os.path.join(tmp_dir, "docs"), os.path.join(tmp_dir, "out")
+    names = ["c", "a", "e", "b", "d"]
+    _docs(spark, root, {k: ["x"] for k in names})
+    for at, k in enumerate(names):
+        os.utime(os.path.join(root, "2001", f"{k}.txt"), (10_000 + at, 10_000 + at))
+    sj.stream_documents(spark, root, out, os.path.join(tmp_dir, "ckpt"), terms=TERMS, batch_files=2)
+    got = {r.ack_id: r.batch_id for r in spark.read.parquet(out).collect()}
+    assert got == {"c": 0, "a": 0, "e": 1, "b": 1, "d": 2}
