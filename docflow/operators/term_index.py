@@ -1,7 +1,13 @@
-"""J7 for term tables of any size: an inverted index of q-grams.
+"""J7 for term tables of any size: a scan that looks every place of a page up in the terms, or an inverted
+index of q-grams.
 
 A page contains a term when its folded text contains the folded term (deleting characters keeps
-containment, so the folded check covers the plain one). Pages are cut into blocks of q characters, end to
+containment, so the folded check covers the plain one).
+
+Terms of at most ``SCANNED_BYTES`` in all go to every task (``term_scan``): pages are read once, and what a page costs
+depends on its length, not on the terms that it nearly holds.
+
+More terms than that are joined by an index. Pages are cut into blocks of q characters, end to
 end. A term of 2q - 1 characters or more covers a whole block wherever it stands, and that block is one of
 any q grams in a row of the term; the term is filed under the q grams in a row that are rarest on the
 pages. Pages and postings meet in an equi-join of blocks. A block brings the text around it, as far as a
@@ -12,11 +18,14 @@ longer than ``PROBE`` go on to the whole page, those of which ``PROBE`` characte
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docflow.functions import text as tx
 from docflow.operators import bloom
+from docflow.operators.term_scan import END, TermScan
 from docflow.session import scratch_path
 
 # Block sizes: a term uses the largest that it covers at every place.
@@ -24,6 +33,9 @@ SIZES = (1, 2, 3, 4, 6, 8)
 # Rarity is estimated on every 16th page, by a hash of its text. It decides which grams a term is filed
 # under, never a result.
 RARITY_SHARE = 16
+# Folded terms that tasks hold, with TERM_BYTES for each term: over a million terms of 16 characters.
+SCANNED_BYTES = 48 << 20
+TERM_BYTES = 24
 # Characters of a term that are looked for around a block; a longer term is met by this much of it.
 PROBE = 40
 
@@ -97,17 +109,37 @@ def file_terms(terms: DataFrame, sample: DataFrame, sizes: list[int]) -> DataFra
     return chosen.select("folded_term", probe.alias("probe"), F.explode(F.array_distinct(F.transform(F.slice("grams", F.col("j"), F.col("size")), lambda g: g["gram"]))).alias("gram"))
 
 
+def scan_pages(texts: DataFrame, terms: DataFrame) -> DataFrame:
+    """``_h1, _h2`` of the rows of ``texts`` (``_h1, _h2, _fold``) whose folded text holds a term."""
+    scan = TermScan([t.encode() for t in terms.select("folded_term").toArrow().column(0).to_pylist()])
+
+    def run(batches):
+        for batch in batches:
+            if not len(batch):
+                continue
+            fold = batch.column("_fold").cast(pa.large_binary())
+            at = np.frombuffer(fold.buffers()[1], np.int64, len(fold) + 1, fold.offset * 8)
+            data = np.frombuffer(fold.buffers()[2], np.uint8) if at[-1] else np.zeros(0, np.uint8)
+            hit = scan.matches(data[at[0]:at[-1]], at[1:] - at[0])
+            yield batch.select(["_h1", "_h2"]).filter(pa.array(hit))
+
+    ended = texts.select("_h1", "_h2", F.concat("_fold", F.lit(chr(END))).alias("_fold"))
+    return ended.mapInArrow(run, "_h1 long, _h2 long")
+
+
 def pages_with_terms(rows: DataFrame, terms: DataFrame, text: str = "text", term: str = "term") -> DataFrame:
     """The rows whose text contains any term of the table, each as often as it occurs.
 
     Null terms match nothing; a term without letters, digits, parentheses or blanks matches every text
-    that is not null. Null texts match nothing. One plan at every number of terms: what is
-    broadcast is a filter of bounded size, and Spark chooses the joins by measured sizes. Postings and
-    the pages that hold a term are written to the shared folder."""
+    that is not null. Null texts match nothing. Terms are measured before they are collected; beyond
+    ``SCANNED_BYTES`` what is broadcast is a filter of bounded size, and Spark chooses the joins by measured sizes.
+    The keys of the pages that hold a term are written to the shared folder, and postings if there are any."""
     spark = rows.sparkSession
     distinct = terms.select(folded(F.col(term)).alias("folded_term")).where("folded_term is not null").distinct()
-    # one row: the block sizes in use and the length of the longest term
-    of = distinct.agg(F.collect_set(block_size(F.length("folded_term"))).alias("s"), F.max(F.length("folded_term")).alias("n")).first()
+    # one row: the block sizes in use, the length of the longest term, and what all of them take
+    length = F.length("folded_term")
+    of = distinct.agg(F.collect_set(block_size(length)).alias("s"), F.max(length).alias("n"),
+                      F.coalesce(F.sum(length + TERM_BYTES), F.lit(0)).alias("bytes")).first()
     sizes, longest = sorted(of["s"]), of["n"]
     if 0 in sizes:
         return rows.where(F.col(text).isNotNull())
@@ -117,6 +149,14 @@ def pages_with_terms(rows: DataFrame, terms: DataFrame, text: str = "text", term
     raw = F.col(f"`{text}`")
     key = [F.xxhash64(raw).alias("_h1"), F.xxhash64(raw, F.lit(1)).alias("_h2")]
     full = rows.select(raw.alias("_text"), *key).where("_text is not null")
+    if of["bytes"] <= SCANNED_BYTES:
+        where = scratch_path(spark, "met")
+        found = scan_pages(full.select("_h1", "_h2", folded(F.col("_text")).alias("_fold")), distinct)
+        found.select(F.col("_h1").alias("_g1"), F.col("_h2").alias("_g2")).distinct().write.parquet(where)
+        met = spark.read.schema("_g1 long, _g2 long").parquet(where)
+        hit = rows.select(row.alias("_row"), raw.alias("_text"), *key).where("_text is not null").join(
+            met, (F.col("_h1") == F.col("_g1")) & (F.col("_h2") == F.col("_g2")), "left_semi")
+        return hit.select(*[F.col("_row")[c].alias(c) for c in rows.columns])
     sample = full.where(F.pmod("_h1", F.lit(RARITY_SHARE)) == 0).select(folded(F.col("_text")).alias("_fold"))
     where = scratch_path(spark, "postings")
     file_terms(distinct, sample, sizes).write.parquet(where)

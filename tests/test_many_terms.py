@@ -1,5 +1,6 @@
 """Term tables of many sizes (J7): one plan, equal to a scan of every term, with null, short and empty terms."""
 
+import os
 import random
 import re
 
@@ -71,3 +72,45 @@ def test_only_pages_with_a_term_are_written(spark, monkeypatch, tmp_dir):
     terms = [f"cdefgxyz{n}" for n in range(30)] + [f"zzabcdef{n}" for n in range(30)] + ["hijklmno", "klmnop ab"]
     assert pg.terms_table_join(pages, pg.terms_table(spark, terms), max_inline=0).count() == 50
     assert spark.read.parquet(f"{tmp_dir}/met").count() == 50
+
+
+@pytest.mark.parametrize("scanned", [0, term_index.SCANNED_BYTES])
+def test_index_and_scan_agree_with_a_search(spark, monkeypatch, scanned):
+    """Terms beyond what tasks hold go through the index; either way the rows are those of a plain search."""
+    monkeypatch.setattr(term_index, "SCANNED_BYTES", scanned)
+    rnd = random.Random(11)
+    texts = ["".join(rnd.choices("abcde (-\n", k=rnd.randrange(0, 90))) for _ in range(120)] + [None, "", "eee"]
+    pages = spark.createDataFrame(list(enumerate(texts)) + [(0, texts[0])], "id int, text string")
+    cut = [t[at:at + n] for t in texts[:40] for n in (1, 7, 8, 9, 16, 17, 50) for at in (rnd.randrange(len(t) + 1),)]
+    terms = [t for t in cut if len(fold(t)) > 5] + ["eee"] + ["e" * 9 + t for t in cut if fold(t)] + [None]
+    got = sorted(r.id for r in pg.terms_table_join(pages, spark.createDataFrame([(t,) for t in terms], "term string"), max_inline=0).collect())
+    want = sorted(i for i, t in [*enumerate(texts), (0, texts[0])] if t is not None and any(fold(x) in fold(t) for x in terms if x is not None))
+    assert got == want and 0 < len(got) < len(texts)
+
+
+def test_pages_are_read_without_a_row_for_each_block(spark, monkeypatch, tmp_dir):
+    """Short terms: no postings to join with every character of every page, which is what the index has."""
+    monkeypatch.setattr(term_index, "scratch_path", lambda _, name: f"{tmp_dir}/{name}")
+    pages = spark.range(50).select("id", F.concat(F.lit("the quick brown fox "), "id").alias("text"))
+    terms = spark.range(300).select(F.concat(F.lit("z"), F.conv(F.col("id").cast("string"), 10, 36)).alias("term"))
+    terms = terms.union(spark.createDataFrame([("x 7",)], "term string"))
+    assert sorted(r.id for r in pg.terms_table_join(pages, terms).collect()) == [7]
+    assert os.listdir(tmp_dir) == ["met"]
+
+
+@pytest.mark.parametrize("chunk", [8, 16, 1 << 16])
+def test_scan_across_chunks_and_texts(monkeypatch, chunk):
+    import numpy as np
+
+    from docflow.operators import term_scan
+
+    monkeypatch.setattr(term_scan, "CHUNK", chunk)
+    rnd = random.Random(chunk)
+    for letters in ("ab ", "abcdefgh "):
+        texts = ["".join(rnd.choices(letters, k=rnd.randrange(0, 80))) for _ in range(60)]
+        terms = {t[at:at + n] for t in texts[::3] for n in (2, 5, 8, 11, 24, 25) for at in (rnd.randrange(len(t) + 1),)}
+        terms = sorted({(t[:-1] + rnd.choice(letters)) for t in terms if len(t) > 4} | {"abababab" * 4})
+        data = [t.encode() + b"\n" for t in texts]
+        scan = term_scan.TermScan([t.encode() for t in terms])
+        got = scan.matches(np.frombuffer(b"".join(data), np.uint8), np.cumsum([len(t) for t in data]))
+        assert list(got) == [any(x in t for x in terms) for t in texts]
