@@ -111,3 +111,14 @@ def test_backlog_needs_few_batches(spark, tmp_dir):
     assert spark.conf.get("spark.sql.files.openCostInBytes") == before
     routed = sj.read_routed(spark, f"{tmp_dir}/out")
     assert routed.count() == n and len(routed.inputFiles()) <= 4 * cores
+
+
+def test_documents_in_batches_leave_few_files_in_the_log(spark, tmp_dir):
+    """The source's log, which the driver holds, has an entry for a batch, not one for each document."""
+    root = _docs(spark, os.path.join(tmp_dir, "docs"), 30)
+    ck = os.path.join(tmp_dir, "ck")
+    q = sj.stream_documents(spark, root, os.path.join(tmp_dir, "out"), ck, terms=["plan description"], batch_files=10)
+    assert [p["numInputRows"] for p in q.recentProgress if p["numInputRows"]] == [10, 10, 10]
+    log = os.path.join(ck, "sources", "0")
+    assert sum(len(open(os.path.join(log, f)).read().splitlines()) - 1 for f in os.listdir(log) if not f.startswith(".")) == 3
+    assert sj.read_routed(spark, os.path.join(tmp_dir, "out")).select("ack_id").distinct().count() == 30
