@@ -122,3 +122,13 @@ def test_documents_in_batches_leave_few_files_in_the_log(spark, tmp_dir):
     log = os.path.join(ck, "sources", "0")
     assert sum(len(open(os.path.join(log, f)).read().splitlines()) - 1 for f in os.listdir(log) if not f.startswith(".")) == 3
     assert sj.read_routed(spark, os.path.join(tmp_dir, "out")).select("ack_id").distinct().count() == 30
+
+
+def test_an_outcome_of_a_batch_is_one_file(spark, tmp_dir):
+    """Readers of the output list its files on the driver: a small batch leaves one for each outcome, however many tasks it had."""
+    root = _docs(spark, os.path.join(tmp_dir, "docs"), 60)
+    out = os.path.join(tmp_dir, "out")
+    sj.stream_documents(spark, root, out, os.path.join(tmp_dir, "ck"), terms=["plan description"], batch_files=30)
+    routed = sj.read_routed(spark, out)
+    assert routed.count() == 60
+    assert len(routed.inputFiles()) == routed.select("status", "batch_id").distinct().count()
