@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from docflow.operators import pages as pg
@@ -212,3 +213,26 @@ def test_hidden_and_loose_files(spark, tmp_dir):
     assert listed() == [("7", 2002), ("a", 2001)]
     open(os.path.join(tmp_dir, "r", "loose.txt"), "w").write("t")  # beside folders: the root is read as it is
     assert [k for k, _ in listed()] == ["7", "a", "loose"]
+
+
+def test_listing_is_a_table_made_by_tasks(spark, tmp_dir):
+    """The driver holds no file of the archive; what is listed is what Spark's reader lists, in any layout."""
+    root = os.path.join(tmp_dir, "r")
+    names = ["2001/a.txt", "2001/b c%20+.txt", "2001/.hid.txt", "2001/_tmp", "2001/_k=1", "2001/none.txt", "2001/x.pdf", "2001/deep/er/y.txt",
+             "_t/z.txt", "_metadata", "loose.txt", "2002/é.txt", "2002/w._COPYING_", *[f"year=2003/ack_id={i}/d.txt" for i in range(50)]]
+    for rel in names:
+        os.makedirs(os.path.join(root, os.path.dirname(rel)), exist_ok=True)
+        with open(os.path.join(root, rel), "w") as fh:
+            fh.write("" if "none" in rel else rel)
+    for glob in ("*", "*.txt", "*.{txt,pdf}", "[a-c]*"):
+        plain = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(root)
+        docs = dc.scan_documents(spark, root, glob)
+        want = sorted((r.path, r.length, bytes(r.content)) for r in plain.collect())
+        assert sorted((r.path, r.length, bytes(r.content)) for r in docs.collect()) == want and len(want) > 1
+        assert not [f for f in docs.inputFiles() if f.startswith(f"file://{root}/")]
+    assert dc.scan_documents(spark, os.path.join(root, "200{1,2}")).count() == 6  # wildcards: by Spark's reader
+    assert dc.scan_documents(spark, [os.path.join(root, "2002")]).count() == 1
+    os.makedirs(os.path.join(tmp_dir, "empty"))
+    assert dc.scan_documents(spark, os.path.join(tmp_dir, "empty")).count() == 0
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        dc.scan_documents(spark, os.path.join(tmp_dir, "absent"))
