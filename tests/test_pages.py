@@ -236,3 +236,24 @@ def test_listing_is_a_table_made_by_tasks(spark, tmp_dir):
     assert dc.scan_documents(spark, os.path.join(tmp_dir, "empty")).count() == 0
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         dc.scan_documents(spark, os.path.join(tmp_dir, "absent"))
+
+
+def test_extraction_hands_files_over_in_lots(spark, tmp_dir, monkeypatch):
+    """Whatever the bound of bytes held at once, every file comes out whole; an unreadable one is told or raises."""
+    root = os.path.join(tmp_dir, "docs")
+    os.makedirs(os.path.join(root, "2001"))
+    for i in range(40):
+        with open(os.path.join(root, "2001", f"{i}.txt"), "wb") as fh:
+            fh.write(f"page {i}\f".encode() * (i + 1))
+    monkeypatch.setattr(dc, "READ_BYTES", 500)
+    docs = dc.scan_documents(spark, root).coalesce(1)
+    ps = {r.ack_id: r.pages for r in dc.extract_pages(docs, dc.form_feed_pages).collect()}
+    assert ps == {str(i): [f"page {i}"] * (i + 1) for i in range(40)}
+    seen = dc.read_content(dc.scan_documents(spark, root, with_content=False).withColumn(
+        "path", F.when(F.col("ack_id") == "7", F.lit(f"{root}/gone")).otherwise(F.col("path")))).collect()
+    assert {r.ack_id for r in seen if r.content is None} == {"7"} and len(seen) == 40
+    assert [r.read_error.startswith(dc.UNREAD) for r in seen if r.read_error] == [True]
+    gone = dc.scan_documents(spark, root)
+    os.remove(os.path.join(root, "2001", "7.txt"))
+    with pytest.raises(Exception, match="7.txt"):
+        gone.collect()
