@@ -257,3 +257,13 @@ def test_extraction_hands_files_over_in_lots(spark, tmp_dir, monkeypatch):
     os.remove(os.path.join(root, "2001", "7.txt"))
     with pytest.raises(Exception, match="7.txt"):
         gone.collect()
+
+
+@pytest.mark.parametrize("query", ["scan_documents", "extract_pages", "staged_cascade"])
+def test_queries_over_document_files_list_none_of_them_on_the_driver(spark, query):
+    import __spark_entry__ as e
+
+    d = "/root/testdata/sf0.001"
+    df = e.queries()[query](spark, d)
+    assert not [f for f in df.inputFiles() if f.endswith(".txt")]
+    assert df.select("ack_id").distinct().count() == spark.read.parquet(f"{d}/documents.parquet").select("doc_id").distinct().count()
